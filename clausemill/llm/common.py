@@ -64,13 +64,15 @@ def hash128(prefix: str, *cols) -> list:
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns, so that extra columns of any name cannot clash with helper columns."""
-    return df.select(*[F.col(f"`{n}`") for n in names])
+    """Only the named columns, so that extra columns of any name cannot clash with helper columns. The first is the
+    id, a long; rows without an id have no identity and are left out, by every operator."""
+    first, *rest = [F.col(f"`{n}`") for n in names]
+    return df.where(first.isNotNull()).select(first.cast("long").alias(names[0]), *rest)
 
 
 # ---------------------------------------------------------------- vectorised hashing
 
-_BASE_A, _BASE_B = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
+BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -98,7 +100,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = _BASE_A) -> np.ndarray:
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE_A) -> np.ndarray:
     """A 64-bit hash of each ``values[start:end]``: differences of a running polynomial, moved to a common origin."""
     n = len(values)
     up, down = _powers(base, n + 1)
@@ -107,7 +109,7 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base:
     return mix64((run[ends] - run[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-def window_hashes(values: np.ndarray, width: int, base: int = _BASE_A) -> np.ndarray:
+def window_hashes(values: np.ndarray, width: int, base: int = BASE_A) -> np.ndarray:
     """Hashes of all windows of ``width`` consecutive values."""
     n = len(values) - width + 1
     if n <= 0:
@@ -232,14 +234,27 @@ def arrow_rows(schema: pa.Schema, rows: list[tuple]) -> pa.Table:
 
 REQUEST = "part int, bundle_id long, blob binary"
 ANSWER = "bundle_id long, part int, blob binary"
-_REQUEST_ARROW = pa.schema([("part", pa.int32()), ("bundle_id", pa.int64()), ("blob", pa.binary())])
+REQUEST_ARROW = pa.schema([("part", pa.int32()), ("bundle_id", pa.int64()), ("blob", pa.binary())])
 
 
-def split_by_part(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order that brings keys together by part (stable), and where each part starts in it."""
-    part = (keys >> np.uint64(32)) % np.uint64(parts)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+def unique_keys(hashes: np.ndarray, parts: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (part, lowest ``bits`` of the hash) in order, which of them each hash is, and where parts begin."""
+    part = (hashes >> np.uint64(32)) % np.uint64(parts)
+    keys = (part << np.uint64(bits)) | (hashes & np.uint64((1 << bits) - 1))
+    unique, inverse = np.unique(keys, return_inverse=True)
+    cuts = np.searchsorted(unique, np.arange(parts + 1, dtype=np.uint64) << np.uint64(bits))
+    return unique & np.uint64((1 << bits) - 1), inverse, cuts
+
+
+def narrow(tails: np.ndarray) -> np.ndarray:
+    """48-bit values as six bytes each."""
+    return np.ascontiguousarray(tails).view(np.uint8).reshape(-1, 8)[:, :6].ravel()
+
+
+def widen(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
+    out[:, :6] = raw.reshape(-1, 6)
+    return out.view(np.uint64).ravel()
 
 
 def requests(bundles: DataFrame, make: Callable[[np.ndarray, list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:
@@ -250,7 +265,7 @@ def requests(bundles: DataFrame, make: Callable[[np.ndarray, list[bytes]], Itera
             for r in b.to_pylist():
                 ids, texts = read_bundle(r["doc_ids"], r["sizes"], r["texts"])
                 rows = [(p, r["bundle_id"], blob) for p, blob in make(ids, texts)]
-                yield from arrow_rows(_REQUEST_ARROW, rows).to_batches()
+                yield from arrow_rows(REQUEST_ARROW, rows).to_batches()
 
     return bundles.select("bundle_id", "doc_ids", "sizes", "texts").mapInArrow(run, REQUEST)
 

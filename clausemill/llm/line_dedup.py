@@ -70,4 +70,5 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     a document all of whose lines go keeps the empty text. Other columns are ignored. An empty table gives no rows.
     """
     drop = materialize(frequent_positions(docs, min_docs, min_chars))
-    return pick(docs, "doc_id", "text").join(drop, "doc_id", "left").mapInArrow(_rebuild, "doc_id long, kept_text string, n_lines long, n_dropped long, kept_sha256 string")
+    # Dropped positions grow with the corpus: always a merge join, whatever their size here.
+    return pick(docs, "doc_id", "text").join(drop.hint("merge"), "doc_id", "left").mapInArrow(_rebuild, "doc_id long, kept_text string, n_lines long, n_dropped long, kept_sha256 string")

@@ -80,7 +80,7 @@ def document_counts(docs: DataFrame) -> DataFrame:
 
 def _lines(docs: DataFrame, host: str) -> DataFrame:
     rows = (
-        docs.select(F.col("doc_id"), F.xxhash64(F.coalesce(F.col(f"`{host}`").cast("string"), F.lit(""))).alias("host"), F.xxhash64("text").alias("same"), F.split("text", "\n", -1).alias("lines"))
+        pick(docs, "doc_id", "text", host).toDF("doc_id", "text", "host").select(F.col("doc_id"), F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit(""))).alias("host"), F.xxhash64("text").alias("same"), F.split("text", "\n", -1).alias("lines"))
         .withColumn("keys", F.filter(F.transform("lines", lambda line: ascii_lower(F.regexp_replace(F.btrim(line, F.lit(SPACES)), r"[\x20\x09-\x0D]+", " "))), lambda k: k != ""))
         .select("doc_id", "host", "same", F.posexplode(F.transform("keys", lambda k, i: F.struct(k.alias("k"), F.get("keys", i - 1).alias("before"), F.get("keys", i + 1).alias("after")))).alias("pos", "x"))
     )

@@ -3,10 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import substring_dedup, suffix_dedup
 from .common import arrow_batches
+from .decontaminate import find_items
 from .line_dedup import line_dedup
+from .lm_scoring import score_documents
+from .minhash_dedup import near_duplicates
 from .quality_rules import quality_rules
+from .sentencepiece_codec import round_trip
+from .token_output import token_output
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,6 +21,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), words=2, percent=80).drop("class_id")
+
+
+def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), end_id=0)
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -22,15 +51,46 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=100)
+    return rows.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.with_digest(substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=50))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
+    "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_token_output": op2_token_output,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_sentencepiece": op4_sentencepiece,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_substring_dedup": op9_substring_dedup,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 _A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES = {
+    "op1_minhash_dedup": f"""
+        with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_A}', '{_Z}'), '[^\\x20\\x09-\\x0D]+') ws from documents),
+        s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) = 1 then [ws[1]]
+                else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i+1]) end) g from w),
+        n as (select doc_id, count(*) n from s group by doc_id),
+        p as (select a.doc_id a, b.doc_id b, count(*) i from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 80 * (x.n + y.n - i)),
+        e as (select a, b from l union all select b, a from l),
+        r(a, c) as (select doc_id, doc_id from documents union select r.a, e.b from r join e on e.a = r.c),
+        m as (select a doc_id, min(c) component_id from r group by a)
+        select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept from m left join n using (doc_id)""",
     "op6_line_dedup": f"""
         with s as (select doc_id, string_split(coalesce(text, ''), chr(10)) a from documents),
         l as (select doc_id, unnest(a) line, unnest(range(len(a))) pos from s),
@@ -60,4 +120,14 @@ ORACLES = {
         select doc_id, cast(n_words as bigint) n_words, coalesce(wc, 0) word_chars, cast(n_symbols as bigint) n_symbols, cast(n_dup_lines as bigint) n_dup_lines,
           cast(n_repeat_words as bigint) n_repeat_words, cast(n_boilerplate as bigint) n_boilerplate, base_failed,
           not base_failed and 100 * (n_words - n_boilerplate) >= 30 * n_words kept from f""",
+    "op9_substring_dedup": """
+        with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') ws from documents),
+        p as (select doc_id, i, md5(array_to_string(ws[i:i+49], ' ')) h from (select doc_id, ws, unnest(range(1, len(ws) - 48)) i from w)),
+        d as (select doc_id, i from (select *, min(doc_id) over (partition by h) first from p) where first < doc_id),
+        x as (select doc_id, ws, unnest(range(1, len(ws) + 1)) i from w),
+        c as (select x.doc_id, x.i, x.ws[x.i] word, d.i s from x asof left join d on d.doc_id = x.doc_id and d.i <= x.i),
+        k as (select doc_id, i, word, s is not null and s > i - 50 gone from c)
+        select w.doc_id, cast(len(ws) as bigint) n_words, count(*) filter (gone) n_removed,
+          sha256(coalesce(string_agg(word, ' ' order by i) filter (not gone), '')) kept_sha256
+        from w left join k using (doc_id) group by w.doc_id, len(ws)""",
 }
