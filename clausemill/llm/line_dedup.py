@@ -45,22 +45,40 @@ def frequent_positions(docs: DataFrame, min_docs: int, min_chars: int = 1) -> Da
     return keyed.join(frequent, ["k1", "k2"]).groupBy("doc_id").agg(F.collect_list("pos").alias("drop"))
 
 
+def _kept(text: str | None, drop: pa.Scalar) -> tuple[str, int, int]:
+    lines = (text or "").split("\n")
+    if not drop.is_valid:
+        return text or "", len(lines), 0
+    gone = np.zeros(len(lines), dtype=bool)
+    gone[drop.values.to_numpy()] = True
+    return "\n".join([x for x, g in zip(lines, gone.tolist()) if not g]), len(lines), int(gone.sum())
+
+
 def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts, n_lines, n_dropped, sha = [], [], [], []
-        for text, drop in zip(b.column(1), b.column(2)):
-            lines = (text.as_py() or "").split("\n")
-            gone = np.zeros(len(lines), dtype=bool)
-            if drop.is_valid:
-                gone[drop.values.to_numpy()] = True
-                kept = "\n".join([x for x, g in zip(lines, gone.tolist()) if not g])
-            else:
-                kept = "\n".join(lines)
-            n_lines.append(len(lines))
-            n_dropped.append(int(gone.sum()))
-            texts.append(kept)
-            sha.append(hashlib.sha256(kept.encode()).hexdigest())
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "kept_text", "n_lines", "n_dropped", "kept_sha256"])
+        rows = [_kept(t.as_py(), d) for t, d in zip(b.column("text"), b.column("drop"))]
+        texts, n_lines, n_dropped = zip(*rows) if rows else ((), (), ())
+        sha = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "kept_text", "n_lines", "n_dropped", "kept_sha256"])
+
+
+def _with_drops(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
+    # Dropped positions grow with the corpus: always a merge join, whatever their size here.
+    return docs.join(materialize(frequent_positions(docs, min_docs, min_chars)).hint("merge"), "doc_id", "left")
+
+
+def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
+    """``docs`` with the kept text in place of text and, if there is such a column, its length as n_chars. See
+    ``line_dedup`` for the rule. ``docs`` must have no column named drop; rows without a doc_id are left out."""
+    names, schema = docs.columns, docs.schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [_kept(t.as_py(), d)[0] for t, d in zip(b.column("text"), b.column("drop"))]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in names], names)
+
+    out = _with_drops(docs.where("doc_id is not null"), min_docs, min_chars).mapInArrow(run, schema)
+    return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
@@ -69,6 +87,4 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
     ``docs`` has a unique doc_id, and text. A null or empty text is one empty line; an empty key is never dropped;
     a document all of whose lines go keeps the empty text. Other columns are ignored. An empty table gives no rows.
     """
-    drop = materialize(frequent_positions(docs, min_docs, min_chars))
-    # Dropped positions grow with the corpus: always a merge join, whatever their size here.
-    return pick(docs, "doc_id", "text").join(drop.hint("merge"), "doc_id", "left").mapInArrow(_rebuild, "doc_id long, kept_text string, n_lines long, n_dropped long, kept_sha256 string")
+    return _with_drops(pick(docs, "doc_id", "text"), min_docs, min_chars).mapInArrow(_rebuild, "doc_id long, kept_text string, n_lines long, n_dropped long, kept_sha256 string")

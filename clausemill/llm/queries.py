@@ -14,6 +14,7 @@ from .minhash_dedup import near_duplicates
 from .quality_rules import quality_rules
 from .sentencepiece_codec import round_trip
 from .token_output import token_output
+from .warc import archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive(_table(spark, sf_dir, "pages"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(_table(spark, sf_dir, "documents")).drop("kept_text")
 
@@ -69,6 +74,7 @@ QUERIES = {
     "op2_token_output": op2_token_output,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_sentencepiece": op4_sentencepiece,
+    "op5_warc": op5_warc,
     "op6_line_dedup": op6_line_dedup,
     "op7_quality_rules": op7_quality_rules,
     "op8_suffix_dedup": op8_suffix_dedup,
@@ -91,6 +97,18 @@ ORACLES = {
         r(a, c) as (select doc_id, doc_id from documents union select r.a, e.b from r join e on e.a = r.c),
         m as (select a doc_id, min(c) component_id from r group by a)
         select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept from m left join n using (doc_id)""",
+    "op5_warc": f"""
+        with p as (select page_id, url, encode(coalesce(html, '')) b from pages),
+        d as (select *, sha256(b) digest, octet_length(b) n, min(page_id) over (partition by sha256(b)) first from p),
+        u as (select *, coalesce(regexp_replace(url, '[\\x00-\\x20\\x7F]', '%20', 'g'), 'urn:page:' || page_id) uri from d),
+        k as (select *, regexp_replace(string_split(lower(uri), '#')[1], '^[a-z][a-z0-9+.-]*://', '') rest from u),
+        h as (select *, regexp_extract(rest, '^[^/]*') host, substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) path from k),
+        i as (select *, array_to_string(list_reverse(string_split(regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':.*$', ''), '^www[.]', ''), '.')), ',') || ')' || path url_key,
+          strftime(timestamp '2024-01-01' + to_seconds(page_id), '%Y%m%d%H%M%S') captured from h)
+        select page_id, cast(n as bigint) payload_bytes, digest payload_digest,
+          case when n >= 100 and first < page_id then 'revisit' else 'response' end record_type,
+          case when n >= 100 and first < page_id then first end refers_to,
+          url_key, captured, row_number() over (order by url_key, captured, page_id) - 1 capture_no from i""",
     "op6_line_dedup": f"""
         with s as (select doc_id, string_split(coalesce(text, ''), chr(10)) a from documents),
         l as (select doc_id, unnest(a) line, unnest(range(len(a))) pos from s),
