@@ -1,15 +1,14 @@
 """SentencePiece encoding and decoding of whole documents, giant ones in parallel.
 
-Method: max-plus parallel scan. The segmentation of greatest total piece score is a longest path over text positions.
-A giant document is split into chunks; a chunk's transfer matrix has, for each number of characters that a piece from
-the chunk before reaches into it and each number that its own last piece reaches into the next, the greatest score in
-between. Matrices combine associatively with (max, +); once each boundary's state is known, every chunk is traced back
-by itself.
-
-The file's pieces and scores are used as they are and bytes stand for characters without a piece. Paths are compared
-by total score; a small term by piece id makes the best path unique, so that any split into chunks gives the same ids.
-This is the library's decoding rule for score-based models; a file trained for merges in rank order can be segmented
-otherwise by the library itself. Decoding is the library's: pieces joined, the space in front removed.
+Method: max-plus parallel scan. A model trained for merges segments a text into the one sequence of pieces of which
+every two neighbours are compatible, that is, stay as they are when they are merged alone; so its segmentation is a path
+over text positions whose edges are pieces and whose steps must be compatible. A giant document is split into chunks
+at any place. A boundary's states are the pieces that can lie across it or end at it; a chunk's transfer matrix has, for
+each state before and after it, the score of the compatible path in between, minus infinity where there is none.
+Matrices combine associatively with (max, +); once each boundary's state is known, every chunk is traced back by itself.
+
+Ids are those of the sentencepiece library for the same file. Where no piece lies across the place before a space mark,
+texts are cut there and the parts looked up in a cache.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,152 +30,223 @@ from .common import materialize, pick
 CHUNK_CHARS = 32_768
 _CACHE_SIZE = 300_000
 _SPACE = "▁"
-_NONE = -(1 << 60)
 _CUT = re.compile(f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
+_CUT_PLACE = re.compile(f"(?<=[^{_SPACE}])(?={_SPACE})")
+_NONE = -np.inf
 
 
 class Pieces:
-    """A model's pieces with integer weights, and best paths over them."""
+    """A model's pieces, the library's encoder with a cache, and compatible paths."""
 
     def __init__(self, file: str):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=file)
-        self.weight: dict[str, tuple[int, bytes]] = {}
+        self.library = sp = sentencepiece.SentencePieceProcessor(model_file=file)
+        self.score: dict[str, float] = {}
+        self.piece_id: dict[str, int] = {}
         self.raw: list[bytes] = []
         self.byte_ids: dict[int, int] = {}
-        scores = [sp.get_score(i) for i in range(len(sp))]
-        normal = [i for i in range(len(sp)) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
-        # Whole thousandths, and below them a fixed term by id that breaks ties.
-        tie = {i: (i * 2654435761 % (1 << 32)) >> 20 for i in range(len(sp))}
-        scale = lambda s: round(s * 1000) << 12
         for i in range(len(sp)):
             piece = sp.id_to_piece(i)
             if sp.is_byte(i):
                 self.byte_ids[int(piece[3:5], 16)] = i
                 self.raw.append(bytes([int(piece[3:5], 16)]))
+            elif sp.is_control(i) or sp.is_unknown(i):
+                self.raw.append(b"")
             else:
-                self.raw.append(b"" if sp.is_control(i) or sp.is_unknown(i) else piece.replace(_SPACE, " ").encode())
-        for i in normal:
-            self.weight[sp.id_to_piece(i)] = (scale(scores[i]) - tie[i], int(i).to_bytes(4, "little"))
-        self.longest = max(map(len, self.weight), default=1)
-        self.unknown = scale(min((scores[i] for i in normal), default=0.0) - 10.0)
-        #: Whether a piece can lie across the place before a space mark: then text is not cut there.
-        self.spaced = any(_SPACE in p.lstrip(_SPACE) for p in self.weight)
+                self.raw.append(piece.replace(_SPACE, " ").encode())
+                self.score[piece], self.piece_id[piece] = sp.get_score(i), i
+        self.longest = max(map(len, self.score), default=1)
+        if any(_SPACE in p.lstrip(_SPACE) for p in self.score):
+            raise ValueError("a model with pieces across words is not supported")
+        self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         self.cache: dict[str, bytes] = {}
+        self.compatible = lru_cache(maxsize=200_000)(self._compatible)
 
-    def _fallback(self, c: str) -> bytes:
-        return b"".join(self.byte_ids[x].to_bytes(4, "little") for x in c.encode()) if self.byte_ids else (0).to_bytes(4, "little")
-
-    def forward(self, text: str, start: int, stop: int) -> tuple[list[int], list[int]]:
-        """Best score of reaching each position from ``start`` with pieces that begin before ``stop``, and where the
-        last piece begins."""
-        n = len(text)
-        best, back = [_NONE] * (n + 1), [-1] * (n + 1)
-        best[start] = 0
-        weight, longest, unknown = self.weight.get, self.longest, self.unknown
-        for a in range(start, stop):
-            here = best[a]
-            if here == _NONE:
-                continue
-            for b in range(a + 1, min(a + longest, n) + 1):
-                w = weight(text[a:b])
-                if w is not None and here + w[0] > best[b]:
-                    best[b], back[b] = here + w[0], a
-            if text[a] not in self.weight and here + unknown > best[a + 1]:
-                best[a + 1], back[a + 1] = here + unknown, a
-        return best, back
-
-    def trace(self, text: str, start: int, stop: int, end: int) -> bytes:
-        """Ids of the best path from ``start`` to ``end`` over pieces that begin before ``stop``."""
-        back, out, b = self.forward(text[:end], start, stop)[1], [], end
-        while b > start:
-            a = back[b]
-            w = self.weight.get(text[a:b])
-            out.append(w[1] if w else self._fallback(text[a:b]))
-            b = a
-        return b"".join(out[::-1])
-
-    def unit(self, text: str) -> bytes:
-        got = self.cache.get(text)
-        if got is None:
-            got = self.trace(text, 0, len(text), len(text))
-            if len(self.cache) < _CACHE_SIZE and len(text) <= 64:
-                self.cache[text] = got
-        return got
+    # ---- whole texts
 
     def encode(self, marked: str) -> bytes:
-        """Ids of a text whose spaces are marks. Where no piece lies across the place before a mark, best paths of
-        the parts make up the best path of the whole."""
-        if self.spaced:
-            return self.trace(marked, 0, len(marked), len(marked))
+        """Ids of a text whose spaces are marks and which starts with one."""
         units = _CUT.findall(marked)
         try:
             return b"".join(map(self.cache.__getitem__, units))
         except KeyError:
-            return b"".join(map(self.unit, units))
-
-    def cuts(self, text: str, stop: int) -> tuple[int, int]:
-        """First and last place in 0 < place <= stop before a mark that follows another character, or (-1, -1)."""
-        if self.spaced:
-            return -1, -1
-        at = [m.start() for m in re.finditer(f"(?<=[^{_SPACE}]){_SPACE}", text[: stop + 1])]
-        return (at[0], at[-1]) if at else (-1, -1)
-
-    def transfer(self, text: str, size: int) -> np.ndarray:
-        """The transfer matrix of a chunk of ``size`` characters, of which ``text`` is these and those after it that a
-        piece can reach."""
-        states = self.longest
-        out = np.full((states, states), _NONE, dtype=np.int64)
-        first, last = self.cuts(text, size)
-        middle = None
-        if first >= 0:
-            units = _CUT.findall(text[first:last])
-            middle = sum(self.score(u) for u in units)
-            tail = self.forward(text[last:], 0, size - last)[0]
-        for i in range(min(states, size + 1)):
-            if first < 0:
-                best = self.forward(text, i, size)[0]
-                for j in range(min(states, len(best) - size)):
-                    out[i, j] = best[size + j]
-            elif i <= first:
-                head = self.forward(text[:first], i, first)[0][first]
-                if head != _NONE:
-                    for j in range(min(states, len(tail) - (size - last))):
-                        if tail[size - last + j] != _NONE:
-                            out[i, j] = head + middle + tail[size - last + j]
-        return out
-
-    def score(self, unit: str) -> int:
-        return self.forward(unit, 0, len(unit))[0][len(unit)]
+            missing = [u for u in dict.fromkeys(units) if u not in self.cache]
+            # The library puts a mark in front itself.
+            ids = self.library.encode([u[1:].replace(_SPACE, " ") if len(u) > 1 else "" for u in missing], num_threads=1)
+            new = {u: np.array(x, "<u4").tobytes() if len(u) > 1 else self.of(u) for u, x in zip(missing, ids)}
+            if len(self.cache) < _CACHE_SIZE:
+                self.cache.update({u: x for u, x in new.items() if len(u) <= 64})
+            return b"".join([self.cache.get(u) or new[u] for u in units])
 
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
 
+    def of(self, piece: str) -> bytes:
+        """Ids of one piece, or of the bytes of a character that is none."""
+        if piece in self.piece_id:
+            return self.piece_id[piece].to_bytes(4, "little")
+        return b"".join(self.byte_ids[x].to_bytes(4, "little") for x in piece.encode()) if self.byte_ids else (self.library.unk_id()).to_bytes(4, "little")
+
+    def weight(self, piece: str) -> float:
+        return self.score.get(piece, self.unknown_score)
+
+    # ---- compatible paths
+
+    def merge(self, text: str) -> list[str]:
+        """The pieces of a short text: the neighbours whose union scores best are merged, leftmost first, until none can."""
+        parts = list(text)
+        while True:
+            best = max(((self.score[a + b], -k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in self.score), default=None)
+            if best is None:
+                return parts
+            k = -best[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    def _compatible(self, a: str, b: str) -> bool:
+        return self.merge(a + b) == [a, b]
+
+    def follows(self, before: str | None, piece: str) -> bool:
+        if before is None or (piece[0] == _SPACE and before[-1] != _SPACE):
+            return self.merge(piece) == [piece]
+        return self.compatible(before, piece)
+
+    def is_piece(self, text: str) -> bool:
+        return len(text) == 1 or text in self.score
+
+    def walk(self, before: str | None, text: str) -> tuple[list[float], list[int]]:
+        """Score of the compatible path from 0 to each place of ``text`` after the piece ``before``, and where its last
+        piece begins; at most one such path ends at each place."""
+        n = len(text)
+        score, back = [_NONE] * (n + 1), [-1] * (n + 1)
+        last: list[str | None] = [None] * (n + 1)
+        score[0], last[0] = 0.0, before
+        for b in range(1, n + 1):
+            for a in range(max(0, b - self.longest), b):
+                if score[a] != _NONE and self.is_piece(piece := text[a:b]) and self.follows(last[a], piece):
+                    score[b], back[b], last[b] = score[a] + self.weight(piece), a, piece
+                    break
+        return score, back
+
+    def path(self, before: str | None, text: str) -> list[str]:
+        back, out, b = self.walk(before, text)[1], [], len(text)
+        while b > 0:
+            out.append(text[back[b] : b])
+            b = back[b]
+        return out[::-1]
+
+    def states(self, text: str, at: int) -> list[tuple[int, int]]:
+        """Pieces across or up to place ``at``, as characters before and after it; nothing at the start of a text."""
+        if at == 0:
+            return [(0, 0)]
+        room = self.longest
+        return [(x, y) for x in range(1, min(room, at) + 1) for y in range(min(room - x, len(text) - at) + 1) if self.is_piece(text[at - x : at + y])]
+
+
+class Chunk:
+    """``size`` characters of a document from place ``lead`` of ``text``, which reaches a piece's length beyond them on
+    either side, or to the document's start or end."""
+
+    def __init__(self, p: Pieces, text: str, lead: int, size: int):
+        self.p, self.text, self.lead, self.stop = p, text, lead, lead + size
+        self.enter, self.leave = p.states(text, lead), p.states(text, self.stop)
+        self.cuts = [m.start() for m in _CUT_PLACE.finditer(text)]
+
+    def _ends(self, enter: tuple[int, int], leave: tuple[int, int]) -> tuple[int, int, int, int]:
+        """Where the path begins and its last piece begins, and the first and last cut between these places."""
+        from bisect import bisect_left, bisect_right
+
+        a, b = self.lead + enter[1], self.stop - leave[0]
+        i, j = bisect_left(self.cuts, a), bisect_right(self.cuts, b) - 1
+        return (a, b, self.cuts[i], self.cuts[j]) if i <= j else (a, b, -1, -1)
+
+    def _before(self, enter: tuple[int, int]) -> str | None:
+        x, y = enter
+        return self.text[self.lead - x : self.lead + y] or None
+
+    def matrix(self) -> np.ndarray:
+        out = np.full((len(self.enter), len(self.leave)), _NONE)
+        units = [0.0]
+        for a, b in zip(self.cuts, self.cuts[1:]):
+            units.append(units[-1] + self._score(self.text[a:b]))
+        total = dict(zip(self.cuts, units))
+        heads: dict = {}
+        tails: dict = {}
+        for i, enter in enumerate(self.enter):
+            before = self._before(enter)
+            for j, leave in enumerate(self.leave):
+                a, b, first, last = self._ends(enter, leave)
+                if a > b:
+                    continue
+                piece = self.text[b : self.stop + leave[1]]
+                if first < 0:
+                    key = (i, -1)
+                    if key not in heads:
+                        heads[key] = self._walk(before, a, self.stop)
+                    score, pieces = heads[key]
+                    so_far, prior = score[b - a], pieces(b - a) if b > a else before
+                else:
+                    key = (i, first)
+                    if key not in heads:
+                        heads[key] = self._walk(before, a, first)
+                    if last not in tails:
+                        tails[last] = self._walk(None, last, self.stop)
+                    score, pieces = tails[last]
+                    so_far = heads[key][0][first - a] + total[last] - total[first] + score[b - last]
+                    # At a cut any piece may follow.
+                    prior = pieces(b - last) if b > last else None
+                if so_far != _NONE and self.p.follows(prior, piece):
+                    out[i, j] = so_far + self.p.weight(piece)
+        return out
+
+    def _walk(self, before: str | None, a: int, b: int):
+        text = self.text[a:b]
+        score, back = self.p.walk(before, text)
+        return score, lambda k: text[back[k] : k] if back[k] >= 0 else None
+
+    def _score(self, unit: str) -> float:
+        ids = np.frombuffer(self.p.encode(unit), "<u4").tolist()
+        return float(sum(self.p.library.get_score(i) for i in ids))
+
+    def trace(self, enter: int, leave: int) -> bytes:
+        """Ids of the pieces after state ``enter`` up to and with state ``leave``."""
+        before, out = self._before(self.enter[enter]), self.leave[leave]
+        a, b, first, last = self._ends(self.enter[enter], out)
+        end = self.text[b : self.stop + out[1]]
+        of = lambda pieces: b"".join(map(self.p.of, pieces))
+        if first < 0:
+            return of([*self.p.path(before, self.text[a:b]), end])
+        return of(self.p.path(before, self.text[a:first])) + self.p.encode(self.text[first:last]) + of([*self.p.path(None, self.text[last:b]), end])
+
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The (max, +) product: of matrices, or of stacks of them."""
-    return np.maximum((a[..., :, :, None] + b[..., None, :, :]).max(axis=-2), _NONE)
+    """The (max, +) products of two stacks of matrices."""
+    out = np.full((*a.shape[:-1], b.shape[-1]), _NONE)
+    for k in range(a.shape[-1]):
+        np.maximum(out, a[..., :, k, None] + b[..., None, k, :], out=out)
+    return out
 
 
 def prefix_scan(stack: np.ndarray) -> np.ndarray:
-    """Products of the first 1, 2, ... matrices, by doubling. Each is scaled so that its greatest entry is 0."""
+    """Products of the first 1, 2, ... matrices, by doubling; the product is associative."""
     out, step = stack.copy(), 1
     while step < len(out):
         out[step:] = combine(out[:-step], out[step:])
-        top = out.max(axis=(1, 2), keepdims=True)
-        out = np.where(out <= _NONE // 2, _NONE, out - top)
         step *= 2
     return out
 
 
-def boundary_states(stack: np.ndarray) -> list[int]:
-    """States of the best path at the boundaries before the first, after the first, ... and after the last chunk."""
+def boundary_states(matrices: list[np.ndarray]) -> list[int]:
+    """States of the best path before the first, after the first, ... and after the last chunk."""
+    width = max(max(m.shape) for m in matrices)
+    stack = np.full((len(matrices), width, width), _NONE)
+    for k, m in enumerate(matrices):
+        stack[k, : m.shape[0], : m.shape[1]] = m
     done = prefix_scan(stack)
-    states = [0]
+    states = [int(np.argmax(done[-1][0]))]
     for k in range(len(stack) - 1, 0, -1):
         states.append(int(np.argmax(done[k - 1][0] + stack[k][:, states[-1]])))
-    return [*states, 0][::-1]
+    return [0, *states[::-1]]
 
 
 def mark(text: str) -> str:
@@ -212,53 +283,51 @@ def encode(docs: DataFrame, model_file: str, chunk_chars: int = CHUNK_CHARS) ->
 
 def _encode_giant(docs: DataFrame, model_file: str, chunk_chars: int) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reach = pieces(model_file).longest - 1
+        reach = pieces(model_file).longest
+        size = max(chunk_chars, reach)  # no chunk is shorter, so that a piece lies across one boundary at most
         for b in batches:
             for doc_id, copy, text in zip(*b.columns):
                 t = mark(text.as_py())
-                for k, a in enumerate(range(0, len(t), chunk_chars)):
-                    part = t[a : a + chunk_chars + reach]
-                    yield pa.RecordBatch.from_pylist([{"doc_id": doc_id.as_py(), "copy": copy.as_py(), "chunk": k, "size": min(chunk_chars, len(t) - a), "part": part}], schema=schema)
+                starts = list(range(0, max(1, len(t) - size + 1), size))
+                for k, (a, b) in enumerate(zip(starts, [*starts[1:], len(t)])):
+                    low = max(0, a - reach)
+                    row = {"doc_id": doc_id.as_py(), "copy": copy.as_py(), "chunk": k, "lead": a - low, "size": b - a, "part": t[low : b + reach]}
+                    yield pa.RecordBatch.from_pylist([row], schema=schema)
 
     def matrices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
-            found = [p.transfer(r["part"], r["size"]).tobytes() for r in b.to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(found, pa.binary())], ["doc_id", "copy", "chunk", "matrix"])
+            found = [Chunk(p, r["part"], r["lead"], r["size"]).matrix() for r in b.to_pylist()]
+            cols = [pa.array([m.shape[0] for m in found], pa.int32()), pa.array([m.tobytes() for m in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], *cols], ["doc_id", "copy", "chunk", "rows", "matrix"])
 
     def states(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
-        n = pieces(model_file).longest
-        at = boundary_states(np.stack([np.frombuffer(m.as_py(), np.int64).reshape(n, n) for m in table.column("matrix")]))
+        at = boundary_states([np.frombuffer(m.as_py()).reshape(n.as_py(), -1) for n, m in zip(table.column("rows"), table.column("matrix"))])
         return pa.table({"doc_id": table.column("doc_id"), "copy": table.column("copy"), "chunk": table.column("chunk"), "enter": pa.array(at[:-1], pa.int32()), "leave": pa.array(at[1:], pa.int32())})
 
     def traced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
-            ids = [_trace_chunk(p, r["part"], r["enter"], r["size"], r["size"] + r["leave"]) for r in b.select(["part", "size", "enter", "leave"]).to_pylist()]
+            rows = b.select(["part", "lead", "size", "enter", "leave"]).to_pylist()
+            ids = [Chunk(p, r["part"], r["lead"], r["size"]).trace(r["enter"], r["leave"]) for r in rows]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("copy"), b.column("chunk"), pa.array(ids, pa.binary())], ["doc_id", "copy", "chunk", "ids"])
 
     def joined(table: pa.Table) -> pa.Table:
         table = table.sort_by("chunk")
         return pa.table({"doc_id": table.column("doc_id")[:1], "ids": pa.array([b"".join(table.column("ids").to_pylist())], pa.binary())})
 
-    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("chunk", pa.int32()), ("size", pa.int32()), ("part", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("copy", pa.int64()), ("chunk", pa.int32()), ("lead", pa.int32()), ("size", pa.int32()), ("part", pa.string())])
     # copy tells rows apart that repeat a doc_id
-    chunks = materialize(docs.select("doc_id", F.monotonically_increasing_id().alias("copy"), "text").mapInArrow(split, "doc_id long, copy long, chunk int, size int, part string"))
-    found = chunks.mapInArrow(matrices, "doc_id long, copy long, chunk int, matrix binary")
+    numbered = docs.select("doc_id", F.monotonically_increasing_id().alias("copy"), "text")
+    chunks = materialize(numbered.mapInArrow(split, "doc_id long, copy long, chunk int, lead int, size int, part string"))
+    # Chunks are dealt out evenly, whichever files the giants were in.
+    found = chunks.repartition("doc_id", "copy", "chunk").mapInArrow(matrices, "doc_id long, copy long, chunk int, rows int, matrix binary")
     at = found.groupBy("doc_id", "copy").applyInArrow(states, "doc_id long, copy long, chunk int, enter int, leave int")
-    ids = chunks.join(at, ["doc_id", "copy", "chunk"]).mapInArrow(traced, "doc_id long, copy long, chunk int, ids binary")
+    ids = chunks.join(at.hint("merge"), ["doc_id", "copy", "chunk"]).mapInArrow(traced, "doc_id long, copy long, chunk int, ids binary")
     return ids.groupBy("doc_id", "copy").applyInArrow(joined, _IDS)
 
 
-def _trace_chunk(p: Pieces, part: str, enter: int, size: int, end: int) -> bytes:
-    """Ids of a chunk's own part of the best path; between its first and last cut, unit by unit."""
-    first, last = p.cuts(part, size)
-    if first < 0 or first < enter or last >= size:
-        return p.trace(part, enter, size, end)
-    return p.trace(part[:first], enter, first, first) + p.encode(part[first:last]) + p.trace(part[last:], 0, size - last, end - last)
-
-
 def decode(ids: DataFrame, model_file: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids are the empty text."""
 

@@ -19,6 +19,7 @@ from clausemill.llm.quality_rules import quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+UPPER = {v: k for k, v in LOWER.items()}
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -166,52 +167,45 @@ def test_lm_without_folds(docs):
     assert all(g["n_known"] == g["train_tokens"] == 0 and math.isfinite(g["score"]) for g in none_train.values())
 
 
-def as_scores(model: str):
-    """The same pieces and scores as a score-based model of the library."""
-    import sentencepiece
-    from sentencepiece import sentencepiece_model_pb2 as pb
+def library_ids(text: str) -> list[int]:
+    return sentencepiece_codec.pieces(PIECES).library.encode(text)
 
-    m = pb.ModelProto()
-    m.ParseFromString(open(model, "rb").read())
-    m.trainer_spec.model_type = 1
-    return sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
 
+def test_sentencepiece_ids_are_the_librarys(docs):
+    for i, g in by_id(sentencepiece_codec.encode(docs, PIECES)).items():
+        assert np.frombuffer(g["ids"], "<u4").tolist() == library_ids(texts()[i])
+    for t in ("a", " ", "  ", " lead", "trail ", "double  space", "▁mark▁", "new\nline \n", "日本語テキスト", "e\u0301 ﬁ \x00 \x7f", "💩💩 x", "www...... ====  -----"):
+        p = sentencepiece_codec.pieces(PIECES)
+        for _ in range(2):
+            assert np.frombuffer(p.encode(sentencepiece_codec.mark(t)), "<u4").tolist() == library_ids(t)
 
-def test_sentencepiece_paths_have_the_best_score():
-    p = sentencepiece_codec.pieces(PIECES)
 
-    def brute(t):
-        best = [0] + [None] * len(t)
-        for b in range(1, len(t) + 1):
-            for a in range(max(0, b - p.longest), b):
-                w = p.weight[t[a:b]][0] if t[a:b] in p.weight else p.unknown if b - a == 1 else None
-                if w is not None and best[a] is not None and (best[b] is None or best[a] + w > best[b]):
-                    best[b] = best[a] + w
-        return best[-1]
-
-    for _, t in corpus(9)[:40]:
-        m = sentencepiece_codec.mark((t or "")[:300])
-        ids = np.frombuffer(p.encode(m), "<u4")
-        assert p.decode(ids) == (t or "")[:300]
-        if m:
-            assert p.score(m) == brute(m)
-    try:
-        lib = as_scores(PIECES)
-    except (ImportError, TypeError):
-        pytest.skip("the library's model format is not importable")
-    own = lambda ids: sum(-1e9 if lib.is_byte(i) else lib.get_score(i) for i in ids)
-    for t in ("hello world", "the quick brown fox", "reading and writing clauses"):
-        ids = np.frombuffer(p.encode(sentencepiece_codec.mark(t)), "<u4").tolist()
-        assert own(ids) == pytest.approx(own(lib.encode(t)))
-
-
-@pytest.mark.parametrize("chunk", [1, 5, 17, 64, 1000])
-def test_sentencepiece_chunks_do_not_matter(docs, chunk, spark):
+def test_merges_are_the_librarys():
     p = sentencepiece_codec.pieces(PIECES)
-    small = docs.where("length(text) < 900 or doc_id is null") if chunk < 17 else docs
-    got = {r.doc_id: bytes(r.ids) for r in sentencepiece_codec.encode(small.limit(12 if chunk < 17 else 100), PIECES, chunk_chars=chunk).collect()}
-    all_texts = texts()
-    assert got and all(ids == p.encode(sentencepiece_codec.mark(all_texts[i])) for i, ids in got.items())
+    r = random.Random(3)
+    for _ in range(300):
+        t = "".join(r.choice("thereinonabsz") for _ in range(r.randint(1, 24)))
+        want = [p.library.id_to_piece(i) for i in library_ids(t)]
+        assert p.merge("▁" + t) == want == p.path(None, "▁" + t)
+
+
+@pytest.mark.parametrize("chunk", [1, 23, 64, 1000])
+def test_sentencepiece_chunks_do_not_matter(spark, docs, chunk):
+    r = random.Random(chunk)
+    rows = [(i, "".join(r.choice("thereinonabsz") for _ in range(r.randint(1, chunk + 400)))) for i in range(6)]
+    rows += [(10 + i, " ".join("".join(r.choice("thereinonaé  \n你") for _ in range(r.randint(1, 12))) for _ in range(60))) for i in range(6)]
+    rows += [(i + 100, t) for i, t in corpus() if chunk > 100]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = by_id(sentencepiece_codec.encode(table, PIECES, chunk_chars=chunk))
+    assert {i: np.frombuffer(g["ids"], "<u4").tolist() for i, g in got.items()} == {i: library_ids(t or "") for i, t in rows}
+
+
+def test_max_plus_products_are_associative():
+    r = np.random.default_rng(1)
+    a, b, c = (np.where(r.random((4, 4)) < 0.3, -np.inf, r.integers(-9, 9, (4, 4))) for _ in range(3))
+    mul = sentencepiece_codec.combine
+    assert (mul(mul(a, b), c) == mul(a, mul(b, c))).all()
+    assert (sentencepiece_codec.prefix_scan(np.stack([a, b, c]))[2] == mul(mul(a, b), c)).all()
 
 
 def test_sentencepiece_round_trip(docs, empty):
@@ -292,7 +286,7 @@ def test_quality_rules_reject_depleted_documents_only(spark):
     r = random.Random(8)
     say = lambda n: " ".join("w%d" % r.randrange(10**6) for _ in range(n))
     menu = [say(20) for _ in range(6)]
-    rows = [(i, "\n".join([*r.sample(menu, 4), say(10)]), "a") for i in range(60)]  # menus in any order
+    rows = [(i, "\n".join(x + "\n" + say(3) for x in r.sample(menu, 4)), "a") for i in range(60)]
     clean = [(100 + i, menu[0] + "\n" + say(60) + "\n" + say(60), "a") for i in range(60)]
     one = [say(30) for _ in range(4)]
     copies = [(200 + i, "\n".join(one) if i % 2 else "\n".join([*one[:3], one[3] + f" {i}"]), "a") for i in range(60)]
@@ -399,8 +393,8 @@ def test_decontamination(spark, docs, empty, monkeypatch):
         t = items[k % 12]
         for _ in range(r.randint(0, len(t) // 7)):
             a = r.randrange(len(t))
-            t = r.choice([t[:a] + t[a + 1 :], t[:a] + "q" + t[a:], t[:a] + "Z" + t[a + 1 :]])
-        rows.append((1000 + k, " ".join(r.choices(words, k=20)) + " \n" + t.upper() + "\t " + " ".join(r.choices(words, k=20))))
+            t = r.choice([t[:a] + t[a + 1 :], t[:a] + "q" + t[a:], t[:a] + "z" + t[a + 1 :]])
+        rows.append((1000 + k, " ".join(r.choices(words, k=20)) + " \n" + t.translate(UPPER) + "\t " + " ".join(r.choices(words, k=20))))
     rows += list(plain.items())
     table = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame([*items.items(), (60, None), (None, "x" * 80)], "item_id long, text string")
