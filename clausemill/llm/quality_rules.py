@@ -4,8 +4,8 @@ Method: hash normalised lines, count distinct documents per host and line, remov
 documents that keep too few of their words.
 
 Copies of one document are near-dedup's work and must not turn its lines into boilerplate, so documents are counted
-by their text, and a line above the limit is boilerplate only if it stands in different surroundings: at least half
-of these documents must differ in the line before it, or in the line after it.
+by their text, and a line above the limit is boilerplate only if it stands in different surroundings: the lines before
+it, or the lines after it, must be at least four fifths as many different ones as these documents.
 """
 
 from __future__ import annotations
@@ -94,7 +94,7 @@ def boilerplate_words(docs: DataFrame, host: str = "source", max_docs: int = 10)
     often = lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs).select("k1", "k2")
     hits = materialize(lines.join(often, ["k1", "k2"]))
     counts = hits.groupBy("k1", "k2").agg(F.count_distinct("same").alias("n_docs"), F.count_distinct("before").alias("n_before"), F.count_distinct("after").alias("n_after"))
-    bad = counts.where((F.col("n_docs") > max_docs) & (2 * F.greatest("n_before", "n_after") >= F.col("n_docs"))).select("k1", "k2")
+    bad = counts.where((F.col("n_docs") > max_docs) & (5 * F.greatest("n_before", "n_after") >= 4 * F.col("n_docs"))).select("k1", "k2")
     return hits.join(bad, ["k1", "k2"]).groupBy("doc_id").agg(F.sum("words").cast("long").alias("n_boilerplate"))
 
 

@@ -130,7 +130,7 @@ ORACLES = {
         k as (select doc_id, host, text, pos, translate(regexp_replace(trim(line, {_WS}), '[\\x20\\x09-\\x0D]+', ' ', 'g'), '{_A}', '{_Z}') k from l),
         n as (select *, lag(k) over p b, lead(k) over p a from k where k <> '' window p as (partition by doc_id order by pos)),
         c as (select host, k, count(distinct text) nd, count(distinct coalesce(b, chr(0))) nb, count(distinct coalesce(a, chr(0))) na from n group by host, k having count(distinct text) > 10),
-        bp as (select doc_id, sum(len(string_split(k, ' '))) n from n join c using (host, k) where 2 * greatest(nb, na) >= nd group by doc_id),
+        bp as (select doc_id, sum(len(string_split(k, ' '))) n from n join c using (host, k) where 5 * greatest(nb, na) >= 4 * nd group by doc_id),
         m as (select w.doc_id, len(ws) n_words, cast(list_sum(list_transform(ws, lambda x: length(x))) as bigint) wc,
               length(t) - length(translate(t, '#*$%&|<>', '')) n_symbols, coalesce(dl.n, 0) n_dup_lines, coalesce(rw.n, 0) n_repeat_words, coalesce(bp.n, 0) n_boilerplate
               from w left join dl using (doc_id) left join rw using (doc_id) left join bp using (doc_id)),
