@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from clausemill.registry import clauses, qa, text, units
+
+_AREAS = (text, clauses, units, qa)
+QUERIES: dict = {k: q for area in _AREAS for k, q in area.QUERIES.items()}
+ORACLES: dict = {k: q for area in _AREAS for k, q in area.ORACLES.items()}
