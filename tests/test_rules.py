@@ -106,7 +106,7 @@ def test_verdict_is_monotone(spark):
 def test_nulls_and_empty_tables(spark):
     empty = spark.createDataFrame([], "doc_id long, para_idx int, text string")
     assert C.clauses(empty).count() == 0 and C.toggle_marks(C.headings(empty).withColumnRenamed("clause_text", "text"), empty.selectExpr("doc_id", "para_idx", "text mark_text", "text mark_number")).count() == 0
-    nulls = spark.createDataFrame([(1, 0, "1.2 A"), (1, 1, None), (1, 2, "NOTE: n"), (None, 0, "2.3 B")], "doc_id long, para_idx int, text string")
+    nulls = spark.createDataFrame([(1, 0, "1.2 Doors"), (1, 1, None), (1, 2, "NOTE: n"), (None, 0, "2.3 Beams")], "doc_id long, para_idx int, text string")
     assert {(r.doc_id, r.clause_number) for r in C.clauses(nulls).collect()} == {(1, "1.2"), (None, "2.3")}
 
 
