@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -37,20 +38,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/clausemill-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and outlives lost executors."""
+def materialize(df: DataFrame, tidy: bool = True) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and outlives lost executors. ``tidy``
+    releases shuffle files at once; small steps in a row need not."""
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    release(spark)
+    if tidy:
+        release(spark)
     return out
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's context cleaner drop the shuffle files of finished phases before the next phase fills the disks."""
+    """Let Spark's context cleaner drop the shuffle files of finished phases before the next phase fills the disks. A
+    finished execution's plan goes with the first collection, the shuffles that it held with the second."""
     gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def ascii_lower(col):

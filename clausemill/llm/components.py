@@ -27,10 +27,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star rounds; a round's result is written to the scratch folder. The number of
     rounds grows with the logarithm of the longest chain. No list of neighbours is ever collected.
     """
-    now = materialize(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct())
+    now = materialize(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct(), tidy=False)
     state = None
     while True:
-        now = materialize(_small_star(_large_star(now)))
+        now = materialize(_small_star(_large_star(now)), tidy=False)
         sums = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if sums == state:
             break
