@@ -131,14 +131,15 @@ class Shard:
 
 
 class CachedEncoder:
-    """Encodes like the tokenizer file does, with a cache of space-led stretches of text.
+    """Encodes like the tokenizer file does, with a cache of stretches of text.
 
-    The file's pre-tokenizer always cuts where white space follows something else, so the text may be cut before each
-    such space and the parts encoded apart. The first _CACHE_SIZE different parts are kept; others are encoded as
-    they come, many in one call.
+    The file's pre-tokenizer always cuts where white space follows something else, and a single line break is a token
+    of its own. So a text without two white spaces in a row is cut before each space and line break and the parts are
+    encoded apart; other texts are encoded whole. The first _CACHE_SIZE different parts are kept; others are encoded as
+    they come, all of a text in one call, with line breaks between them.
     """
 
-    _after_space = re.compile(r"\s ")
+    _pair = re.compile(r"\s\s")
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -147,34 +148,38 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.cache: dict[str, bytes] = {}
+        line = self._whole("a\nb").tolist()
+        if len(line) != 3 or self._whole("\n").tolist() != line[1:2] or self._whole("a\n b").tolist()[1:2] != line[1:2]:
+            raise ValueError("the tokenizer does not cut at line breaks")
+        self.line, self.line_id = np.array(line[1:2], "<u4").tobytes(), line[1]
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.zeros(0, "<u4")
-        first, _, rest = text.partition(" ")
-        if not rest or not first or first[-1].isspace() or self._after_space.search(text):
+        if not text or self._pair.search(text) or text[0].isspace() or text[-1].isspace():
             return self._whole(text)
-        words, cache = rest.split(" "), self.cache
+        # Parts that follow a line break start with it, parts that follow a space do not start with that.
+        parts, cache = text.replace("\n", " \n").split(" "), self.cache
+        parts[0] = "\n" + parts[0]
         try:
-            return np.frombuffer(b"".join([self._whole(first).tobytes(), *map(cache.__getitem__, words)]), "<u4")
+            found = list(map(cache.__getitem__, parts))
         except KeyError:
-            new = self._missing([w for w in dict.fromkeys(words) if w not in cache])
+            new = self._missing([p for p in dict.fromkeys(parts) if p not in cache])
             if len(cache) < _CACHE_SIZE:
                 cache.update(new)
-            return np.frombuffer(b"".join([self._whole(first).tobytes(), *[cache.get(w) or new[w] for w in words]]), "<u4")
-
-    def _missing(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each word with a space before it, from one call over all of them in a row."""
-        got = self.tokenizer.encode(" " + " ".join(words), add_special_tokens=False)
-        ids = np.array(got.ids, dtype="<u4")
-        at = np.array([a for a, _ in got.offsets], dtype=np.int64)
-        sizes = np.fromiter((len(w) + 1 for w in words), dtype=np.int64, count=len(words))
-        cut = np.searchsorted(at, np.concatenate([[0], np.cumsum(sizes)]))
-        raw, cut = ids.tobytes(), (cut * 4).tolist()
-        return {w: raw[a:b] for w, a, b in zip(words, cut, cut[1:])}
+            found = [cache.get(p) or new[p] for p in parts]
+        return np.frombuffer(b"".join(found), "<u4")[1:]
+
+    def _missing(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of each part, from one call over all of them on lines of their own."""
+        ids = self._whole("\n".join([p[1:] if p[0] == "\n" else " " + p for p in parts]))
+        at = np.flatnonzero(ids == self.line_id)
+        if len(at) != len(parts) - 1:
+            return {p: self._whole(p if p[0] == "\n" else " " + p).tobytes() for p in parts}
+        raw = ids.tobytes()
+        starts, ends = [0, *(at * 4 + 4).tolist()], [*(at * 4).tolist(), len(raw)]
+        return {p: self.line + raw[a:b] if p[0] == "\n" else raw[a:b] for p, a, b in zip(parts, starts, ends)}
 
 
 def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], CachedEncoder], end_id: int = 0, percentile: float = 90.0, shard_bytes: int = 32 << 20) -> None:
