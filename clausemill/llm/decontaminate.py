@@ -2,7 +2,9 @@
 
 Method: pigeonhole edit matching. An item of m characters may differ by k = m * error_percent / 100 edits; cut into
 k + 1 pieces, at least one piece occurs unchanged in any match. Exact piece hits come from one automaton per block of
-items; each hit's window is verified with Myers' bit-parallel distance.
+items. As k edits over k + 1 pieces in a ring leave some piece from which on any t pieces have at most t - 1 edits, a
+hit counts only if the piece after it follows within one edit (the last piece has none after it and always counts).
+The windows of these hits are verified with Myers' bit-parallel distance.
 """
 
 from __future__ import annotations
@@ -54,17 +56,26 @@ def within(pattern: str, text: str, budget: int) -> int | None:
     return best if best <= budget else None
 
 
+def follows(text: str, at: int, piece: str) -> bool:
+    """Whether ``piece`` is at place ``at`` of the text, give or take one edit."""
+    t, n = text[at : at + len(piece) + 1], len(piece)
+    a, end = 0, min(n, len(t))
+    while a < end and t[a] == piece[a]:
+        a += 1
+    return a >= n - 1 or piece[a + 1 :] == t[a + 1 : n] or piece[a + 1 :] == t[a : n - 1] or piece[a:] == t[a + 1 : n + 1]
+
+
 class Matcher:
     """Piece automaton and verification for one block of items."""
 
     def __init__(self, items: list[tuple[int, str]], error_percent: int):
         self.items = []
-        pieces: dict[str, list[tuple[int, int]]] = {}
+        pieces: dict[str, list[tuple[int, int, str]]] = {}
         for item_id, text in items:
             budget = len(text) * error_percent // 100
             at = [len(text) * j // (budget + 1) for j in range(budget + 2)]
-            for a, b in zip(at, at[1:]):
-                pieces.setdefault(text[a:b], []).append((len(self.items), a))
+            for a, b, c in zip(at, at[1:], [*at[2:], at[-1]]):
+                pieces.setdefault(text[a:b], []).append((len(self.items), a, text[b:c]))
             self.items.append((item_id, text, budget))
         self.automaton = ahocorasick.Automaton()
         for piece, where in pieces.items():
@@ -79,7 +90,9 @@ class Matcher:
         if not self.items:
             return found
         for end, (size, where) in self.automaton.iter(text):
-            for k, offset in where:
+            for k, offset, after in where:
+                if after and not follows(text, end + 1, after):
+                    continue
                 item_id, item, budget = self.items[k]
                 start = end + 1 - size - offset
                 slot = start // (2 * budget + 8)
