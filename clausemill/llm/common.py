@@ -86,7 +86,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, at least ``n`` of each."""
     have = _POW.get(base)
     if have is None or len(have[0]) < n:
-        size = 1 << max(16, (n - 1).bit_length())
+        size = ((n >> 18) + 1) << 18
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.ones(size, dtype=np.uint64)

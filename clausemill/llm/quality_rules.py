@@ -54,7 +54,7 @@ def _metrics(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts = [x or b"" for x in lens.to_pylist()]
         for i, t in enumerate(texts):
             size += len(t)
-            if size >= 4 << 20 or i == len(texts) - 1:
+            if size >= 2 << 20 or i == len(texts) - 1:
                 yield _metrics_of(b.column(0)[start : i + 1], texts[start : i + 1])
                 start, size = i + 1, 0
 

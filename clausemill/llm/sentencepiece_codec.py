@@ -28,7 +28,7 @@ from .common import materialize, pick
 
 #: Documents above this many characters are split into chunks of this many.
 CHUNK_CHARS = 32_768
-_CACHE_SIZE = 300_000
+_CACHE_SIZE = 100_000
 _SPACE = "▁"
 _CUT = re.compile(f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
 _CUT_PLACE = re.compile(f"(?<=[^{_SPACE}])(?={_SPACE})")

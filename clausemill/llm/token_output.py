@@ -29,7 +29,7 @@ from .common import materialize, pick, scratch_dir
 
 MAGIC = b"CMT1"
 BLOCK_IDS = 4096
-_CACHE_SIZE = 300_000
+_CACHE_SIZE = 150_000
 
 
 def pack_block(ids: np.ndarray, percentile: float = 90.0) -> bytes:
