@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from .common import materialize, pick
 
 #: Documents above this many characters are split into chunks of this many.
 CHUNK_CHARS = 32_768
-_CACHE_SIZE = 100_000
+_CACHE_SIZE = 250_000
 _SPACE = "▁"
 _CUT = re.compile(f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
 _CUT_PLACE = re.compile(f"(?<=[^{_SPACE}])(?={_SPACE})")
@@ -61,6 +62,7 @@ class Pieces:
             raise ValueError("a model with pieces across words is not supported")
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         self.cache: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.compatible = lru_cache(maxsize=200_000)(self._compatible)
 
     # ---- whole texts
@@ -79,6 +81,20 @@ class Pieces:
                 self.cache.update({u: x for u, x in new.items() if len(u) <= 64})
             return b"".join([self.cache.get(u) or new[u] for u in units])
 
+    def encode_text(self, text: str) -> bytes:
+        """Ids of a text. With single spaces only, its words are looked up as they are."""
+        if not text or "  " in text or text[0] == " " or text[-1] == " " or _SPACE in text:
+            return self.encode(mark(text))
+        parts = text.split(" ")
+        try:
+            return b"".join(map(self.words.__getitem__, parts))
+        except KeyError:
+            missing = [w for w in dict.fromkeys(parts) if w not in self.words]
+            new = {w: array("I", x).tobytes() for w, x in zip(missing, self.library.encode(missing, num_threads=1))}
+            if len(self.words) < _CACHE_SIZE:
+                self.words.update({w: x for w, x in new.items() if len(w) <= 64})
+            return b"".join([self.words.get(w) or new[w] for w in parts])
+
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
 
@@ -275,7 +291,7 @@ def encode(docs: DataFrame, model_file: str, chunk_chars: int = CHUNK_CHARS) ->
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
-            ids = [p.encode(mark(t.as_py() or "")) for t in b.column(1)]
+            ids = [p.encode_text(t.as_py() or "") for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     return plain.where(~giant).mapInArrow(small, _IDS).unionByName(_encode_giant(plain.where(giant), model_file, chunk_chars))
