@@ -26,7 +26,7 @@ def _marks(s, d):
 
 
 def _elements(s, d):
-    return _p(s, d).where("para_idx % 2 = 0").selectExpr("doc_id", "para_idx el_idx", _ELEMENTS)
+    return _p(s, d).selectExpr("doc_id", "para_idx el_idx", _ELEMENTS)
 
 
 def _clean(s, d):

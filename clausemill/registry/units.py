@@ -116,8 +116,8 @@ def _contexts(s, d):
 
 
 def _content(s, d):
-    """Phrases as content of small documents, with tags."""
-    return phrases(s, d).where("para_idx < 12").select("doc_id", F.col("para_idx").alias("idx"), F.when(F.col("para_idx") % 9 == 4, "h2").otherwise("p").alias("tag"), "text")
+    """Phrases as content of documents, with tags."""
+    return phrases(s, d).select("doc_id", F.col("para_idx").alias("idx"), F.when(F.col("para_idx") % 9 == 4, "h2").otherwise("p").alias("tag"), "text")
 
 
 def _volume():
@@ -141,7 +141,7 @@ def _page_units(s, d):
 
 def _elements(s, d):
     """Elements from paragraphs: a table after every seventh, a heading after every ninth."""
-    p = X.clause_paragraphs(s, d).where("para_idx < 60")
+    p = X.clause_paragraphs(s, d)
     kind = F.when(F.col("para_idx") % 7 == 6, "table").when(F.col("para_idx") % 9 == 8, "h3").otherwise("p")
     return p.select("doc_id", (F.col("para_idx") * 9 + F.pmod("doc_id", F.lit(4)).cast("int")).alias("dom_idx"), kind.alias("tag"), "text")
 
@@ -195,7 +195,7 @@ QUERIES = {
     "t07_captions": lambda s, d: T.captions(_elements(s, d)),
     "t08_nearby_notes": lambda s, d: T.nearby_notes(_elements(s, d)),
     "t09_auto_ids": lambda s, d: T.auto_ids(T.captions(_elements(s, d))).select("doc_id", "dom_idx", "table_id", "title"),
-    "t10_nearest_paragraph": lambda s, d: T.nearest_paragraph(_elements(s, d), X.clause_paragraphs(s, d).where("para_idx % 2 = 0")),
+    "t10_nearest_paragraph": lambda s, d: T.nearest_paragraph(_elements(s, d), X.clause_paragraphs(s, d)),
     "t11_page_tables": lambda s, d: T.non_empty_tables(T.html_cells(X.page_html(s, d)), T.html_cells(X.page_html(s, d)).select("doc_id", "table_idx").distinct()),
     "t12_grids": lambda s, d: T.grids(X.cells(s, d)),
     "t13_row_units": lambda s, d: T.row_units(X.cells(s, d)),
