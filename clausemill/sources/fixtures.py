@@ -83,6 +83,9 @@ def split_columns(sql: str) -> list[str]:
 
 # ---- table cells
 
+#: The tables of a document: so many at every size, as orders number 15 times the rows of ``documents``.
+ORDERS_PER_DOC = 15
+
 _CELL = """doc_id, table_idx, cast(row_idx as int) row_idx, col_idx,
   case col_idx when 0 then case when row_idx = 0 and table_idx % 3 = 0
          then concat('H', cast(1 + table_idx % 8 as string), 'V1a Limits') else concat('k', cast(row_idx as string)) end
@@ -97,10 +100,11 @@ CELLS_SQL = f"(select {_CELL} from ({_CELL_ROWS} lineitem where l_orderkey % 10
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, table_idx, row_idx, col_idx, text, tag, colspan, rowspan): four cells for each row of a table."""
-    rows = table(spark, sf_dir, "lineitem").where("l_orderkey % 10 = 0")
+    """(doc_id, table_idx, row_idx, col_idx, text, tag, colspan, rowspan): four cells for each row of a table. Every order
+    is a table, and ORDERS_PER_DOC orders that follow each other are a document's."""
+    rows = table(spark, sf_dir, "lineitem")
     numbered = rows.withColumn("row_idx", F.row_number().over(_window("l_orderkey", *_ORDER.split(", "))) - 1)
-    wide = numbered.selectExpr("l_orderkey % 50 doc_id", "l_orderkey table_idx", "row_idx", "l_quantity", "l_returnflag", "explode(array(0, 1, 2, 3)) col_idx")
+    wide = numbered.selectExpr(f"l_orderkey div {ORDERS_PER_DOC} doc_id", "l_orderkey table_idx", "row_idx", "l_quantity", "l_returnflag", "explode(array(0, 1, 2, 3)) col_idx")
     return wide.selectExpr(*split_columns(_CELL))
 
 

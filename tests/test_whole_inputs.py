@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 import pytest
 
 from clausemill import queries
@@ -45,3 +47,13 @@ def test_nearest_paragraph_sees_every_paragraph(spark, folder):
 def test_every_element_is_aligned(spark, folder):
     got = {(r.doc_id, r.el_idx) for r in run(spark, folder, "c12_align")}
     assert got == {(0, i) for i in range(LONG)} | {(1, i) for i in range(SHORT)}
+
+
+def test_every_order_is_a_table(spark, folder):
+    rows = run(spark, folder, "t05_shapes")
+    assert {r.table_idx for r in rows} == set(range(200)) and all((r.n_rows, r.n_cols) == (1, 4) for r in rows)
+
+
+def test_documents_of_tables_grow_with_the_orders(spark, folder):
+    tables = Counter(r.doc_id for r in run(spark, folder, "t05_shapes"))
+    assert tables == Counter(o // 15 for o in range(200))
