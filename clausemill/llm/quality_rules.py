@@ -3,9 +3,9 @@ r"""Quality rules: per-document counts, and documents depleted by lines that the
 Method: hash normalised lines, count distinct documents per host and line, remove lines above the limit, reject
 documents that keep too few of their words.
 
-Copies of one document are near-dedup's work and must not turn its lines into boilerplate, so documents are counted
-by their text, and a line above the limit is boilerplate only if it stands in different surroundings: the lines before
-it, or the lines after it, must be at least four fifths as many different ones as these documents.
+Copies of one document are near-dedup's work and must not turn its lines into boilerplate, so a group of near copies
+counts as one document. The groups are near-dedup's components over whole documents; nothing near a line is looked at,
+so the inner lines of a fixed template count like any others.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import SPACES, Words, ascii_lower, hash128, materialize, pick, window_hashes
+from .minhash_dedup import near_duplicates
 
 SYMBOLS = "#*$%&|<>"
 _METRICS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -80,11 +81,11 @@ def document_counts(docs: DataFrame) -> DataFrame:
 
 def _lines(docs: DataFrame, host: str) -> DataFrame:
     rows = (
-        pick(docs, "doc_id", "text", host).toDF("doc_id", "text", "host").select(F.col("doc_id"), F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit(""))).alias("host"), F.xxhash64("text").alias("same"), F.split("text", "\n", -1).alias("lines"))
+        pick(docs, "doc_id", "text", host).toDF("doc_id", "text", "host").select(F.col("doc_id"), F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit(""))).alias("host"), F.split("text", "\n", -1).alias("lines"))
         .withColumn("keys", F.filter(F.transform("lines", lambda line: ascii_lower(F.regexp_replace(F.btrim(line, F.lit(SPACES)), r"[\x20\x09-\x0D]+", " "))), lambda k: k != ""))
-        .select("doc_id", "host", "same", F.posexplode(F.transform("keys", lambda k, i: F.struct(k.alias("k"), F.get("keys", i - 1).alias("before"), F.get("keys", i + 1).alias("after")))).alias("pos", "x"))
+        .select("doc_id", "host", F.explode("keys").alias("key"))
     )
-    return rows.select("doc_id", "same", *hash128("k", "host", "x.k"), F.xxhash64("x.before").alias("before"), F.xxhash64("x.after").alias("after"), (F.length("x.k") - F.length(F.translate("x.k", " ", "")) + 1).alias("words"))
+    return rows.select("doc_id", *hash128("k", "host", "key"), (F.length("key") - F.length(F.translate("key", " ", "")) + 1).alias("words"))
 
 
 def boilerplate_words(docs: DataFrame, host: str = "source", max_docs: int = 10) -> DataFrame:
@@ -93,8 +94,10 @@ def boilerplate_words(docs: DataFrame, host: str = "source", max_docs: int = 10)
     # Nearly all lines are unique: a count with map-side sums finds the few that need exact distinct counts.
     often = lines.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs).select("k1", "k2")
     hits = materialize(lines.join(often, ["k1", "k2"]))
-    counts = hits.groupBy("k1", "k2").agg(F.count_distinct("same").alias("n_docs"), F.count_distinct("before").alias("n_before"), F.count_distinct("after").alias("n_after"))
-    bad = counts.where((F.col("n_docs") > max_docs) & (5 * F.greatest("n_before", "n_after") >= 4 * F.col("n_docs"))).select("k1", "k2")
+    groups = near_duplicates(docs, words=5, percent=80).groupBy("doc_id").agg(F.min("component_id").alias("group"))
+    # Groups and hits grow with the corpus: a merge join at every size.
+    counts = hits.join(groups.hint("merge"), "doc_id").groupBy("k1", "k2").agg(F.count_distinct("group").alias("n_docs"))
+    bad = counts.where(F.col("n_docs") > max_docs).select("k1", "k2")
     return hits.join(bad, ["k1", "k2"]).groupBy("doc_id").agg(F.sum("words").cast("long").alias("n_boilerplate"))
 
 
@@ -103,8 +106,8 @@ def quality_rules(docs: DataFrame, host: str = "source", max_docs: int = 10, min
 
     base_failed: fewer than ``min_words`` words, or more than ``max_repeat_percent`` percent of them in repeated
     3-word windows. kept: not base_failed, and at least ``min_left_percent`` percent of the words are left when lines
-    that the host repeats in more than ``max_docs`` different documents are removed. A null text has no words, so it
-    fails; a null host is the host ''. Other columns are ignored. An empty table gives no rows.
+    that the host repeats in more than ``max_docs`` documents, near copies counted as one, are removed. A null text has
+    no words, so it fails; a null host is the host ''. Other columns are ignored. An empty table gives no rows.
     """
     base = document_counts(docs)
     left = boilerplate_words(docs, host, max_docs)
