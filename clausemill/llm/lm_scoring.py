@@ -2,7 +2,8 @@
 
 Method: maximum-likelihood estimates of bigrams and unigrams and a uniform term, mixed with weights that depend on how
 often the context was seen; the weights of each context-frequency bucket are learned by expectation-maximisation on
-held-out documents.
+the training documents, each judged by the counts that are left when its own are deleted. Held-out documents are only
+scored.
 
     P(w | u) = l2[b] c(u, w) / c(u) + l1[b] c(w) / N + l0[b] / (V + 1),  b the bucket of c(u)
 
@@ -53,28 +54,43 @@ def _bucket(context: np.ndarray) -> np.ndarray:
     return np.ceil(np.log2(context + 1)).astype(np.int64)
 
 
+def _repeats(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """How often each hash stands in its owner."""
+    order = np.lexsort((hashes, owner))
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (owner[order][1:] != owner[order][:-1])
+    which = np.cumsum(new) - 1
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = np.bincount(which)[which] if len(which) else 0
+    return out
+
+
 class _Counts:
-    """A bundle's tokens with the corpus' counts."""
+    """A bundle's tokens with the corpus' counts; ``deleted``: without those of the token's own document."""
 
-    def __init__(self, texts: list[bytes], got: dict[int, bytes], parts: int):
+    def __init__(self, texts: list[bytes], got: dict[int, bytes], parts: int, deleted: bool = False):
         tokens, pairs, self.first = _tokens(texts)
         both = [unpack(got[p]) for p in sorted(got)]
         ones = np.concatenate([b[0] for b in both]).astype(np.float64)
         twos = np.concatenate([b[1] for b in both]).astype(np.float64)
         self.word = ones[unique_keys(tokens, parts, _BITS)[1]]
         self.pair = twos[unique_keys(pairs, parts, _BITS)[1]]
+        if deleted:
+            owner = np.repeat(np.arange(len(texts)), np.diff(self.first))
+            self.word -= _repeats(tokens, owner)
+            self.pair -= _repeats(pairs, owner)
         # A word is a context as often as it is a token; a text's start as often as its end.
         self.context = np.empty_like(self.word)
         self.context[1:] = self.word[:-1]
         self.context[self.first[:-1]] = self.word[self.first[1:] - 1]
 
-    def estimates(self, n: float, v: float) -> tuple[np.ndarray, np.ndarray, float]:
-        return self.pair / np.maximum(self.context, 1), self.word / max(n, 1.0), 1.0 / (v + 1)
+    def estimates(self, n: float | np.ndarray, v: float) -> tuple[np.ndarray, np.ndarray, float]:
+        return self.pair / np.maximum(self.context, 1), self.word / np.maximum(n, 1.0), 1.0 / (v + 1)
 
 
 def learn_weights(cells: list[tuple[int, int, int, int]], p0: float, rounds: int = 40) -> np.ndarray:
     """Weights (l2, l1, l0) of each bucket by expectation-maximisation over cells (bucket, log p2, log p1, tokens).
-    Buckets without held-out tokens get the weights of all others together."""
+    Buckets without tokens get the weights of all others together."""
     size = 66
     out = np.zeros((size, 3))
     if not cells:
@@ -104,11 +120,11 @@ def learn_weights(cells: list[tuple[int, int, int, int]], p0: float, rounds: int
 def score_documents(docs: DataFrame, held_out: Callable[[np.ndarray], np.ndarray] = in_fold) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score), a row per document.
 
-    Words are A-Z lower-cased; a text's tokens are its words and one end. Counts come from the documents that
-    ``held_out`` does not mark, weights from those it marks. n_known counts tokens seen in training, train_tokens all
+    Words are A-Z lower-cased; a text's tokens are its words and one end. Counts and weights come from the documents
+    that ``held_out`` does not mark; weights from each one's tokens by the counts of all others (V stays that of all). n_known counts tokens seen in training, train_tokens all
     training tokens N; base_score is the sum of log10((c + 1) / (N + V + 1)) over tokens; score the model's log10
     probability of the text. A null or empty text is the end alone. Without training documents every token is
-    unknown; without held-out ones the three terms weigh the same. Other columns are ignored; an empty table gives no
+    unknown and the three terms weigh the same. Other columns are ignored; an empty table gives no
     rows. Memory follows the longest text.
     """
     bundles = make_bundles(docs, kind=held_out)
@@ -163,16 +179,17 @@ def score_documents(docs: DataFrame, held_out: Callable[[np.ndarray], np.ndarray
     counts = answers.where("bundle_id >= 0")
 
     def cells_of(bundle_id: int, ids: np.ndarray, texts: list[bytes], got: dict[int, bytes]) -> list[tuple]:
-        c = _Counts(texts, got, parts)
-        p2, p1, _ = c.estimates(n, v)
+        c = _Counts(texts, got, parts, deleted=True)
+        sizes = np.diff(c.first)
+        p2, p1, _ = c.estimates(n - np.repeat(sizes, sizes), v)
         log = lambda p: np.where(p > 0, np.round(np.log2(np.where(p > 0, p, 1)) * _STEPS), _ABSENT).astype(np.int64)
         cells, times = np.unique(np.stack([_bucket(c.context), log(p2), log(p1)], axis=1), axis=0, return_counts=True)
         return [(*row, t) for row, t in zip(cells.tolist(), times.tolist())]
 
-    held = kinds[1]
+    training = kinds[0]
     cell_schema = pa.schema([(c, pa.int64()) for c in ("bucket", "two", "one", "n")])
-    own_counts = counts.join(held.select("bundle_id"), "bundle_id", "left_semi").select(*[c.split()[0] for c in ANSWER.split(", ")])
-    cells = meet(held, own_counts, cells_of, cell_schema, "bucket long, two long, one long, n long")
+    own_counts = counts.join(training.select("bundle_id"), "bundle_id", "left_semi").select(*[c.split()[0] for c in ANSWER.split(", ")])
+    cells = meet(training, own_counts, cells_of, cell_schema, "bucket long, two long, one long, n long")
     # A bounded number of cells, whatever the corpus: buckets times two ranges of logarithms.
     found = cells.groupBy("bucket", "two", "one").agg(F.sum("n")).collect()
     weights = learn_weights([tuple(r) for r in found], 1.0 / (v + 1))
