@@ -135,7 +135,7 @@ class CachedEncoder:
 
     The file's pre-tokenizer always cuts where white space follows something else, and a single line break is a token
     of its own. So a text without two white spaces in a row is cut before each space and line break and the parts are
-    encoded apart; other texts are encoded whole. The first _CACHE_SIZE different parts are kept; others are encoded as
+    encoded apart; other texts, and those that hold the string of an added token, are encoded whole. The first _CACHE_SIZE different parts are kept; others are encoded as
     they come, all of a text in one call, with line breaks between them.
     """
 
@@ -146,7 +146,8 @@ class CachedEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(file)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         self.cache: dict[str, bytes] = {}
         line = self._whole("a\nb").tolist()
         if len(line) != 3 or self._whole("\n").tolist() != line[1:2] or self._whole("a\n b").tolist()[1:2] != line[1:2]:
@@ -157,7 +158,7 @@ class CachedEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def encode(self, text: str) -> np.ndarray:
-        if not text or self._pair.search(text) or text[0].isspace() or text[-1].isspace():
+        if not text or self._pair.search(text) or text[0].isspace() or text[-1].isspace() or self._added.search(text):
             return self._whole(text)
         # Parts that follow a line break start with it, parts that follow a space do not start with that.
         parts, cache = text.replace("\n", " \n").split(" "), self.cache
