@@ -17,32 +17,41 @@ from pyspark.sql import functions as F
 from .common import ascii_lower, hash128, materialize, pick
 
 _TRIM = r"trim(BOTH ' \t\n\u000b\f\r' FROM line)"
+_ROW = ("doc_id", "text_hash1", "text_hash2")
+
+
+def _with_hash(docs: DataFrame) -> DataFrame:
+    """A text's dropped positions follow from the text, so rows that repeat a doc_id are told apart by its hash."""
+    return docs.select("*", *hash128("text_hash", F.coalesce("text", F.lit(""))))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    r"""(doc_id, pos, line, key): every text split at \n; a null or empty text is one empty line. The key is the line
-    without ASCII white space at its ends and with A-Z lower-cased."""
+    r"""(doc_id, text_hash1, text_hash2, pos, line, key): every text split at \n; a null or empty text is one empty line.
+    The key is the line without ASCII white space at its ends and with A-Z lower-cased."""
     return (
-        pick(docs, "doc_id", "text")
-        .select("doc_id", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
+        _with_hash(pick(docs, "doc_id", "text"))
+        .select(*_ROW, F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("pos", "line"))
         .withColumn("key", ascii_lower(F.expr(_TRIM)))
     )
 
 
 def frequent_positions(docs: DataFrame, min_docs: int, min_chars: int = 1) -> DataFrame:
-    """(doc_id, drop: array of line positions) for documents that hold a key of at least ``min_chars`` code points
-    found in at least ``min_docs`` documents."""
-    keyed = lines_of(docs).where(F.length("key") >= min_chars).select("doc_id", "pos", *hash128("k", "key"))
-    # A document counts once per key: repeats inside a document go before the shuffle.
+    """(doc_id, text_hash1, text_hash2, drop: array of line positions) for texts that hold a key of at least
+    ``min_chars`` code points found under at least ``min_docs`` different doc_ids."""
+    keyed = lines_of(docs).where(F.length("key") >= min_chars).select(*_ROW, "pos", *hash128("k", "key"))
+    # A row counts once per key: repeats inside a text go before the shuffle.
     once = (
         pick(docs, "doc_id", "text")
-        .select("doc_id", F.explode(F.array_distinct(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: ascii_lower(F.btrim(x, F.lit(" \t\n\x0b\x0c\r")))))).alias("key"))
+        .select(F.explode(F.array_distinct(F.transform(F.split(F.coalesce("text", F.lit("")), "\n", -1), lambda x: ascii_lower(F.btrim(x, F.lit(" \t\n\x0b\x0c\r")))))).alias("key"))
         .where(F.length("key") >= min_chars)
         .select(*hash128("k", "key"))
     )
-    frequent = once.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("k1", "k2")
+    # Rows are at least as many as doc_ids: their count, with map-side sums, leaves few keys for exact distinct counts.
+    often = once.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("k1", "k2")
     # AQE broadcasts the frequent keys where they are few and splits the skewed side of the join where they are not.
-    return keyed.join(frequent, ["k1", "k2"]).groupBy("doc_id").agg(F.collect_list("pos").alias("drop"))
+    hits = materialize(keyed.join(often, ["k1", "k2"]))
+    frequent = hits.groupBy("k1", "k2").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= min_docs).select("k1", "k2")
+    return hits.join(frequent, ["k1", "k2"]).groupBy(*_ROW).agg(F.collect_set("pos").alias("drop"))
 
 
 def _kept(text: str | None, drop: pa.Scalar) -> tuple[str, int, int]:
@@ -64,12 +73,12 @@ def _rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _with_drops(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     # Dropped positions grow with the corpus: always a merge join, whatever their size here.
-    return docs.join(materialize(frequent_positions(docs, min_docs, min_chars)).hint("merge"), "doc_id", "left")
+    return _with_hash(docs).join(materialize(frequent_positions(docs, min_docs, min_chars)).hint("merge"), list(_ROW), "left")
 
 
 def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` with the kept text in place of text and, if there is such a column, its length as n_chars. See
-    ``line_dedup`` for the rule. ``docs`` must have no column named drop; rows without a doc_id are left out."""
+    ``line_dedup`` for the rule. ``docs`` must have no column named drop, text_hash1 or text_hash2; rows without a doc_id are left out."""
     names, schema = docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,9 +91,10 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataF
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """(doc_id, kept_text, n_lines, n_dropped, kept_sha256), a row per document.
+    """(doc_id, kept_text, n_lines, n_dropped, kept_sha256), a row per row of ``docs``.
 
-    ``docs`` has a unique doc_id, and text. A null or empty text is one empty line; an empty key is never dropped;
+    ``docs`` has doc_id and text. Rows that repeat a doc_id count as one document for each line they hold, and each is
+    cut by its own text. A null or empty text is one empty line; an empty key is never dropped;
     a document all of whose lines go keeps the empty text. Other columns are ignored. An empty table gives no rows.
     """
     return _with_drops(pick(docs, "doc_id", "text"), min_docs, min_chars).mapInArrow(_rebuild, "doc_id long, kept_text string, n_lines long, n_dropped long, kept_sha256 string")
