@@ -94,6 +94,9 @@ class Matcher:
                 if after and not follows(text, end + 1, after):
                     continue
                 item_id, item, budget = self.items[k]
+                if not budget:  # the piece is the item
+                    found[item_id] = 0
+                    continue
                 start = end + 1 - size - offset
                 slot = start // (2 * budget + 8)
                 if (k, slot) in tried:
@@ -112,9 +115,10 @@ def find_items(docs: DataFrame, items: DataFrame, error_percent: int = 10, min_c
     ``docs`` has a unique doc_id, and text; ``items`` has item_id and text. Both are compared with A-Z lower-cased and
     white space collapsed. A document holds an item if some stretch of it is within error_percent percent of the
     item's characters, counted in edits. item_ids ascend; distances are in their order. Items shorter than
-    ``min_chars`` are evidence of nothing and are ignored, as are null ones; a null text holds nothing. Repeated items
+    ``min_chars`` are ignored, as are null and blank ones; an item under ten characters must occur exactly; a null text holds nothing. Repeated items
     are reported once each. An empty table of documents gives no rows; an empty benchmark leaves all documents clean.
     """
+    min_chars = max(1, min_chars)
     tests = pick(items, "item_id", "text").where(F.length("text") >= min_chars)
     chars = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS) or 1

@@ -66,7 +66,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), min_chars=1)
 
 
 QUERIES = {

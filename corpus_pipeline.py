@@ -43,7 +43,7 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item, give or take a few edits."""
     arrow_batches(spark)
-    return _only(docs, find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "not contaminated")
+    return _only(docs, find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), min_chars=1), "not contaminated")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
