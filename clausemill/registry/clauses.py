@@ -80,7 +80,7 @@ _CLAUSES = f"""(select doc_id, cast(seg as bigint) seg, min(para_idx) para_idx,
     'clause-' || min(para_idx) || '-' || min_by({_NUMBER}, para_idx) clause_id, string_agg(t, ' ' order by para_idx) filter (k in ('heading', 'text')) text,
     {_of('note')} notes, {_of('exception')} exceptions, {_of('warning')} warnings, {_of('jurisdiction')} jurisdiction
     from (select *, {strip('text')} t, case when h then 'heading' else coalesce({_KIND}, 'text') end k from {_SEG} where seg > 0) where h or t <> '' group by doc_id, seg)"""
-_EL = f"(select doc_id, para_idx el_idx, {strip('text')} t from (select doc_id, para_idx, {_ELEMENTS} from {_P} where para_idx % 2 = 0))"
+_EL = f"(select doc_id, para_idx el_idx, {strip('text')} t from (select doc_id, para_idx, {_ELEMENTS} from {_P}))"
 _PT = f"(select doc_id, para_idx, {strip('text')} p from {_P})"
 _KEYS = f"(select doc_id, key, max(para_idx) para_idx from (select doc_id, para_idx, p key from {_PT} where p <> '' union all select doc_id, para_idx, substr(p, 1, 50) from {_PT} where length(p) > 50) group by doc_id, key)"
 _BARE = collapse(f"regexp_replace({strip('clause_number')}, '(?i)^Clause\\s+', '')")

@@ -181,7 +181,7 @@ QUERIES = {
     "u05_u10_paragraph_units": lambda s, d: P.paragraph_units(_content(s, d), _volume()).drop("pass_no"),
     "u09_table_ownership": lambda s, d: P.table_placement(_content(s, d), X.cells(s, d).where("col_idx > 0 or table_idx % 3 = 0")),
     "u11_table_units": lambda s, d: P.table_units(X.cells(s, d), _volume()).select("doc_id", "place", "volume", "row_type", "unit_type", "clause_ref", "text", "source_location"),
-    "u25_table_labels": lambda s, d: P.table_labels(derived(s, d).select(F.col("volume").alias("doc_id"), "ord", "clause_ref", F.expr("case when ord % 18 = 0 then concat('Table ', unit_label, ': Sizes ', cast(ord as string)) else title end").alias("heading_text"))).select("doc_id", "ord", "table_id", "table_label"),
+    "u25_table_labels": lambda s, d: P.table_labels(derived(s, d).select(F.expr("ord div 99700").alias("doc_id"), "ord", "clause_ref", F.expr("case when ord % 18 = 0 then concat('Table ', unit_label, ': Sizes ', cast(ord as string)) else title end").alias("heading_text"))).select("doc_id", "ord", "table_id", "table_label"),
     "u26_published_units": lambda s, d: P.publish(_work(s, d)),
     "u27_row_summary": lambda s, d: P.row_summary(_work(s, d)),
     "u28_length_guard": lambda s, d: P.length_guard(X.table(s, d, "documents").select("doc_id", F.expr("repeat(text, 20)").alias("text")), "text").select("doc_id", "n_truncated", F.md5("text").alias("digest")),
@@ -215,9 +215,9 @@ _PIPE_ROWS = f"(select doc_id, table_idx, row_idx, '| ' || string_agg(replace({_
 _PIPES = f"""(select doc_id, table_idx, string_agg(case when row_idx = 0 and n > 1 then line || chr(10) || '|' || repeat(' --- |', length(line) - length(replace(line, '|', '')) - 1) else line end, chr(10) order by row_idx) rendered
     from (select *, count(*) over (partition by doc_id, table_idx) n from {_PIPE_ROWS}) group by 1, 2)"""
 _VOLUME = "'Vol' || (1 + doc_id % 3)"
-_CONTENT = f"(select doc_id, para_idx idx, case when para_idx % 9 = 4 then 'h2' else 'p' end tag, {strip('text')} text, {clause_ref(strip('text'))} ref from {PHRASES_SQL} where para_idx < 12 and {strip('text')} <> '')"
+_CONTENT = f"(select doc_id, para_idx idx, case when para_idx % 9 = 4 then 'h2' else 'p' end tag, {strip('text')} text, {clause_ref(strip('text'))} ref from {PHRASES_SQL} where {strip('text')} <> '')"
 _CSEG = f"(select *, sum(cast(ref <> '' as int)) over (partition by doc_id order by idx) seg from {_CONTENT})"
-_ELEM = f"(select doc_id, cast(para_idx * 9 + doc_id % 4 as int) dom_idx, case when para_idx % 7 = 6 then 'table' when para_idx % 9 = 8 then 'h3' else 'p' end tag, text from {X.PARAGRAPHS_SQL} where para_idx < 60)"
+_ELEM = f"(select doc_id, cast(para_idx * 9 + doc_id % 4 as int) dom_idx, case when para_idx % 7 = 6 then 'table' when para_idx % 9 = 8 then 'h3' else 'p' end tag, text from {X.PARAGRAPHS_SQL})"
 _CAP = r"(?i)^(Table|Tab\.?)\s*(\d+(?:\.\d+)?)\b(.*)$"
 _NUMBERED = f"(select *, sum(cast(tag <> 'table' as int)) over (partition by doc_id order by dom_idx) block_no from {_ELEM} where tag = 'table' or text <> '')"
 _CAPTIONS = f"""(select doc_id, dom_idx, case when cb > block_no - 5 then cid end table_id, case when cb > block_no - 5 then title end title, case when cb > block_no - 5 then cb - 1 end caption_block from
@@ -284,7 +284,7 @@ ORACLES = {
         select doc_id, table_idx, cast(seg as bigint) seg from p anti join o using (doc_id, table_idx)""",
     "u11_table_units": f"""select doc_id, cast(table_idx as bigint) place, {_VOLUME} volume, 'table' row_type, {unit_type('rendered')} unit_type, 'table ' || coalesce(ref, cast(table_idx + 1 as varchar)) clause_ref, rendered text,
         'table_' || table_idx || coalesce('_' || ref, '') source_location from {_PIPES} left join {_TREF} using (doc_id, table_idx)""",
-    "u25_table_labels": f"""with h as (select volume doc_id, ord, clause_ref, case when ord % 18 = 0 then concat('Table ', unit_label, ': Sizes ', cast(ord as string)) else title end h from {DERIVED_SQL}),
+    "u25_table_labels": f"""with h as (select ord // 99700 doc_id, ord, clause_ref, case when ord % 18 = 0 then concat('Table ', unit_label, ': Sizes ', cast(ord as string)) else title end h from {DERIVED_SQL}),
         t as (select *, {bare_ref('clause_ref')} l, regexp_matches(lower({strip('h')}), '^table\\s') titled from h),
         x as (select *, case when (regexp_matches(lower(clause_ref), '^table ') or titled) and regexp_matches(l, '^[A-Z]\\d+[A-Z]\\d+[a-zA-Z]?$|^[A-Z]\\d+\\.\\d+$') then l else '' end table_id from t),
         o as (select *, case when table_id <> '' and titled then {strip(f"regexp_extract({strip('h')}, '(?i)^(Table\\s+[^:]+(?::\\s*[^\\n]+)?)', 1)")} end own from x)
@@ -306,8 +306,8 @@ ORACLES = {
         k as (select doc_id, t, text, min((side, nth)) o from s where stopped = 0 and regexp_matches(text, '(?i)^(NOTE|NOTES|Footnote|Footnotes)\\b') group by 1, 2, 3)
         select t.doc_id, t.t dom_idx, coalesce(string_agg(text, chr(10) order by o), '') notes from t left join k on k.doc_id = t.doc_id and k.t = t.t group by 1, 2""",
     "t09_auto_ids": f"select doc_id, dom_idx, coalesce(table_id, format('Table-AUTO-{{:03d}}', row_number() over (partition by doc_id, table_id is null order by dom_idx))) table_id, coalesce(title, '') title from {_CAPTIONS}",
-    "t10_nearest_paragraph": f"""with k as (select doc_id, key, max(para_idx) para_idx from (select doc_id, para_idx, {strip('text')} key from {X.PARAGRAPHS_SQL} where para_idx % 2 = 0 and {strip('text')} <> ''
-          union all select doc_id, para_idx, substr({strip('text')}, 1, 50) from {X.PARAGRAPHS_SQL} where para_idx % 2 = 0 and length({strip('text')}) > 50) group by 1, 2),
+    "t10_nearest_paragraph": f"""with k as (select doc_id, key, max(para_idx) para_idx from (select doc_id, para_idx, {strip('text')} key from {X.PARAGRAPHS_SQL} where {strip('text')} <> ''
+          union all select doc_id, para_idx, substr({strip('text')}, 1, 50) from {X.PARAGRAPHS_SQL} where length({strip('text')}) > 50) group by 1, 2),
         b as (select n.doc_id, block_no, coalesce(x.para_idx, y.para_idx) para_idx from {_NUMBERED} n left join k x on x.doc_id = n.doc_id and x.key = n.text left join k y on y.doc_id = n.doc_id and y.key = substr(n.text, 1, 50) where tag <> 'table'),
         t as (select doc_id, dom_idx, block_no from {_NUMBERED} where tag = 'table')
         select t.doc_id, t.dom_idx, coalesce(max_by(b.para_idx, b.block_no), -1) paragraph_index from t left join b on b.doc_id = t.doc_id and b.para_idx is not null and b.block_no between t.block_no - 4 and t.block_no group by 1, 2""",

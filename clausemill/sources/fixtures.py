@@ -49,7 +49,9 @@ _UNIT = """l_orderkey, l_linenumber,
   l_partkey, l_suppkey, l_extendedprice, l_shipdate"""
 _ORDER = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_shipdate"
 _UNIT_COLUMNS = "volume, ord, unit_label, unit_type, title, text, raw_text, applies_state"
-_ORDERED = f"select volume, cast(row_number() over (partition by volume order by {_ORDER}) as bigint) ord, unit_label, unit_type, title, text, raw_text, applies_state from"
+#: An order's units follow each other; the factor is prime, so that remainders of ord take all values.
+_ORD_STEP = 997
+_ORDERED = f"select volume, cast(l_orderkey * {_ORD_STEP} + row_number() over (partition by l_orderkey order by {_ORDER}) as bigint) ord, unit_label, unit_type, title, text, raw_text, applies_state from"
 
 UNITS_SQL = f"({_ORDERED} (select {_UNIT} from lineitem))"
 
@@ -57,10 +59,10 @@ UNITS_SQL = f"({_ORDERED} (select {_UNIT} from lineitem))"
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(volume, ord, unit_label, unit_type, title, text, raw_text, applies_state), ordered by ord within a volume.
 
-    ord comes with real input; here a window over each volume makes it."""
+    ord comes with real input; here the order key and a row's place among the few rows of its order make it."""
     rows = table(spark, sf_dir, "lineitem").selectExpr(*split_columns(_UNIT))
-    order = F.row_number().over(_window("volume", *_ORDER.split(", ")))
-    return rows.withColumn("ord", order.cast("long")).select(*_UNIT_COLUMNS.split(", "))
+    place = F.row_number().over(_window("l_orderkey", *_ORDER.split(", ")))
+    return rows.withColumn("ord", (F.col("l_orderkey") * _ORD_STEP + place).cast("long")).select(*_UNIT_COLUMNS.split(", "))
 
 
 def _window(key: str, *order: str):
@@ -93,10 +95,10 @@ _CELL = """doc_id, table_idx, cast(row_idx as int) row_idx, col_idx,
        when 2 then concat('a|b  ', l_returnflag) else '' end as text,
   case when col_idx = 0 then 'th' else 'td' end tag,
   case when row_idx = 0 and col_idx = 3 then 2 else 1 end colspan, 1 rowspan"""
-_CELL_ROWS = f"""select l_orderkey % 50 doc_id, l_orderkey table_idx, l_quantity, l_returnflag,
+_CELL_ROWS = f"""select l_orderkey // {ORDERS_PER_DOC} doc_id, l_orderkey table_idx, l_quantity, l_returnflag,
     row_number() over (partition by l_orderkey order by {_ORDER}) - 1 row_idx from"""
 
-CELLS_SQL = f"(select {_CELL} from ({_CELL_ROWS} lineitem where l_orderkey % 10 = 0) t, (select unnest([0, 1, 2, 3]) col_idx) c)"
+CELLS_SQL = f"(select {_CELL} from ({_CELL_ROWS} lineitem) t, (select unnest([0, 1, 2, 3]) col_idx) c)"
 
 
 def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
