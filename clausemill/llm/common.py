@@ -3,19 +3,21 @@
 Bundles are the unit that corpus-wide operators move around: a few MB of whole documents in one row, written once to
 the shared scratch folder. An operator sends each bundle's keys, split by hash into *parts*, to the tasks that own
 the parts; the answers travel back as small blobs and meet the bundle again in a cogroup on its id. A key that occurs
-often is sent once per bundle, so a hot key costs one entry per bundle and never one per occurrence.
+often is sent once per bundle, so a hot key costs one entry per bundle and never one per occurrence. Bundles and parts
+grow with the square root of the corpus, so that a blob for one bundle and part holds many keys at any size.
 """
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -28,35 +30,64 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 LOWER_FROM, LOWER_TO = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 _OWN_DIRS: dict[str, str] = {}
+_WRITTEN: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_FOLDER: list[str] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder name below the cluster's shared ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """A new folder name below the cluster's shared ``spark.checkpoint.dir``. Only a session of one machine may leave
+    that unset, and then gets a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         base = _OWN_DIRS.setdefault(spark.sparkContext.applicationId, tempfile.mkdtemp(prefix="spark-"))
-    return f"{base.rstrip('/')}/clausemill-{uuid.uuid4().hex}"
+    return f"{_FOLDER[-1] if _FOLDER else base.rstrip('/')}/clausemill-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, tidy: bool = True) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and outlives lost executors. ``tidy``
-    releases shuffle files at once; small steps in a row need not."""
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch_folder(spark: SparkSession):
+    """Scratch tables made inside go when it ends, so results must have been written elsewhere by then."""
+    _FOLDER.append(path := scratch_dir(spark))
+    try:
+        yield
+    finally:
+        _FOLDER.remove(path)
+        delete(spark, path)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def materialize(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: cuts lineage and outlives lost executors. The write's
+    shuffle files go when it ends, as nothing reads them again."""
     spark = df.sparkSession
-    path = scratch_dir(spark)
-    df.write.parquet(path)
+    path = path or scratch_dir(spark)
+    with _setting(spark, _CLEANUP, "true"):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    if tidy:
-        release(spark)
+    _WRITTEN[out] = path
     return out
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's context cleaner drop the shuffle files of finished phases before the next phase fills the disks. A
-    finished execution's plan goes with the first collection, the shuffles that it held with the second."""
-    gc.collect()
-    for _ in range(2):
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
+def forget(*written: DataFrame) -> None:
+    """Delete what ``materialize`` wrote, once all that read it has been written itself."""
+    for df in written:
+        delete(df.sparkSession, _WRITTEN.pop(df))
 
 
 def ascii_lower(col):
@@ -79,21 +110,23 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
 # ---------------------------------------------------------------- vectorised hashing
 
 BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
-_POW: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Values that are hashed at once; tables and temporary arrays have about this length.
+SLICE = 1 << 18
+_LENGTH = np.uint64(0xA24BAED4963EE407)
+_POW: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64, at least ``n`` of each."""
-    have = _POW.get(base)
-    if have is None or len(have[0]) < n:
-        size = ((n >> 18) + 1) << 18
+def _powers(base: int, n: int = SLICE + 1) -> tuple[np.ndarray, np.ndarray]:
+    """``n`` powers of an odd base and of its inverse modulo 2**64."""
+    if (base, n) not in _POW:
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
-            p = np.ones(size, dtype=np.uint64)
+            p = np.ones(n, dtype=np.uint64)
             p[1:] = np.uint64(b)
             both.append(np.multiply.accumulate(p))
-        have = _POW[base] = (both[0], both[1])
-    return have
+        _POW.clear() if len(_POW) > 8 else None
+        _POW[base, n] = (both[0], both[1])
+    return _POW[base, n]
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -106,24 +139,59 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def _running(values: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """Sums of (value + 1) * base**place before each place: no value, zero included, is without effect."""
+    run = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=run[1:])
+    return run
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int = BASE_A) -> np.ndarray:
-    """A 64-bit hash of each ``values[start:end]``: differences of a running polynomial, moved to a common origin."""
-    n = len(values)
-    up, down = _powers(base, n + 1)
-    run = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(values.astype(np.uint64) * up[:n], out=run[1:])
-    return mix64((run[ends] - run[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of each ``values[start:end]``, starts and ends ascending: differences of a running polynomial, moved
+    to a common origin, and the length. Works in slices; a longer span is summed piece by piece."""
+    up, down = _powers(base)
+    out = np.zeros(len(starts), dtype=np.uint64)
+    i = 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = int(np.searchsorted(ends, low + SLICE, side="right"))
+        if j > i:
+            run = _running(values[low : int(ends[j - 1])], up)
+            a, b = starts[i:j] - low, ends[i:j] - low
+            out[i:j] = (run[b] - run[a]) * down[a]
+        else:
+            j, total = i + 1, 0
+            for at in range(low, int(ends[i]), SLICE):
+                total += int(_running(values[at : min(at + SLICE, int(ends[i]))], up)[-1]) * pow(base, at - low, 1 << 64)
+            out[i] = np.uint64(total & (2**64 - 1))
+        i = j
+    return mix64(out + (ends - starts).astype(np.uint64) * _LENGTH)
 
 
 def window_hashes(values: np.ndarray, width: int, base: int = BASE_A) -> np.ndarray:
-    """Hashes of all windows of ``width`` consecutive values."""
+    """Hashes of all windows of ``width`` consecutive values, slice by slice."""
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    up, down = _powers(base, len(values) + 1)
-    run = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[: len(values)], out=run[1:])
-    return mix64((run[width:] - run[:n]) * down[:n])
+    size = max(SLICE, width)
+    up, down = _powers(base, size + width)
+    out = np.empty(n, dtype=np.uint64)
+    for at in range(0, n, size):
+        run = _running(values[at : at + size + width - 1], up)
+        k = len(run) - width
+        out[at : at + k] = mix64((run[width:] - run[:k]) * down[:k])
+    return out
+
+
+def gather(flat: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``flat`` holds one run of values after another, of these sizes: the runs numbered ``which``, one after another, and
+    where each ends."""
+    starts = np.cumsum(sizes) - sizes
+    n = sizes[which]
+    ends = np.cumsum(n)
+    if not len(which):
+        return flat[:0], ends
+    return flat[np.arange(ends[-1]) + np.repeat(starts[which] - (ends - n), n)], ends
 
 
 _IS_SPACE = np.zeros(256, dtype=bool)
@@ -150,6 +218,10 @@ class Words:
         self.first = np.searchsorted(self.starts, self.text_at)
         self.hash = span_hashes(buf, self.starts, self.ends)
 
+    def second_hash(self) -> np.ndarray:
+        """Hashes of the words by another base, so that words with equal ``hash`` still differ."""
+        return span_hashes(self.buf, self.starts, self.ends, BASE_B)
+
     @property
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -183,7 +255,17 @@ def unpack(blob: bytes) -> list[np.ndarray]:
     return out
 
 
-def make_bundles(docs: DataFrame, kind: Callable[[np.ndarray], np.ndarray] | None = None, target: int = BUNDLE_BYTES) -> DataFrame:
+def text_bytes(docs: DataFrame) -> int:
+    return docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def bundle_bytes(total: int, keys_per_blob: int = 64, bytes_per_key: int = 6) -> int:
+    """Size of bundles and parts: with the square root of the corpus, so that a bundle has ``keys_per_blob`` keys for
+    each part."""
+    return max(BUNDLE_BYTES, int((total * keys_per_blob * bytes_per_key) ** 0.5))
+
+
+def make_bundles(docs: DataFrame, target: int, kind: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
     """Group documents, as they are read, into rows of about ``target`` bytes of text, and write them to the scratch
     folder. ``docs`` has doc_id and text; a null text is empty. ``kind`` gives each id a small class; a bundle holds
     one class. No shuffle: a bundle is cut from one input task's rows."""
@@ -220,10 +302,11 @@ def make_bundles(docs: DataFrame, kind: Callable[[np.ndarray], np.ndarray] | Non
     return materialize(pick(docs, "doc_id", "text").mapInArrow(run, _BUNDLE_SCHEMA))
 
 
-def bundle_parts(bundles: DataFrame, per_part: int = BUNDLE_BYTES) -> int:
-    """How many parts to split keys into, so that a part's share of the corpus stays near ``per_part`` bytes of text."""
-    total = bundles.agg(F.sum(F.octet_length("texts"))).first()[0] or 0
-    return max(1, int(-(-total * 2 // per_part)))
+def bundles_and_parts(docs: DataFrame, kind: Callable[[np.ndarray], np.ndarray] | None = None) -> tuple[DataFrame, int]:
+    """The bundles of ``docs``, and into how many parts, a power of two, their keys are split."""
+    total = text_bytes(docs)
+    size = bundle_bytes(total)
+    return make_bundles(docs, size, kind), 1 << max(0, total // (2 * size)).bit_length()
 
 
 def read_bundle(doc_ids: bytes, sizes: bytes, texts: bytes) -> tuple[np.ndarray, list[bytes]]:
@@ -243,24 +326,36 @@ ANSWER = "bundle_id long, part int, blob binary"
 REQUEST_ARROW = pa.schema([("part", pa.int32()), ("bundle_id", pa.int64()), ("blob", pa.binary())])
 
 
+def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each hash, its highest bits; ``parts`` is a power of two."""
+    bits = parts.bit_length() - 1
+    return hashes >> np.uint64(64 - bits) if bits else np.zeros_like(hashes)
+
+
+def cuts_by_part(part: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(part, begin, end) of each part that occurs, ``part`` ascending."""
+    at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else np.zeros(0, np.int64)
+    return zip(part[at].tolist(), at.tolist(), [*at[1:].tolist(), len(part)])
+
+
 def unique_keys(hashes: np.ndarray, parts: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (part, lowest ``bits`` of the hash) in order, which of them each hash is, and where parts begin."""
-    part = (hashes >> np.uint64(32)) % np.uint64(parts)
-    keys = (part << np.uint64(bits)) | (hashes & np.uint64((1 << bits) - 1))
-    unique, inverse = np.unique(keys, return_inverse=True)
-    cuts = np.searchsorted(unique, np.arange(parts + 1, dtype=np.uint64) << np.uint64(bits))
-    return unique & np.uint64((1 << bits) - 1), inverse, cuts
+    """The ``bits`` bits below the part's of the distinct hashes in order, which of these each hash is, and their parts."""
+    unique, inverse = np.unique(hashes, return_inverse=True)
+    return (unique << np.uint64(parts.bit_length() - 1)) >> np.uint64(64 - bits), inverse, part_of(unique, parts)
 
 
-def narrow(tails: np.ndarray) -> np.ndarray:
-    """48-bit values as six bytes each."""
-    return np.ascontiguousarray(tails).view(np.uint8).reshape(-1, 8)[:, :6].ravel()
+def planes(ascending: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """Ascending values of ``size`` bytes as the bytes of their differences, lowest bytes first: high ones compress away."""
+    steps = np.diff(ascending, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8)
+    return tuple(np.ascontiguousarray(steps[:, k]) for k in range(size))
 
 
-def widen(raw: np.ndarray) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), dtype=np.uint8)
-    out[:, :6] = raw.reshape(-1, 6)
-    return out.view(np.uint64).ravel()
+def joined(bytes_of: list[np.ndarray]) -> np.ndarray:
+    """The values of ``planes``."""
+    steps = np.zeros((len(bytes_of[0]), 8), dtype=np.uint8)
+    for k, b in enumerate(bytes_of):
+        steps[:, k] = b
+    return np.cumsum(steps.view(np.uint64).ravel())
 
 
 def requests(bundles: DataFrame, make: Callable[[np.ndarray, list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:
@@ -302,6 +397,23 @@ def meet(bundles: DataFrame, answers: DataFrame, use: Callable[[int, np.ndarray,
     return bundles.groupBy("bundle_id").cogroup(answers.groupBy("bundle_id")).applyInArrow(run, ddl)
 
 
+def slices(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Ids and texts of a batch (id, text), as stretches of about ``size`` bytes of text."""
+    ends = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False).astype(np.float64)))
+    at = 0
+    while at < len(ends):
+        stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size)) + 1
+        yield batch.column(0)[at:stop], batch.column(1)[at:stop]
+        at = stop
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, or that with underscores until no column has it."""
+    while name.lower() in {x.lower() for x in taken}:
+        name += "_"
+    return name
+
+
 def arrow_batches(spark: SparkSession, size: str = "16m") -> None:
     """Bound what one Arrow batch holds, so that long texts do not fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

@@ -109,14 +109,16 @@ class Matcher:
         return found
 
 
-def find_items(docs: DataFrame, items: DataFrame, error_percent: int = 10, min_chars: int = 40) -> DataFrame:
+def find_items(docs: DataFrame, items: DataFrame, error_percent: int = 10, min_chars: int = 1) -> DataFrame:
     """(doc_id, n_items, item_ids, distances, contaminated), a row per document.
 
-    ``docs`` has a unique doc_id, and text; ``items`` has item_id and text. Both are compared with A-Z lower-cased and
+    ``docs`` has doc_id and text; ``items`` has item_id and text. Both are compared with A-Z lower-cased and
     white space collapsed. A document holds an item if some stretch of it is within error_percent percent of the
-    item's characters, counted in edits. item_ids ascend; distances are in their order. Items shorter than
-    ``min_chars`` are ignored, as are null and blank ones; an item under ten characters must occur exactly; a null text holds nothing. Repeated items
-    are reported once each. An empty table of documents gives no rows; an empty benchmark leaves all documents clean.
+    item's characters, counted in edits. item_ids ascend; distances are in their order. Null and blank items are ignored,
+    and with a larger ``min_chars`` shorter ones; an item under ten characters must occur exactly; a null text holds
+    nothing. Repeated items are reported once each. Rows that repeat a doc_id are judged each, unless the benchmark takes
+    several blocks; then each has what all of them hold. Other columns are ignored. An empty table of documents gives
+    no rows; an empty benchmark leaves all documents clean. Memory follows the longest text.
     """
     min_chars = max(1, min_chars)
     tests = pick(items, "item_id", "text").where(F.length("text") >= min_chars)

@@ -14,10 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, hash128, materialize, pick
+from .common import ascii_lower, free_name, hash128, materialize, pick
 
 _TRIM = r"trim(BOTH ' \t\n\u000b\f\r' FROM line)"
 _ROW = ("doc_id", "text_hash1", "text_hash2")
+#: Columns that ``drop_lines`` adds for a while.
+_ADDED = ("text_hash1", "text_hash2", "drop")
 
 
 def _with_hash(docs: DataFrame) -> DataFrame:
@@ -78,13 +80,15 @@ def _with_drops(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
 
 def drop_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` with the kept text in place of text and, if there is such a column, its length as n_chars. See
-    ``line_dedup`` for the rule. ``docs`` must have no column named drop, text_hash1 or text_hash2; rows without a doc_id are left out."""
+    ``line_dedup`` for the rule. Other columns, of any names, stay as they are; rows without a doc_id are left out."""
     names, schema = docs.columns, docs.schema
+    clash = {n: free_name([*names, *_ADDED], n + "_") for n in names if n.lower() in _ADDED}
+    docs = docs.withColumnsRenamed(clash)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [_kept(t.as_py(), d)[0] for t, d in zip(b.column("text"), b.column("drop"))]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(n) for n in names], names)
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b.column(clash.get(n, n)) for n in names], names)
 
     out = _with_drops(docs.where("doc_id is not null"), min_docs, min_chars).mapInArrow(run, schema)
     return out.withColumn("n_chars", F.length("text").cast(schema["n_chars"].dataType)) if "n_chars" in names else out

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ANSWER, Words, answer_parts, bundle_parts, make_bundles, materialize, meet, mix64, narrow, pack, requests, unique_keys, unpack, widen
+from .common import ANSWER, Words, answer_parts, bundles_and_parts, joined, materialize, meet, mix64, pack, planes, requests, unique_keys, unpack
 
 _END = np.uint64(0x452821E638D01377)
 _START = np.uint64(0xBE5466CF34E90C6C)
@@ -127,8 +127,7 @@ def score_documents(docs: DataFrame, held_out: Callable[[np.ndarray], np.ndarray
     unknown and the three terms weigh the same. Other columns are ignored; an empty table gives no
     rows. Memory follows the longest text.
     """
-    bundles = make_bundles(docs, kind=held_out)
-    parts = bundle_parts(bundles)
+    bundles, parts = bundles_and_parts(docs, held_out)
     kinds = {}
 
     def ask(kind: int):
@@ -136,24 +135,25 @@ def score_documents(docs: DataFrame, held_out: Callable[[np.ndarray], np.ndarray
             tokens, pairs, _ = _tokens(texts)
             both = []
             for h in (tokens, pairs):
-                tails, inverse, cuts = unique_keys(h, parts, _BITS)
+                tails, inverse, part = unique_keys(h, parts, _BITS)
                 counts = np.bincount(inverse, minlength=len(tails)).astype(np.uint32) if kind == 0 else np.zeros(len(tails), np.uint32)
-                both.append((tails, counts, cuts))
-            for part in range(parts):
-                (t1, n1, c1), (t2, n2, c2) = both
-                a, b, x, y = c1[part], c1[part + 1], c2[part], c2[part + 1]
-                if b > a or y > x:
-                    yield part, pack(narrow(t1[a:b]), n1[a:b], narrow(t2[x:y]), n2[x:y])
+                both.append((tails, counts, part))
+            (t1, n1, p1), (t2, n2, p2) = both
+            met = np.union1d(p1, p2)
+            ends = [np.searchsorted(p, met, side=side).tolist() for p in (p1, p2) for side in ("left", "right")]
+            for part, a, b, x, y in zip(met.tolist(), *ends):
+                yield part, pack(*planes(t1[a:b], _BITS // 8), n1[a:b], *planes(t2[x:y], _BITS // 8), n2[x:y])
 
         return make
 
     def answer(bundle_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
         rows = [unpack(b) for b in blobs]
         sums, stats = [], None
-        for k in (0, 2):
-            tails = [widen(r[k]) for r in rows]
+        size = _BITS // 8
+        for k in (0, size + 1):
+            tails = [joined(r[k : k + size]) for r in rows]
             unique, inverse = np.unique(np.concatenate(tails), return_inverse=True)
-            total = np.bincount(inverse, weights=np.concatenate([r[k + 1] for r in rows]), minlength=len(unique)).astype(np.uint64)
+            total = np.bincount(inverse, weights=np.concatenate([r[k + size] for r in rows]), minlength=len(unique)).astype(np.uint64)
             if k == 0:
                 stats = np.array([total.sum(), (total > 0).sum()], dtype=np.uint64)
             total = total.astype(np.uint32) if not len(total) or total.max() < 1 << 32 else total

@@ -22,13 +22,16 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, pick
+from .common import gather, materialize, pick, slices
 
 #: Documents above this many characters are split into chunks of this many.
 CHUNK_CHARS = 32_768
+#: Chunks that one task walks.
+CHUNKS_PER_TASK = 100
 _CACHE_SIZE = 250_000
 _SPACE = "▁"
 _CUT = re.compile(f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
@@ -57,6 +60,9 @@ class Pieces:
             else:
                 self.raw.append(piece.replace(_SPACE, " ").encode())
                 self.score[piece], self.piece_id[piece] = sp.get_score(i), i
+        self.raw_flat = np.frombuffer(b"".join(self.raw), np.uint8)
+        self.raw_sizes = np.array(list(map(len, self.raw)), dtype=np.int64)
+        self.id_score = np.array([sp.get_score(i) for i in range(len(sp))], dtype=np.float64)
         self.longest = max(map(len, self.score), default=1)
         if any(_SPACE in p.lstrip(_SPACE) for p in self.score):
             raise ValueError("a model with pieces across words is not supported")
@@ -69,34 +75,62 @@ class Pieces:
 
     def encode(self, marked: str) -> bytes:
         """Ids of a text whose spaces are marks and which starts with one."""
-        units = _CUT.findall(marked)
-        try:
-            return b"".join(map(self.cache.__getitem__, units))
-        except KeyError:
-            missing = [u for u in dict.fromkeys(units) if u not in self.cache]
-            # The library puts a mark in front itself.
-            ids = self.library.encode([u[1:].replace(_SPACE, " ") if len(u) > 1 else "" for u in missing], num_threads=1)
-            new = {u: np.array(x, "<u4").tobytes() if len(u) > 1 else self.of(u) for u, x in zip(missing, ids)}
-            if len(self.cache) < _CACHE_SIZE:
-                self.cache.update({u: x for u, x in new.items() if len(u) <= 64})
-            return b"".join([self.cache.get(u) or new[u] for u in units])
-
-    def encode_text(self, text: str) -> bytes:
-        """Ids of a text. With single spaces only, its words are looked up as they are."""
-        if not text or "  " in text or text[0] == " " or text[-1] == " " or _SPACE in text:
-            return self.encode(mark(text))
-        parts = text.split(" ")
-        try:
-            return b"".join(map(self.words.__getitem__, parts))
-        except KeyError:
-            missing = [w for w in dict.fromkeys(parts) if w not in self.words]
-            new = {w: array("I", x).tobytes() for w, x in zip(missing, self.library.encode(missing, num_threads=1))}
-            if len(self.words) < _CACHE_SIZE:
-                self.words.update({w: x for w, x in new.items() if len(w) <= 64})
-            return b"".join([self.words.get(w) or new[w] for w in parts])
+        return b"".join(self.of_units(_CUT.findall(marked)))
+
+    def of_units(self, units: list[str]) -> list[bytes]:
+        """Ids of each stretch of marks and what follows them."""
+        known = list(map(self.cache.get, units))
+        missing = list(dict.fromkeys(u for u, x in zip(units, known) if x is None))
+        if not missing:
+            return known
+        # The library puts a mark in front itself.
+        ids = self.library.encode([u[1:].replace(_SPACE, " ") if len(u) > 1 else "" for u in missing], num_threads=1)
+        new = {u: array("I", x).tobytes() if len(u) > 1 else self.of(u) for u, x in zip(missing, ids)}
+        if len(self.cache) < _CACHE_SIZE:
+            self.cache.update({u: x for u, x in new.items() if len(u) <= 64})
+        return [new[u] if x is None else x for u, x in zip(units, known)]
+
+    def encode_all(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text, a null one being empty. Texts with single spaces only are cut at these, and the different
+        words of all of them looked up together."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, f"^ |  | $|^$|{_SPACE}").to_numpy(zero_copy_only=False)
+        out: list = [None] * len(texts)
+        for i in np.flatnonzero(odd).tolist():
+            out[i] = self.encode(mark(texts[i].as_py()))
+        at = np.flatnonzero(~odd)
+        if len(at):
+            lists = pc.split_pattern(texts.take(pa.array(at)), " ")
+            words = lists.flatten().dictionary_encode()
+            known = self._of_words(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+            sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
+            ids, ends = gather(np.frombuffer(b"".join(known), "<u4"), sizes, words.indices.to_numpy())
+            raw, offsets = ids.tobytes(), np.asarray(lists.offsets)
+            ends = ends[offsets[1:] - offsets[0] - 1] * 4
+            for i, a, b in zip(at.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+                out[i] = raw[a:b]
+        return out
+
+    def _of_words(self, words: list[str]) -> list[bytes]:
+        known = list(map(self.words.get, words))
+        missing = [k for k, x in enumerate(known) if x is None]
+        for k in range(0, len(missing), 5000):
+            some = missing[k : k + 5000]
+            for i, x in zip(some, self.library.encode([words[i] for i in some], num_threads=1)):
+                known[i] = array("I", x).tobytes()
+                if len(self.words) < _CACHE_SIZE and len(words[i]) <= 64:
+                    self.words[words[i]] = known[i]
+        return known
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.raw.__getitem__, ids.tolist())).decode("utf-8", "replace").removeprefix(" ")
+        return self.decode_all([ids.astype("<u4").tobytes()])[0]
+
+    def decode_all(self, blobs: list[bytes]) -> list[str]:
+        ids = np.frombuffer(b"".join(blobs), "<u4")
+        flat, ends = gather(self.raw_flat, self.raw_sizes, ids)
+        ends = np.append(0, ends)[np.cumsum([0, *(len(x) // 4 for x in blobs)])].tolist()
+        raw = flat.tobytes()
+        return [raw[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends, ends[1:])]
 
     def of(self, piece: str) -> bytes:
         """Ids of one piece, or of the bytes of a character that is none."""
@@ -182,10 +216,9 @@ class Chunk:
 
     def matrix(self) -> np.ndarray:
         out = np.full((len(self.enter), len(self.leave)), _NONE)
-        units = [0.0]
-        for a, b in zip(self.cuts, self.cuts[1:]):
-            units.append(units[-1] + self._score(self.text[a:b]))
-        total = dict(zip(self.cuts, units))
+        units = self.p.of_units([self.text[a:b] for a, b in zip(self.cuts, self.cuts[1:])])
+        sums = np.append(0.0, np.cumsum(self.p.id_score[np.frombuffer(b"".join(units), "<u4")]))
+        total = dict(zip(self.cuts, sums[np.cumsum([0, *(len(u) // 4 for u in units)])].tolist()))
         heads: dict = {}
         tails: dict = {}
         for i, enter in enumerate(self.enter):
@@ -220,10 +253,6 @@ class Chunk:
         score, back = self.p.walk(before, text)
         return score, lambda k: text[back[k] : k] if back[k] >= 0 else None
 
-    def _score(self, unit: str) -> float:
-        ids = np.frombuffer(self.p.encode(unit), "<u4").tolist()
-        return float(sum(self.p.library.get_score(i) for i in ids))
-
     def trace(self, enter: int, leave: int) -> bytes:
         """Ids of the pieces after state ``enter`` up to and with state ``leave``."""
         before, out = self._before(self.enter[enter]), self.leave[leave]
@@ -291,8 +320,8 @@ def encode(docs: DataFrame, model_file: str, chunk_chars: int = CHUNK_CHARS) ->
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
-            ids = [p.encode_text(t.as_py() or "") for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            for doc_ids, texts in slices(b, 4 << 20):
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(p.encode_all(texts), pa.binary())], ["doc_id", "ids"])
 
     return plain.where(~giant).mapInArrow(small, _IDS).unionByName(_encode_giant(plain.where(giant), model_file, chunk_chars))
 
@@ -338,7 +367,8 @@ def _encode_giant(docs: DataFrame, model_file: str, chunk_chars: int) -> DataFra
     numbered = docs.select("doc_id", F.monotonically_increasing_id().alias("copy"), "text")
     chunks = materialize(numbered.mapInArrow(split, "doc_id long, copy long, chunk int, lead int, size int, part string"))
     # Chunks are dealt out evenly, whichever files the giants were in.
-    found = chunks.repartition("doc_id", "copy", "chunk").mapInArrow(matrices, "doc_id long, copy long, chunk int, rows int, matrix binary")
+    dealt = max(1, -(-chunks.count() // CHUNKS_PER_TASK))
+    found = chunks.repartition(dealt, "doc_id", "copy", "chunk").mapInArrow(matrices, "doc_id long, copy long, chunk int, rows int, matrix binary")
     at = found.groupBy("doc_id", "copy").applyInArrow(states, "doc_id long, copy long, chunk int, enter int, leave int")
     ids = chunks.join(at.hint("merge"), ["doc_id", "copy", "chunk"]).mapInArrow(traced, "doc_id long, copy long, chunk int, ids binary")
     return ids.groupBy("doc_id", "copy").applyInArrow(joined, _IDS)
@@ -350,8 +380,9 @@ def decode(ids: DataFrame, model_file: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
-            texts = [p.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+            for doc_ids, ids in slices(b):
+                texts = p.decode_all([x or b"" for x in ids.to_pylist()])
+                yield pa.RecordBatch.from_arrays([doc_ids, pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return pick(ids, "doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
@@ -362,10 +393,10 @@ def round_trip(docs: DataFrame, model_file: str, chunk_chars: int = CHUNK_CHARS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
-        for b in batches:
-            blobs = [x.as_py() or b"" for x in b.column(1)]
-            texts = [p.decode(np.frombuffer(x, "<u4")) for x in blobs]
+        for doc_ids, ids in (x for b in batches for x in slices(b)):
+            blobs = [x or b"" for x in ids.to_pylist()]
+            texts = p.decode_all(blobs)
             cols = [[len(x) // 4 for x in blobs], [zlib.crc32(x) for x in blobs], [len(t) for t in texts]]
-            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array(c, pa.int64()) for c in cols], pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())], ["doc_id", "n_pieces", "ids_crc32", "decoded_chars", "decoded_sha256"])
+            yield pa.RecordBatch.from_arrays([doc_ids, *[pa.array(c, pa.int64()) for c in cols], pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts], pa.string())], ["doc_id", "n_pieces", "ids_crc32", "decoded_chars", "decoded_sha256"])
 
     return ids.mapInArrow(run, "doc_id long, n_pieces long, ids_crc32 long, decoded_chars long, decoded_sha256 string")

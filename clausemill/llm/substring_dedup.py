@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE_B, REQUEST, REQUEST_ARROW, Words, answer_parts, bundle_parts, make_bundles, materialize, meet, pack, requests, unique_keys, unpack, window_hashes
+from .common import BASE_B, REQUEST, REQUEST_ARROW, Words, answer_parts, bundles_and_parts, cuts_by_part, forget, joined, materialize, meet, pack, part_of, planes, requests, unique_keys, unpack, window_hashes
 
 _BITS = 32
 
@@ -56,20 +56,17 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     if length < 2:
         raise ValueError("a window has at least two words")
     block = (length + 1) // 2
-    bundles = make_bundles(docs)
-    parts = bundle_parts(bundles)
+    bundles, parts = bundles_and_parts(docs)
 
     def ask(ids: np.ndarray, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
         _, hashes, is_block = _probes(Words(texts), block)
-        tails, inverse, cuts = unique_keys(hashes, parts, _BITS)
+        tails, inverse, part = unique_keys(hashes, parts, _BITS)
         blocks = np.minimum(np.bincount(inverse[is_block], minlength=len(tails)), 2).astype(np.uint8)
-        for part in range(parts):
-            a, b = cuts[part], cuts[part + 1]
-            if b > a:
-                yield part, pack(tails[a:b].astype(np.uint32), blocks[a:b])
+        for p, a, b in cuts_by_part(part):
+            yield p, pack(*planes(tails[a:b], _BITS // 8), blocks[a:b])
 
     def look_up(bundle_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        rows = [unpack(b) for b in blobs]
+        rows = [(joined(b[:-1]), b[-1]) for b in map(unpack, blobs)]
         unique, inverse = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
         total = np.bincount(inverse, weights=np.concatenate([r[1] for r in rows]), minlength=len(unique))
         found = np.split(np.minimum(total, 2).astype(np.uint8)[inverse], np.cumsum([len(r[0]) for r in rows])[:-1])
@@ -86,17 +83,15 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
         start = _windows(w, at[blocks > is_block], length, block)
         if not len(start):
             return []
-        one, two = window_hashes(w.hash, length)[start], window_hashes(w.hash, length, BASE_B)[start]
+        one, two = window_hashes(w.hash, length)[start], window_hashes(w.second_hash(), length, BASE_B)[start]
         doc = ids[w.owner()[start]]
-        part = (one >> np.uint64(32)) % np.uint64(parts)
-        order = np.lexsort((doc, two, one, part))
+        order = np.lexsort((doc, two, one))
         new = np.ones(len(order), dtype=bool)
         new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
         lead = order[new]  # of each distinct window the occurrence in the least document
         which = np.empty(len(order), dtype=np.int64)
         which[order] = np.cumsum(new) - 1
-        cuts = np.searchsorted(part[lead], np.arange(parts + 1, dtype=np.uint64))
-        rows = [(p, bundle_id, pack(one[lead[a:b]], two[lead[a:b]], doc[lead[a:b]])) for p, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+        rows = [(p, bundle_id, pack(one[lead[a:b]], two[lead[a:b]], doc[lead[a:b]])) for p, a, b in cuts_by_part(part_of(one[lead], parts))]
         return [*rows, (-1, bundle_id, pack(start.astype(np.uint32), which.astype(np.uint32), doc > doc[lead][which]))]
 
     def least(bundle_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
@@ -133,9 +128,11 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
 
     found = materialize(answer_parts(requests(bundles, ask), look_up))
     windows = materialize(meet(bundles, found, extend, REQUEST_ARROW, REQUEST))
-    judged = answer_parts(windows.where("part >= 0"), least).unionByName(windows.where("part = -1").select("bundle_id", "part", "blob"))
+    forget(found)
+    judged = materialize(answer_parts(windows.where("part >= 0"), least).unionByName(windows.where("part = -1").select("bundle_id", "part", "blob")))
+    forget(windows)
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
-    return meet(bundles, materialize(judged), cut, schema, "doc_id long, n_words long, n_removed long, kept_text string")
+    return meet(bundles, judged, cut, schema, "doc_id long, n_words long, n_removed long, kept_text string")
 
 
 def with_digest(rows: DataFrame, text: str = "kept_text") -> DataFrame:

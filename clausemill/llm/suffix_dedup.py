@@ -7,8 +7,11 @@ repeated windows.
 Not every suffix is moved to be sorted. A window's anchor is its 50-byte string of least hash (the leftmost, if
 several are least), so equal windows have equal anchors at the same place in them. The windows of one anchor occurrence
 are consecutive: a run. Runs whose anchor string occurs once in the corpus hold no repeated window and stay where they
-are. The others go, as the few bytes that they span, to the task of their anchor string. There equal runs merge, and
-where an anchor stands in different runs, the suffixes at all window starts of these are radix sorted.
+are. The others go, as the few bytes that they span, to the task of their anchor string. There the same sort finds
+equal runs, and where an anchor stands in different runs, it orders the suffixes at all window starts of these.
+
+An anchor that stands in more than _HOT places would be more than one task should sort. Its windows are re-keyed, each by
+128 bits of its own bytes, and Spark aggregates the least place of each with partial sums on the map side.
 """
 
 from __future__ import annotations
@@ -18,15 +21,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import BASE_B, REQUEST, REQUEST_ARROW, answer_parts, bundle_parts, make_bundles, materialize, meet, pack, requests, span_hashes, unique_keys, unpack, window_hashes
+from .common import ANSWER, BASE_B, REQUEST, REQUEST_ARROW, answer_parts, arrow_rows, bundles_and_parts, cuts_by_part, forget, joined, materialize, meet, pack, part_of, planes, requests, unique_keys, unpack, window_hashes
 
 _BITS = 32
 #: Bytes of a bundle that are hashed at once; positions within a slice must fit into _PLACE bits.
-_SLICE = 4 << 20
-_PLACE = 23
-#: Suffixes that one radix sort holds in memory, unless a single anchor string has more.
+_SLICE = 1 << 19
+_PLACE = 20
+#: Suffixes that one radix sort holds in memory.
 _SORTED = 200_000
+#: Places of one anchor string that one task sorts.
+_HOT = 10_000
+#: Parts of the blobs that hold a bundle's own notes, its windows of hot anchors, and the judgement of these.
+_NOTES, _HOT_WINDOWS, _HOT_LATER = -1, -2, -3
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -76,12 +84,11 @@ def radix_groups(suffixes: np.ndarray) -> np.ndarray:
     """Group numbers of equal rows of a byte matrix, -1 for rows that are alone: most-significant-digit passes over
     eight-byte digits, groups of one dropping out after each."""
     n, depth = suffixes.shape
-    padded = np.zeros((n, -(-depth // 8) * 8), dtype=np.uint8)
-    padded[:, :depth] = suffixes
-    digits = padded.view(">u8")
     rows, group = np.arange(n), np.zeros(n, dtype=np.int64)
-    for d in range(digits.shape[1]):
-        digit = digits[rows, d]
+    for d in range(0, depth, 8):
+        digit = np.zeros((len(rows), 8), dtype=np.uint8)
+        digit[:, : min(8, depth - d)] = suffixes[rows, d : d + 8]
+        digit = digit.view(">u8").ravel().astype(np.uint64)
         order = np.lexsort((digit, group))
         rows, group, digit = rows[order], group[order], digit[order]
         new = np.ones(len(rows), dtype=bool)
@@ -96,6 +103,23 @@ def radix_groups(suffixes: np.ndarray) -> np.ndarray:
     return out
 
 
+def equal_runs(raw: np.ndarray, start: np.ndarray, size: np.ndarray, length: int) -> np.ndarray:
+    """Numbers of the runs of ``size`` windows at ``raw[start]``, from 0, the same for equal ones."""
+    if not len(start):
+        return np.zeros(0, dtype=np.int64)
+    width = int(size.max()) + length - 1
+    rows = np.empty((len(start), width + 1), dtype=np.uint8)
+    rows[:, 1:] = np.lib.stride_tricks.sliding_window_view(np.concatenate([raw, np.zeros(width, np.uint8)]), width)[start]
+    rows[:, 1:][np.arange(width) >= (size + length - 1)[:, None]] = 0
+    rows[:, 0] = size
+    group = radix_groups(rows)
+    alone = group < 0
+    kind = np.empty(len(start), dtype=np.int64)
+    met, kind[~alone] = np.unique(group[~alone], return_inverse=True)
+    kind[alone] = len(met) + np.arange(int(alone.sum()))
+    return kind
+
+
 def _judge(anchor: np.ndarray, kind: np.ndarray, offset: np.ndarray, size: np.ndarray, rank: np.ndarray, at: np.ndarray, raw: np.ndarray, length: int) -> np.ndarray:
     """For each run the bit mask of its windows that start earlier as well. ``kind`` numbers equal runs, ``offset`` is
     the anchor's place in the run, ``rank`` the order in the corpus, ``raw[at:]`` the bytes."""
@@ -161,22 +185,19 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     """
     if not 16 <= length <= 120:
         raise ValueError("length must be from 16 to 120")
-    bundles = make_bundles(docs)
-    parts = bundle_parts(bundles)
+    bundles, parts = bundles_and_parts(docs)
 
     def ask(ids: np.ndarray, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        tails, inverse, cuts = unique_keys(Runs(texts, length).hash, parts, _BITS)
-        several = np.bincount(inverse, minlength=len(tails)) > 1
-        for part in range(parts):
-            a, b = cuts[part], cuts[part + 1]
-            if b > a:
-                yield part, pack(tails[a:b].astype(np.uint32), np.packbits(several[a:b]))
+        tails, inverse, part = unique_keys(Runs(texts, length).hash, parts, _BITS)
+        times = np.bincount(inverse, minlength=len(tails)).astype(np.uint32)
+        for p, a, b in cuts_by_part(part):
+            yield p, pack(*planes(tails[a:b], _BITS // 8), times[a:b])
 
     def repeated(bundle_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        rows = [unpack(b) for b in blobs]
-        several = np.concatenate([np.unpackbits(r[1], count=len(r[0])) for r in rows])
+        rows = [(joined(b[:-1]), b[-1]) for b in map(unpack, blobs)]
         unique, inverse = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
-        found = np.bincount(inverse, weights=1.0 + several, minlength=len(unique))[inverse] > 1
+        times = np.bincount(inverse, weights=np.concatenate([r[1] for r in rows]), minlength=len(unique))
+        found = ((times > 1).astype(np.uint8) + (times > _HOT))[inverse]
         for b, f in zip(bundle_ids, np.split(found, np.cumsum([len(r[0]) for r in rows])[:-1])):
             yield b, pack(f)
 
@@ -188,50 +209,59 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
         at = np.flatnonzero(found)
         if not len(at):
             return []
-        start, size, anchor, key = runs.start[at], runs.size[at], runs.anchor[at], runs.hash[at]
-        stop = start + size + length - 1
-        one, two = span_hashes(runs.buf, start, stop), span_hashes(runs.buf, start, stop, BASE_B)
+        start, size, anchor, key, hot = runs.start[at], runs.size[at], runs.anchor[at], runs.hash[at], found[at] > 1
         doc, pos = ids[runs.text[at]], anchor - runs.text_at[runs.text[at]]
-        part = (key >> np.uint64(32)) % np.uint64(parts)
-        order = np.lexsort((pos, doc, two, one, key, part))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (key[order][1:] != key[order][:-1]) | (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
+        kind = equal_runs(runs.buf, start, size, length)
+        # The first run of each kind speaks for the others; these leaders are numbered by their key.
+        order = np.lexsort((pos, doc, kind))
+        new = np.append(True, kind[order][1:] != kind[order][:-1])
         lead = order[new]
-        which = np.empty(len(order), dtype=np.int64)
-        which[order] = np.cumsum(new) - 1
-        cuts = np.searchsorted(part[lead], np.arange(parts + 1, dtype=np.uint64))
-        raw, rows = runs.buf.tobytes(), []
-        for p, (a, b) in enumerate(zip(cuts, cuts[1:])):
-            if b > a:
-                m = lead[a:b]
-                body = np.frombuffer(b"".join([raw[x:y] for x, y in zip(start[m].tolist(), stop[m].tolist())]), np.uint8)
-                rows.append((p, bundle_id, pack(key[m], one[m], two[m], (anchor - start)[m].astype(np.uint8), size[m].astype(np.uint8), doc[m], pos[m], body)))
-        first = np.zeros(len(order), dtype=bool)
+        by_key = np.argsort(key[lead], kind="stable")
+        lead, number = lead[by_key], np.empty(len(lead), dtype=np.int64)
+        number[by_key] = np.arange(len(lead))
+        first = np.zeros(len(at), dtype=bool)
         first[lead] = True
-        return [*rows, (-1, bundle_id, pack(start.astype(np.int64), size.astype(np.uint8), which.astype(np.uint32), first))]
+        raw, plain, rows = runs.buf.tobytes(), lead[~hot[lead]], []
+        for p, a, b in cuts_by_part(part_of(key[plain], parts)):
+            m = plain[a:b]
+            body = np.frombuffer(b"".join([raw[x:y] for x, y in zip(start[m].tolist(), (start[m] + size[m] + length - 1).tolist())]), np.uint8)
+            rows.append((p, bundle_id, pack(key[m], (anchor - start)[m].astype(np.uint8), size[m].astype(np.uint8), doc[m], pos[m], body)))
+        own = lead[hot[lead]]
+        step = max(1, _SORTED // length)
+        for a in range(0, len(own), step):
+            m = own[a : a + step]
+            which = np.repeat(np.arange(len(m)), size[m])
+            place = start[m][which] + np.arange(len(which)) - np.repeat(np.cumsum(size[m]) - size[m], size[m])
+            hashes = []
+            for base in (None, BASE_B):
+                # A run's windows follow each other in the buffer; hash each run's stretch by itself.
+                stretch = [window_hashes(runs.buf[x : x + n + length - 1], length, *([base] if base else [])) for x, n in zip(start[m].tolist(), size[m].tolist())]
+                hashes.append(np.concatenate(stretch))
+            rows.append((_HOT_WINDOWS, bundle_id, pack(*hashes, doc[m][which], place - runs.text_at[runs.text[at[m]]][which], np.int64(a) + which, place - start[m][which])))
+        return [*rows, (_NOTES, bundle_id, pack(start.astype(np.int64), size.astype(np.uint8), number[kind].astype(np.uint32), first, hot[lead]))]
 
     def sort(bundle_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
         rows = [unpack(b) for b in blobs]
-        key, one, two, offset, size, doc, pos, raw = (np.concatenate([r[k] for r in rows]) for k in range(8))
+        key, offset, size, doc, pos, raw = (np.concatenate([r[k] for r in rows]) for k in range(6))
         size = size.astype(np.int64)
         at = np.concatenate([[0], np.cumsum(size + length - 1)])[:-1]
         rank = np.empty(len(key), dtype=np.int64)
         rank[np.lexsort((pos, doc))] = np.arange(len(key))
-        order = np.lexsort((two, one, key))
-        new = np.ones(len(order), dtype=bool)
-        new[1:] = (key[order][1:] != key[order][:-1]) | (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
-        kind = np.empty(len(order), dtype=np.int64)
-        kind[order] = np.cumsum(new) - 1
-        mask = _judge(key, kind, offset.astype(np.int64), size, rank, at, raw, length)
+        mask = _judge(key, equal_runs(raw, at, size, length), offset.astype(np.int64), size, rank, at, raw, length)
         for b, m in zip(bundle_ids, np.split(mask, np.cumsum([len(r[0]) for r in rows])[:-1])):
             yield b, pack(m)
 
     def cut(bundle_id: int, ids: np.ndarray, texts: list[bytes], got: dict[int, bytes]) -> list[tuple]:
         text_at = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
         cover = np.zeros(int(text_at[-1]) + 1, dtype=np.int32)
-        if -1 in got:
-            start, size, which, first = unpack(got[-1])
-            mask = np.concatenate([unpack(got[p])[0] for p in sorted(got) if p >= 0])[which]
+        if _NOTES in got:
+            start, size, which, first, hot = unpack(got[_NOTES])
+            masks = np.zeros(len(hot), dtype=np.uint64)
+            masks[~hot] = np.concatenate([np.zeros(0, np.uint64), *[unpack(got[p])[0] for p in sorted(got) if p >= 0]])
+            if _HOT_LATER in got:
+                run, place = unpack(got[_HOT_LATER])
+                np.bitwise_or.at(masks, np.flatnonzero(hot)[run], np.uint64(1) << place.astype(np.uint64))
+            mask = masks[which]
             # A run that an equal one of this bundle comes before is repeated as a whole.
             whole = ~first
             np.add.at(cover, start[whole], 1)
@@ -252,7 +282,36 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
 
     found = materialize(answer_parts(requests(bundles, ask), repeated))
     runs = materialize(meet(bundles, found, send, REQUEST_ARROW, REQUEST))
-    judged = answer_parts(runs.where("part >= 0"), sort).unionByName(runs.where("part = -1").select("bundle_id", "part", "blob"))
+    forget(found)
+    judged = answer_parts(runs.where("part >= 0"), sort).unionByName(runs.where(f"part = {_NOTES}").select("bundle_id", "part", "blob"))
+    judged = materialize(judged.unionByName(_hot_later(runs.where(f"part = {_HOT_WINDOWS}"))))
+    forget(runs)
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
-    return meet(bundles, materialize(judged), cut, schema, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return meet(bundles, judged, cut, schema, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+
+
+def _hot_later(runs: DataFrame) -> DataFrame:
+    """Of the windows of hot anchors those that start earlier as well: a blob for each bundle that has some."""
+    names = ["bundle_id", "one", "two", "doc", "pos", "run", "place"]
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for bundle_id, blob in zip(b.column(0).to_pylist(), b.column(1)):
+                one, two, *rest = unpack(blob.as_py())
+                cols = [np.full(len(one), bundle_id), one.view(np.int64), two.view(np.int64), *rest]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names)
+
+    rows = runs.select("bundle_id", "blob").mapInArrow(windows, ", ".join(f"{n} long" for n in names))
+    at = F.struct("doc", "pos", "bundle_id", "run")
+    least = rows.groupBy("one", "two").agg(F.min(at).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # Hot windows grow with the corpus: a merge join at every size, whose large keys Spark splits.
+    later = rows.join(least.hint("merge"), ["one", "two"]).where(at > F.col("least")).select("bundle_id", "run", "place")
+
+    def packed(table: pa.Table) -> pa.Table:
+        blob = pack(*(table.column(c).to_numpy().astype(t) for c, t in (("run", np.int64), ("place", np.uint8))))
+        return arrow_rows(_ANSWER_ARROW, [(table.column("bundle_id")[0].as_py(), _HOT_LATER, blob)])
+
+    return later.groupBy("bundle_id").applyInArrow(packed, ANSWER)
+
 
+_ANSWER_ARROW = pa.schema([("bundle_id", pa.int64()), ("part", pa.int32()), ("blob", pa.binary())])

@@ -15,21 +15,21 @@ the format:
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, pick, scratch_dir
+from .common import gather, materialize, pick, scratch_dir, slices, text_bytes
 
 MAGIC = b"CMT1"
 BLOCK_IDS = 4096
-_CACHE_SIZE = 300_000
+_CACHE_SIZE = 400_000
 
 
 def pack_block(ids: np.ndarray, percentile: float = 90.0) -> bytes:
@@ -134,12 +134,14 @@ class CachedEncoder:
     """Encodes like the tokenizer file does, with a cache of stretches of text.
 
     The file's pre-tokenizer always cuts where white space follows something else, and a single line break is a token
-    of its own. So a text without two white spaces in a row is cut before each space and line break and the parts are
-    encoded apart; other texts, and those that hold the string of an added token, are encoded whole. The first _CACHE_SIZE different parts are kept; others are encoded as
-    they come, all of a text in one call, with line breaks between them.
+    of its own. So texts without two white spaces in a row are cut before each space and line break; the different
+    parts of a batch are looked up in the cache or encoded, and their ids put together. Other texts, and those that
+    hold the string of an added token, are encoded whole. The first _CACHE_SIZE different parts are kept; others are
+    encoded once for each batch, many in one call, with line breaks between them.
     """
 
-    _pair = re.compile(r"\s\s")
+    #: A superset of what any pre-tokenizer takes for white space.
+    _white = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -147,56 +149,84 @@ class CachedEncoder:
 
         self.tokenizer = Tokenizer.from_file(file)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._added = re.compile("|".join(map(re.escape, added)) or "(?!)")
-        self.cache: dict[str, bytes] = {}
-        line = self._whole("a\nb").tolist()
-        if len(line) != 3 or self._whole("\n").tolist() != line[1:2] or self._whole("a\n b").tolist()[1:2] != line[1:2]:
+        w = self._white
+        self._odd = "|".join([f"{w}{w}", f"^{w}", f"{w}$", *[rf"\Q{t}\E" for t in added]])
+        line = self._whole(["a\nb"])[0]
+        if len(line) != 3 or self._whole(["\n"])[0] != line[1:2] or self._whole(["a\n b"])[0][1:2] != line[1:2]:
             raise ValueError("the tokenizer does not cut at line breaks")
-        self.line, self.line_id = np.array(line[1:2], "<u4").tobytes(), line[1]
+        self.line_id = line[1]
+        #: Parts that follow a line break start with it, parts that follow a space do not start with that.
+        self.cache: dict[str, bytes] = {"\n": np.array(line[1:2], "<u4").tobytes()}
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+    def _whole(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, text: str) -> np.ndarray:
-        if not text or self._pair.search(text) or text[0].isspace() or text[-1].isspace() or self._added.search(text):
-            return self._whole(text)
-        # Parts that follow a line break start with it, parts that follow a space do not start with that.
-        parts, cache = text.replace("\n", " \n").split(" "), self.cache
-        parts[0] = "\n" + parts[0]
-        try:
-            found = list(map(cache.__getitem__, parts))
-        except KeyError:
-            new = self._missing([p for p in dict.fromkeys(parts) if p not in cache])
-            if len(cache) < _CACHE_SIZE:
-                cache.update(new)
-            found = [cache.get(p) or new[p] for p in parts]
-        return np.frombuffer(b"".join(found), "<u4")[1:]
-
-    def _missing(self, parts: list[str]) -> dict[str, bytes]:
+        return self.encode_all(pa.array([text], pa.string()))[0]
+
+    def encode_all(self, texts: pa.Array, end: int | None = None) -> list[np.ndarray]:
+        """The ids of every text, a null one being empty, and after them ``end`` if it is given."""
+        texts = texts.cast(pa.large_string()).fill_null("")
+        odd = pc.match_substring_regex(texts, self._odd).to_numpy(zero_copy_only=False)
+        tail = np.zeros(0 if end is None else 1, "<u4") + np.uint32(end or 0)
+        out: list = [None] * len(texts)
+        at = np.flatnonzero(odd)
+        for i in at.tolist():
+            out[i] = np.append(np.array(self._whole([texts[i].as_py()])[0], "<u4"), tail).astype("<u4")
+        at = np.flatnonzero(~odd)
+        if len(at):
+            ids, ends = self._parts(texts.take(pa.array(at)))
+            # The line break that each text was given in front makes room for the end.
+            ids[:-1] = ids[1:]
+            ids[ends - 1] = end or 0
+            for i, a, b in zip(at.tolist(), [0, *ends[:-1].tolist()], (ends - (end is None)).tolist()):
+                out[i] = ids[a:b]
+        return out
+
+    def _parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts, each with a line break in front, one after another, and where each ends."""
+        text = lambda x: pa.scalar(x, pa.large_string())
+        lists = pc.split_pattern(pc.binary_join_element_wise(text(""), pc.replace_substring(texts, "\n", " \n"), text("\n")), " ")
+        parts = lists.flatten().dictionary_encode()
+        strings = parts.dictionary.to_numpy(zero_copy_only=False)
+        known = list(map(self.cache.get, strings))
+        missing = [k for k, x in enumerate(known) if x is None]
+        for k in range(0, len(missing), 5000):
+            some = missing[k : k + 5000]
+            for i, x in zip(some, self._missing([strings[i] for i in some])):
+                known[i] = x
+                if len(self.cache) < _CACHE_SIZE:
+                    self.cache[strings[i]] = x
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) >> 2
+        ids, ends = gather(np.frombuffer(b"".join(known), "<u4"), sizes, parts.indices.to_numpy())
+        return ids, ends[np.asarray(lists.offsets)[1:] - np.asarray(lists.offsets)[0] - 1]
+
+    def _missing(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, from one call over all of them on lines of their own."""
-        ids = self._whole("\n".join([p[1:] if p[0] == "\n" else " " + p for p in parts]))
+        ids = np.array(self._whole(["\n".join([p[1:] if p[0] == "\n" else " " + p for p in parts])])[0], "<u4")
         at = np.flatnonzero(ids == self.line_id)
         if len(at) != len(parts) - 1:
-            return {p: self._whole(p if p[0] == "\n" else " " + p).tobytes() for p in parts}
-        raw = ids.tobytes()
+            return [np.array(x, "<u4").tobytes() for x in self._whole([p if p[0] == "\n" else " " + p for p in parts])]
+        raw, line = ids.tobytes(), np.array([self.line_id], "<u4").tobytes()
         starts, ends = [0, *(at * 4 + 4).tolist()], [*(at * 4).tolist(), len(raw)]
-        return {p: self.line + raw[a:b] if p[0] == "\n" else raw[a:b] for p, a, b in zip(parts, starts, ends)}
+        return [line + raw[a:b] if p[0] == "\n" else raw[a:b] for p, a, b in zip(parts, starts, ends)]
 
 
 def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], CachedEncoder], end_id: int = 0, percentile: float = 90.0, shard_bytes: int = 32 << 20) -> None:
     """Encode every text, append ``end_id``, and write shard files of ascending, disjoint doc_id ranges to ``path``."""
     plain = pick(docs, "doc_id", "text")
-    total = plain.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total = text_bytes(plain)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, rows, size = encoder(), None, [], 0
         for b in batches:
-            for doc_id, text in zip(b.column(0), b.column(1)):
-                if shard is None:
-                    shard, rows = ShardWriter(percentile), [MAGIC]
-                for row in shard.add(doc_id.as_py(), np.append(enc.encode(text.as_py() or ""), np.uint32(end_id)).astype("<u4")):
-                    rows.append(row)
-                    size += len(row)
+            for doc_ids, texts in slices(b, 8 << 20):
+                for doc_id, ids in zip(doc_ids.to_pylist(), enc.encode_all(texts, end_id)):
+                    if shard is None:
+                        shard, rows = ShardWriter(percentile), [MAGIC]
+                    for row in shard.add(doc_id, ids):
+                        rows.append(row)
+                        size += len(row)
                 if size >= 4 << 20:
                     yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["section"])
                     rows, size = [], 0

@@ -4,8 +4,8 @@ Archives are written through Spark's file committer, a record per row: a record
 the row's separator, so the files are plain WARC/1.1 (gzip-compressed as a whole). Reading parses them by their
 lengths.
 
-Index method: external merge. The captures of one archive, sorted by URL key and timestamp, are a run; splitters taken
-from a bounded sample cut the runs into key ranges; each range's run pieces are merged by a loser tree. Ranges in order
+Index method: external merge. The captures of one archive, sorted by URL key and timestamp, are a run; a range
+partitioning cuts the runs into key ranges; each range's run pieces are merged by a loser tree. Ranges in order
 make up the ordered capture histories. URL, timestamp and id together order the captures, so that a URL with a third of
 all captures is spread over many ranges.
 """
@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -51,7 +52,7 @@ def write_warc(pages: DataFrame, path: str, first_date: str = "2024-01-01 00:00:
     keys = plain.select("page_id", digest.alias("digest"), size.alias("size"))
     # Only digests and ids are dealt by digest; a hot payload costs a map-side minimum and a split join.
     least = keys.where(F.col("size") >= MIN_REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "refers_to")
-    revisits = keys.select("page_id", "digest").join(least, "digest").where("page_id != refers_to").select("page_id", "refers_to").dropDuplicates(["page_id"])
+    revisits = keys.select("page_id", "digest").join(least.hint("merge"), "digest").where("page_id != refers_to").select("page_id", "refers_to").dropDuplicates(["page_id"])
     total = keys.agg(F.sum("size")).first()[0] or 0
     # The payloads move once. Revisits grow with the corpus: a merge join at every size.
     dealt = plain.repartition(max(1, -(-total // file_bytes)), "page_id").join(revisits.hint("merge"), "page_id", "left")
@@ -208,33 +209,26 @@ class LoserTree:
             self.winner = k
 
 
-def merge_index(runs: DataFrame, per_range: int = 50_000, sample: int = 20_000) -> DataFrame:
-    """The captures with capture_no, their place in the global order of URL key, timestamp and id. About ``sample`` keys
-    go to the driver to become splitters; they only balance the ranges of about ``per_range`` captures."""
-    n = runs.count()
-    ranges = max(1, -(-n // per_range))
+def merge_index(runs: DataFrame, per_range: int = 50_000) -> DataFrame:
+    """The captures with capture_no, their place in the global order of URL key, timestamp and id. Spark's range
+    partitioner deals them into ranges of about ``per_range`` captures; its sample grows with their number."""
+    ranges = max(1, -(-runs.count() // per_range))
     keys = ["url_key", "captured", "page_id"]
-    some = runs.where(F.pmod(F.xxhash64(*keys), F.lit(max(1, n // sample))) == 0) if ranges > 1 else runs.limit(0)
-    got = sorted((r[0], r[1], -(1 << 63) if r[2] is None else r[2]) for r in some.select(*keys).collect())
-    splitters = [got[len(got) * k // ranges] for k in range(1, ranges)] if got else []
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from bisect import bisect_right
-
-        for b in batches:
-            at = [bisect_right(splitters, (k.as_py(), c.as_py(), p.as_py() if p.is_valid else -(1 << 63))) for k, c, p in zip(*(b.column(x) for x in keys))]
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), *b.columns], ["index_range", *b.schema.names])
-
-    def merge(table: pa.Table) -> pa.Table:
-        table = table.sort_by([("run", "ascending"), ("seq", "ascending")])
-        heads = list(zip(*(table.column(c).to_pylist() for c in keys), range(table.num_rows)))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), _CAPTURE)
+        no_id = -(1 << 63)
+        heads = list(zip(*(table.column(c).to_pylist() for c in keys[:2]), [no_id if p is None else p for p in table.column("page_id").to_pylist()], range(table.num_rows)))
         run = np.array(table.column("run").to_pylist(), dtype=object)
         cuts = [0, *(np.flatnonzero(run[1:] != run[:-1]) + 1).tolist(), len(heads)]
         order = [h[-1] for h in LoserTree([heads[a:b] for a, b in zip(cuts, cuts[1:])])]
-        return table.take(pa.array(order, pa.int64())).append_column("index_pos", pa.array(range(len(order)), pa.int64()))
+        out = table.take(pa.array(order, pa.int64())).append_column("index_pos", pa.array(range(len(order)), pa.int64()))
+        place = pa.array([TaskContext.get().partitionId()] * len(order), pa.int32())
+        yield from out.append_column("index_range", place).to_batches()
 
-    placed = runs.mapInArrow(place, f"index_range int, {_CAPTURE_DDL}")
-    merged = materialize(placed.groupBy("index_range").applyInArrow(merge, f"index_range int, {_CAPTURE_DDL}, index_pos long"))
+    # A range's captures of one archive follow each other in their order: a piece of a sorted run.
+    dealt = runs.repartitionByRange(ranges, *keys).sortWithinPartitions("run", "seq")
+    merged = materialize(dealt.mapInArrow(merge, f"{_CAPTURE_DDL}, index_pos long, index_range int"))
     # A row per range, some ten thousands of captures each: one task may order them.
     sizes = merged.groupBy("index_range").agg(F.count(F.lit(1)).alias("n"))
     before = sizes.select("index_range", (F.sum("n").over(Window.orderBy("index_range")) - F.col("n")).alias("before"))
@@ -243,14 +237,14 @@ def merge_index(runs: DataFrame, per_range: int = 50_000, sample: int = 20_000)
 
 def archive(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as WARC archives, read them back and index them: a row per page with
-    page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, captured and capture_no, its place in the
-    global index.
+    page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, captured, capture_no, its place in the global
+    index, and archive and record_offset, the file that holds it and where in the inflated file its record begins.
 
     A null html is an empty payload; payloads under 100 bytes are always responses; a null url becomes urn:page:ID.
     Rows with a null page_id are left out. Rows that repeat a page_id are captured each. Other columns are ignored. An
-    empty table gives no rows.
+    empty table gives no rows. Memory follows the longest payload and a file's captures.
     """
     path = path or scratch_dir(pages.sparkSession)
     write_warc(pages, path)
     runs = materialize(read_runs(pages.sparkSession, path))
-    return merge_index(runs).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "capture_no")
+    return merge_index(runs).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured", "capture_no", F.col("run").alias("archive"), "record_offset")

@@ -31,6 +31,11 @@ def folder(spark, tmp_path_factory):
         if k % 5 == 0:
             rows += [(i + 1, text), (i + 2, text.replace("w", "W", 1) + " tail")]
         i += 5
+    menu = [say(20) for _ in range(3)]
+    for k in range(14):  # depleted documents, and copies, of one source
+        i += 3
+        rows += [(i, "\n".join([*menu, say(20)])), (i + 3000, "\n".join(menu[:2]) + " and so on " * (k % 2) + "\n" + footer)]
+    i += 10_000
     rows += [(i, None), (i + 1, ""), (i + 2, "too short"), (i + 3, "same words here " * 40), (None, say(60))]
     r.shuffle(rows)
     path = str(tmp_path_factory.mktemp("sf"))
@@ -40,25 +45,27 @@ def folder(spark, tmp_path_factory):
 
 
 def quality(docs: dict, sources: int = 3) -> dict:
-    lines = {}
-    for d, t in docs.items():
-        keys = [" ".join(x.strip(WS).split()).translate(LOWER) for x in (t or "").split("\n")] if t is not None else []
-        keys = [k for k in keys if k]
-        for n, k in enumerate(keys):
-            seen = lines.setdefault((d % sources, k), [set(), set(), set()])
-            seen[0].add(t)
-            seen[1].add(keys[n - 1] if n else None)
-            seen[2].add(keys[n + 1] if n + 1 < len(keys) else None)
-    bad = {k for k, (a, b, c) in lines.items() if len(a) > 10 and 5 * max(len(b), len(c)) >= 4 * len(a)}
-    out = {}
+    keys, fine, words = {}, {}, {}
     for d, t in docs.items():
+        keys[d] = [(d % sources, k) for x in (t or "").split("\n") if (k := " ".join(x.strip(WS).split()).translate(LOWER))]
         w = WORD.findall(t or "")
+        words[d] = len(w)
         grams = Counter(tuple(w[k : k + 3]) for k in range(len(w) - 2))
         again = {k + j for k in range(len(w) - 2) if grams[tuple(w[k : k + 3])] > 1 for j in range(3)}
-        gone = sum(len(k.split()) for x in (t or "").split("\n") if (d % sources, k := " ".join(x.strip(WS).split()).translate(LOWER)) in bad)
-        if len(w) >= 50 and 100 * len(again) <= 50 * len(w) and 100 * (len(w) - gone) >= 30 * len(w):
-            out[d] = t
-    return out
+        fine[d] = len(w) >= 50 and 100 * len(again) <= 50 * len(w)
+
+    def left(group: dict) -> set:
+        holders: dict = {}
+        for d in docs:
+            for k in keys[d]:
+                holders.setdefault(k, set()).add(group.get(d, d))
+        bad = {k for k, x in holders.items() if len(x) > 10}
+        return {d for d in docs if fine[d] and 100 * (words[d] - sum(len(k[1].split()) for k in keys[d] if k in bad)) >= 30 * words[d]}
+
+    suspects = {d: docs[d] for d in docs if fine[d]}
+    for d in left({}):
+        del suspects[d]
+    return {d: docs[d] for d in left(groups(suspects))}
 
 
 def drop_lines(docs: dict) -> dict:
@@ -67,7 +74,7 @@ def drop_lines(docs: dict) -> dict:
     return {d: "\n".join(x for x in t.split("\n") if not key(x) or n[key(x)] < 10) for d, t in docs.items()}
 
 
-def near(docs: dict) -> dict:
+def groups(docs: dict) -> dict:
     sets = {}
     for d, t in docs.items():
         w = WORD.findall(t.translate(LOWER))
@@ -78,6 +85,11 @@ def near(docs: dict) -> dict:
             if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                 x, y = sorted((group[a], group[b]))
                 group = {d: x if g == y else g for d, g in group.items()}
+    return group
+
+
+def near(docs: dict) -> dict:
+    group = groups(docs)
     return {d: t for d, t in docs.items() if group[d] == d}
 
 
