@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from clausemill.llm.common import arrow_batches, materialize
+from clausemill.llm.common import arrow_batches, materialize, scratch_dir, scratch_folder
 from clausemill.llm.decontaminate import find_items
 from clausemill.llm.line_dedup import drop_lines
 from clausemill.llm.minhash_dedup import near_duplicates
@@ -43,7 +43,7 @@ def near_dups(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that hold a benchmark item, give or take a few edits."""
     arrow_batches(spark)
-    return _only(docs, find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), min_chars=1), "not contaminated")
+    return _only(docs, find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "not contaminated")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,5 +68,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order over ``documents``, each written to the shared scratch folder and read again."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        path = scratch_dir(spark)
+        with scratch_folder(spark):
+            docs = materialize(stage(spark, docs, sf_dir), path)
     return STAGES[-1][1](spark, docs, sf_dir)
