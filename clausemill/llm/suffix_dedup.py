@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ANSWER, BASE_B, REQUEST, REQUEST_ARROW, answer_parts, arrow_rows, bundles_and_parts, cuts_by_part, forget, joined, materialize, meet, pack, part_of, planes, requests, unique_keys, unpack, window_hashes
+from .common import ANSWER, BASE_B, REQUEST, REQUEST_ARROW, answer_parts, arrow_rows, bundles_and_parts, cuts_by_part, forget, joined, materialize, meet, mix64, pack, part_of, planes, requests, unique_keys, unpack, window_hashes
 
 _BITS = 32
 #: Bytes of a bundle that are hashed at once; positions within a slice must fit into _PLACE bits.
@@ -72,7 +72,8 @@ class Runs:
             first = first[good]
             at.append(np.stack([a + first, sizes]))
             anchor.append(a + best[first])
-            hashes.append(keys[best[first]])
+            # Anchors are least hashes; mixed again, they spread over all parts.
+            hashes.append(mix64(keys[best[first]]))
         both = np.concatenate(at, axis=1) if at else np.zeros((2, 0), np.int64)
         self.start, self.size = both
         self.anchor = np.concatenate(anchor) if anchor else np.zeros(0, np.int64)
