@@ -10,7 +10,7 @@ are consecutive: a run. Runs whose anchor string occurs once in the corpus hold
 are. The others go, as the few bytes that they span, to the task of their anchor string. There the same sort finds
 equal runs, and where an anchor stands in different runs, it orders the suffixes at all window starts of these.
 
-An anchor that stands in more than _HOT places would be more than one task should sort. Its windows are re-keyed, each by
+An anchor with more than _HOT runs, counted once in each bundle, would be more than one task should sort. Its windows are re-keyed, each by
 128 bits of its own bytes, and Spark aggregates the least place of each with partial sums on the map side.
 """
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ANSWER, BASE_B, REQUEST, REQUEST_ARROW, answer_parts, arrow_rows, bundles_and_parts, cuts_by_part, forget, joined, materialize, meet, mix64, pack, part_of, planes, requests, unique_keys, unpack, window_hashes
+from .common import ANSWER, BASE_B, REQUEST, REQUEST_ARROW, answer_parts, arrow_rows, bundles_and_parts, cuts_by_part, forget, joined, materialize, meet, mix64, pack, part_of, planes, requests, span_hashes, unique_keys, unpack, window_hashes
 
 _BITS = 32
 #: Bytes of a bundle that are hashed at once; positions within a slice must fit into _PLACE bits.
@@ -31,7 +31,7 @@ _SLICE = 1 << 19
 _PLACE = 20
 #: Suffixes that one radix sort holds in memory.
 _SORTED = 200_000
-#: Places of one anchor string that one task sorts.
+#: Runs of one anchor string that one task sorts.
 _HOT = 10_000
 #: Parts of the blobs that hold a bundle's own notes, its windows of hot anchors, and the judgement of these.
 _NOTES, _HOT_WINDOWS, _HOT_LATER = -1, -2, -3
@@ -189,16 +189,27 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     bundles, parts = bundles_and_parts(docs)
 
     def ask(ids: np.ndarray, texts: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        tails, inverse, part = unique_keys(Runs(texts, length).hash, parts, _BITS)
-        times = np.bincount(inverse, minlength=len(tails)).astype(np.uint32)
+        runs = Runs(texts, length)
+        tails, inverse, part = unique_keys(runs.hash, parts, _BITS)
+        several = np.bincount(inverse, minlength=len(tails)) > 1
+        # Different runs of the anchor; equal ones of a bundle travel once.
+        kinds = np.ones(len(tails), dtype=np.uint32)
+        at = np.flatnonzero(several[inverse])
+        text = span_hashes(runs.buf, runs.start[at], runs.start[at] + runs.size[at] + length - 1)
+        order = np.lexsort((text, inverse[at]))
+        new = np.ones(len(at), dtype=bool)
+        new[1:] = (inverse[at][order][1:] != inverse[at][order][:-1]) | (text[order][1:] != text[order][:-1])
+        np.add.at(kinds, inverse[at][order[new]], 1)
+        kinds[several] -= 1
         for p, a, b in cuts_by_part(part):
-            yield p, pack(*planes(tails[a:b], _BITS // 8), times[a:b])
+            yield p, pack(*planes(tails[a:b], _BITS // 8), kinds[a:b], np.packbits(several[a:b]))
 
     def repeated(bundle_ids: list[int], blobs: list[bytes]) -> Iterator[tuple[int, bytes]]:
-        rows = [(joined(b[:-1]), b[-1]) for b in map(unpack, blobs)]
+        rows = [(joined(b[:-2]), b[-2], np.unpackbits(b[-1], count=len(b[-2]))) for b in map(unpack, blobs)]
         unique, inverse = np.unique(np.concatenate([r[0] for r in rows]), return_inverse=True)
-        times = np.bincount(inverse, weights=np.concatenate([r[1] for r in rows]), minlength=len(unique))
-        found = ((times > 1).astype(np.uint8) + (times > _HOT))[inverse]
+        kinds, several = (np.concatenate([r[k] for r in rows]) for k in (1, 2))
+        times = np.bincount(inverse, weights=1.0 + several, minlength=len(unique))
+        found = ((times > 1).astype(np.uint8) + (np.bincount(inverse, weights=kinds, minlength=len(unique)) > _HOT))[inverse]
         for b, f in zip(bundle_ids, np.split(found, np.cumsum([len(r[0]) for r in rows])[:-1])):
             yield b, pack(f)
 
