@@ -28,17 +28,20 @@ from pyspark.sql import functions as F
 from .common import gather, materialize, pick, scratch_dir, slices, text_bytes
 
 MAGIC = b"CMT1"
+_JOIN = "\x01"
+_STARTS = "\n" + _JOIN
 BLOCK_IDS = 4096
-_CACHE_SIZE = 400_000
+_CACHE_SIZE = 350_000
 
 
 def pack_block(ids: np.ndarray, percentile: float = 90.0) -> bytes:
     """One block of ids, at most BLOCK_IDS of them."""
     low = int(ids.min()) if len(ids) else 0
     rest = ids.astype(np.uint32) - np.uint32(low)
-    width = int(np.percentile(rest, percentile, method="higher")).bit_length() if len(ids) else 0
+    k = -(-(len(ids) - 1) * percentile // 100)  # the next higher value at that share
+    width = int(np.partition(rest, int(k))[int(k)]).bit_length() if len(ids) else 0
     at = np.flatnonzero(rest >> np.uint32(width)) if width < 32 else np.zeros(0, dtype=np.int64)
-    bits = ((rest[:, None] >> np.arange(width, dtype=np.uint32)) & np.uint32(1)).astype(np.uint8)
+    bits = np.unpackbits(rest.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
     packed = np.packbits(bits.ravel(), bitorder="little").tobytes()
     return struct.pack("<IIBI", len(ids), low, width, len(at)) + packed + at.astype("<u4").tobytes() + (rest[at] >> np.uint32(width)).astype("<u4").tobytes()
 
@@ -134,8 +137,9 @@ class CachedEncoder:
     """Encodes like the tokenizer file does, with a cache of stretches of text.
 
     The file's pre-tokenizer always cuts where white space follows something else, and a single line break is a token
-    of its own. So texts without two white spaces in a row are cut before each space and line break; the different
-    parts of a batch are looked up in the cache or encoded, and their ids put together. Other texts, and those that
+    of its own; so is, in any case, what marks follow a Latin letter. So texts without two white spaces in a row are cut
+    before each space, line break and such marks; the different parts of a batch are looked up in the cache or encoded,
+    and their ids put together. Other texts, and those that
     hold the string of an added token, are encoded whole. The first _CACHE_SIZE different parts are kept; others are
     encoded once for each batch, many in one call, with line breaks between them.
     """
@@ -143,6 +147,9 @@ class CachedEncoder:
     #: A superset of what any pre-tokenizer takes for white space.
     _white = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{180E}\x{2000}-\x{200B}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 
+    #: Marks after a Latin letter: a part that holds them starts with _JOIN, which no space precedes.
+    _marks = r"([A-Za-z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{FF}])([.,;:!?#*%]+)"
+
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -154,6 +161,8 @@ class CachedEncoder:
         line = self._whole(["a\nb"])[0]
         if len(line) != 3 or self._whole(["\n"])[0] != line[1:2] or self._whole(["a\n b"])[0][1:2] != line[1:2]:
             raise ValueError("the tokenizer does not cut at line breaks")
+        if any(self._whole([f"é{m}{x}"])[0] != [*self._whole(["é"])[0], *self._whole([m + x])[0]] for m in ".,;:!?#*%" for x in ("", m, "a", " a")):
+            raise ValueError("the tokenizer does not cut between letters and marks")
         self.line_id = line[1]
         #: Parts that follow a line break start with it, parts that follow a space do not start with that.
         self.cache: dict[str, bytes] = {"\n": np.array(line[1:2], "<u4").tobytes()}
@@ -186,6 +195,7 @@ class CachedEncoder:
     def _parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts, each with a line break in front, one after another, and where each ends."""
         text = lambda x: pa.scalar(x, pa.large_string())
+        texts = pc.replace_substring_regex(texts, self._marks, rf"\1 {_JOIN}\2")
         lists = pc.split_pattern(pc.binary_join_element_wise(text(""), pc.replace_substring(texts, "\n", " \n"), text("\n")), " ")
         parts = lists.flatten().dictionary_encode()
         strings = parts.dictionary.to_numpy(zero_copy_only=False)
@@ -203,10 +213,11 @@ class CachedEncoder:
 
     def _missing(self, parts: list[str]) -> list[bytes]:
         """Ids of each part, from one call over all of them on lines of their own."""
-        ids = np.array(self._whole(["\n".join([p[1:] if p[0] == "\n" else " " + p for p in parts])])[0], "<u4")
+        lines = [p[1:] if p[0] in _STARTS else " " + p for p in parts]
+        ids = np.array(self._whole(["\n".join(lines)])[0], "<u4")
         at = np.flatnonzero(ids == self.line_id)
         if len(at) != len(parts) - 1:
-            return [np.array(x, "<u4").tobytes() for x in self._whole([p if p[0] == "\n" else " " + p for p in parts])]
+            return [np.array(x, "<u4").tobytes() for x in self._whole(["\n" + t if p[0] == "\n" else t for p, t in zip(parts, lines)])]
         raw, line = ids.tobytes(), np.array([self.line_id], "<u4").tobytes()
         starts, ends = [0, *(at * 4 + 4).tolist()], [*(at * 4).tolist(), len(raw)]
         return [line + raw[a:b] if p[0] == "\n" else raw[a:b] for p, a, b in zip(parts, starts, ends)]
@@ -220,7 +231,7 @@ def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], CachedEncoder
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, rows, size = encoder(), None, [], 0
         for b in batches:
-            for doc_ids, texts in slices(b, 8 << 20):
+            for doc_ids, texts in slices(b, 4 << 20):
                 for doc_id, ids in zip(doc_ids.to_pylist(), enc.encode_all(texts, end_id)):
                     if shard is None:
                         shard, rows = ShardWriter(percentile), [MAGIC]
