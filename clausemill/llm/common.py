@@ -405,6 +405,8 @@ def slices(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[tuple[pa.Arra
         stop = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size)) + 1
         yield batch.column(0)[at:stop], batch.column(1)[at:stop]
         at = stop
+    # Workers outlive their stage: what Arrow has in hand goes back.
+    pa.default_memory_pool().release_unused()
 
 
 def free_name(taken: list[str], name: str) -> str:
@@ -414,6 +416,6 @@ def free_name(taken: list[str], name: str) -> str:
     return name
 
 
-def arrow_batches(spark: SparkSession, size: str = "16m") -> None:
+def arrow_batches(spark: SparkSession, size: str = "8m") -> None:
     """Bound what one Arrow batch holds, so that long texts do not fill a Python worker."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)

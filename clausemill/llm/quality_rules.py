@@ -79,8 +79,8 @@ def _lines(docs: DataFrame, host: str) -> DataFrame:
     rows = (
         pick(docs, "doc_id", "text", host).toDF("doc_id", "text", "host")
         .select("doc_id", F.xxhash64("text").alias("text_hash"), F.xxhash64(F.coalesce(F.col("host").cast("string"), F.lit(""))).alias("host"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+        .where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
         .withColumn("key", ascii_lower(F.regexp_replace(F.btrim("line", F.lit(SPACES)), r"[\x20\x09-\x0D]+", " ")))
-        .where("key != ''")
     )
     return rows.select("doc_id", "text_hash", "pos", *hash128("k", "host", "key"), (F.length("key") - F.length(F.translate("key", " ", "")) + 1).alias("words"))
 

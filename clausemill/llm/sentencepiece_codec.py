@@ -32,7 +32,8 @@ from .common import gather, materialize, pick, slices
 CHUNK_CHARS = 32_768
 #: Chunks that one task walks.
 CHUNKS_PER_TASK = 100
-_CACHE_SIZE = 250_000
+#: Words, and stretches with marks, that a worker keeps; a worker outlives its stage, so they are few.
+_CACHE_WORDS, _CACHE_UNITS, _CACHE_PAIRS = 100_000, 50_000, 30_000
 _SPACE = "▁"
 _CUT = re.compile(f"{_SPACE}+[^{_SPACE}]*|[^{_SPACE}]+")
 _CUT_PLACE = re.compile(f"(?<=[^{_SPACE}])(?={_SPACE})")
@@ -69,7 +70,7 @@ class Pieces:
         self.unknown_score = min(self.score.values(), default=0.0) - 10.0
         self.cache: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
-        self.compatible = lru_cache(maxsize=200_000)(self._compatible)
+        self.compatible = lru_cache(maxsize=_CACHE_PAIRS)(self._compatible)
 
     # ---- whole texts
 
@@ -86,7 +87,7 @@ class Pieces:
         # The library puts a mark in front itself.
         ids = self.library.encode([u[1:].replace(_SPACE, " ") if len(u) > 1 else "" for u in missing], num_threads=1)
         new = {u: array("I", x).tobytes() if len(u) > 1 else self.of(u) for u, x in zip(missing, ids)}
-        if len(self.cache) < _CACHE_SIZE:
+        if len(self.cache) < _CACHE_UNITS:
             self.cache.update({u: x for u, x in new.items() if len(u) <= 64})
         return [new[u] if x is None else x for u, x in zip(units, known)]
 
@@ -118,7 +119,7 @@ class Pieces:
             some = missing[k : k + 5000]
             for i, x in zip(some, self.library.encode([words[i] for i in some], num_threads=1)):
                 known[i] = array("I", x).tobytes()
-                if len(self.words) < _CACHE_SIZE and len(words[i]) <= 64:
+                if len(self.words) < _CACHE_WORDS and len(words[i]) <= 64:
                     self.words[words[i]] = known[i]
         return known
 
@@ -320,7 +321,7 @@ def encode(docs: DataFrame, model_file: str, chunk_chars: int = CHUNK_CHARS) ->
     def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = pieces(model_file)
         for b in batches:
-            for doc_ids, texts in slices(b, 4 << 20):
+            for doc_ids, texts in slices(b):
                 yield pa.RecordBatch.from_arrays([doc_ids, pa.array(p.encode_all(texts), pa.binary())], ["doc_id", "ids"])
 
     return plain.where(~giant).mapInArrow(small, _IDS).unionByName(_encode_giant(plain.where(giant), model_file, chunk_chars))
