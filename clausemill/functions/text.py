@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,14 +53,45 @@ def dehyphenate(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?i)([a-z])-{WS}*\n{WS}*([a-z])", "$1$2")
 
 
+#: Attributes that any tag may have, those of some tags, and the style values that may stay.
+ANY_ATTRIBUTES = ["class", "id", "style"]
+TAG_ATTRIBUTES = {"table": ["border", "cellpadding", "cellspacing"], "td": ["colspan", "rowspan"], "th": ["colspan", "rowspan"]}
+ALLOWED_STYLE = r"^(text-align:(left|right|center|justify)|font-weight:(bold|normal)|font-style:(italic|normal))$"
+
+
+def _style(value: Column) -> Column:
+    """The declarations that may stay."""
+    tight = F.regexp_replace(F.regexp_replace(value, r"\s*([:;])\s*", "$1"), r"^\s+|\s+$", "")
+    return F.array_join(F.filter(F.split(tight, ";"), lambda x: x.rlike(ALLOWED_STYLE)), ";")
+
+
+def _attribute(tag: Column) -> Callable[[Column], Column]:
+    def clean(a: Column) -> Column:
+        key = F.lower(F.regexp_extract(a, r"^\s([A-Za-z-]+)", 1))
+        value = F.regexp_replace(F.regexp_replace(a, r"^\s[A-Za-z-]+\s*=\s*", ""), "^[\"']|[\"']$", "")
+        whole = F.concat(F.lit(" "), key, F.lit('="'), value, F.lit('"'))
+        own = reduce(lambda x, y: x | y, [(tag == t) & key.isin(names) for t, names in TAG_ATTRIBUTES.items()], key.isin(ANY_ATTRIBUTES))
+        style = _style(value)
+        return F.when((key == "style") & (style != ""), F.concat(F.lit(' style="'), style, F.lit('"'))).when(own & (key != "style"), whole).otherwise("")
+
+    return clean
+
+
+def _piece(p: Column) -> Column:
+    tag = F.lower(F.regexp_extract(p, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+    attributes = F.regexp_extract_all(p, F.lit("\\s[A-Za-z-]+\\s*=\\s*(?:\"[^\"]*\"|'[^']*'|[^\\s>\"']+)"), F.lit(0))
+    opened = F.concat(F.lit("<"), tag, F.array_join(F.transform(attributes, _attribute(tag)), ""), F.when(tag == "br", " />").otherwise(">"))
+    kept = F.when(F.startswith(p, F.lit("</")), F.concat(F.lit("</"), tag, F.lit(">"))).otherwise(opened)
+    return F.when(tag.isin(ALLOWED_TAGS), kept).when((tag != "") | p.rlike("^<[!?]"), "").otherwise(p)
+
+
 def sanitise(html: Column) -> Column:
-    """P-3: scripts, styles and comments go with their content, other tags that are not allowed go without it, and
-    attributes other than class, id, colspan and rowspan go. A flat filter for corpus cleaning, not a parser."""
+    """P-3: scripts, styles and comments go with their content, other tags that are not allowed go without it, and so do
+    attributes and style declarations that are not. Text outside tags stays as it is. A flat filter for corpus
+    cleaning, not a parser."""
     html = F.regexp_replace(html, r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>", "")
     html = F.regexp_replace(html, r"(?s)<!--.*?-->", "")
-    html = F.regexp_replace(html, rf"(?i)</?(?!(?:{'|'.join(ALLOWED_TAGS)})\b)[a-z!][^>]*>", "")
-    attribute = r"""(?:"[^"]*"|'[^']*'|[^\s>]+)"""
-    return F.regexp_replace(html, rf"(?i)(?<=[\s\"'])(?!class=|id=|colspan=|rowspan=)[a-z][a-z-]*={attribute}(?=[^<]*>)", "")
+    return F.array_join(F.transform(F.regexp_extract_all(html, F.lit(r"<[^>]*>|[^<]+|<"), F.lit(0)), _piece), "")
 
 
 def remove_empty_paragraphs(html: Column) -> Column:

@@ -79,16 +79,19 @@ def merged_notes(notes: Column, warnings: Column, jurisdiction: Column, corrupti
     return F.concat_ws("\n\n", some(notes), some(warnings, "WARNING: "), some(jurisdiction, "JURISDICTION: "), some(corruption))
 
 
-def clean_clauses(sheet: DataFrame, standard: str, order: str = "idx") -> DataFrame:
-    """N-1 to N-12: the 14-column clause table of a sheet with SHEET_COLUMNS and a row order. Rows without a number are
-    left out; the second and later clauses of a number get #2, #3, ... in their id."""
+def clean_clauses(sheet: DataFrame, standard: str | Column, order: str = "idx") -> DataFrame:
+    """N-1 to N-12: the 14-column clause table of a sheet with SHEET_COLUMNS and a row order. ``standard`` names the
+    standard of all rows, or is a column with that of each. Rows without a number are left out; the second and later
+    clauses of a standard and number get #2, #3, ... in their id."""
+    named = F.lit(standard) if isinstance(standard, str) else standard
+    own = F.concat(named, F.lit(":"))
     filled = sheet.na.fill("", [c for c in SHEET_COLUMNS if c in sheet.columns])
     rows = filled.withColumn("number", clause_number(F.col("clause_number"))).where("number <> ''")
-    nth = F.row_number().over(Window.partitionBy("number").orderBy(order))
+    nth = F.row_number().over(Window.partitionBy(named, "number").orderBy(order))
     heading, body = heading_and_body(F.col("clause_text"), F.col("number"))
     parent = parent_number(F.col("number"))
     return rows.withColumn("nth", nth).select(
-        F.concat(F.lit(f"{standard}:"), "number", F.when(F.col("nth") > 1, F.concat(F.lit("#"), F.col("nth").cast("string"))).otherwise("")).alias("id"),
+        F.concat(own, "number", F.when(F.col("nth") > 1, F.concat(F.lit("#"), F.col("nth").cast("string"))).otherwise("")).alias("id"),
         F.col("number").alias("clause_number"),
         heading.alias("heading"),
         body.alias("body"),
@@ -96,7 +99,7 @@ def clean_clauses(sheet: DataFrame, standard: str, order: str = "idx") -> DataFr
         "exceptions",
         level(F.col("number")).alias("level"),
         parent.alias("parent_number"),
-        F.when(parent != "", F.concat(F.lit(f"{standard}:"), parent)).otherwise("").alias("parent_id"),
+        F.when(parent != "", F.concat(own, parent)).otherwise("").alias("parent_id"),
         is_appendix(F.col("number")).alias("appendix_flag"),
         F.lit(True).alias("embeddable"),
         (strip(body) == "").alias("is_heading_only"),

@@ -13,14 +13,33 @@ from clausemill.functions import variations as V
 from clausemill.functions.text import collapse, dehyphenate
 
 CORE_TYPES = ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "SPECIFICATION_CLAUSE"]
-#: The unit types of the published specification and of the code.
+#: The unit types of the published specification, in its order, and the one more that classification gives.
 UNIT_TYPES = [
-    "VOLUME", "SECTION", "PART", "SUBPART", "CLAUSE", "SUBCLAUSE", "OBJECTIVE", "FUNCTIONAL_STATEMENT",
-    "PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "VERIFICATION_METHOD", "GOVERNING_REQUIREMENT",
-    "EVIDENCE_OF_SUITABILITY", "DEFINITION", "STATE_VARIATION", "SPECIFICATION_CLAUSE", "TABLE", "TABLE_ROW",
-    "TABLE_CELL", "REFERENCED_DOCUMENT", "NOTE", "OTHER",
+    "VOLUME", "SECTION", "PART", "SUBPART",
+    "HEADING", "INTRODUCTION", "INTRODUCTORY_PROVISION", "GOVERNING_REQUIREMENT", "OBJECTIVE", "FUNCTIONAL_STATEMENT",
+    "PROVISION", "PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "VERIFICATION_METHOD", "DEFINITION", "APPLICATION",
+    "SPECIFICATION", "SPECIFICATION_CLAUSE", "SCHEDULE", "APPENDIX",
+    "EXPLANATORY_INFORMATION", "NOTE", "EXCEPTION",
+    "STATE_VARIATION", "STATE_VARIATION_AMENDMENT",
+    "TABLE", "TABLE_NOTE", "FIGURE",
+    "SCOPE_SUMMARY", "SCOPE_VOLUME_SELECTION", "SCOPE_CLASS_APPLICABILITY", "SCOPE_EXCEPTION", "GOVERNANCE_RULE",
+    "DISCIPLINE_RULE", "CONDITIONAL_RULE", "PATHWAY_SELECTION", "PATHWAY_COMPLETE", "CALCULATION_RULE", "SIZING_RULE",
+    "CONSTANT", "PERFORMANCE_CRITERION", "TABLE_ROW",
+    "OTHER",
+    "EVIDENCE_OF_SUITABILITY",
 ]
-WEIGHTS = ["MANDATORY", "OPTIONAL_PATHWAY", "NON_MANDATORY"]
+#: The published enumerations by column; units that are no variation have no action.
+ENUMS = {
+    "unit_type": UNIT_TYPES,
+    "compliance_weight": ["MANDATORY", "OPTIONAL_PATHWAY", "NON_MANDATORY"],
+    "ncc_pathway": ["PERFORMANCE", "DTS", "VERIFICATION", "OBJECTIVE", "FUNCTIONAL"],
+    "normative_status": ["NORMATIVE", "INFORMATIVE"],
+    "conditionality": ["ALWAYS", "IF_DTS_SELECTED", "IF_PERFORMANCE_SELECTED"],
+    "variation_action": ["", "DELETE", "INSERT", "REPLACE", "NOT_APPLICABLE", "AMEND_PART"],
+    "asset_type": ["NONE", "IMAGE", "TABLE"],
+    "applies_to_volume": ["V1", "V2", "V3", ""],
+    "applies_state": ["SA", "NSW", "VIC", "QLD", "WA", "TAS", "ACT", "NT", ""],
+}
 
 
 def blank(c: str | Column) -> Column:
@@ -203,9 +222,9 @@ def duplicate_anchors(units: DataFrame) -> DataFrame:
 
 
 def invalid_enums(units: DataFrame) -> DataFrame:
-    """Q-10: values outside the allowed lists."""
-    bad = lambda name, c, allowed: units.where(~c.isin(allowed)).groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("column_name"), "value", "n")
-    return bad("unit_type", F.col("unit_type"), UNIT_TYPES).unionByName(bad("compliance_weight", F.col("compliance_weight"), WEIGHTS)).unionByName(bad("applies_state", F.col("applies_state"), ["", *V.STATES]))
+    """Q-10: values outside the allowed lists, of the columns that ``units`` has, from one pass."""
+    bad = [F.when(~F.col(c).isin(ok), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))) for c, ok in ENUMS.items() if c in units.columns]
+    return units.select(F.explode(F.array_compact(F.array(*bad))).alias("x")).groupBy("x.column_name", "x.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def quality_flags() -> Column:

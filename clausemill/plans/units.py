@@ -153,7 +153,7 @@ def publish(rows: DataFrame, mapping: DataFrame | None = None, source_file: str
         "internal_refs": F.to_json(V.internal_refs(text, label)),
         "ncc_pathway": U.pathway(kind),
         "normative_status": U.normative_status(kind),
-        "conditionality": F.lit("ALWAYS"),
+        "conditionality": V.conditionality(U.pathway(kind)),
         "heading_context": F.col("heading_level"),
         "raw_title": F.col("heading_text"),
         "raw_text": text,

@@ -59,6 +59,7 @@ QUERIES = {
     "c19_align_first_containment": lambda s, d: C.align_first_containment(_elements(s, d), _p(s, d)),
     "n01_n07_numbers": _numbers,
     "n05_n12_clean_clauses": _clean,
+    "n08_clauses_by_standard": lambda s, d: N.clean_clauses(X.clause_sheet(s, d).withColumn("std", F.expr("concat('AS', cast(3000 + idx % 4 as string))")), F.col("std")).select("id", "clause_number", "parent_id", "source_rows"),
     "n13_children": lambda s, d: N.children(_clean(s, d)),
     "n13_orphans": lambda s, d: N.orphans(_clean(s, d)),
 }
@@ -101,6 +102,8 @@ _CLEAN = f"""(select 'AS3000:' || number || case when nth > 1 then '#' || nth el
       from (select *, coalesce(lines[1], '') first, array_to_string(lines[2:], chr(10)) others, row_number() over (partition by number order by idx) nth
         from (select *, {strip('clause_text')} whole, list_filter(list_transform(string_split({strip('clause_text')}, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') lines from {_NUM} where number <> ''))))"""
 
+CLEAN_SQL = _CLEAN
+
 ORACLES = {
     "c01_exclusion": f"select doc_id, para_idx, {_EXCLUDED} excluded from {_P}",
     "c02_c03_headings": f"select * from {_HEADINGS}",
@@ -146,6 +149,8 @@ ORACLES = {
     "c19_align_first_containment": f"select e.doc_id, el_idx, min(para_idx) para_idx from {_EL} e join {_PT} p on p.doc_id = e.doc_id and (t = p or contains(t, substr(p, 1, 50)) or contains(p, substr(t, 1, 50))) group by 1, 2",
     "n01_n07_numbers": f"select idx, bare, single, number, {_NOTE} note, cast(len({_PARTS}) as int) \"level\", {_PARENT} parent, {_APPENDIX} appendix from {_NUM}",
     "n05_n12_clean_clauses": f"select * from {_CLEAN}",
+    "n08_clauses_by_standard": f"""select std || ':' || number || case when nth > 1 then '#' || nth else '' end id, number clause_number, case when {_PARENT} <> '' then std || ':' || ({_PARENT}) else '' end parent_id, '[' || idx || ']' source_rows
+        from (select *, row_number() over (partition by std, number order by idx) nth from (select *, concat('AS', cast(3000 + idx % 4 as varchar)) std from {_NUM}) where number <> '')""",
     "n13_children": f"select parent_id, id, \"level\" from {_CLEAN} where parent_id in (select id from {_CLEAN})",
     "n13_orphans": f"select id, parent_id from {_CLEAN} where parent_id <> '' and parent_id not in (select id from {_CLEAN})",
 }

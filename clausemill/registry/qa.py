@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clausemill.functions import units as U
+from clausemill.functions import variations as V
 from clausemill.operators import lookups as L
 from clausemill.operators import qa as Q
 from clausemill.operators import routing as R
@@ -62,6 +63,35 @@ def _semantic(s, d):
     return R.semantic_search(queries, _vectors(s, d), [0, 1, 2, 3, 4])
 
 
+#: Rules of our own, shaped like a coverage map's: topic, disallowed volumes, types that alone are not enough, what to say.
+_RULES = [("T1", ["Vol2", "Vol3"], ["INTRODUCTORY_PROVISION"], "ONLY WHERE ACCESS IS REQUIRED"), ("T2", ["Vol9"], ["OBJECTIVE", "FUNCTIONAL_STATEMENT"], "SEE VOLUME TWO"), ("T3", ["Vol9"], ["GOVERNING_REQUIREMENT"], "GENERAL")]
+#: Rule, words of the question that trigger it, phrases that an answer must have, phrases that it must not.
+_LISTS = [("exits", ["every exit", "all exits"], ["Volume One", "10 mm"], ["maybe", "always"]), ("terms", ["meaning", "apply"], ["means"], ["about right"])]
+
+
+def _rules(s):
+    return s.createDataFrame(_RULES, "topic_id string, disallow_volumes array<string>, disallow_if_only array<string>, must_say string")
+
+
+def _phrase_lists(s):
+    return s.createDataFrame(_LISTS, "rule string, if_question_contains array<string>, must_include array<string>, disallow array<string>")
+
+
+def _referenced(s, d) -> DataFrame:
+    return derived(s, d).withColumn("external_refs", F.array_join(V.external_refs(F.col("text")), "|"))
+
+
+#: Some values go astray; clause and introduction types are put in to see which are allowed.
+_ODD = {
+    "unit_type": "case when ord % 9 = 0 then 'ODD' when ord % 9 = 1 then 'CLAUSE' when ord % 9 = 2 then 'SUBCLAUSE' when ord % 9 = 3 then 'INTRODUCTION' when ord % 9 = 4 then 'FIGURE' else unit_type end",
+    "compliance_weight": "case when ord % 10 = 3 then 'OPTIONAL' else compliance_weight end",
+    "ncc_pathway": "case when ord % 11 = 3 then 'FUNCTIONAL' when ord % 11 = 4 then 'functional' else ncc_pathway end",
+    "normative_status": "case when ord % 13 = 3 then '' else normative_status end",
+    "conditionality": "case when ord % 14 = 3 then 'IF_VERIFICATION_SELECTED' else conditionality end",
+    "applies_to_volume": "case when ord % 15 = 3 then 'Vol1' else applies_to_volume end",
+    "applies_state": "case when ord % 16 = 3 then 'NZ' else applies_state end",
+}
+
 QUERIES = {
     "j01_discipline": lambda s, d: L.with_discipline(derived(s, d).select("volume", "ord", "unit_label"), _mapping(s)).select("volume", "ord", "discipline"),
     "j02_part_codes": lambda s, d: derived(s, d).select("volume", "ord", U.clause_part_code(F.col("clause_ref")).alias("clause_part_code"), U.clause_part_code(F.concat("clause_ref", F.lit("a"))).alias("with_suffix")),
@@ -95,7 +125,7 @@ QUERIES = {
     "q07_backfill": lambda s, d: Q.backfill_tables(_ready(s, d).withColumns({"section_code": F.lit(""), "part_code": F.expr("case when ord % 4 = 0 then part_code else '' end")})).select("volume", "ord", "section_code", "part_code", "table_id", "table_label", "updated", "cleared"),
     "s11_backfill_summary": lambda s, d: Q.backfill_summary(Q.backfill_tables(_ready(s, d).withColumns({"section_code": F.lit(""), "part_code": F.lit("")}))),
     "q09_duplicate_anchors": lambda s, d: Q.duplicate_anchors(_ready(s, d)),
-    "q10_invalid_enums": lambda s, d: Q.invalid_enums(_ready(s, d).withColumn("unit_type", F.expr("case when ord % 9 = 0 then 'ODD' else unit_type end"))),
+    "q10_invalid_enums": lambda s, d: Q.invalid_enums(_ready(s, d).selectExpr("*", "case ncc_pathway when 'DTS' then 'IF_DTS_SELECTED' when 'PERFORMANCE' then 'IF_PERFORMANCE_SELECTED' else 'ALWAYS' end conditionality").selectExpr(f"* except ({', '.join(_ODD)})", *[f"{e} {c}" for c, e in _ODD.items()])),
     "q11_quality_flags": lambda s, d: _ready(s, d).withColumn("text", F.col("marked")).select("volume", "ord", Q.quality_flags().alias("flags")),
     "q12_gates": lambda s, d: Q.gates(_rich(s, d)),
     "r01_classify": _classified,
@@ -107,6 +137,13 @@ QUERIES = {
     "r07_search": lambda s, d: R.search(derived(s, d), ["building", "comply"], "NSW", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION"]),
     "r08_semantic_search": _semantic,
     "r09_published_sql": lambda s, d: derived(s, d).where("unit_type = 'PERFORMANCE_REQUIREMENT' and unit_label like 'H1%' and text like '%AS 10%'").select("volume", "ord", "unit_label", "title"),
+    "r09_requirements_of_a_volume": lambda s, d: R.published_query(_referenced(s, d), volume="Vol2", unit_type="PERFORMANCE_REQUIREMENT").select("unit_label", "title", "text"),
+    "r09_variations_of_a_state": lambda s, d: R.published_query(_referenced(s, d), state="NSW").select("unit_label", "variation_action", "affected_unit_label", "text"),
+    "r09_provisions_of_a_part": lambda s, d: R.published_query(_referenced(s, d), volume="Vol2", label="H2").select("unit_label", "unit_type", "compliance_weight", "title"),
+    "r09_units_citing_a_standard": lambda s, d: R.published_query(_referenced(s, d), standard="AS 1001").select("unit_label", "unit_type", "title"),
+    "r07_filtered_search": lambda s, d: R.search(derived(s, d).withColumn("applies_to_class", F.expr("concat('Class ', cast(1 + ord % 10 as string))")), ["building", "comply"], "VIC", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "VERIFICATION_METHOD"], section="C", building_class="5"),
+    "r05_rules": lambda s, d: R.evidence_rules(derived(s, d).join(F.broadcast(X.dims(s)["topic"].selectExpr("topic_id", "section_code")), "section_code"), _rules(s)),
+    "r06_phrase_lists": lambda s, d: R.phrase_lists(_answers(s, d), _phrase_lists(s)),
     "r10_state_differences": lambda s, d: R.state_differences(derived(s, d), "NSW", "VIC"),
     "r11_embedding_units": lambda s, d: R.embedding_units(derived(s, d)),
 }
@@ -159,6 +196,10 @@ _SEARCH = "len(string_split_regex(lower(text), '\\bbuilding\\b')) - 1 + len(stri
 _SIDE = lambda st: f"(select volume, unit_label, min(text) t from {_D} where applies_state = '{st}' group by 1, 2)"
 _DISC = f"(select volume, code, array_to_string(disciplines, ', ') d from {_MAP})"
 
+_Q10 = f"(select *, case ncc_pathway when 'DTS' then 'IF_DTS_SELECTED' when 'PERFORMANCE' then 'IF_PERFORMANCE_SELECTED' else 'ALWAYS' end conditionality from {_D})"
+#: Of the published types those that the query can meet.
+_ALLOWED_TYPES = "'GOVERNING_REQUIREMENT', 'OBJECTIVE', 'FUNCTIONAL_STATEMENT', 'PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD', 'STATE_VARIATION', 'INTRODUCTION', 'FIGURE'"
+
 ORACLES = {
     "j01_discipline": f"""select u.volume, ord, coalesce(a.d, b.d, c.d, '') discipline from {X.UNITS_SQL} u left join {_DISC} a on a.volume = u.volume and a.code = {last_part('unit_label')}
         left join {_DISC} b on b.volume = u.volume and b.code = regexp_extract({bare_ref('unit_label')}, '^([A-Z])', 1) left join {_DISC} c on c.volume = u.volume and c.code = regexp_extract({bare_ref('unit_label')}, '^([A-Z]\\d+)', 1)""",
@@ -208,7 +249,10 @@ ORACLES = {
     "q07_backfill": f"select * from {_FILL(f"(select * replace ('' as section_code, case when ord % 4 = 0 then part_code else '' end as part_code) from {_D})")}",
     "s11_backfill_summary": f"select count(*) total_rows, count(*) filter (updated) updated_rows, count(*) filter (cleared) cleared_rows, count(*) filter (not updated and not cleared) skipped_rows from {_FILL(f"(select * replace ('' as section_code, '' as part_code) from {_D})")}",
     "q09_duplicate_anchors": f"select anchor_id, count(*) n from {_D} where anchor_id <> '' group by 1 having count(*) > 1",
-    "q10_invalid_enums": f"select 'unit_type' column_name, 'ODD' \"value\", count(*) n from {_D} where ord % 9 = 0 having count(*) > 0",
+    "q10_invalid_enums": "select column_name, \"value\", count(*) n from (" + " union all ".join(f"select '{c}' column_name, {e} \"value\" from {_Q10}" for c, e in _ODD.items()) + f""")
+        where not (case column_name when 'unit_type' then "value" in ({_ALLOWED_TYPES}) when 'compliance_weight' then "value" in ('MANDATORY', 'OPTIONAL_PATHWAY', 'NON_MANDATORY') when 'ncc_pathway' then "value" in ('PERFORMANCE', 'DTS', 'VERIFICATION', 'OBJECTIVE', 'FUNCTIONAL')
+          when 'normative_status' then "value" in ('NORMATIVE', 'INFORMATIVE') when 'conditionality' then "value" in ('ALWAYS', 'IF_DTS_SELECTED', 'IF_PERFORMANCE_SELECTED') when 'applies_to_volume' then "value" in ('V1', 'V2', 'V3', '')
+          else "value" in ('SA', 'NSW', 'VIC', 'QLD', 'WA', 'TAS', 'ACT', 'NT', '') end) group by 1, 2""",
     "q11_quality_flags": f"""select volume, ord, array_to_string(list_filter([case when trim(marked) = '' then 'MISSING_TEXT' end, case when trim(title) = '' then 'MISSING_TITLE' end,
         case when case regexp_extract(unit_label, '^[A-Z]\\d+([A-Z])\\d+', 1) when 'G' then 'GOVERNING_REQUIREMENT' when 'O' then 'OBJECTIVE' when 'F' then 'FUNCTIONAL_STATEMENT' when 'P' then 'PERFORMANCE_REQUIREMENT' when 'D' then 'DTS_PROVISION' when 'V' then 'VERIFICATION_METHOD' else '' end <> unit_type then 'CONTEXT_INFERRED' end,
         case when unit_type <> 'STATE_VARIATION' and regexp_matches(marked, '\\bNSW\\s+([A-Z]\\d+[A-Z]\\d+)\\((\\d+)\\)') then 'STATE_VARIATION_EMBEDDED' end], lambda x: x is not null), '|') flags from {_D}""",
@@ -231,6 +275,18 @@ ORACLES = {
         t as (select *, row_number() over (partition by qid order by score desc, vec_id) nth from s)
         select qid, vec_id, score, cast(place as int) place from (select *, row_number() over (partition by qid order by score desc, vec_id) place from t where nth <= 20 and label in (0, 1, 2, 3, 4)) where place <= 5""",
     "r09_published_sql": f"select volume, ord, unit_label, title from {_D} where unit_type = 'PERFORMANCE_REQUIREMENT' and unit_label like 'H1%' and text like '%AS 10%'",
+    "r09_requirements_of_a_volume": f"select unit_label, title, text from {_D} where volume = 'Vol2' and unit_type = 'PERFORMANCE_REQUIREMENT'",
+    "r09_variations_of_a_state": f"select unit_label, variation_action, affected_unit_label, text from {_D} where applies_state = 'NSW'",
+    "r09_provisions_of_a_part": f"select unit_label, unit_type, compliance_weight, title from {_D} where volume = 'Vol2' and unit_label like 'H2%'",
+    "r09_units_citing_a_standard": f"select unit_label, unit_type, title from {_D} where array_to_string(regexp_extract_all(text, '\\b(AS/NZS \\d+|AS \\d+|ISO \\d+)', 1), '|') like '%AS 1001%'",
+    "r07_filtered_search": f"""select volume, ord, unit_label, cast({_SEARCH} as int) "rank", case unit_type when 'PERFORMANCE_REQUIREMENT' then 2 else 1 end weight from {_D}
+        where applies_state in ('', 'VIC') and unit_type in ('PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD') and section_code = 'C' and 1 + ord % 10 = 5 and {_SEARCH} > 0 order by "rank" desc, weight desc, volume, ord limit 5""",
+    "r05_rules": f"""select topic_id, count(*) filter (list_contains(bad, volume)) disallowed, bool_and(list_contains(only_types, unit_type)) only_weak_types,
+        case when bool_and(list_contains(only_types, unit_type)) or count(*) filter (list_contains(bad, volume)) > 0 then any_value(say) else '' end must_say
+        from {_D} join (select topic_id, section_code from {_DIM['topic']}) using (section_code) join (values {', '.join(f"('{t}', {v}, {o}, '{m}')" for t, v, o, m in _RULES)}) r(topic_id, bad, only_types, say) using (topic_id) group by 1""",
+    "r06_phrase_lists": f"""select qid, rule, len(list_filter(must, lambda x: not contains(lower(answer), lower(x)))) missing, len(list_filter(bad, lambda x: contains(lower(answer), lower(x)))) forbidden
+        from (select qid, question, case qid % 3 when 0 then 'Volume One means 10 mm' when 1 then 'maybe about right' else '' end answer from {X.QUESTIONS_SQL})
+        join (values {', '.join(f"('{r}', {q}, {m}, {b})" for r, q, m, b in _LISTS)}) r(rule, trig, must, bad) on len(list_filter(trig, lambda x: contains(lower(question), lower(x)))) > 0""",
     "r10_state_differences": f"select coalesce(a.volume, b.volume) volume, coalesce(a.unit_label, b.unit_label) unit_label, a.t is null only_in_b, b.t is null only_in_a from {_SIDE('NSW')} a full join {_SIDE('VIC')} b on a.volume = b.volume and a.unit_label = b.unit_label where a.t is distinct from b.t",
     "r11_embedding_units": f"""select volume, ord, concat_ws(' ', unit_type, compliance_weight) authority, concat_ws(chr(10), nullif(title, ''), text) evidence,
         cast(to_json({{'volume': volume, 'section_code': section_code, 'part_code': part_code, 'applies_state': applies_state}}) as varchar) metadata from {_D}""",

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 COVERAGE_SCHEMA = """volumes array<struct<volume: string, topics: array<struct<topic_id: string, section_code: string,
   min_keyword_matches: int, keywords: array<string>, exclude_keywords: array<string>,
-  routes: array<struct<part_codes: array<string>, disciplines: array<string>>>>>>>"""
+  routes: array<struct<part_codes: array<string>, disciplines: array<string>>>, allowed_unit_types: array<string>,
+  required_aspects: array<string>, aspect_extractors: array<struct<aspect: string, patterns: array<string>>>,
+  guardrails: struct<disallow_volumes: array<string>, must_match: array<string>, disallow_if_only_unit_type: array<string>,
+    if_missing_must_say: array<string>, custom_rules: array<struct<rule: string, if_question_contains: array<string>,
+    must_include_phrase: array<string>, disallow_phrases: array<string>>>>>>>>"""
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder below the cluster's shared ``spark.checkpoint.dir``; a temporary one in a session of one machine only."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return f"{(base or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType | str, mode: str) -> DataFrame:
@@ -27,6 +42,11 @@ def read_units_csv_padded(spark: SparkSession, path: str, schema: T.StructType |
     return _csv(spark, path, schema, "PERMISSIVE").na.fill("")
 
 
+def read_qa_csv(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_qa_csv`` wrote, breaks included; empty fields are ''."""
+    return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).na.fill("")
+
+
 def read_clause_sheet(spark: SparkSession, path: str) -> DataFrame:
     """S-6: a sheet with the six clause columns, missing values ''. A sheet without rows is an error."""
     out = spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True).na.fill("")
@@ -41,11 +61,19 @@ def read_clause_sheet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_coverage_map(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """S-7: topic, topic_part and topic_keyword of a coverage map in JSON. A file without volumes gives empty tables."""
+    """S-7: topic, topic_part, topic_keyword, topic_unit_type, aspect, guardrail and phrase_rule of a coverage map in JSON.
+    A file without volumes gives empty tables; a list that a topic lacks is an empty one."""
     topics = spark.read.schema(COVERAGE_SCHEMA).json(path, multiLine=True).select(F.explode("volumes").alias("v")).select("v.volume", F.explode("v.topics").alias("t"))
     parts = topics.select("t.topic_id", F.posexplode("t.routes").alias("r", "route")).select("topic_id", "r", F.posexplode("route.part_codes").alias("p", "part_code"), "route.disciplines")
     words = lambda c, kind: topics.select("t.topic_id", F.explode(f"t.{c}").alias("keyword"), F.lit(kind).alias("kind"))
+    none = F.array().cast("array<string>")
+    rules = topics.select("t.topic_id", "t.guardrails.*")
+    pattern = topics.select("t.topic_id", F.coalesce("t.required_aspects", none).alias("needed"), F.coalesce("t.guardrails.must_match", none).alias("must"), F.explode("t.aspect_extractors").alias("a"))
     return {
+        "topic_unit_type": topics.select("t.topic_id", F.explode("t.allowed_unit_types").alias("unit_type")),
+        "aspect": pattern.select("topic_id", "a.aspect", F.explode("a.patterns").alias("pattern"), F.array_contains("needed", F.col("a.aspect")).alias("required"), F.array_contains("must", F.col("a.aspect")).alias("must_match")),
+        "guardrail": rules.select("topic_id", F.coalesce("disallow_volumes", none).alias("disallow_volumes"), F.coalesce("disallow_if_only_unit_type", none).alias("disallow_if_only"), F.array_join(F.coalesce("if_missing_must_say", none), " ").alias("must_say")),
+        "phrase_rule": rules.select("topic_id", F.explode("custom_rules").alias("r")).select("topic_id", "r.rule", F.coalesce("r.if_question_contains", none).alias("if_question_contains"), F.coalesce("r.must_include_phrase", none).alias("must_include"), F.coalesce("r.disallow_phrases", none).alias("disallow")),
         "topic": topics.select("t.topic_id", "volume", "t.section_code", F.coalesce("t.min_keyword_matches", F.lit(1)).alias("min_keyword_matches")),
         "topic_part": parts.select("topic_id", (F.col("r") * 1000 + F.col("p")).alias("seq"), "part_code", F.explode("disciplines").alias("discipline")),
         "topic_keyword": words("keywords", "include").unionByName(words("exclude_keywords", "exclude")),
@@ -58,10 +86,15 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def write_units_csv(units: DataFrame, path: str) -> None:
-    """S-8, S-10: header and rows; line breaks become spaces, empty fields are quoted, booleans lower case."""
+    """S-8: header and rows; line breaks become spaces, empty fields are quoted, booleans lower case."""
     _flat(units).write.csv(path, header=True, quote='"', escape='"', emptyValue='""', nullValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
+def write_qa_csv(units: DataFrame, path: str) -> None:
+    """S-10: header and rows; line breaks stay, only fields with a comma, quote or break are quoted, empty ones are bare."""
+    units.write.csv(path, header=True, quote='"', escape='"', emptyValue="", nullValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def write_clauses_csv(clauses: DataFrame, path: str) -> None:
     """S-9: the clean clause columns in order; line breaks stay, empty fields are bare, booleans True and False."""
     from clausemill.operators.normalize import CLEAN_COLUMNS

@@ -12,6 +12,7 @@ from clausemill.operators import clauses as C
 from clausemill.operators import lookups as L
 from clausemill.operators import normalize as N
 from clausemill.operators import qa as Q
+from clausemill.operators import routing as R
 from clausemill.plans import units as P
 from clausemill.sources import files as S
 from clausemill.sources import fixtures as X
@@ -178,6 +179,32 @@ def test_coverage_map(spark, tmp_path):
     assert S.read_coverage_map(spark, str(tmp_path / "none.json"))["topic"].count() == 0
 
 
+def test_coverage_map_rules(spark, tmp_path):
+    (tmp_path / "m.json").write_text("""{"volumes": [{"volume": "Vol1", "topics": [{"topic_id": "T", "allowed_unit_types": ["NOTE"], "required_aspects": ["a"],
+        "aspect_extractors": [{"aspect": "a", "patterns": ["x", "Y"]}, {"aspect": "b", "patterns": ["z"]}],
+        "guardrails": {"disallow_volumes": ["Vol2"], "must_match": ["a"], "disallow_if_only_unit_type": ["NOTE"], "if_missing_must_say": ["SAY THIS"],
+          "custom_rules": [{"rule": "r", "if_question_contains": ["every exit"], "must_include_phrase": ["only exits"], "disallow_phrases": ["all exits"]}]}}, {"topic_id": "U"}]}]}""")
+    dims = S.read_coverage_map(spark, str(tmp_path / "m.json"))
+    assert {tuple(r) for r in dims["aspect"].collect()} == {("T", "a", "x", True, True), ("T", "a", "Y", True, True), ("T", "b", "z", False, False)}
+    assert {tuple(r) for r in dims["topic_unit_type"].collect()} == {("T", "NOTE")}
+    evidence = spark.createDataFrame([("T", "Vol1", "NOTE"), ("T", "Vol2", "NOTE")], "topic_id string, volume string, unit_type string")
+    assert [tuple(r) for r in R.evidence_rules(evidence, dims["guardrail"]).collect()] == [("T", 1, True, "SAY THIS")]
+    answers = spark.createDataFrame([(1, "Is every exit so?", "All exits are."), (2, "Other", "")], "qid int, question string, answer string")
+    assert [tuple(r) for r in R.phrase_lists(answers, dims["phrase_rule"]).collect()] == [(1, "r", 1, 1)]
+
+
+def test_qa_csv_keeps_breaks(spark, tmp_path):
+    units = spark.createDataFrame([("A", 'say "hi"', ""), ("B", "one\ntwo", "x")], "unit_label string, text string, title string")
+    S.write_qa_csv(units.coalesce(1), str(tmp_path / "q"))
+    assert next((tmp_path / "q").glob("part-*")).read_text() == 'unit_label,text,title\nA,"say ""hi""",\nB,"one\ntwo",x\n'
+    assert {tuple(r) for r in S.read_qa_csv(spark, str(tmp_path / "q")).collect()} == {tuple(r) for r in units.collect()}
+
+
+def test_sanitise_attributes_and_styles(spark):
+    html = '<P Class=k style="text-align: left; color: red; font-style:italic" onclick="f()">a=b > c</P><table border="1" width="2"><td colspan=\'3\' border="1">x<br/></td></table><!DOCTYPE x><3'
+    assert one(spark, html, T.sanitise) == '<p class="k" style="text-align:left;font-style:italic">a=b > c</p><table border="1"><td colspan="3">x<br /></td></table><3'
+
+
 def test_partitioned_table_and_summary(spark, tmp_path):
     units = X.units(spark, SF)
     S.write_unit_table(units, str(tmp_path / "t"))
