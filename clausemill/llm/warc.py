@@ -1,8 +1,8 @@
 """WARC archives of captured pages, and a globally ordered capture index over them.
 
-Archives are written through Spark's file committer, a record per row: a record ends with \\r\\n\\r\\n, whose last byte is
-the row's separator, so the files are plain WARC/1.1 (gzip-compressed as a whole). Reading parses them by their
-lengths.
+Archives are written through Spark's file committer, a record per row and a gzip member per record, so the files are
+plain WARC/1.1 and a reader can seek to any record. The row's separator is a member's last byte, the high byte of its
+inflated size: zero, but for records of 16 MB and more, which an empty member follows. Reading parses by lengths.
 
 Index method: external merge. The captures of one archive, sorted by URL key and timestamp, are a run; a range
 partitioning cuts the runs into key ranges; each range's run pieces are merged by a loser tree. Ranges in order
@@ -28,6 +28,7 @@ from .common import materialize, pick, scratch_dir
 MIN_REVISIT_BYTES = 100
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _ID = re.compile(rb"<urn:page:(-?\d+)>")
+_EMPTY_MEMBER = zlib.compressobj(wbits=31).flush()
 
 
 def _record_id(page_id: Column) -> Column:
@@ -44,6 +45,17 @@ def _header(*fields: tuple[str, Column]) -> Column:
     return F.concat_ws("\r\n", F.lit("WARC/1.1"), *[F.when(v.isNotNull(), F.concat(F.lit(f"{k}: "), v.cast("string"))) for k, v in fields])
 
 
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each record as a gzip member that ends with a zero byte, without that byte."""
+    for b in batches:
+        out = []
+        for record in b.column(0):
+            deflate = zlib.compressobj(wbits=31)
+            member = deflate.compress(record.as_py()) + deflate.flush()
+            out.append((member if member.endswith(b"\0") else member + _EMPTY_MEMBER)[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["value"])
+
+
 def write_warc(pages: DataFrame, path: str, first_date: str = "2024-01-01 00:00:00", file_bytes: int = 32 << 20) -> None:
     """Archives of ``pages`` (page_id, url, html) in ``path``. Of the pages with equal payloads of at least
     MIN_REVISIT_BYTES, the one of least page_id is a response and the others are revisits of it."""
@@ -75,7 +87,8 @@ def write_warc(pages: DataFrame, path: str, first_date: str = "2024-01-01 00:00:
         ("Content-Type", F.lit("application/http; msgtype=response")),
         ("Content-Length", F.octet_length(block)),
     )
-    dealt.select(F.concat(header, F.lit("\r\n\r\n"), block, F.lit("\r\n\r")).alias("value")).write.option("compression", "gzip").text(path)
+    records = dealt.select(F.concat(header, F.lit("\r\n\r\n"), block, F.lit("\r\n\r\n")).cast("binary").alias("value"))
+    records.mapInArrow(_members, "value binary").select(F.col("value").cast("string")).write.option("lineSep", "\0").text(path)
 
 
 def url_key(uri: str) -> str:
@@ -87,20 +100,22 @@ def url_key(uri: str) -> str:
 
 
 class _Stream:
-    """A gzip file's bytes, a few at a time."""
+    """A gzip file's bytes, a few at a time; ``member`` is where the member read last begins."""
 
     def __init__(self, raw: bytes):
-        self.raw, self.at, self.have, self.offset = memoryview(raw), 0, bytearray(), 0
+        self.raw, self.at, self.have, self.member = memoryview(raw), 0, bytearray(), 0
         self.inflate = zlib.decompressobj(31)
 
     def fill(self) -> bool:
-        if self.inflate.eof and self.inflate.unused_data:
-            self.raw, self.at = memoryview(self.inflate.unused_data + bytes(self.raw[self.at :])), 0
-            self.inflate = zlib.decompressobj(31)
+        if self.inflate.eof:
+            self.at -= len(self.inflate.unused_data)
+            if self.at < len(self.raw):
+                self.member, self.inflate = self.at, zlib.decompressobj(31)
         if self.at >= len(self.raw):
             return False
-        self.have += self.inflate.decompress(self.raw[self.at : self.at + 65536])
-        self.at += 65536
+        piece = self.raw[self.at : self.at + 16384]
+        self.have += self.inflate.decompress(piece)
+        self.at += len(piece)
         return True
 
     def until(self, end: bytes) -> bytes | None:
@@ -115,18 +130,20 @@ class _Stream:
                 raise ValueError("a record is cut short")
         out = bytes(self.have[:n])
         del self.have[:n]
-        self.offset += n
         return out
 
 
 def parse(raw: bytes) -> Iterator[tuple[dict[bytes, bytes], bytes, int]]:
-    """Header fields, block and offset of every record of a gzip-compressed archive."""
+    """Header fields and block of every record of an archive, and where in the file the gzip member begins that holds
+    its first byte."""
     s = _Stream(raw)
     while True:
-        offset = s.offset
+        while not s.have and s.fill():
+            pass
+        offset = s.member
         head = s.until(b"\r\n\r\n")
         if head is None:
-            if s.have:
+            if s.have or not s.inflate.eof:
                 raise ValueError("an archive ends within a record")
             return
         version, *lines = head[:-4].split(b"\r\n")
@@ -238,7 +255,7 @@ def merge_index(runs: DataFrame, per_range: int = 50_000) -> DataFrame:
 def archive(pages: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as WARC archives, read them back and index them: a row per page with
     page_id, payload_bytes, payload_digest, record_type, refers_to, url_key, captured, capture_no, its place in the global
-    index, and archive and record_offset, the file that holds it and where in the inflated file its record begins.
+    index, and archive and record_offset, the file that holds it and where in the file its record's gzip member begins.
 
     A null html is an empty payload; payloads under 100 bytes are always responses; a null url becomes urn:page:ID.
     Rows with a null page_id are left out. Rows that repeat a page_id are captured each. Other columns are ignored. An

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import math
 import random
@@ -236,6 +237,31 @@ def test_warc(spark):
     assert warc.archive(pages.limit(0)).collect() == []
 
 
+def test_warc_records_are_gzip_members(spark, tmp_path):
+    long = random.Random(5).randbytes(9 << 20).hex()
+    html = {1: "a" * 500, 2: None, 3: long, 4: "a" * 500, 5: "\u00e9\x00\r\n\r\n"}
+    pages = spark.createDataFrame(list(html.items()), "page_id long, html string").selectExpr("page_id", "'http://x.org' url", "html")
+    got = {g.page_id: g for g in warc.archive(pages, f"file://{tmp_path}/w").collect()}
+    assert len(got) == 5
+    for i, text in html.items():
+        with open(got[i].archive.removeprefix("file:"), "rb") as f:
+            f.seek(got[i].record_offset)
+            record = zlib.decompressobj(31).decompress(f.read())
+        assert f"<urn:page:{i}>".encode() in record.partition(b"\r\n\r\n")[0]
+        payload = b"" if i == 4 else (text or "").encode()
+        assert record.endswith(b"\r\n\r\n" + payload + b"\r\n\r\n")
+
+
+def test_warc_parse_reads_one_stream_and_refuses_a_cut_one():
+    record = b"WARC/1.1\r\nContent-Length: 5\r\n\r\nabc\r\n\r\n\r\n"
+    one, many = gzip.compress(record * 3), gzip.compress(record) * 3
+    assert [(b, o) for _, b, o in warc.parse(one)] == [(b"abc\r\n", 0)] * 3
+    assert [(b, o) for _, b, o in warc.parse(many)] == [(b"abc\r\n", k * len(many) // 3) for k in range(3)]
+    for cut in (one[:-3], many[:-3], many[:-40]):
+        with pytest.raises(ValueError):
+            list(warc.parse(cut))
+
+
 def test_index_ranges_merge_in_order(spark, tmp_path):
     rows = [(i, f"http://s{i % 7}.org/{i % 13}", "z" * (i % 40)) for i in range(600)]
     warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), f"file://{tmp_path}/w", file_bytes=500)
