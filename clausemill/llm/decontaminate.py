@@ -116,35 +116,36 @@ def find_items(docs: DataFrame, items: DataFrame, error_percent: int = 10, min_c
     white space collapsed. A document holds an item if some stretch of it is within error_percent percent of the
     item's characters, counted in edits. item_ids ascend; distances are in their order. Null and blank items are ignored,
     and with a larger ``min_chars`` shorter ones; an item under ten characters must occur exactly; a null text holds
-    nothing. Repeated items are reported once each. Rows that repeat a doc_id are judged each, unless the benchmark takes
-    several blocks; then each has what all of them hold. Other columns are ignored. An empty table of documents gives
+    nothing. Repeated items are reported once each. Rows that repeat a doc_id are judged each by their own text. Other
+    columns are ignored. An empty table of documents gives
     no rows; an empty benchmark leaves all documents clean. Memory follows the longest text.
     """
     min_chars = max(1, min_chars)
     tests = pick(items, "item_id", "text").where(F.length("text") >= min_chars)
     chars = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-chars // BLOCK_CHARS) or 1
+    rows = pick(docs, "doc_id", "text").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     found = None
     for block in range(blocks):
         mine = tests.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else tests
-        part = _find_block(docs, sorted((r[0], normalise(r[1])) for r in mine.collect()), error_percent, min_chars)
+        part = _find_block(rows, sorted((r[0], normalise(r[1])) for r in mine.collect()), error_percent, min_chars)
         found = part if found is None else found.unionByName(part)
     if blocks > 1:
         pair = F.explode(F.arrays_zip("item_ids", "distances")).alias("x")
-        hits = found.select("doc_id", pair).groupBy("doc_id").agg(F.array_sort(F.collect_list("x")).alias("x"))
-        found = pick(docs, "doc_id").join(hits, "doc_id", "left").select("doc_id", *[F.coalesce(F.col(f"x.{c}"), F.array().cast(t)).alias(c) for c, t in (("item_ids", "array<long>"), ("distances", "array<int>"))])
+        hits = found.select("doc_id", "text_hash", pair).groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("x")).alias("x"))
+        found = rows.drop("text").join(hits.hint("merge"), ["doc_id", "text_hash"], "left").select("doc_id", *[F.coalesce(F.col(f"x.{c}"), F.array().cast(t)).alias(c) for c, t in (("item_ids", "array<long>"), ("distances", "array<int>"))])
     return found.select("doc_id", F.size("item_ids").cast("long").alias("n_items"), "item_ids", "distances", (F.size("item_ids") > 0).alias("contaminated"))
 
 
-def _find_block(docs: DataFrame, items: list[tuple[int, str]], error_percent: int, min_chars: int) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast([x for x in items if len(x[1]) >= min_chars])
+def _find_block(rows: DataFrame, items: list[tuple[int, str]], error_percent: int, min_chars: int) -> DataFrame:
+    sent = rows.sparkSession.sparkContext.broadcast([x for x in items if len(x[1]) >= min_chars])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(sent.value, error_percent)
         for b in batches:
-            found = [matcher.find(normalise(t.as_py() or "")) for t in b.column(1)]
+            found = [matcher.find(normalise(t.as_py() or "")) for t in b.column(2)]
             ids = pa.array([sorted(f) for f in found], pa.list_(pa.int64()))
             distances = pa.array([[f[k] for k in sorted(f)] for f in found], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column(0), ids, distances], ["doc_id", "item_ids", "distances"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), ids, distances], ["doc_id", "text_hash", "item_ids", "distances"])
 
-    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, item_ids array<long>, distances array<int>")
+    return rows.mapInArrow(run, "doc_id long, text_hash long, item_ids array<long>, distances array<int>")

@@ -149,66 +149,6 @@ ORACLES = {
         select doc_id, cast(n_words as bigint) n_words, coalesce(wc, 0) word_chars, cast(n_symbols as bigint) n_symbols, cast(n_dup_lines as bigint) n_dup_lines,
           cast(n_repeat_words as bigint) n_repeat_words, cast(coalesce(bp.n, 0) as bigint) n_boilerplate, base_failed,
           not base_failed and 100 * (n_words - coalesce(bp.n, 0)) >= 30 * n_words kept from f left join bp using (doc_id)""",
-    "op9_substring_dedup": op9_substring_dedup,
-    "op10_decontaminate": op10_decontaminate,
-}
-
-_A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
-
-ORACLES = {
-    "op1_minhash_dedup": f"""
-        with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_A}', '{_Z}'), '[^\\x20\\x09-\\x0D]+') ws from documents),
-        s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) = 1 then [ws[1]]
-                else list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i+1]) end) g from w),
-        n as (select doc_id, count(*) n from s group by doc_id),
-        p as (select a.doc_id a, b.doc_id b, count(*) i from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
-        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 80 * (x.n + y.n - i)),
-        e as (select a, b from l union all select b, a from l),
-        r(a, c) as (select doc_id, doc_id from documents union select r.a, e.b from r join e on e.a = r.c),
-        m as (select a doc_id, min(c) component_id from r group by a)
-        select doc_id, coalesce(n, 0) n_shingles, component_id, doc_id = component_id kept from m left join n using (doc_id)""",
-    "op5_warc": f"""
-        with p as (select page_id, url, encode(coalesce(html, '')) b from pages),
-        d as (select *, sha256(b) digest, octet_length(b) n, min(page_id) over (partition by sha256(b)) first from p),
-        u as (select *, coalesce(regexp_replace(url, '[\\x00-\\x20\\x7F]', '%20', 'g'), 'urn:page:' || page_id) uri from d),
-        k as (select *, regexp_replace(string_split(lower(uri), '#')[1], '^[a-z][a-z0-9+.-]*://', '') rest from u),
-        h as (select *, regexp_extract(rest, '^[^/]*') host, substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) path from k),
-        i as (select *, array_to_string(list_reverse(string_split(regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':.*$', ''), '^www[.]', ''), '.')), ',') || ')' || path url_key,
-          strftime(timestamp '2024-01-01' + to_seconds(page_id), '%Y%m%d%H%M%S') captured from h)
-        select page_id, cast(n as bigint) payload_bytes, digest payload_digest,
-          case when n >= 100 and first < page_id then 'revisit' else 'response' end record_type,
-          case when n >= 100 and first < page_id then first end refers_to,
-          url_key, captured, row_number() over (order by url_key, captured, page_id) - 1 capture_no from i""",
-    "op6_line_dedup": f"""
-        with s as (select doc_id, string_split(coalesce(text, ''), chr(10)) a from documents),
-        l as (select doc_id, unnest(a) line, unnest(range(len(a))) pos from s),
-        k as (select *, translate(trim(line, {_WS}), '{_A}', '{_Z}') key from l),
-        f as (select key from k where length(key) >= 1 group by key having count(distinct doc_id) >= 10)
-        select doc_id, count(*) n_lines, count(f.key) n_dropped,
-          sha256(coalesce(string_agg(line, chr(10) order by pos) filter (f.key is null), '')) kept_sha256
-        from k left join f using (key) group by doc_id""",
-    "op7_quality_rules": f"""
-        with recursive d as (select doc_id, coalesce(source, '') host, text, coalesce(text, '') t from documents),
-        w as (select doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') ws from d),
-        g as (select doc_id, i, ws[i] || ' ' || ws[i+1] || ' ' || ws[i+2] g
-              from (select doc_id, ws, unnest(range(1, len(ws) - 1)) i from w)),
-        r as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, g) n from g) where n > 1),
-        rw as (select doc_id, count(distinct i + o.o) n from r, (values (0), (1), (2)) o(o) group by doc_id),
-        l as (select doc_id, host, text, unnest(string_split(t, chr(10))) line, unnest(range(len(string_split(t, chr(10))))) pos from d),
-        dl as (select doc_id, sum(c - 1) n from (select doc_id, line, count(*) c from l
-               where regexp_matches(line, '[^\\x20\\x09-\\x0D]') group by doc_id, line) group by doc_id),
-        k as (select doc_id, host, text, pos, translate(regexp_replace(trim(line, {_WS}), '[\\x20\\x09-\\x0D]+', ' ', 'g'), '{_A}', '{_Z}') k from l),
-        n as (select *, lag(k) over p b, lead(k) over p a from k where k <> '' window p as (partition by doc_id order by pos)),
-        c as (select host, k, count(distinct text) nd, count(distinct coalesce(b, chr(0))) nb, count(distinct coalesce(a, chr(0))) na from n group by host, k having count(distinct text) > 10),
-        bp as (select doc_id, sum(len(string_split(k, ' '))) n from n join c using (host, k) where 5 * greatest(nb, na) >= 4 * nd group by doc_id),
-        m as (select w.doc_id, len(ws) n_words, cast(list_sum(list_transform(ws, lambda x: length(x))) as bigint) wc,
-              length(t) - length(translate(t, '#*$%&|<>', '')) n_symbols, coalesce(dl.n, 0) n_dup_lines, coalesce(rw.n, 0) n_repeat_words, coalesce(bp.n, 0) n_boilerplate
-              from w left join dl using (doc_id) left join rw using (doc_id) left join bp using (doc_id)),
-        f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from m)
-        select doc_id, cast(n_words as bigint) n_words, coalesce(wc, 0) word_chars, cast(n_symbols as bigint) n_symbols, cast(n_dup_lines as bigint) n_dup_lines,
-          cast(n_repeat_words as bigint) n_repeat_words, cast(n_boilerplate as bigint) n_boilerplate, base_failed,
-          not base_failed and 100 * (n_words - n_boilerplate) >= 30 * n_words kept from f""",
     "op9_substring_dedup": """
         with w as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') ws from documents),
         p as (select doc_id, i, md5(array_to_string(ws[i:i+49], ' ')) h from (select doc_id, ws, unnest(range(1, len(ws) - 48)) i from w)),

@@ -140,7 +140,7 @@ class CachedEncoder:
     of its own; so is, in any case, what marks follow a Latin letter. So texts without two white spaces in a row are cut
     before each space, line break and such marks; the different parts of a batch are looked up in the cache or encoded,
     and their ids put together. Other texts, and those that
-    hold the string of an added token, are encoded whole. The first _CACHE_SIZE different parts are kept; others are
+    hold the string of an added token or the control that marks such cuts, are encoded whole. The first _CACHE_SIZE different parts are kept; others are
     encoded once for each batch, many in one call, with line breaks between them.
     """
 
@@ -157,7 +157,7 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(file)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         w = self._white
-        self._odd = "|".join([f"{w}{w}", f"^{w}", f"{w}$", *[rf"\Q{t}\E" for t in added]])
+        self._odd = "|".join([r"\x{1}", f"{w}{w}", f"^{w}", f"{w}$", *[rf"\Q{t}\E" for t in added]])
         line = self._whole(["a\nb"])[0]
         if len(line) != 3 or self._whole(["\n"])[0] != line[1:2] or self._whole(["a\n b"])[0][1:2] != line[1:2]:
             raise ValueError("the tokenizer does not cut at line breaks")

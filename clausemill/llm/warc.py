@@ -59,17 +59,16 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_warc(pages: DataFrame, path: str, first_date: str = "2024-01-01 00:00:00", file_bytes: int = 32 << 20) -> None:
     """Archives of ``pages`` (page_id, url, html) in ``path``. Of the pages with equal payloads of at least
     MIN_REVISIT_BYTES, the one of least page_id is a response and the others are revisits of it."""
-    plain = pick(pages, "page_id", "url", "html")
-    digest, size = F.sha2(F.coalesce("html", F.lit("")), 256), F.octet_length(F.coalesce("html", F.lit("")))
-    keys = plain.select("page_id", digest.alias("digest"), size.alias("size"))
+    payload = F.coalesce("html", F.lit(""))
+    plain = pick(pages, "page_id", "url", "html").withColumn("digest", F.sha2(payload, 256))
+    keys = plain.select("page_id", "digest", F.octet_length(payload).alias("size"))
     # Only digests and ids are dealt by digest; a hot payload costs a map-side minimum and a split join.
     least = keys.where(F.col("size") >= MIN_REVISIT_BYTES).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", "refers_to")
-    revisits = keys.select("page_id", "digest").join(least.hint("merge"), "digest").where("page_id != refers_to").select("page_id", "refers_to").dropDuplicates(["page_id"])
+    revisits = keys.select("page_id", "digest").join(least.hint("merge"), "digest").where("page_id != refers_to").dropDuplicates(["page_id", "digest"])
     total = keys.agg(F.sum("size")).first()[0] or 0
     # The payloads move once. Revisits grow with the corpus: a merge join at every size.
-    dealt = plain.repartition(max(1, -(-total // file_bytes)), "page_id").join(revisits.hint("merge"), "page_id", "left")
+    dealt = plain.repartition(max(1, -(-total // file_bytes)), "page_id").join(revisits.hint("merge"), ["page_id", "digest"], "left")
     page = F.col("page_id")
-    payload = F.coalesce("html", F.lit(""))
     is_revisit = F.col("refers_to").isNotNull()
     # White space and controls have no place in a header line.
     uri = F.coalesce(F.regexp_replace("url", r"[\x00-\x20\x7F]", "%20"), F.concat(F.lit("urn:page:"), page.cast("string")))
@@ -80,7 +79,7 @@ def write_warc(pages: DataFrame, path: str, first_date: str = "2024-01-01 00:00:
         ("WARC-Record-ID", _record_id(page)),
         ("WARC-Date", _date(page, first_date)),
         ("WARC-Target-URI", uri),
-        ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.sha2(payload, 256))),
+        ("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         ("WARC-Profile", F.when(is_revisit, F.lit(_REVISIT))),
         ("WARC-Refers-To", F.when(is_revisit, _record_id(F.col("refers_to")))),
         ("WARC-Refers-To-Date", F.when(is_revisit, _date(F.col("refers_to"), first_date))),
