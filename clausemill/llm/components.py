@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import forget, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(id, component_id) for every node of the undirected edges (a, b): the least id that the node reaches.
+    """(id, component_id) for every node of the undirected edges (a, b), written: the least id that the node reaches.
 
     Alternates large-star and small-star rounds; a round's result is written to the scratch folder. The number of
     rounds grows with the logarithm of the longest chain. No list of neighbours is ever collected.
@@ -30,10 +30,13 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = materialize(edges.where(F.col("a") != F.col("b")).select("a", "b").distinct())
     state = None
     while True:
-        now = materialize(_small_star(_large_star(now)))
+        old, now = now, materialize(_small_star(_large_star(now)))
+        forget(old)
         sums = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if sums == state:
             break
         state = sums
     roots = now.select(F.col("b").alias("id")).distinct().withColumn("component_id", F.col("id"))
-    return now.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(roots)
+    out = materialize(now.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(roots))
+    forget(now)
+    return out

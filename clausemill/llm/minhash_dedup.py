@@ -7,17 +7,7 @@ enumerates the allowed errors by leaving out that many symbols in every way, and
 key. So every pair within the signature distance shares a key. With 8 chunks of 4 symbols and 1 error the distance is
 15 of 32; two sets of similarity 0.8 exceed it with probability 7e-5, more similar ones more rarely.
 
-Documents with equal shingle sets form classes first, and classes are joined by representatives. Links are confirmed on
-the full sets. Within a key's bucket no list of all pairs is made:
-
-1. Each member is paired with one leader, that of the nearest signature among its buckets' leaders. A bucket's leader is
-   the member whose keys are shared most: of near copies, the one closest to their common source. Confirmed links make
-   trees of leaders, whose parts are connected for sure, and a bucket's main component is the largest part in it.
-2. Members outside a bucket's main component are its strays. All strays of one main component are compared with that
-   component and with each other, in blocks: first the signatures, and where some pass the distance, the full sets, whose
-   intersections are one matrix product. A block puts out a forest of its links, never its pairs.
-
-Every pair within the signature distance is then linked, unlinked by comparison, or inside one component already.
+``set_links`` finds the links among documents that share a key, confirmed on the full sets.
 """
 
 from __future__ import annotations
@@ -30,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, forget, materialize, mix64, pick, window_hashes
-from .components import connected_components
+from .common import forget, materialize, mix64, pick
+from .set_links import classes, link_buckets, members, one_set, set_digests, shingle_sets, text_slices
 
 CHUNKS, CHUNK, ERRORS = 8, 4, 1
 SYMBOLS = CHUNKS * CHUNK
@@ -40,38 +30,6 @@ _SEEDS = mix64(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0x9E3779B9
 _KEPT = list(combinations(range(CHUNK), CHUNK - ERRORS))
 
 
-def _slices(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[tuple[pa.Array, list[bytes]]]:
-    texts = [x or b"" for x in batch.column(1).cast(pa.large_binary()).to_pylist()]
-    start, total = 0, 0
-    for i, t in enumerate(texts):
-        total += len(t)
-        if total >= size or i == len(texts) - 1:
-            yield batch.column(0)[start : i + 1], texts[start : i + 1]
-            start, total = i + 1, 0
-
-
-def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct 64-bit shingle hashes of all texts in a row, and where each text's begin (one more at the end).
-    A text with fewer words than a shingle has its whole sequence as the one shingle; without words it has none."""
-    w = Words(texts, lower=True)
-    counts, first = w.counts, w.first
-    n = len(w.hash)
-    at = np.arange(max(0, n - words + 1))
-    owner = w.owner()
-    whole = owner[at] == owner[at + words - 1] if len(at) else np.zeros(0, bool)
-    keys, own = window_hashes(w.hash, words)[whole], owner[at][whole]
-    short = np.flatnonzero((counts > 0) & (counts < words))
-    extra = [mix64(np.uint64(int(counts[i])) + window_hashes(w.hash[first[i] : first[i + 1]], int(counts[i]))) for i in short]
-    if len(short):
-        keys, own = np.concatenate([keys, *extra]), np.concatenate([own, short])
-    order = np.lexsort((keys, own))
-    keys, own = keys[order], own[order]
-    new = np.ones(len(keys), dtype=bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (own[1:] != own[:-1])
-    keys, own = keys[new], own[new]
-    return keys, np.searchsorted(own, np.arange(len(texts) + 1))
-
-
 def _signatures(keys: np.ndarray, cut: np.ndarray) -> np.ndarray:
     """A row of SYMBOLS 16-bit symbols for each non-empty set."""
     starts = cut[:-1][np.diff(cut) > 0]
@@ -89,18 +47,13 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for ids, texts in _slices(b):
+            for rows, texts in text_slices(b):
                 keys, cut = shingle_sets(texts, words)
                 n = np.diff(cut)
                 some = n > 0
-                starts = cut[:-1][some]
-                digests = [np.zeros(len(n), dtype=np.int64) for _ in range(2)]
-                for d, seed in zip(digests, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)):
-                    if len(starts):
-                        d[some] = np.add.reduceat(mix64(keys ^ np.uint64(seed)), starts).view(np.int64)
                 symbols = pa.array(_signatures(keys, cut).view(np.int16).ravel())
                 sigs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * SYMBOLS)]), pa.int32()), symbols)
-                cols = [ids, pa.array(n.astype(np.int64)), *[pa.array(d, mask=~some) for d in digests], sigs]
+                cols = [rows.column(0), pa.array(n.astype(np.int64)), *[pa.array(d, mask=~some) for d in set_digests(keys, cut)], sigs]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "s1", "s2", "sig"])
 
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, sig array<smallint>")
@@ -112,51 +65,24 @@ def _keys(sig: str) -> Column:
     return F.array(*[F.xxhash64(F.lit(way), *[F.get(sig, F.lit(i)) for i in symbols]) for way, symbols in ways])
 
 
-def _distance(a: str, b: str) -> Column:
-    """Symbols in which two signatures differ."""
-    return F.size(F.filter(F.zip_with(a, b, lambda x, y: x != y), lambda differ: differ))
-
+class NearSignatures:
+    """Pairs that the set sizes and the signature distance do not rule out."""
 
-def _near(percent: int) -> Column:
-    """Pairs (a, b) that the set sizes and the signature distance do not rule out."""
-    return (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")) & (_distance("sa", "sb") <= DISTANCE)
+    def __init__(self, percent: int):
+        self.percent = percent
 
+    def far(self, a: str, b: str) -> Column:
+        """Symbols in which two signatures differ."""
+        return F.size(F.filter(F.zip_with(f"{a}.sig", f"{b}.sig", lambda x, y: x != y), lambda differ: differ))
 
-def shingle_table(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """(doc_id, shingles): the full sets of the documents in ``ids`` (id), made again from their texts."""
+    def pairs(self, a: str, b: str) -> Column:
+        return (100 * F.least(f"{a}.n", f"{b}.n") >= self.percent * F.greatest(f"{a}.n", f"{b}.n")) & (self.far(a, b) <= DISTANCE)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for own, texts in _slices(b):
-                keys, cut = shingle_sets(texts, words)
-                raw, at = keys.tobytes(), (cut * 8).tolist()
-                yield pa.RecordBatch.from_arrays([own, pa.array([raw[x:y] for x, y in zip(at, at[1:])], pa.binary())], ["doc_id", "shingles"])
-
-    wanted = ids.select(F.col("id").alias("doc_id")).hint("merge")
-    return materialize(pick(docs, "doc_id", "text").join(wanted, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, shingles binary"))
-
-
-def confirm(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of document ids whose full shingle sets have 100 * intersection >= percent * union. Pairs are
-    grouped by a and a hash of b, so that a set that many others are compared with goes to many tasks, once to each."""
-    have = shingle_table(docs, pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct(), words)
-
-    def check(left: pa.Table, right: pa.Table) -> pa.Table:
-        one = {d: np.frombuffer(s, np.uint64) for d, s in zip(left.column("one").to_pylist(), left.column("one_set").to_pylist())}
-        rows = []
-        for a, b, s in zip(right.column("a").to_pylist(), right.column("b").to_pylist(), right.column("other_set")):
-            x, y = one[a], np.frombuffer(s.as_py(), np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            if 100 * both >= percent * (len(x) + len(y) - both):
-                rows.append((a, b))
-        a, b = zip(*rows) if rows else ((), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    blocks = pairs.select("a", "b", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int").alias("block"))
-    left = blocks.select(F.col("a").alias("one"), F.col("block").alias("one_block")).distinct().join(have, F.col("one") == F.col("doc_id"))
-    left = left.select("one", "one_block", F.col("shingles").alias("one_set"))
-    right = blocks.join(have, F.col("b") == F.col("doc_id")).select("a", "b", "block", F.col("shingles").alias("other_set"))
-    return left.groupBy("one", "one_block").cogroup(right.groupBy("a", "block")).applyInArrow(check, "a long, b long")
+    def blocks(self, n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np.ndarray:
+        differ = np.zeros((len(n1), len(n2)), dtype=np.uint8)
+        for k in range(SYMBOLS):
+            differ += s1[:, k, None] != s2[None, :, k]
+        return (differ <= DISTANCE) & (100 * np.minimum(n1[:, None], n2[None, :]) >= self.percent * np.maximum(n1[:, None], n2[None, :]))
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
@@ -167,143 +93,21 @@ def _buckets(reps: DataFrame) -> DataFrame:
     return index.join(shared, "key").join(reps.select("id", "n", "sig"), "id")
 
 
-def _leader_pairs(index: DataFrame, percent: int) -> DataFrame:
-    """One pair (a, b) of a leader and each member of any of its buckets, see 1."""
-    rank = F.struct("shared", -F.col("id"))
-    ranked = index.join(index.groupBy("id").agg(F.sum("size").alias("shared")), "id")
-    lead = ranked.groupBy("key").agg(F.max_by(F.struct("id", "n", "sig"), rank).alias("lead")).select("key", F.col("lead.id").alias("b"), F.col("lead.n").alias("nb"), F.col("lead.sig").alias("sb"))
-    met = index.select("key", F.col("id").alias("a"), F.col("n").alias("na"), F.col("sig").alias("sa")).join(lead, "key")
-    near = met.where((F.col("a") != F.col("b")) & _near(percent)).withColumn("far", _distance("sa", "sb"))
-    return near.groupBy("a").agg(F.min_by("b", F.struct("far", "b")).alias("b")).select(F.col("b").alias("a"), F.col("a").alias("b"))
-
-
-def _trees(links: DataFrame) -> DataFrame:
-    """(id, component_id): each document of confirmed leader links (a, b) with its leaders' leader, eight steps up. A
-    leader is shared more than its members, so links have no circles. Longer chains fall into several parts, which is
-    enough here: the last step joins them."""
-    up = links.select(F.col("b").alias("id"), F.col("a").alias("up"))
-    for _ in range(3):
-        more = up.select(F.col("id").alias("up"), F.col("up").alias("more"))
-        up = materialize(up.join(more, "up", "left").select("id", F.coalesce("more", "up").alias("up")))
-    tops = up.select(F.col("up").alias("id")).distinct().join(up.select("id"), "id", "left_anti")
-    return up.select("id", F.col("up").alias("component_id")).unionByName(tops.withColumn("component_id", F.col("id")))
-
-
-def _strays(index: DataFrame, part: DataFrame) -> DataFrame:
-    """(main, id, c, n, sig): the documents outside the main component of a bucket with several, and their own component."""
-    own = index.join(part.hint("merge"), "id", "left").withColumn("c", F.coalesce("component_id", "id")).drop("component_id")
-    sizes = own.groupBy("key", "c").agg(F.count(F.lit(1)).alias("in_bucket"))
-    main = sizes.groupBy("key").agg(F.max_by("c", F.struct("in_bucket", "c")).alias("main"), F.count(F.lit(1)).alias("parts")).where("parts > 1").select("key", "main")
-    return own.join(main, "key").where("c != main").select("main", "id", "c", "n", "sig").dropDuplicates(["main", "id"])
-
-
-_BLOCK = 256
-_FOUND = "main long, x int, y int, id long, c long, asked boolean"
-
-
-def _stray_links(strays: DataFrame, part: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links of 2, as a forest (a, b) within each block: documents of one component, by links found there."""
-    mains = strays.select("main").distinct()
-    # A document without links is its own component.
-    members = part.select(F.col("component_id").alias("main"), "id").join(mains, "main", "left_semi").unionByName(mains.select("main", F.col("main").alias("id"))).distinct()
-    members = members.join(reps.select("id", "n", "sig"), "id").select("main", "id", F.col("main").alias("c"), "n", "sig")
-    whole = materialize(members.unionByName(strays))
-    blocks = lambda df, name: df.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias(name))
-    sizes = materialize(blocks(strays, "xs").join(blocks(whole, "ys"), "main"))
-    dealt = lambda df, own, other: df.join(sizes, "main").select("main", F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own[0]), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[0]), "id", "c", "n", "sig")
-
-    def near(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = []
-        if left.num_rows and right.num_rows:
-            (i1, c1, n1, s1), (i2, c2, n2, s2) = ([*(t.column(k).to_numpy() for k in ("id", "c", "n")), t.column("sig").combine_chunks().flatten().to_numpy().reshape(-1, SYMBOLS)] for t in (left, right))
-            differ = np.zeros((len(i1), len(i2)), dtype=np.uint8)
-            for k in range(SYMBOLS):
-                differ += s1[:, k, None] != s2[None, :, k]
-            met = (differ <= DISTANCE) & (c1[:, None] != c2[None, :]) & (100 * np.minimum(n1[:, None], n2[None, :]) >= percent * np.maximum(n1[:, None], n2[None, :]))
-            for t, asked in ((left, True), (right, False)):
-                some = t.select(["main", "x", "y", "id", "c"]).filter(pa.array(met.any(axis=1 if asked else 0)))
-                out.append(some.append_column("asked", pa.array([asked] * some.num_rows, pa.bool_())))
-        return pa.concat_tables(out) if out else _EMPTY
-
-    found = materialize(dealt(strays, "xs", "ys").groupBy("main", "x", "y").cogroup(dealt(whole, "ys", "xs").groupBy("main", "x", "y")).applyInArrow(near, _FOUND))
-    have = shingle_table(docs, found.select("id").distinct(), words)
-    sets = found.join(have, F.col("id") == F.col("doc_id")).select("main", "x", "y", "id", "c", "asked", "shingles")
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        (i1, c1, s1), (i2, c2, s2) = ([*(t.column(k).to_numpy() for k in ("id", "c")), [np.frombuffer(x.as_py(), np.uint64) for x in t.column("shingles")]] for t in (left, right))
-        a: list = []
-        b: list = []
-        if len(i1) and len(i2):
-            n1, n2 = (np.array([len(x) for x in s], dtype=np.int64) for s in (s1, s2))
-            both = _intersections(s1, s2)
-            a, b = _forest(i1, i2, (100 * both >= percent * (n1[:, None] + n2[None, :] - both)) & (c1[:, None] != c2[None, :]))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    other = sets.where("not asked").select(*[F.col(k).alias(f"{k}_2") for k in ("main", "x", "y")], *[F.expr(f"{k} {k}") for k in ("id", "c", "shingles")])
-    return sets.where("asked").groupBy("main", "x", "y").cogroup(other.groupBy("main_2", "x_2", "y_2")).applyInArrow(compare, "a long, b long")
-
-
-_EMPTY = pa.table({"main": pa.array([], pa.int64()), "x": pa.array([], pa.int32()), "y": pa.array([], pa.int32()), "id": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "asked": pa.array([], pa.bool_())})
-
-
-def _forest(left: np.ndarray, right: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each linked id and the first id that the links of this matrix lead it to."""
-    n = len(left)
-    one, two = np.arange(n), n + np.arange(len(right))
-    while True:
-        more = np.minimum(one, np.where(linked, two[None, :], n + len(right)).min(axis=1))
-        two = np.minimum(two, np.where(linked, more[:, None], n + len(right)).min(axis=0))
-        if (more == one).all():
-            break
-        one = more
-    ids, root = np.concatenate([left, right]), np.concatenate([one, two])
-    moved = ids != ids[root]
-    return ids[moved], ids[root][moved]
-
-
-def _intersections(xs: list[np.ndarray], ys: list[np.ndarray], width: int = 4096) -> np.ndarray:
-    """Sizes of the intersections of all xs with all ys: products of 0/1 matrices over the shingles that both have."""
-    flat = [np.concatenate(s) for s in (xs, ys)]
-    owner = [np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (xs, ys)]
-    shared = np.intersect1d(np.unique(flat[0]), np.unique(flat[1]), assume_unique=True)
-    out = np.zeros((len(xs), len(ys)), dtype=np.float32)
-    for k in range(0, len(shared), width):
-        some = shared[k : k + width]
-        sides = []
-        for f, o, s in zip(flat, owner, (xs, ys)):
-            at = np.searchsorted(some, f)
-            hit = at < len(some)
-            hit[hit] = some[at[hit]] == f[hit]
-            m = np.zeros((len(s), len(some)), dtype=np.float32)
-            m[o[hit], at[hit]] = 1
-            sides.append(m)
-        out += sides[0] @ sides[1].T
-    return out.astype(np.int64)
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id, kept), a row per document.
 
     n_shingles is the size of the document's set of distinct ``words``-word shingles, A-Z lower-cased; with fewer
     words the whole sequence is the one shingle; a null, empty or blank text has no shingles and no links. Documents
     are linked if 100 * intersection >= percent * union. class_id is the least id with an equal set, component_id the
-    least id reachable over links, kept whether that is the document's own. Other columns are ignored; rows that
-    repeat a doc_id should be removed before. An empty table gives no rows.
+    least id reachable over links, kept whether that is the document's own. Other columns are ignored. Rows that repeat
+    a doc_id are one document, with the set of the row of least digest, a set without shingles last. An empty table gives
+    no rows.
     """
-    sig = materialize(signatures(docs, words))
-    some = sig.where("n_shingles > 0")
-    classes = some.groupBy("s1", "s2").agg(F.min("doc_id").alias("id"), F.min("n_shingles").alias("n"), F.min_by("sig", "doc_id").alias("sig"))
-    reps = materialize(classes)
+    raw = materialize(signatures(docs, words))
+    sig = materialize(one_set(raw, "n_shingles", "s1", "s2", "sig"))
+    forget(raw)
+    reps = materialize(classes(sig))
     index = materialize(_buckets(reps.select("id", "n", "sig")))
-    pairs = materialize(_leader_pairs(index, percent))
-    links = materialize(confirm(pairs, docs, words, percent))
-    part = materialize(_trees(links))
-    strays = materialize(_strays(index, part))
-    forget(index, pairs)
-    more = materialize(_stray_links(strays, part, reps, docs, words, percent))
-    tree = part.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
-    part = materialize(connected_components(tree.unionByName(links).unionByName(more)))
-    member = sig.join(reps.select("s1", "s2", F.col("id").alias("class_id")), ["s1", "s2"], "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
-    joined = member.join(part.select(F.col("id").alias("class_id"), "component_id"), "class_id", "left")
-    component = F.coalesce("component_id", "class_id")
-    return joined.select("doc_id", "n_shingles", "class_id", component.alias("component_id"), (F.col("doc_id") == component).alias("kept"))
+    part = link_buckets(index, reps, docs, words, percent, NearSignatures(percent))
+    forget(index)
+    return members(sig, reps, part).withColumn("kept", F.col("doc_id") == F.col("component_id"))

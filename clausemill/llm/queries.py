@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import substring_dedup, suffix_dedup
 from .common import arrow_batches
 from .decontaminate import find_items
+from .jaccard_join import jaccard_join
 from .line_dedup import line_dedup
 from .lm_scoring import score_documents
 from .minhash_dedup import near_duplicates
@@ -69,6 +70,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(_table(spark, sf_dir, "documents"), words=5, percent=80).drop("class_id")
+
+
 QUERIES = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_token_output": op2_token_output,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
 _A, _Z = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -159,4 +165,15 @@ ORACLES = {
         select w.doc_id, cast(len(ws) as bigint) n_words, count(*) filter (gone) n_removed,
           sha256(coalesce(string_agg(word, ' ' order by i) filter (not gone), '')) kept_sha256
         from w left join k using (doc_id) group by w.doc_id, len(ws)""",
+    "op13_jaccard_join": f"""
+        with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_A}', '{_Z}'), '[^\\x20\\x09-\\x0D]+') ws from documents),
+        s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
+                else list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i+4], ' ')) end) g from w),
+        n as (select doc_id, count(*) n from s group by doc_id),
+        p as (select a.doc_id a, b.doc_id b, count(*) i from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+        l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 80 * (x.n + y.n - i)),
+        e as (select a, b from l union all select b, a from l),
+        r(a, c) as (select doc_id, doc_id from documents union select r.a, e.b from r join e on e.a = r.c),
+        m as (select a doc_id, min(c) component_id from r group by a)
+        select doc_id, coalesce(n, 0) n_shingles, component_id from m left join n using (doc_id)""",
 }
