@@ -18,6 +18,7 @@ import os
 import struct
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,7 @@ MAGIC = b"CMT1"
 _JOIN = "\x01"
 _STARTS = "\n" + _JOIN
 BLOCK_IDS = 4096
-_CACHE_SIZE = 300_000
+_CACHE_SIZE = 200_000
 
 
 def pack_block(ids: np.ndarray, percentile: float = 90.0) -> bytes:
@@ -223,6 +224,12 @@ class CachedEncoder:
         return [line + raw[a:b] if p[0] == "\n" else raw[a:b] for p, a, b in zip(parts, starts, ends)]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(file: str) -> CachedEncoder:
+    """The encoder that a worker keeps from task to task, with what its cache holds."""
+    return CachedEncoder(file)
+
+
 def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], CachedEncoder], end_id: int = 0, percentile: float = 90.0, shard_bytes: int = 32 << 20) -> None:
     """Encode every text, append ``end_id``, and write shard files of ascending, disjoint doc_id ranges to ``path``."""
     plain = pick(docs, "doc_id", "text")
@@ -231,7 +238,7 @@ def write_tokens(docs: DataFrame, path: str, encoder: Callable[[], CachedEncoder
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, shard, rows, size = encoder(), None, [], 0
         for b in batches:
-            for doc_ids, texts in slices(b, 4 << 20):
+            for doc_ids, texts in slices(b):
                 for doc_id, ids in zip(doc_ids.to_pylist(), enc.encode_all(texts, end_id)):
                     if shard is None:
                         shard, rows = ShardWriter(percentile), [MAGIC]
@@ -284,7 +291,7 @@ def token_output(docs: DataFrame, tokenizer_file: str, end_id: int = 0, path: st
     are ignored. An empty table gives no rows.
     """
     path = path or scratch_dir(docs.sparkSession)
-    write_tokens(docs, path, lambda: CachedEncoder(tokenizer_file), end_id)
+    write_tokens(docs, path, lambda: encoder_of(tokenizer_file), end_id)
     # One short row per document; the ids themselves stay in the shard files.
     rows = materialize(read_tokens(docs.sparkSession, path, with_ids=False).drop("ids"))
     # A row per shard: as many as files, so one task may order them.
