@@ -16,6 +16,7 @@ from .quality_rules import quality_rules
 from .sentencepiece_codec import round_trip
 from .token_output import token_output
 from .warc import archive
+from .whitening import whiten
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +71,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), components=16).withColumnRenamed("id", "vec_id")
+
+
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(_table(spark, sf_dir, "documents"), words=5, percent=80).drop("class_id")
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op12_whitening": op12_whitening,
     "op13_jaccard_join": op13_jaccard_join,
 }
 
