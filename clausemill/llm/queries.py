@@ -12,6 +12,7 @@ from .jaccard_join import jaccard_join
 from .line_dedup import line_dedup
 from .lm_scoring import score_documents
 from .minhash_dedup import near_duplicates
+from .phrases import mine_phrases
 from .quality_rules import quality_rules
 from .sentencepiece_codec import round_trip
 from .token_output import token_output
@@ -71,6 +72,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(_table(spark, sf_dir, "documents"), min_count=30, max_words=4, top=2000)
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(_table(spark, sf_dir, "embeddings"), components=16).withColumnRenamed("id", "vec_id")
 
@@ -90,6 +95,7 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_decontaminate": op10_decontaminate,
+    "op11_phrases": op11_phrases,
     "op12_whitening": op12_whitening,
     "op13_jaccard_join": op13_jaccard_join,
 }
@@ -171,6 +177,21 @@ ORACLES = {
         select w.doc_id, cast(len(ws) as bigint) n_words, count(*) filter (gone) n_removed,
           sha256(coalesce(string_agg(word, ' ' order by i) filter (not gone), '')) kept_sha256
         from w left join k using (doc_id) group by w.doc_id, len(ws)""",
+    "op11_phrases": f"""
+        with t as (select coalesce(lang, 'und') lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_A}', '{_Z}'), '[.,;:!?\\x0A-\\x0D]')) piece from documents),
+        w as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') ws from t),
+        g as (select lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i+k-1])) p from w, (values (1), (2), (3), (4)) s(k) where len(ws) >= k),
+        f as (select lang, k, p, count(*) f from g group by lang, k, p),
+        n as (select lang, cast(sum(f) as bigint) n from f where k = 1 group by lang),
+        c as (select * from f where k > 1 and f >= 30),
+        u as (select lang, k, p, f a, unnest(range(1, k)) j from c),
+        x as (select u.*, l.f l, r.f r, 2000000::hugeint * a // (l.f + r.f) score from u join f l on l.lang = u.lang and l.p = u.p[:j] join f r on r.lang = u.lang and r.p = u.p[j+1:]),
+        b as (select lang, k, p, a, min(struct_pack(score := score, j := j, l := l, r := r)) m from x group by lang, k, p, a),
+        i as (select distinct lang, f, p[s:s+m-1] q from c, (values (2), (3)) z(m), unnest(range(1, k - m + 2)) o(s) where m < k),
+        d as (select distinct b.lang, b.p from b join i on i.lang = b.lang and i.q = b.p and 100 * i.f >= 80 * b.a),
+        e as (select b.lang, array_to_string(p, ' ') phrase, a, m.l l, m.r r, n, cast(m.score as bigint) score from b join n using (lang) anti join d using (lang, p))
+        select lang, row_number() over (partition by lang order by score desc, a desc, phrase) "rank", phrase, a, l, r, n, score from e
+        qualify "rank" <= 2000""",
     "op13_jaccard_join": f"""
         with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_A}', '{_Z}'), '[^\\x20\\x09-\\x0D]+') ws from documents),
         s as (select distinct doc_id, unnest(case when len(ws) = 0 then [] when len(ws) < 5 then [array_to_string(ws, ' ')]
