@@ -147,62 +147,3 @@ def large_documents(paragraphs: DataFrame, max_paragraphs: int = 1000, max_bytes
     """C-16: per document, paragraphs, bytes, and whether a preview should be off."""
     sizes = paragraphs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_paragraphs"), F.sum(F.octet_length("text")).alias("n_bytes"))
     return sizes.withColumn("is_large", (F.col("n_paragraphs") > max_paragraphs) | (F.col("n_bytes") > max_bytes))
-
-
-# ---- texts to paragraphs
-
-
-def align(elements: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """C-12: (doc_id, el_idx, para_idx): the n-th of equal texts takes the n-th equal paragraph, later ones the first;
-    others the first paragraph that agrees in its first 100 characters and differs by at most half of the text's
-    length; else -1. The first character is part of the join key."""
-    e = elements.select("doc_id", "el_idx", strip(F.col("text")).alias("t")).withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("el_idx")))
-    p = paragraphs.select("doc_id", "para_idx", strip(F.col("text")).alias("t")).where("t <> ''")
-    p = p.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "t").orderBy("para_idx")))
-    same = e.join(p, ["doc_id", "t", "nth"], "left").join(p.groupBy("doc_id", "t").agg(F.min("para_idx").alias("first")), ["doc_id", "t"], "left")
-    exact = same.select("doc_id", "el_idx", "t", F.coalesce("para_idx", "first").alias("exact"))
-    size = F.least(F.lit(100), F.length("t"), F.length("pt"))
-    close = (F.abs(F.length("t") - F.length("pt")) <= 0.5 * F.length("t")) & (F.expr("substring(t, 1, least(100, length(t), length(pt)))") == F.expr("substring(pt, 1, least(100, length(t), length(pt)))")) & (size > 0)
-    left = exact.where("exact is null and t <> ''").select("doc_id", "el_idx", "t", F.substring("t", 1, 1).alias("c"))
-    right = p.select("doc_id", F.col("para_idx").alias("near"), F.col("t").alias("pt"), F.substring("t", 1, 1).alias("c"))
-    near = left.join(right, ["doc_id", "c"]).where(close).groupBy("doc_id", "el_idx").agg(F.min("near").alias("near"))
-    return exact.join(near, ["doc_id", "el_idx"], "left").select("doc_id", "el_idx", F.coalesce("exact", "near", F.lit(-1)).alias("para_idx"))
-
-
-def prefix_map(paragraphs: DataFrame) -> DataFrame:
-    """(doc_id, key, para_idx): trimmed texts, and the first 50 characters of longer ones; the last duplicate wins."""
-    t = strip(F.col("text"))
-    keys = F.when(F.length(t) > 50, F.array(t, F.substring(t, 1, 50))).otherwise(F.array(t))
-    return paragraphs.where(t != "").select("doc_id", "para_idx", F.explode(keys).alias("key")).groupBy("doc_id", "key").agg(F.max("para_idx").alias("para_idx"))
-
-
-def align_by_map(elements: DataFrame, paragraphs: DataFrame, rows: DataFrame) -> DataFrame:
-    """C-18: elements whose text, or first 50 characters, is a paragraph's with a clause on it."""
-    keys = prefix_map(paragraphs)
-    e = elements.select("doc_id", "el_idx", strip(F.col("text")).alias("t")).where("t <> ''")
-    full = e.join(keys.withColumnRenamed("key", "t").withColumnRenamed("para_idx", "full"), ["doc_id", "t"], "left")
-    head = keys.withColumnRenamed("key", "h").withColumnRenamed("para_idx", "head")
-    both = full.withColumn("h", F.when(F.length("t") > 50, F.substring("t", 1, 50))).join(head, ["doc_id", "h"], "left")
-    return both.select("doc_id", "el_idx", F.coalesce("full", "head").alias("para_idx")).where("para_idx is not null").join(rows.select("doc_id", "para_idx"), ["doc_id", "para_idx"], "left_semi")
-
-
-def align_first_containment(elements: DataFrame, paragraphs: DataFrame) -> DataFrame:
-    """C-19: the first paragraph of the document that equals the text, or where either contains the other's start."""
-    e = elements.select("doc_id", "el_idx", strip(F.col("text")).alias("t"))
-    p = paragraphs.select("doc_id", "para_idx", strip(F.col("text")).alias("p"))
-    hit = (F.col("t") == F.col("p")) | F.contains("t", F.substring("p", 1, 50)) | F.contains("p", F.substring("t", 1, 50))
-    return e.join(p, "doc_id").where(hit).groupBy("doc_id", "el_idx").agg(F.min("para_idx").alias("para_idx"))
-
-
-def best_element(rows: DataFrame, paragraphs: DataFrame, elements: DataFrame) -> DataFrame:
-    """C-13: for each clause the element that fits its paragraph best, by score; the first wins ties."""
-    c = rows.join(paragraphs.select("doc_id", "para_idx", strip(F.col("text")).alias("p")), ["doc_id", "para_idx"]).select("doc_id", "para_idx", "clause_number", "p").where("p <> ''")
-    e = elements.select("doc_id", "el_idx", strip(F.col("text")).alias("e")).where("e <> ''")
-    a, b = F.length("e"), F.length("p")
-    prefix = F.least(F.lit(200), a, b)
-    same = F.expr("substring(e, 1, least(200, length(e), length(p)))") == F.expr("substring(p, 1, least(200, length(e), length(p)))")
-    base = F.when(F.col("e") == F.col("p"), 1000.0).when(F.contains("e", F.col("p")) | F.contains("p", F.col("e")), F.least(a, b) / F.greatest(a, b) * 500).when(same, prefix.cast("double")).otherwise(0.0)
-    bonus = F.when(F.startswith("e", F.col("clause_number")), 500.0).when(F.contains("e", F.col("clause_number")), 200.0).otherwise(0.0)
-    scored = c.join(e, "doc_id").withColumn("score", base + bonus).where("score > 0")
-    best = scored.groupBy("doc_id", "para_idx", "clause_number").agg(F.max_by(F.struct("el_idx", "score", "e"), F.struct("score", -F.col("el_idx"))).alias("best"))
-    return best.where((F.col("best.score") > 20) | F.contains("best.e", F.col("clause_number"))).select("doc_id", "para_idx", "clause_number", "best.el_idx", F.round("best.score", 4).alias("score"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from clausemill.functions.units import bare_ref, clause_part_code
 
+from .matching import DICTIONARY_BYTES, dictionary_join
+
 #: Dimensions up to so many rows are broadcast; larger ones are joined by shuffle.
 SMALL_DIM = 100_000
 
@@ -85,11 +87,11 @@ def compliance_chain(units: DataFrame) -> DataFrame:
     return rows.withColumn("complete", (F.col("objectives") > 0) & (F.col("functionals") > 0) & (F.col("requirements") > 0) & (F.col("solutions") > 0))
 
 
-def keyword_hits(questions: DataFrame, keywords: DataFrame) -> DataFrame:
-    """J-14: (qid, topic_id, keyword, kind) for each keyword inside a question, whatever the case; a broadcast theta
-    join, for dimensions of a checked size."""
-    kw = small(keywords.select("topic_id", "keyword", "kind"))
-    return questions.join(kw, F.contains(F.lower("question"), F.lower("keyword"))).select("qid", "question", "topic_id", "keyword", "kind")
+def keyword_hits(questions: DataFrame, keywords: DataFrame, limit_bytes: int = DICTIONARY_BYTES) -> DataFrame:
+    """J-14: (qid, question, topic_id, keyword, kind) for each keyword inside a question, whatever the case. An empty keyword
+    is in none. See ``matching.dictionary_join`` for the plan at each size."""
+    found = dictionary_join(questions, "question", "qid", keywords.select("topic_id", "keyword", "kind"), "keyword", limit_bytes)
+    return found.select("qid", "question", "topic_id", "keyword", "kind")
 
 
 def parents_by_level(rows: DataFrame, level: str = "level", deepest: int = 5) -> DataFrame:

@@ -140,7 +140,7 @@ def auto_ids(tables: DataFrame) -> DataFrame:
 def nearest_paragraph(elements: DataFrame, paragraphs: DataFrame, back: int = 5) -> DataFrame:
     """T-10: (doc_id, dom_idx, paragraph_index): of the ``back`` blocks before a table the closest one whose text, or
     its first 50 characters, is a paragraph's; -1 if none is."""
-    from .clauses import prefix_map
+    from .alignment import prefix_map
 
     order = Window.partitionBy("doc_id").orderBy("dom_idx")
     rows = elements.where("tag = 'table' or text <> ''").withColumn("block_no", F.sum((F.col("tag") != "table").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from clausemill.operators import alignment as G
 from clausemill.operators import clauses as C
 from clausemill.operators import normalize as N
 from clausemill.sources import fixtures as X
@@ -49,14 +50,14 @@ QUERIES = {
     "c08_coverage": lambda s, d: C.coverage(C.clauses(_p(s, d))),
     "c09_manual_marks": lambda s, d: C.toggle_marks(C.clauses(_p(s, d)).select("doc_id", "para_idx", "clause_id", "clause_number", "text"), _marks(s, d)).select("doc_id", "para_idx", "clause_number", "marked_by"),
     "c10_c11_delete_and_merge": lambda s, d: C.delete_and_merge(C.headings(_p(s, d)).withColumnRenamed("clause_text", "text"), F.expr(_SELECTED)),
-    "c12_align": lambda s, d: C.align(_elements(s, d), _p(s, d)),
-    "c13_best_element": lambda s, d: C.best_element(C.headings(_p(s, d)), _p(s, d), _elements(s, d)),
+    "c12_align": lambda s, d: G.align(_elements(s, d), _p(s, d)),
+    "c13_best_element": lambda s, d: G.best_element(C.headings(_p(s, d)), _p(s, d), _elements(s, d)),
     "c14_export": lambda s, d: C.joined(C.clauses(_p(s, d))).select("clause_number", F.col("text").alias("clause_text"), "notes", "exceptions", "warnings", "jurisdiction"),
     "c15_preview": lambda s, d: C.preview(X.clause_sheet(s, d).select("idx", "clause_number", "clause_text"), "idx"),
     "c16_large_documents": lambda s, d: C.large_documents(_p(s, d), max_paragraphs=20, max_bytes=8000),
     "c17_subclauses": lambda s, d: C.subclauses(_p(s, d).selectExpr("doc_id", "para_idx", _ITEMS)).select("doc_id", "para_idx", "item"),
-    "c18_align_by_map": lambda s, d: C.align_by_map(_elements(s, d), _p(s, d), C.headings(_p(s, d))),
-    "c19_align_first_containment": lambda s, d: C.align_first_containment(_elements(s, d), _p(s, d)),
+    "c18_align_by_map": lambda s, d: G.align_by_map(_elements(s, d), _p(s, d), C.headings(_p(s, d))),
+    "c19_align_first_containment": lambda s, d: G.align_first_containment(_elements(s, d), _p(s, d)),
     "n01_n07_numbers": _numbers,
     "n05_n12_clean_clauses": _clean,
     "n08_clauses_by_standard": lambda s, d: N.clean_clauses(X.clause_sheet(s, d).withColumn("std", F.expr("concat('AS', cast(3000 + idx % 4 as string))")), F.col("std")).select("id", "clause_number", "parent_id", "source_rows"),

@@ -26,6 +26,14 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{(base or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written to the scratch folder and read back, for a table that several branches of a plan read: it is made once,
+    its lineage ends here, and its size is known."""
+    path = scratch_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _csv(spark: SparkSession, path: str, schema: T.StructType | str, mode: str) -> DataFrame:
     # Without pruning every row is parsed whole, so that short rows are known as such.
     spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
