@@ -10,6 +10,7 @@ from clausemill.functions import variations as V
 from clausemill.operators import lookups as L
 from clausemill.operators import qa as Q
 from clausemill.operators import routing as R
+from clausemill.operators import vectors as E
 from clausemill.sources import fixtures as X
 
 from .sql import bare_ref, collapse, last_part, part, section
@@ -58,9 +59,14 @@ def _vectors(s, d):
     return X.table(s, d, "embeddings")
 
 
-def _semantic(s, d):
-    queries = _vectors(s, d).where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
-    return R.semantic_search(queries, _vectors(s, d), [0, 1, 2, 3, 4])
+#: Weights of the labels, as of units: mandatory, optional pathway, other.
+_LABEL_WEIGHT = "case label when 0 then 2 when 1 then 1 else 0 end"
+
+
+def _semantic(s, d, **kw):
+    rows = _vectors(s, d).selectExpr("*", f"{_LABEL_WEIGHT} weight")
+    queries = rows.where("vec_id % 20 = 0").select(F.col("vec_id").alias("qid"), F.col("embedding").alias("query"))
+    return E.semantic_search(E.build_index(rows), queries, **kw)
 
 
 #: Rules of our own, shaped like a coverage map's: topic, disallowed volumes, types that alone are not enough, what to say.
@@ -135,7 +141,8 @@ QUERIES = {
     "r05_guardrails": lambda s, d: R.guardrails(_evidence(s, d), X.dims(s)["aspect"]),
     "r06_phrase_rules": lambda s, d: R.phrase_rules(_answers(s, d), X.dims(s)["phrase"]),
     "r07_search": lambda s, d: R.search(derived(s, d), ["building", "comply"], "NSW", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION"]),
-    "r08_semantic_search": _semantic,
+    "r08_semantic_search": lambda s, d: _semantic(s, d, labels=[0, 1, 2, 3, 4]).drop("weight"),
+    "r08_weighted_search": lambda s, d: _semantic(s, d, labels=[0, 1, 3], boost=0.05),
     "r09_published_sql": lambda s, d: derived(s, d).where("unit_type = 'PERFORMANCE_REQUIREMENT' and unit_label like 'H1%' and text like '%AS 10%'").select("volume", "ord", "unit_label", "title"),
     "r09_requirements_of_a_volume": lambda s, d: R.published_query(_referenced(s, d), volume="Vol2", unit_type="PERFORMANCE_REQUIREMENT").select("unit_label", "title", "text"),
     "r09_variations_of_a_state": lambda s, d: R.published_query(_referenced(s, d), state="NSW").select("unit_label", "variation_action", "affected_unit_label", "text"),
@@ -199,6 +206,9 @@ _DISC = f"(select volume, code, array_to_string(disciplines, ', ') d from {_MAP}
 _Q10 = f"(select *, case ncc_pathway when 'DTS' then 'IF_DTS_SELECTED' when 'PERFORMANCE' then 'IF_PERFORMANCE_SELECTED' else 'ALWAYS' end conditionality from {_D})"
 #: Of the published types those that the query can meet.
 _ALLOWED_TYPES = "'GOVERNING_REQUIREMENT', 'OBJECTIVE', 'FUNCTIONAL_STATEMENT', 'PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD', 'STATE_VARIATION', 'INTRODUCTION', 'FIGURE'"
+_NEAREST = """with s as (select q.vec_id qid, v.vec_id, v.label, round(list_dot_product(q.e, v.e) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(v.e, v.e)), 6) score
+          from (select vec_id, cast(embedding as double[]) e from embeddings where vec_id % 20 = 0) q, (select vec_id, label, cast(embedding as double[]) e from embeddings) v),
+        t as (select *, row_number() over (partition by qid order by score desc, vec_id) nth from s)"""
 
 ORACLES = {
     "j01_discipline": f"""select u.volume, ord, coalesce(a.d, b.d, c.d, '') discipline from {X.UNITS_SQL} u left join {_DISC} a on a.volume = u.volume and a.code = {last_part('unit_label')}
@@ -270,10 +280,11 @@ ORACLES = {
         (select qid, question, case qid % 3 when 0 then 'Volume One means 10 mm' when 1 then 'maybe about right' else '' end answer from {X.QUESTIONS_SQL}) join {_DIM['phrase']} on contains(lower(question), lower(if_contains))""",
     "r07_search": f"""select volume, ord, unit_label, cast({_SEARCH} as int) "rank", case unit_type when 'PERFORMANCE_REQUIREMENT' then 2 else 1 end weight from {_D}
         where applies_state in ('', 'NSW') and unit_type in ('PERFORMANCE_REQUIREMENT', 'DTS_PROVISION') and {_SEARCH} > 0 order by "rank" desc, weight desc, volume, ord limit 5""",
-    "r08_semantic_search": """with s as (select q.vec_id qid, v.vec_id, v.label, round(list_dot_product(q.e, v.e) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(v.e, v.e)), 6) score
-          from (select vec_id, cast(embedding as double[]) e from embeddings where vec_id % 20 = 0) q, (select vec_id, label, cast(embedding as double[]) e from embeddings) v),
-        t as (select *, row_number() over (partition by qid order by score desc, vec_id) nth from s)
+    "r08_semantic_search": f"""{_NEAREST}
         select qid, vec_id, score, cast(place as int) place from (select *, row_number() over (partition by qid order by score desc, vec_id) place from t where nth <= 20 and label in (0, 1, 2, 3, 4)) where place <= 5""",
+    "r08_weighted_search": f"""{_NEAREST}
+        select qid, vec_id, score, weight, cast(place as int) place from (select *, row_number() over (partition by qid order by round(score + 0.05::double * weight, 6) desc, vec_id) place
+          from (select *, {_LABEL_WEIGHT} weight from t where nth <= 20 and label in (0, 1, 3))) where place <= 5""",
     "r09_published_sql": f"select volume, ord, unit_label, title from {_D} where unit_type = 'PERFORMANCE_REQUIREMENT' and unit_label like 'H1%' and text like '%AS 10%'",
     "r09_requirements_of_a_volume": f"select unit_label, title, text from {_D} where volume = 'Vol2' and unit_type = 'PERFORMANCE_REQUIREMENT'",
     "r09_variations_of_a_state": f"select unit_label, variation_action, affected_unit_label, text from {_D} where applies_state = 'NSW'",
