@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from clausemill.functions import units as U
 from clausemill.functions import variations as V
 from clausemill.operators import lookups as L
+from clausemill.operators import postings as I
 from clausemill.operators import qa as Q
 from clausemill.operators import routing as R
 from clausemill.operators import vectors as E
@@ -59,6 +60,18 @@ def _vectors(s, d):
     return X.table(s, d, "embeddings")
 
 
+#: Indexes by session and input: one serves all searches over it.
+_INDEXES: dict[tuple[str, str], I.PostingsIndex] = {}
+
+
+def _index(s, d) -> I.PostingsIndex:
+    """The index of the units, with classes, built by the first search over them."""
+    key = s.sparkContext.applicationId, d
+    if key not in _INDEXES:
+        _INDEXES[key] = I.build_postings(derived(s, d).withColumn("applies_to_class", F.expr("concat('Class ', cast(1 + ord % 10 as string))")))
+    return _INDEXES[key]
+
+
 #: Weights of the labels, as of units: mandatory, optional pathway, other.
 _LABEL_WEIGHT = "case label when 0 then 2 when 1 then 1 else 0 end"
 
@@ -140,7 +153,9 @@ QUERIES = {
     "r04_aspects": lambda s, d: R.aspects_found(_evidence(s, d), X.dims(s)["aspect"]),
     "r05_guardrails": lambda s, d: R.guardrails(_evidence(s, d), X.dims(s)["aspect"]),
     "r06_phrase_rules": lambda s, d: R.phrase_rules(_answers(s, d), X.dims(s)["phrase"]),
-    "r07_search": lambda s, d: R.search(derived(s, d), ["building", "comply"], "NSW", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION"]),
+    "r07_index": lambda s, d: _index(s, d).summaries(s).groupBy("term").agg(F.max("tf").alias("most"), F.max("weight").alias("weight")),
+    "r07_postings": lambda s, d: _index(s, d).postings(s).select("term", "volume", "ord", "tf", "weight"),
+    "r07_search": lambda s, d: I.search(s, _index(s, d), ["building", "comply"], "NSW", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION"]),
     "r08_semantic_search": lambda s, d: _semantic(s, d, labels=[0, 1, 2, 3, 4]).drop("weight"),
     "r08_weighted_search": lambda s, d: _semantic(s, d, labels=[0, 1, 3], boost=0.05),
     "r09_published_sql": lambda s, d: derived(s, d).where("unit_type = 'PERFORMANCE_REQUIREMENT' and unit_label like 'H1%' and text like '%AS 10%'").select("volume", "ord", "unit_label", "title"),
@@ -148,7 +163,8 @@ QUERIES = {
     "r09_variations_of_a_state": lambda s, d: R.published_query(_referenced(s, d), state="NSW").select("unit_label", "variation_action", "affected_unit_label", "text"),
     "r09_provisions_of_a_part": lambda s, d: R.published_query(_referenced(s, d), volume="Vol2", label="H2").select("unit_label", "unit_type", "compliance_weight", "title"),
     "r09_units_citing_a_standard": lambda s, d: R.published_query(_referenced(s, d), standard="AS 1001").select("unit_label", "unit_type", "title"),
-    "r07_filtered_search": lambda s, d: R.search(derived(s, d).withColumn("applies_to_class", F.expr("concat('Class ', cast(1 + ord % 10 as string))")), ["building", "comply"], "VIC", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "VERIFICATION_METHOD"], section="C", building_class="5"),
+    "r07_filtered_search": lambda s, d: I.search(s, _index(s, d), ["building", "comply"], "VIC", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "VERIFICATION_METHOD"], section="C", building_class="5"),
+    "r07_rare_terms": lambda s, d: I.search(s, _index(s, d), ["1001", "E3P9"], "NSW", ["PERFORMANCE_REQUIREMENT", "OBJECTIVE", "GOVERNING_REQUIREMENT"], k=20),
     "r05_rules": lambda s, d: R.evidence_rules(derived(s, d).join(F.broadcast(X.dims(s)["topic"].selectExpr("topic_id", "section_code")), "section_code"), _rules(s)),
     "r06_phrase_lists": lambda s, d: R.phrase_lists(_answers(s, d), _phrase_lists(s)),
     "r10_state_differences": lambda s, d: R.state_differences(derived(s, d), "NSW", "VIC"),
@@ -206,6 +222,8 @@ _DISC = f"(select volume, code, array_to_string(disciplines, ', ') d from {_MAP}
 _Q10 = f"(select *, case ncc_pathway when 'DTS' then 'IF_DTS_SELECTED' when 'PERFORMANCE' then 'IF_PERFORMANCE_SELECTED' else 'ALWAYS' end conditionality from {_D})"
 #: Of the published types those that the query can meet.
 _ALLOWED_TYPES = "'GOVERNING_REQUIREMENT', 'OBJECTIVE', 'FUNCTIONAL_STATEMENT', 'PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD', 'STATE_VARIATION', 'INTRODUCTION', 'FIGURE'"
+_TERMS = f"""(select volume, ord, unit_label, unit_type, applies_state, term, count(*) n, case unit_type when 'PERFORMANCE_REQUIREMENT' then 2 when 'DTS_PROVISION' then 1 when 'VERIFICATION_METHOD' then 1 else 0 end weight
+    from (select *, unnest(regexp_extract_all(lower(text), '[A-Za-z0-9_]+')) term from {_D}) group by all)"""
 _NEAREST = """with s as (select q.vec_id qid, v.vec_id, v.label, round(list_dot_product(q.e, v.e) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(v.e, v.e)), 6) score
           from (select vec_id, cast(embedding as double[]) e from embeddings where vec_id % 20 = 0) q, (select vec_id, label, cast(embedding as double[]) e from embeddings) v),
         t as (select *, row_number() over (partition by qid order by score desc, vec_id) nth from s)"""
@@ -278,6 +296,10 @@ ORACLES = {
         (select 1 from {_ASPECTS} f where f.topic_id = a.topic_id and f.aspect = a.aspect)), '') missing from {_DIM['aspect']} a group by 1)""",
     "r06_phrase_rules": f"""select qid, if_contains, contains(answer, must_include) has_phrase, not contains(answer, must_not_include) clean from
         (select qid, question, case qid % 3 when 0 then 'Volume One means 10 mm' when 1 then 'maybe about right' else '' end answer from {X.QUESTIONS_SQL}) join {_DIM['phrase']} on contains(lower(question), lower(if_contains))""",
+    "r07_index": f"select term, cast(max(n) as int) most, max(weight) weight from {_TERMS} group by term",
+    "r07_postings": f"select term, volume, ord, cast(n as int) tf, weight from {_TERMS}",
+    "r07_rare_terms": f"""select volume, ord, any_value(unit_label) unit_label, cast(sum(n) as int) "rank", any_value(weight) weight from {_TERMS} where term in ('1001', 'e3p9') and applies_state in ('', 'NSW')
+        and unit_type in ('PERFORMANCE_REQUIREMENT', 'OBJECTIVE', 'GOVERNING_REQUIREMENT') group by volume, ord order by "rank" desc, weight desc, volume, ord limit 20""",
     "r07_search": f"""select volume, ord, unit_label, cast({_SEARCH} as int) "rank", case unit_type when 'PERFORMANCE_REQUIREMENT' then 2 else 1 end weight from {_D}
         where applies_state in ('', 'NSW') and unit_type in ('PERFORMANCE_REQUIREMENT', 'DTS_PROVISION') and {_SEARCH} > 0 order by "rank" desc, weight desc, volume, ord limit 5""",
     "r08_semantic_search": f"""{_NEAREST}
