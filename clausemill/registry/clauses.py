@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from clausemill.operators import alignment as G
 from clausemill.operators import clauses as C
 from clausemill.operators import normalize as N
+from clausemill.operators import trees as R
 from clausemill.sources import fixtures as X
 
 from .sql import collapse, strip
@@ -34,6 +35,10 @@ def _clean(s, d):
     return N.clean_clauses(X.clause_sheet(s, d), "AS3000")
 
 
+def _tree(s, d):
+    return N.clean_clauses(X.tree_sheet(s, d), "AS3000")
+
+
 def _numbers(s, d):
     number = N.clause_number(F.col("clause_number"))
     rows = X.clause_sheet(s, d).select("idx", N.bare_number(F.col("clause_number")).alias("bare"), N.join_single(N.bare_number(F.col("clause_number"))).alias("single"), number.alias("number"), N.corruption_note(number).alias("note"))
@@ -61,7 +66,9 @@ QUERIES = {
     "n01_n07_numbers": _numbers,
     "n05_n12_clean_clauses": _clean,
     "n08_clauses_by_standard": lambda s, d: N.clean_clauses(X.clause_sheet(s, d).withColumn("std", F.expr("concat('AS', cast(3000 + idx % 4 as string))")), F.col("std")).select("id", "clause_number", "parent_id", "source_rows"),
-    "n13_children": lambda s, d: N.children(_clean(s, d)),
+    "n13_children": lambda s, d: N.children(_tree(s, d)),
+    "n13_ancestors": lambda s, d: R.ancestors(_tree(s, d)),
+    "n13_tree": lambda s, d: R.tree_measures(_tree(s, d)),
     "n13_orphans": lambda s, d: N.orphans(_clean(s, d)),
 }
 
@@ -104,6 +111,9 @@ _CLEAN = f"""(select 'AS3000:' || number || case when nth > 1 then '#' || nth el
         from (select *, {strip('clause_text')} whole, list_filter(list_transform(string_split({strip('clause_text')}, chr(10)), lambda x: {strip('x')}), lambda x: x <> '') lines from {_NUM} where number <> ''))))"""
 
 CLEAN_SQL = _CLEAN
+_TREE = _CLEAN.replace(X.SHEET_SQL, X.TREE_SHEET_SQL)
+_UP = f"""with recursive c as (select id, parent_id from {_TREE}), up as (select c.id, c.parent_id ancestor_id, cast(1 as bigint) distance from c join c p on p.id = c.parent_id
+    union all select up.id, c.parent_id, up.distance + 1 from up join c on c.id = up.ancestor_id join c p on p.id = c.parent_id)"""
 
 ORACLES = {
     "c01_exclusion": f"select doc_id, para_idx, {_EXCLUDED} excluded from {_P}",
@@ -152,6 +162,9 @@ ORACLES = {
     "n05_n12_clean_clauses": f"select * from {_CLEAN}",
     "n08_clauses_by_standard": f"""select std || ':' || number || case when nth > 1 then '#' || nth else '' end id, number clause_number, case when {_PARENT} <> '' then std || ':' || ({_PARENT}) else '' end parent_id, '[' || idx || ']' source_rows
         from (select *, row_number() over (partition by std, number order by idx) nth from (select *, concat('AS', cast(3000 + idx % 4 as varchar)) std from {_NUM}) where number <> '')""",
-    "n13_children": f"select parent_id, id, \"level\" from {_CLEAN} where parent_id in (select id from {_CLEAN})",
+    "n13_children": f"select parent_id, id, \"level\" from {_TREE} where parent_id in (select id from {_TREE})",
+    "n13_ancestors": f"{_UP} select id, ancestor_id, distance from up",
+    "n13_tree": f"""{_UP}, b as (select ancestor_id id, count(*) n from up group by 1), a as (select id, count(*) depth, max_by(ancestor_id, distance) root from up group by 1)
+        select c.id, coalesce(a.depth, 0) depth, coalesce(a.root, c.id) root_id, coalesce(b.n, 0) + 1 subtree_size, false circular from c left join a on a.id = c.id left join b on b.id = c.id""",
     "n13_orphans": f"select id, parent_id from {_CLEAN} where parent_id <> '' and parent_id not in (select id from {_CLEAN})",
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clausemill.functions import units as U
 from clausemill.functions import variations as V
+from clausemill.operators import editions as D
 from clausemill.operators import lookups as L
 from clausemill.operators import postings as I
 from clausemill.operators import qa as Q
@@ -168,6 +169,7 @@ QUERIES = {
     "r05_rules": lambda s, d: R.evidence_rules(derived(s, d).join(F.broadcast(X.dims(s)["topic"].selectExpr("topic_id", "section_code")), "section_code"), _rules(s)),
     "r06_phrase_lists": lambda s, d: R.phrase_lists(_answers(s, d), _phrase_lists(s)),
     "r10_state_differences": lambda s, d: R.state_differences(derived(s, d), "NSW", "VIC"),
+    "r10_editions": lambda s, d: D.edition_changes(*X.editions(derived(s, d))),
     "r11_embedding_units": lambda s, d: R.embedding_units(derived(s, d)),
 }
 

@@ -83,6 +83,19 @@ def split_columns(sql: str) -> list[str]:
     return [*out, sql[at:].strip()]
 
 
+def editions(units: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two editions of units (volume, part_code, ord, unit_label, text): in the second some are gone, reworded, renumbered,
+    moved to the end of the volume or to the next part, and some are new."""
+    old = units.selectExpr("volume", "part_code", "ord", "unit_label", "case when ord % 5 = 0 then text else concat(text, ' Item ', cast(ord as string)) end text")
+    far = old.agg(F.coalesce(F.max("ord"), F.lit(0)).alias("far"))
+    kept = old.where("ord % 17 <> 0").crossJoin(F.broadcast(far)).selectExpr(
+        "volume", "case when ord % 37 = 0 then concat(part_code, 'x') else part_code end part_code", "case when ord % 23 = 0 then ord + far + 1 else ord end ord",
+        "case when ord % 29 = 0 then concat(unit_label, 'a') else unit_label end unit_label", "case when ord % 19 = 0 then concat(text, ' (amended)') else text end text",
+    )
+    new = old.where("ord % 31 = 0").crossJoin(F.broadcast(far)).selectExpr("volume", "part_code", "-ord ord", "concat('N', unit_label) unit_label", "concat('New: ', text) text")
+    return old, kept.unionByName(new)
+
+
 # ---- table cells
 
 #: The tables of a document: so many at every size, as orders number 15 times the rows of ``documents``.
@@ -132,6 +145,16 @@ def clause_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").selectExpr(*split_columns(_SHEET))
 
 
+def tree_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(idx, clause_number, ...) like ``clause_sheet``, numbered by the digits of the part key, so that clauses have parents:
+    1.2.3 is under 1.2. Every seventh clause of the second level on is missing."""
+    rows = clause_sheet(spark, sf_dir).withColumn("clause_number", F.expr(r"regexp_replace(cast(p_partkey as string), '(\\d)(?!$)', '$1.')"))
+    return rows.where("p_partkey < 10 or p_partkey % 7 <> 0")
+
+
+TREE_SHEET_SQL = f"(select * replace (array_to_string(string_split(cast(p_partkey as varchar), ''), '.') as clause_number) from {SHEET_SQL} where p_partkey < 10 or p_partkey % 7 <> 0)"
+
+
 # ---- questions
 
 _QUESTION = """qid, concat(case qid % 5 when 0 then 'Does Volume One apply to ' when 1 then 'What is the meaning of '
