@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clausemill.functions import units as U
 from clausemill.functions import variations as V
+from clausemill.operators import blocks as B
 from clausemill.operators import lookups as L
 from clausemill.operators import tables as T
 from clausemill.plans import units as P
@@ -191,6 +192,8 @@ QUERIES = {
     "t03_encoded_cells": lambda s, d: X.cells(s, d).select("doc_id", "table_idx", "row_idx", "col_idx", T.encode_cell(F.col("text"), F.col("colspan"), F.col("rowspan")).alias("cell")),
     "t04_lte_blocks": lambda s, d: T.lte_blocks(X.cells(s, d), _cell_captions(s, d)),
     "t05_shapes": lambda s, d: T.shapes(X.cells(s, d)),
+    "u01_nested_blocks": lambda s, d: B.html_blocks(X.nested_pages(s, d)),
+    "t06_nested_blocks": lambda s, d: B.page_blocks(B.html_blocks(X.nested_pages(s, d))),
     "t06_blocks": lambda s, d: T.blocks_of(T.html_elements(X.page_html(s, d))),
     "t07_captions": lambda s, d: T.captions(_elements(s, d)),
     "t08_nearby_notes": lambda s, d: T.nearby_notes(_elements(s, d)),
@@ -232,6 +235,21 @@ _STRUCT = r"case when regexp_matches(text, '(?i)^volume\s+(one|two|three|\d)\b')
 _EXT = _once(r"regexp_extract_all(text, '\b(AS/NZS \d+|AS \d+|ISO \d+)', 1)")
 _INT = _once(r"regexp_extract_all(text, '\b([A-Z]\d+[A-Z]\d+)\b', 1)")
 
+_TAG = r"(?i)</?(?:p|h[1-6]|div|li|blockquote|table|ul|ol)\b[^>]*>"
+_BLOCKS = f"""with h as (select doc_id, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g') h from {X.NESTED_PAGES_SQL}),
+    a as (select doc_id, regexp_extract_all(h, '{_TAG}') ts, string_split_regex(h, '{_TAG}')[2:] ss from h),
+    t as (select doc_id, cast(i - 1 as int) pos, lower(regexp_extract(ts[i], '^</?(\\w+)', 1)) tag, not starts_with(ts[i], '</') op, ss[i] seg from (select *, unnest(range(1, len(ts) + 1)) i from a)),
+    l as (select *, case when op then 0 else 1 end + sum(case when op then 1 else -1 end) over (partition by doc_id, tag order by pos) depth,
+        case when tag in ('ul', 'ol') and not op then 1 else 0 end + sum(case when tag not in ('ul', 'ol') then 0 when op then 1 else -1 end) over (partition by doc_id order by pos) lists,
+        lead(pos) over (partition by doc_id order by pos) nxt, max(pos) over (partition by doc_id) + 1 n from t),
+    b as (select doc_id, pos, nxt fin, tag, n from l where op and regexp_matches(tag, '^(p|h[1-6])$')
+      union all select doc_id, pos, fin, tag, n from (select *, lead(pos) over (partition by doc_id, lists order by pos) fin from l where tag = 'li' or (tag in ('ul', 'ol') and not op)) where tag = 'li' and op
+      union all select doc_id, pos, fin, tag, n from (select *, lead(pos) over (partition by doc_id, tag, depth order by pos) fin from l where tag in ('div', 'blockquote', 'table')) where op),
+    i as (select doc_id, pos start, coalesce(fin, n) fin, tag from b),
+    blocks as (select i.doc_id, i.start, i.tag, (select count(*) from i o where o.doc_id = i.doc_id and o.start < i.start and o.fin > i.start) depth, (select max(o.start) from i o where o.doc_id = i.doc_id and o.start < i.start and o.fin > i.start) parent,
+        exists (select 1 from i o where o.doc_id = i.doc_id and o.tag = 'table' and o.start < i.start and o.fin > i.start) in_table,
+        trim(regexp_replace(regexp_replace((select string_agg(seg, ' ' order by pos) from t where t.doc_id = i.doc_id and t.pos >= i.start and t.pos < i.fin), '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'), ' ') text from i)"""
+
 ORACLES = {
     "u02_u20_codes": f"select volume, ord, clause_ref, section_code, part_code, anchor_id, normative_status, ncc_pathway, compliance_weight, applies_to_volume, indexable, 'Vol' || upper(regexp_replace(lower(volume), '^vol', '')) volume_label, {_LT.format('unit_label', "'OTHER'")} label_type, regexp_matches(table_id, '^[A-Z]\\d+[A-Z]\\d+[a-zA-Z]?$|^[A-Z]\\d+\\.\\d+$') good_table_id from {DERIVED_SQL}",
     "u03_clause_refs": _sql(ref=_REF),
@@ -290,6 +308,8 @@ ORACLES = {
         o as (select *, case when table_id <> '' and titled then {strip(f"regexp_extract({strip('h')}, '(?i)^(Table\\s+[^:]+(?::\\s*[^\\n]+)?)', 1)")} end own from x)
         select doc_id, ord, table_id, case when table_id = '' then '' else coalesce(own, first_value(own ignore nulls) over (partition by doc_id, table_id order by ord rows between unbounded preceding and current row), '') end table_label from o""",
     "u28_length_guard": "select doc_id, cast(length(t) > 32767 as int) n_truncated, md5(case when length(t) > 32767 then substr(t, 1, 32764) || '...' else t end) digest from (select doc_id, repeat(text, 20) t from documents)",
+    "u01_nested_blocks": f"{_BLOCKS} select * from blocks",
+    "t06_nested_blocks": f"{_BLOCKS} select doc_id, cast(row_number() over (partition by doc_id order by start) as int) block_no, start, tag, text from blocks where tag <> 'table' and not in_table and text <> ''",
     "t01_html_cells": f"""select doc_id, table_idx, row_idx, col_idx, trim(regexp_replace(regexp_replace(c, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'), ' ') text, lower(regexp_extract(c, '(?i)^<(t[dh])', 1)) tag,
         cast(coalesce(nullif(regexp_extract(c, '(?i)^<t[dh][^>]*\\bcolspan=["'']?(\\d+)', 1), ''), '1') as int) colspan, cast(coalesce(nullif(regexp_extract(c, '(?i)^<t[dh][^>]*\\browspan=["'']?(\\d+)', 1), ''), '1') as int) rowspan from {_PCELLS}""",
     "t02_pipe_tables": f"select * from {_PIPES}",

@@ -186,6 +186,17 @@ def page_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").selectExpr("page_id doc_id", f"{_PAGE_TABLE} html")
 
 
+_NESTED = """replace(html, '</article>', concat('<DIV class="a">lead <blockquote>said <p>one<p>two <b>', cast(page_id as string), '</b></blockquote><ul><li>first<ul><li>deep</li></ul><li>second <div>boxed</div></ul>',
+  '<table><tr><td><p>in a cell</p><table><tr><td>inner</td></tr></table></td></tr></table>', case when page_id % 3 = 0 then '</blockquote>' else '' end, case when page_id % 4 = 0 then '' else '</div>' end, '<h2>end</h2></article>'))"""
+
+NESTED_PAGES_SQL = f"(select page_id doc_id, {_NESTED} html from pages)"
+
+
+def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, html): pages with blocks, lists and tables inside each other, some end tags missing and some too many."""
+    return table(spark, sf_dir, "pages").selectExpr("page_id doc_id", f"{_NESTED} html")
+
+
 # ---- coverage map: a small set of our own
 
 TOPICS = [("T1", "Vol1", "D", 2), ("T2", "Vol2", "H", 1), ("T3", "Vol3", "A", 1)]
