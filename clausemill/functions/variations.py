@@ -3,9 +3,11 @@ the rule is ours and stands in the function's text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clausemill.operators.scans import CHUNK, running
+
 from .text import strip
 from .units import first_of
 
@@ -42,10 +44,9 @@ def subclause(label: Column) -> Column:
     return F.regexp_extract(label, r"(\(\d+\))\z", 1)
 
 
-def attach_continuations(paragraphs: DataFrame) -> DataFrame:
+def attach_continuations(paragraphs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """V-3: (doc_id, seg, label, text): paragraphs after a variation heading belong to it until the next one."""
-    order = Window.partitionBy("doc_id").orderBy("para_idx").rowsBetween(Window.unboundedPreceding, 0)
-    rows = paragraphs.withColumn("seg", F.sum(F.col("text").rlike(VARIATION).cast("int")).over(order)).where("seg > 0")
+    rows = running(paragraphs, "para_idx", sums={"seg": F.col("text").rlike(VARIATION).cast("int")}, chunk=chunk).where("seg > 0")
     grouped = rows.groupBy("doc_id", "seg").agg(F.array_sort(F.collect_list(F.struct("para_idx", "text"))).alias("p"))
     head = F.element_at("p", 1)["text"]
     body = F.concat(F.array(variation_body(head)), F.transform(F.slice("p", F.lit(2), F.greatest(F.size("p") - 1, F.lit(0))), lambda x: strip(x["text"])))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from clausemill.functions.text import strip
 
+from .scans import CHUNK, running
+
 #: Numeric 2.6.3, lettered E2.2a, or appendix A.1 numbers, with an optional (a) or (iv), then separators and text.
 HEADING = r"^\s*((?:\d+(?:\.\d+){1,4})|(?:[A-Z]{1,2}\d+(?:\.\d+)*[a-z]?)|(?:[A-Z]\.\d+(?:\.\d+){0,3}))(\([a-zivx]+\))?\s*[ .\-–:]*\s*(.*)$"
 _UNITS = "kW|W|A|V|Hz|mm|kg|m|cm|km|MHz|GHz"
@@ -67,12 +69,10 @@ def subclauses(paragraphs: DataFrame) -> DataFrame:
     return paragraphs.where(F.col("text").rlike(SUBCLAUSE)).withColumn("item", F.regexp_extract("text", SUBCLAUSE, 1))
 
 
-def segments(paragraphs: DataFrame) -> DataFrame:
-    """C-5, W-1: each paragraph with seg, the number of its clause in the document; 0 is before the first clause. One
-    window by document; what follows groups by document and keeps the partitioning."""
-    order = Window.partitionBy("doc_id").orderBy("para_idx")
-    head = is_heading(F.col("text"))
-    return paragraphs.withColumn("is_heading", head).withColumn("seg", F.sum(F.col("is_heading").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+def segments(paragraphs: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """C-5, W-1: each paragraph with seg, the number of its clause in the document; 0 is before the first clause."""
+    rows = paragraphs.withColumn("is_heading", is_heading(F.col("text")))
+    return running(rows, "para_idx", sums={"seg": F.col("is_heading").cast("int")}, chunk=chunk)
 
 
 def segment_bounds(paragraphs: DataFrame) -> DataFrame:
@@ -83,12 +83,12 @@ def segment_bounds(paragraphs: DataFrame) -> DataFrame:
     return heads.withColumn("next", after).join(last, "doc_id").select("doc_id", F.col("para_idx").alias("first_para"), F.coalesce(F.col("next") - 1, "last").alias("last_para"))
 
 
-def clauses(paragraphs: DataFrame) -> DataFrame:
+def clauses(paragraphs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """C-5 to C-7: (doc_id, seg, para_idx, clause_number, clause_id, text, notes, exceptions, warnings, jurisdiction).
 
     The text joins the heading and the ordinary paragraphs; notes and the like go to arrays, null if empty. Paragraphs
     before a document's first heading are dropped."""
-    rows = segments(paragraphs).where("seg > 0").withColumn("t", strip(F.col("text")))
+    rows = segments(paragraphs, chunk).where("seg > 0").withColumn("t", strip(F.col("text")))
     kind = F.when(F.col("is_heading"), "heading").otherwise(F.coalesce(note_type(F.col("text")), F.lit("text")))
     item = F.struct("para_idx", kind.alias("kind"), "t", "text")
     grouped = rows.where("is_heading or t <> ''").groupBy("doc_id", "seg").agg(F.array_sort(F.collect_list(item)).alias("items"))
@@ -128,10 +128,10 @@ def toggle_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
     return kept.unionByName(new.select("doc_id", "para_idx", strip(F.col("mark_number")).alias("clause_number"), F.col("mark_text").alias("text"), F.lit("manual").alias("marked_by")))
 
 
-def delete_and_merge(rows: DataFrame, selected: Column) -> DataFrame:
+def delete_and_merge(rows: DataFrame, selected: Column, chunk: int = CHUNK) -> DataFrame:
     """C-10, C-11, W-3: selected clauses go; each is appended to the nearest clause before it that stays."""
-    order = Window.partitionBy("doc_id").orderBy("para_idx").rowsBetween(Window.unboundedPreceding, 0)
-    placed = rows.withColumn("gone", selected).withColumn("target", F.last(F.when(~F.col("gone"), F.col("para_idx")), ignorenulls=True).over(order))
+    gone = rows.withColumn("gone", selected)
+    placed = running(gone, "para_idx", lasts={"target": F.when(~F.col("gone"), F.col("para_idx"))}, chunk=chunk)
     piece = F.struct("para_idx", F.when(F.col("gone"), F.concat(F.lit("\n\n"), "clause_number", F.lit(" "), "text")).otherwise(F.col("text")).alias("t"), "clause_number")
     merged = placed.where("target is not null").groupBy("doc_id", "target").agg(F.array_sort(F.collect_list(piece)).alias("p"))
     return merged.select("doc_id", F.col("target").alias("para_idx"), F.element_at("p", 1)["clause_number"].alias("clause_number"), F.array_join(F.transform("p", lambda x: x["t"]), "").alias("text"))

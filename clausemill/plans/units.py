@@ -9,6 +9,7 @@ from clausemill.functions import units as U
 from clausemill.functions import variations as V
 from clausemill.functions.text import CELL_LIMIT, is_truncated, strip, truncate_hard
 from clausemill.operators.lookups import with_discipline
+from clausemill.operators.scans import CHUNK, running
 from clausemill.operators.tables import first_refs, pipe_tables
 
 #: The published columns, in order; the last three are in the specification only.
@@ -29,12 +30,11 @@ PUBLISHED = [
 _WORK = ["volume", "row_type", "heading_level", "heading_text", "unit_type", "clause_ref", "text", "source_location"]
 
 
-def content_segments(content: DataFrame) -> DataFrame:
+def content_segments(content: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """U-3 to U-5: paragraphs (doc_id, idx, tag, text) with their reference and unit; every reference opens a unit, so
     unit 0 is what stands before the first (U-10, O-4)."""
-    order = Window.partitionBy("doc_id").orderBy("idx").rowsBetween(Window.unboundedPreceding, 0)
     rows = content.withColumn("text", strip(F.col("text"))).where("text <> ''").withColumn("ref", U.clause_ref(F.col("text")))
-    return rows.withColumn("seg", F.sum((F.col("ref") != "").cast("int")).over(order))
+    return running(rows, "idx", sums={"seg": (F.col("ref") != "").cast("int")}, chunk=chunk)
 
 
 def table_placement(content: DataFrame, cells: DataFrame, placement: str = "appended") -> DataFrame:

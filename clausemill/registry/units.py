@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clausemill.functions import units as U
@@ -10,6 +10,7 @@ from clausemill.functions import variations as V
 from clausemill.operators import blocks as B
 from clausemill.operators import lookups as L
 from clausemill.operators import tables as T
+from clausemill.operators.scans import running
 from clausemill.plans import units as P
 from clausemill.sources import fixtures as X
 
@@ -109,8 +110,8 @@ def _chain_rows(s, d):
 
 
 def _contexts(s, d):
-    order = Window.partitionBy("doc_id").orderBy("para_idx").rowsBetween(Window.unboundedPreceding, 0)
-    rows = phrases(s, d).withColumn("context", F.last(V.context_type(F.col("text")), ignorenulls=True).over(order)).withColumn("part_heading", F.last(F.when(V.structural_type(F.col("text")) == "PART", F.regexp_extract("text", r"^P(?:ART|art)\s+(\S+)", 1)), ignorenulls=True).over(order))
+    part_heading = F.when(V.structural_type(F.col("text")) == "PART", F.regexp_extract("text", r"^P(?:ART|art)\s+(\S+)", 1))
+    rows = running(phrases(s, d), "para_idx", lasts={"context": V.context_type(F.col("text")), "part_heading": part_heading})
     kind = U.label_type(U.clause_ref(F.col("text")), F.coalesce("context", F.lit("OTHER")))
     inferred = U.label_type(U.clause_ref(F.col("text")), "") == ""
     return rows.select("doc_id", "para_idx", kind.alias("unit_type"), F.coalesce("part_heading", F.lit("")).alias("part_heading"), inferred.alias("context_inferred"))
