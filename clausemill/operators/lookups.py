@@ -9,15 +9,6 @@ from clausemill.functions.units import bare_ref, clause_part_code
 
 from .matching import DICTIONARY_BYTES, dictionary_join
 
-#: Dimensions up to so many rows are broadcast; larger ones are joined by shuffle.
-SMALL_DIM = 100_000
-
-
-def small(dim: DataFrame) -> DataFrame:
-    """A broadcast hint for a dimension whose size is checked."""
-    return F.broadcast(dim) if dim.limit(SMALL_DIM + 1).count() <= SMALL_DIM else dim
-
-
 def discipline_map(topic: DataFrame, topic_part: DataFrame) -> DataFrame:
     """J-3, O-3: (volume, code, disciplines): of each volume and code the disciplines in first-seen order, each once.
     A topic without part codes stands under its section code."""
@@ -33,7 +24,7 @@ def with_discipline(units: DataFrame, mapping: DataFrame, ref: str = "unit_label
     out = units
     for name, key in steps.items():
         dim = mapping.select("volume", F.col("code").alias(f"{name}_code"), F.array_join("disciplines", ", ").alias(name))
-        out = out.withColumn(f"{name}_code", key).join(small(dim), ["volume", f"{name}_code"], "left").drop(f"{name}_code")
+        out = out.withColumn(f"{name}_code", key).join(dim, ["volume", f"{name}_code"], "left").drop(f"{name}_code")
     return out.withColumn("discipline", F.coalesce(*steps, F.lit(""))).drop(*steps)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ _CORE = ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "VERIFICATION_METHOD", "OBJ
 _VOLUMES = ["Vol1", "Vol2", "Vol3"]
 
 
-def _mapping(s):
-    dims = X.dims(s)
+def _mapping(s, d):
+    dims = X.dims(s, d)
     return L.discipline_map(dims["topic"], dims["topic_part"])
 
 
@@ -43,7 +45,7 @@ def _rich(s, d) -> DataFrame:
 
 
 def _evidence(s, d) -> DataFrame:
-    dims = X.dims(s)
+    dims = X.dims(s, d)
     routed = R.route_units(derived(s, d), dims["topic"], dims["topic_part"], dims["topic_unit_type"])
     return routed.join(derived(s, d).select("volume", "ord", "text"), ["volume", "ord"])
 
@@ -83,18 +85,20 @@ def _semantic(s, d, **kw):
     return E.semantic_search(E.build_index(rows), queries, **kw)
 
 
-#: Rules of our own, shaped like a coverage map's: topic, disallowed volumes, types that alone are not enough, what to say.
-_RULES = [("T1", ["Vol2", "Vol3"], ["INTRODUCTORY_PROVISION"], "ONLY WHERE ACCESS IS REQUIRED"), ("T2", ["Vol9"], ["OBJECTIVE", "FUNCTIONAL_STATEMENT"], "SEE VOLUME TWO"), ("T3", ["Vol9"], ["GOVERNING_REQUIREMENT"], "GENERAL")]
-#: Rule, words of the question that trigger it, phrases that an answer must have, phrases that it must not.
-_LISTS = [("exits", ["every exit", "all exits"], ["Volume One", "10 mm"], ["maybe", "always"]), ("terms", ["meaning", "apply"], ["means"], ["about right"])]
+#: Columns of the coverage map's tables, lists in brackets.
+_MAP_COLUMNS = {"topic": ["volume", "section_code", "min_keyword_matches"], "topic_part": ["seq", "part_code", "discipline"], "topic_keyword": ["keyword", "kind"], "topic_unit_type": ["unit_type"], "aspect": ["aspect", "pattern", "required", "must_match"],
+    "guardrail": ["[disallow_volumes]", "[disallow_if_only]", "must_say"], "phrase_rule": ["rule", "[if_question_contains]", "[must_include]", "[disallow]"], "answer_rule": ["kind", "phrase", "[if_mentions]"]}
 
 
-def _rules(s):
-    return s.createDataFrame(_RULES, "topic_id string, disallow_volumes array<string>, disallow_if_only array<string>, must_say string")
+def _shown(c: str) -> str:
+    return f"array_to_string({c[1:-1]}, ';')" if c[0] == "[" else f'cast("{c}" as varchar)'
 
 
-def _phrase_lists(s):
-    return s.createDataFrame(_LISTS, "rule string, if_question_contains array<string>, must_include array<string>, disallow array<string>")
+def _map_rows(dims: dict[str, DataFrame]) -> DataFrame:
+    """All tables of the coverage map as (source, topic_id, value)."""
+    shown = lambda c: F.array_join(c[1:-1], ";") if c[0] == "[" else F.col(c).cast("string")
+    rows = [dims[t].select(F.lit(t).alias("source"), "topic_id", F.concat_ws("|", *[shown(c) for c in cols]).alias("value")) for t, cols in _MAP_COLUMNS.items()]
+    return reduce(DataFrame.unionByName, rows)
 
 
 def _referenced(s, d) -> DataFrame:
@@ -113,17 +117,17 @@ _ODD = {
 }
 
 QUERIES = {
-    "j01_discipline": lambda s, d: L.with_discipline(derived(s, d).select("volume", "ord", "unit_label"), _mapping(s)).select("volume", "ord", "discipline"),
+    "j01_discipline": lambda s, d: L.with_discipline(derived(s, d).select("volume", "ord", "unit_label"), _mapping(s, d)).select("volume", "ord", "discipline"),
     "j02_part_codes": lambda s, d: derived(s, d).select("volume", "ord", U.clause_part_code(F.col("clause_ref")).alias("clause_part_code"), U.clause_part_code(F.concat("clause_ref", F.lit("a"))).alias("with_suffix")),
-    "j03_discipline_map": lambda s, d: X.units(s, d).select("volume").distinct().join(_mapping(s), "volume").select("volume", "code", F.array_join("disciplines", ", ").alias("disciplines")),
-    "j04_codes_of_discipline": lambda s, d: X.units(s, d).select("volume").distinct().join(L.codes_of_discipline(_mapping(s), "Vol1", "Egress"), "volume"),
+    "j03_discipline_map": lambda s, d: _mapping(s, d).select("volume", "code", F.array_join("disciplines", ", ").alias("disciplines")),
+    "j04_codes_of_discipline": lambda s, d: L.codes_of_discipline(_mapping(s, d), "Vol1", "Egress"),
     "j09_variation_anchors": lambda s, d: L.variation_anchors(derived(s, d).where("unit_type = 'STATE_VARIATION'").select("volume", "ord", F.col("affected_unit_label").alias("base_unit_label")), derived(s, d)).select("volume", "ord", "base_unit_label", "affects_anchor_id"),
     "j10_overlay": lambda s, d: L.overlay(derived(s, d), "NSW").select("volume", "ord", "unit_label", "applies_state"),
     "j10_effective_view": lambda s, d: L.effective_view(derived(s, d).withColumn("variation_action", F.expr("case when ord % 2 = 0 then 'REPLACE' else variation_action end")), "NSW").select("volume", "ord", "unit_label", "applies_state"),
     "j11_reference_edges": lambda s, d: L.reference_edges(derived(s, d), F.array_distinct(F.regexp_extract_all("text", F.lit(r"\b([A-Z]\d+[A-Z]\d+)\b"), F.lit(1)))),
     "j12_missing_parents": lambda s, d: L.missing_parents(derived(s, d), F.when(F.col("part_code") == "", "").otherwise(F.concat(F.upper("volume"), F.lit("::"), "part_code"))).select("volume", "ord", "parent_anchor_id"),
     "j13_compliance_chain": lambda s, d: L.compliance_chain(derived(s, d)),
-    "j14_keyword_hits": lambda s, d: L.keyword_hits(X.questions(s, d), X.dims(s)["topic_keyword"]).select("qid", "topic_id", "keyword", "kind"),
+    "j14_keyword_hits": lambda s, d: L.keyword_hits(X.questions(s, d), X.dims(s, d)["topic_keyword"]).select("qid", "topic_id", "keyword", "kind"),
     "a01_missingness": lambda s, d: Q.missingness(_ready(s, d)),
     "a02_samples": lambda s, d: Q.samples(_ready(s, d)),
     "a03_worst_types": lambda s, d: Q.worst_types(_ready(s, d)),
@@ -137,7 +141,7 @@ QUERIES = {
     "a11_marker_totals": lambda s, d: Q.marker_totals(_ready(s, d).withColumn("text", F.col("marked"))),
     "a12_distributions": lambda s, d: Q.distributions(_ready(s, d)),
     "a13_labels_by_type": lambda s, d: Q.labels_by_type(_ready(s, d)),
-    "a16_discipline_coverage": lambda s, d: X.units(s, d).select("volume").distinct().join(L.discipline_coverage(_mapping(s)), "volume"),
+    "a16_discipline_coverage": lambda s, d: L.discipline_coverage(_mapping(s, d)),
     "q01_q02_hypotheses": lambda s, d: Q.hypotheses(_ready(s, d).withColumn("text", F.expr("case when ord % 7 = 0 then '' else text end"))),
     "q01_examples": lambda s, d: Q.hypothesis_rows(_ready(s, d).withColumn("text", F.expr("case when ord % 7 = 0 then '' else text end"))),
     "v05_v06_fixes": lambda s, d: Q.apply_fixes(_ready(s, d).withColumn("text", F.expr("case when ord % 7 = 0 then '' else text end"))).select("volume", "ord", "text", "notes_quality", "f1_fixed", "f2_unresolved"),
@@ -149,11 +153,11 @@ QUERIES = {
     "q11_quality_flags": lambda s, d: _ready(s, d).withColumn("text", F.col("marked")).select("volume", "ord", Q.quality_flags().alias("flags")),
     "q12_gates": lambda s, d: Q.gates(_rich(s, d)),
     "r01_classify": _classified,
-    "r02_topic_routing": lambda s, d: R.route(X.questions(s, d), X.dims(s)["topic"], X.dims(s)["topic_keyword"]),
-    "r03_route_units": lambda s, d: R.route_units(derived(s, d), X.dims(s)["topic"], X.dims(s)["topic_part"], X.dims(s)["topic_unit_type"]),
-    "r04_aspects": lambda s, d: R.aspects_found(_evidence(s, d), X.dims(s)["aspect"]),
-    "r05_guardrails": lambda s, d: R.guardrails(_evidence(s, d), X.dims(s)["aspect"]),
-    "r06_phrase_rules": lambda s, d: R.phrase_rules(_answers(s, d), X.dims(s)["phrase"]),
+    "r02_topic_routing": lambda s, d: R.route(X.questions(s, d), X.dims(s, d)["topic"], X.dims(s, d)["topic_keyword"]),
+    "r03_route_units": lambda s, d: R.route_units(derived(s, d), X.dims(s, d)["topic"], X.dims(s, d)["topic_part"], X.dims(s, d)["topic_unit_type"]),
+    "r04_aspects": lambda s, d: R.aspects_found(_evidence(s, d), X.dims(s, d)["aspect"]),
+    "r05_guardrails": lambda s, d: R.guardrails(_evidence(s, d), X.dims(s, d)["aspect"]),
+    "r06_phrase_rules": lambda s, d: R.phrase_rules(_answers(s, d), X.dims(s, d)["phrase"]),
     "r07_index": lambda s, d: _index(s, d).summaries(s).groupBy("term").agg(F.max("tf").alias("most"), F.max("weight").alias("weight")),
     "r07_postings": lambda s, d: _index(s, d).postings(s).select("term", "volume", "ord", "tf", "weight"),
     "r07_search": lambda s, d: I.search(s, _index(s, d), ["building", "comply"], "NSW", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION"]),
@@ -166,8 +170,10 @@ QUERIES = {
     "r09_units_citing_a_standard": lambda s, d: R.published_query(_referenced(s, d), standard="AS 1001").select("unit_label", "unit_type", "title"),
     "r07_filtered_search": lambda s, d: I.search(s, _index(s, d), ["building", "comply"], "VIC", ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "VERIFICATION_METHOD"], section="C", building_class="5"),
     "r07_rare_terms": lambda s, d: I.search(s, _index(s, d), ["1001", "E3P9"], "NSW", ["PERFORMANCE_REQUIREMENT", "OBJECTIVE", "GOVERNING_REQUIREMENT"], k=20),
-    "r05_rules": lambda s, d: R.evidence_rules(derived(s, d).join(F.broadcast(X.dims(s)["topic"].selectExpr("topic_id", "section_code")), "section_code"), _rules(s)),
-    "r06_phrase_lists": lambda s, d: R.phrase_lists(_answers(s, d), _phrase_lists(s)),
+    "r05_rules": lambda s, d: R.evidence_rules(derived(s, d).join(X.dims(s, d)["topic"].select("topic_id", "section_code"), "section_code"), X.dims(s, d)["guardrail"]),
+    "r06_phrase_lists": lambda s, d: R.phrase_lists(_answers(s, d), X.dims(s, d)["phrase_rule"]),
+    "r06_answer_phrases": lambda s, d: R.answer_phrases(_answers(s, d), R.route(X.questions(s, d), X.dims(s, d)["topic"], X.dims(s, d)["topic_keyword"]), X.dims(s, d)["answer_rule"]),
+    "s07_coverage_map": lambda s, d: _map_rows(X.dims(s, d)),
     "r10_state_differences": lambda s, d: R.state_differences(derived(s, d), "NSW", "VIC"),
     "r10_editions": lambda s, d: D.edition_changes(*X.editions(derived(s, d))),
     "r11_embedding_units": lambda s, d: R.embedding_units(derived(s, d)),
@@ -176,7 +182,7 @@ QUERIES = {
 _D = DERIVED_SQL
 _blank = lambda c: f"({collapse(c)} = '')"
 _BOTH = f"({_blank('text')} and {_blank('raw_text')})"
-_MAP = f"""(select volume, code, list_filter(l, lambda x, i: list_position(l, x) = i) disciplines from (select volume, coalesce(part_code, section_code) code, list(discipline order by topic_id, seq) l
+_MAP = f"""(select volume, code, list_filter(l, lambda x, i: list_position(l, x) = i) disciplines from (select volume, coalesce(part_code, section_code) code, list(discipline order by topic_id, seq, discipline) l
     from {_DIM['topic']} join {_DIM['topic_part']} using (topic_id) group by 1, 2))"""
 _LABELS = r"regexp_extract_all(text, '\b([A-Z]\d+[A-Z]\d+)\b', 1)"
 _INSTR = r"'(?i)(Insert|Omit|Substitute|Replace)\s+(subclause|clause)'"
@@ -226,6 +232,9 @@ _Q10 = f"(select *, case ncc_pathway when 'DTS' then 'IF_DTS_SELECTED' when 'PER
 _ALLOWED_TYPES = "'GOVERNING_REQUIREMENT', 'OBJECTIVE', 'FUNCTIONAL_STATEMENT', 'PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD', 'STATE_VARIATION', 'INTRODUCTION', 'FIGURE'"
 _TERMS = f"""(select volume, ord, unit_label, unit_type, applies_state, term, count(*) n, case unit_type when 'PERFORMANCE_REQUIREMENT' then 2 when 'DTS_PROVISION' then 1 when 'VERIFICATION_METHOD' then 1 else 0 end weight
     from (select *, unnest(regexp_extract_all(lower(text), '[A-Za-z0-9_]+')) term from {_D}) group by all)"""
+_TOPICS = f"""(select qid, topic_id, hits, cast(row_number() over (partition by qid order by hits desc, topic_id) as int) topic_rank from (select qid, topic_id, count(*) filter (kind = 'include') hits, count(*) filter (kind = 'exclude') x from {_KW} group by 1, 2)
+        join {_DIM['topic']} using (topic_id) where x = 0 and hits >= coalesce(min_keyword_matches, 1))"""
+_ANSWERED = f"(select qid, question, case qid % 3 when 0 then 'Volume One means 10 mm' when 1 then 'maybe about right' else '' end answer from {X.QUESTIONS_SQL})"
 _NEAREST = """with s as (select q.vec_id qid, v.vec_id, v.label, round(list_dot_product(q.e, v.e) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(v.e, v.e)), 6) score
           from (select vec_id, cast(embedding as double[]) e from embeddings where vec_id % 20 = 0) q, (select vec_id, label, cast(embedding as double[]) e from embeddings) v),
         t as (select *, row_number() over (partition by qid order by score desc, vec_id) nth from s)"""
@@ -234,7 +243,7 @@ ORACLES = {
     "j01_discipline": f"""select u.volume, ord, coalesce(a.d, b.d, c.d, '') discipline from {X.UNITS_SQL} u left join {_DISC} a on a.volume = u.volume and a.code = {last_part('unit_label')}
         left join {_DISC} b on b.volume = u.volume and b.code = regexp_extract({bare_ref('unit_label')}, '^([A-Z])', 1) left join {_DISC} c on c.volume = u.volume and c.code = regexp_extract({bare_ref('unit_label')}, '^([A-Z]\\d+)', 1)""",
     "j02_part_codes": f"select volume, ord, {last_part('clause_ref')} clause_part_code, {last_part("(clause_ref || 'a')")} with_suffix from {_D}",
-    "j03_discipline_map": f"select volume, code, array_to_string(disciplines, ', ') disciplines from {_MAP} where volume in (select volume from {X.UNITS_SQL})",
+    "j03_discipline_map": f"select volume, code, array_to_string(disciplines, ', ') disciplines from {_MAP}",
     "j04_codes_of_discipline": f"select volume, code from {_MAP} where volume = 'Vol1' and list_contains(disciplines, 'Egress')",
     "j09_variation_anchors": f"""select v.volume, ord, affected_unit_label base_unit_label, a.x affects_anchor_id from {_D} v left join (select volume, unit_label, min(anchor_id) x from {_D} where unit_label <> '' group by 1, 2) a
         on a.volume = v.volume and a.unit_label = v.affected_unit_label where unit_type = 'STATE_VARIATION'""",
@@ -267,7 +276,7 @@ ORACLES = {
     "a11_marker_totals": f"select count(*) filter (n > 0) rows_with_markers, cast(coalesce(sum(n), 0) as bigint) markers from (select len(regexp_extract_all(marked, '\\bNSW\\s+([A-Z]\\d+[A-Z]\\d+)\\((\\d+)\\)')) n from {_D} where contains(warnings, 'STATE_VARIATION_EMBEDDED'))",
     "a12_distributions": " union all ".join(f"select '{n}' dimension, {c} \"value\", count(*) n from {_D} group by 2" for n, c in (("unit_type", "unit_type"), ("weight", "compliance_weight"), ("state", "applies_state"), ("volume", "volume"))),
     "a13_labels_by_type": f"select volume, unit_type, array_to_string(list_sort(list(distinct unit_label)), ', ') labels from {_D} group by 1, 2",
-    "a16_discipline_coverage": f"select volume, count(distinct code) codes, count(distinct d) disciplines from (select volume, code, unnest(disciplines) d from {_MAP}) where volume in (select volume from {X.UNITS_SQL}) group by 1",
+    "a16_discipline_coverage": f"select volume, count(distinct code) codes, count(distinct d) disciplines from (select volume, code, unnest(disciplines) d from {_MAP}) group by 1",
     "q01_q02_hypotheses": f"{_H('H1', _F1)} union all {_H('H2', f"unit_type = 'FUNCTIONAL_STATEMENT' and {_F2}")} union all {_H('H3', f"unit_type = 'VERIFICATION_METHOD' and {_F2}")}",
     "q01_examples": f"select volume, ord, unit_label, substr({collapse('raw_text')}, 1, 150) raw_text from {_HOLED} where {_F1} order by volume, ord limit 10",
     "v05_v06_fixes": f"select volume, ord, text, notes_quality, f1_fixed, f2_unresolved from {_FIX(_HOLED)}",
@@ -290,8 +299,7 @@ ORACLES = {
     "r01_classify": f"""select qid, case when s <> '' then 'SCOPE' when f <> '' then 'DEFINITION' when n <> '' then 'TABLE_NUMERIC' else 'TECHNICAL' end query_type, case when s <> '' then 0.9::double when f <> '' then 0.85 when n <> '' then 0.75 else 0.5 end confidence,
         case when s <> '' then 'SCOPE: ' || s when f <> '' then 'DEFINITION: ' || f when n <> '' then 'TABLE_NUMERIC: ' || n else 'TECHNICAL: default' end matched_rule
         from (select qid, regexp_extract(q, {_SC}) s, regexp_extract(q, {_DF}) f, regexp_extract(q, {_NU}) n from (select qid, trim(lower(question), ' ') q from {X.QUESTIONS_SQL}))""",
-    "r02_topic_routing": f"""select qid, topic_id, hits, cast(row_number() over (partition by qid order by hits desc, topic_id) as int) topic_rank from (select qid, topic_id, count(*) filter (kind = 'include') hits, count(*) filter (kind = 'exclude') x from {_KW} group by 1, 2)
-        join {_DIM['topic']} using (topic_id) where x = 0 and hits >= coalesce(min_keyword_matches, 1)""",
+    "r02_topic_routing": f"select * from {_TOPICS}",
     "r03_route_units": f"select topic_id, volume, ord, unit_label from {_ROUTED}",
     "r04_aspects": f"select * from {_ASPECTS}",
     "r05_guardrails": f"""select topic_id, missing, missing = '' passed, case when missing = '' then '' else 'Not covered by the evidence: ' || missing end message from (select a.topic_id, coalesce(string_agg(aspect, ',' order by aspect) filter (must_match and not exists
@@ -316,12 +324,14 @@ ORACLES = {
     "r09_units_citing_a_standard": f"select unit_label, unit_type, title from {_D} where array_to_string(regexp_extract_all(text, '\\b(AS/NZS \\d+|AS \\d+|ISO \\d+)', 1), '|') like '%AS 1001%'",
     "r07_filtered_search": f"""select volume, ord, unit_label, cast({_SEARCH} as int) "rank", case unit_type when 'PERFORMANCE_REQUIREMENT' then 2 else 1 end weight from {_D}
         where applies_state in ('', 'VIC') and unit_type in ('PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD') and section_code = 'C' and 1 + ord % 10 = 5 and {_SEARCH} > 0 order by "rank" desc, weight desc, volume, ord limit 5""",
-    "r05_rules": f"""select topic_id, count(*) filter (list_contains(bad, volume)) disallowed, bool_and(list_contains(only_types, unit_type)) only_weak_types,
-        case when bool_and(list_contains(only_types, unit_type)) or count(*) filter (list_contains(bad, volume)) > 0 then any_value(say) else '' end must_say
-        from {_D} join (select topic_id, section_code from {_DIM['topic']}) using (section_code) join (values {', '.join(f"('{t}', {v}, {o}, '{m}')" for t, v, o, m in _RULES)}) r(topic_id, bad, only_types, say) using (topic_id) group by 1""",
-    "r06_phrase_lists": f"""select qid, rule, len(list_filter(must, lambda x: not contains(lower(answer), lower(x)))) missing, len(list_filter(bad, lambda x: contains(lower(answer), lower(x)))) forbidden
-        from (select qid, question, case qid % 3 when 0 then 'Volume One means 10 mm' when 1 then 'maybe about right' else '' end answer from {X.QUESTIONS_SQL})
-        join (values {', '.join(f"('{r}', {q}, {m}, {b})" for r, q, m, b in _LISTS)}) r(rule, trig, must, bad) on len(list_filter(trig, lambda x: contains(lower(question), lower(x)))) > 0""",
+    "r05_rules": f"""select topic_id, count(*) filter (list_contains(disallow_volumes, volume)) disallowed, bool_and(list_contains(disallow_if_only, unit_type)) only_weak_types,
+        case when bool_and(list_contains(disallow_if_only, unit_type)) or count(*) filter (list_contains(disallow_volumes, volume)) > 0 then any_value(must_say) else '' end must_say
+        from {_D} join (select topic_id, section_code from {_DIM['topic']}) using (section_code) join {_DIM['guardrail']} using (topic_id) group by 1""",
+    "r06_phrase_lists": f"""select qid, topic_id, "rule", len(list_filter(must_include, lambda x: not contains(lower(answer), lower(x)))) missing, len(list_filter(disallow, lambda x: contains(lower(answer), lower(x)))) forbidden
+        from {_ANSWERED} join {_DIM['phrase_rule']} on len(list_filter(if_question_contains, lambda x: contains(lower(question), lower(x)))) > 0""",
+    "r06_answer_phrases": f"""select qid, topic_id, kind, count(*) filter (contains(lower(answer), lower(phrase)) = (kind = 'must_not_cite_sections')) broken from {_ANSWERED} join {_TOPICS} using (qid) join {_DIM['answer_rule']} using (topic_id)
+        where len(if_mentions) = 0 or len(list_filter(if_mentions, lambda x: contains(lower(question), lower(x)))) > 0 group by 1, 2, 3""",
+    "s07_coverage_map": " union all ".join(f"select '{t}' source, topic_id, concat_ws('|', {', '.join(_shown(c) for c in cols)}) \"value\" from {_DIM[t]}" for t, cols in _MAP_COLUMNS.items()),
     "r10_state_differences": f"select coalesce(a.volume, b.volume) volume, coalesce(a.unit_label, b.unit_label) unit_label, a.t is null only_in_b, b.t is null only_in_a from {_SIDE('NSW')} a full join {_SIDE('VIC')} b on a.volume = b.volume and a.unit_label = b.unit_label where a.t is distinct from b.t",
     "r11_embedding_units": f"""select volume, ord, concat_ws(' ', unit_type, compliance_weight) authority, concat_ws(chr(10), nullif(title, ''), text) evidence,
         cast(to_json({{'volume': volume, 'section_code': section_code, 'part_code': part_code, 'applies_state': applies_state}}) as varchar) metadata from {_D}""",

@@ -137,7 +137,7 @@ def _page_units(s, d):
     content = T.html_elements(pages).where("tag <> 'table'").select("doc_id", F.col("dom_idx").alias("idx"), "tag", "text")
     cells = T.html_cells(pages)
     rows = P.paragraph_units(content, _volume(), cells).unionByName(P.table_units(cells, _volume()))
-    dims = X.dims(s)
+    dims = X.dims(s, d)
     return P.publish(rows, L.discipline_map(dims["topic"], dims["topic_part"]), "pages")
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +16,8 @@ COVERAGE_SCHEMA = """volumes array<struct<volume: string, topics: array<struct<t
   routes: array<struct<part_codes: array<string>, disciplines: array<string>>>, allowed_unit_types: array<string>,
   required_aspects: array<string>, aspect_extractors: array<struct<aspect: string, patterns: array<string>>>,
   guardrails: struct<disallow_volumes: array<string>, must_match: array<string>, disallow_if_only_unit_type: array<string>,
-    if_missing_must_say: array<string>, custom_rules: array<struct<rule: string, if_question_contains: array<string>,
+    if_missing_must_say: array<string>, if_question_mentions: array<string>, must_use_phrases: array<string>,
+    must_state: array<string>, must_explain: array<string>, must_not_cite_sections: array<string>, custom_rules: array<struct<rule: string, if_question_contains: array<string>,
     must_include_phrase: array<string>, disallow_phrases: array<string>>>>>>>>"""
 
 
@@ -36,8 +39,7 @@ def written(df: DataFrame) -> DataFrame:
 
 def _csv(spark: SparkSession, path: str, schema: T.StructType | str, mode: str) -> DataFrame:
     # Without pruning every row is parsed whole, so that short rows are known as such.
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=False, quote='"', escape='"', mode=mode, multiLine=False)
+    return spark.read.option("columnPruning", "false").csv(path, schema=schema, header=True, enforceSchema=False, quote='"', escape='"', mode=mode, multiLine=False)
 
 
 def read_units_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
@@ -68,10 +70,21 @@ def read_clause_sheet(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
-def read_coverage_map(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """S-7: topic, topic_part, topic_keyword, topic_unit_type, aspect, guardrail and phrase_rule of a coverage map in JSON.
-    A file without volumes gives empty tables; a list that a topic lacks is an empty one."""
-    topics = spark.read.schema(COVERAGE_SCHEMA).json(path, multiLine=True).select(F.explode("volumes").alias("v")).select("v.volume", F.explode("v.topics").alias("t"))
+#: The lists of phrases of a topic's guardrails.
+ANSWER_KINDS = ["must_use_phrases", "must_state", "must_explain", "must_not_cite_sections"]
+
+
+def read_coverage_map(spark: SparkSession, path: str, lines: bool = False) -> dict[str, DataFrame]:
+    """S-7: topic, topic_part, topic_keyword, topic_unit_type, aspect, guardrail, phrase_rule and answer_rule of a coverage map in
+    JSON: one object, or with ``lines`` one on each line, which Spark reads in pieces. A file that is missing, empty or
+    without volumes gives empty tables; a list that a topic lacks is an empty one."""
+    try:
+        raw = spark.read.schema(COVERAGE_SCHEMA).json(path, multiLine=not lines)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = spark.createDataFrame([], COVERAGE_SCHEMA)
+    topics = raw.select(F.explode("volumes").alias("v")).select("v.volume", F.explode("v.topics").alias("t"))
     parts = topics.select("t.topic_id", F.posexplode("t.routes").alias("r", "route")).select("topic_id", "r", F.posexplode("route.part_codes").alias("p", "part_code"), "route.disciplines")
     words = lambda c, kind: topics.select("t.topic_id", F.explode(f"t.{c}").alias("keyword"), F.lit(kind).alias("kind"))
     none = F.array().cast("array<string>")
@@ -82,6 +95,7 @@ def read_coverage_map(spark: SparkSession, path: str) -> dict[str, DataFrame]:
         "aspect": pattern.select("topic_id", "a.aspect", F.explode("a.patterns").alias("pattern"), F.array_contains("needed", F.col("a.aspect")).alias("required"), F.array_contains("must", F.col("a.aspect")).alias("must_match")),
         "guardrail": rules.select("topic_id", F.coalesce("disallow_volumes", none).alias("disallow_volumes"), F.coalesce("disallow_if_only_unit_type", none).alias("disallow_if_only"), F.array_join(F.coalesce("if_missing_must_say", none), " ").alias("must_say")),
         "phrase_rule": rules.select("topic_id", F.explode("custom_rules").alias("r")).select("topic_id", "r.rule", F.coalesce("r.if_question_contains", none).alias("if_question_contains"), F.coalesce("r.must_include_phrase", none).alias("must_include"), F.coalesce("r.disallow_phrases", none).alias("disallow")),
+        "answer_rule": reduce(DataFrame.unionByName, [rules.select("topic_id", F.explode(k).alias("phrase"), F.lit(k).alias("kind"), F.coalesce("if_question_mentions", none).alias("if_mentions")) for k in ANSWER_KINDS]),
         "topic": topics.select("t.topic_id", "volume", "t.section_code", F.coalesce("t.min_keyword_matches", F.lit(1)).alias("min_keyword_matches")),
         "topic_part": parts.select("topic_id", (F.col("r") * 1000 + F.col("p")).alias("seq"), "part_code", F.explode("disciplines").alias("discipline")),
         "topic_keyword": words("keywords", "include").unionByName(words("exclude_keywords", "exclude")),

@@ -197,26 +197,68 @@ def nested_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").selectExpr("page_id doc_id", f"{_NESTED} html")
 
 
-# ---- coverage map: a small set of our own
+# ---- coverage map: a topic for each conversation that the user begins
 
-TOPICS = [("T1", "Vol1", "D", 2), ("T2", "Vol2", "H", 1), ("T3", "Vol3", "A", 1)]
-TOPIC_PARTS = [("T1", 1, "D1", "Egress"), ("T1", 2, "D2", "Egress"), ("T1", 3, "D1", "Access"), ("T2", 1, "P1", "Structure"), ("T2", 2, "H", "Fire"), ("T3", 1, "A5", "General"), ("T3", 2, "G1", "General")]
-TOPIC_KEYWORDS = [("T1", "accessible path", "include"), ("T1", "every exit", "include"), ("T1", "parking", "exclude"), ("T2", "minimum", "include"), ("T3", "apply", "include")]
-TOPIC_UNIT_TYPES = [("T1", "DTS_PROVISION"), ("T2", "PERFORMANCE_REQUIREMENT"), ("T3", "GOVERNING_REQUIREMENT"), ("T3", "OBJECTIVE")]
-ASPECTS = [("T1", "standard", "AS [0-9]+", True, True), ("T1", "modality", "must", True, False), ("T2", "standard", "AS [0-9]+", True, True), ("T2", "distance", "[0-9]+ *mm", True, True), ("T3", "modality", "shall", False, True)]
+_DISCIPLINES = ["Egress", "Access", "Structure", "Fire", "General"]
+_EXTENTS = ["[0-9]+ *mm", "Insert|Omit", "E3P[1-5]", "A building.*[0-9]{4}"]
 PHRASES = [("apply", "Volume", "guarantee"), ("minimum", "mm", "about"), ("meaning", "means", "maybe")]
 
 
-def dims(spark: SparkSession) -> dict[str, DataFrame]:
-    """Literal tables of the coverage map, by name."""
-    return {
-        "topic": spark.createDataFrame(TOPICS, "topic_id string, volume string, section_code string, min_keyword_matches int"),
-        "topic_part": spark.createDataFrame(TOPIC_PARTS, "topic_id string, seq int, part_code string, discipline string"),
-        "topic_keyword": spark.createDataFrame(TOPIC_KEYWORDS, "topic_id string, keyword string, kind string"),
-        "topic_unit_type": spark.createDataFrame(TOPIC_UNIT_TYPES, "topic_id string, unit_type string"),
-        "aspect": spark.createDataFrame(ASPECTS, "topic_id string, aspect string, pattern string, required boolean, must_match boolean"),
-        "phrase": spark.createDataFrame(PHRASES, "if_contains string, must_include string, must_not_include string"),
-    }
+def _pick(values: list[str], by: str) -> str:
+    """A value by a remainder, as SQL."""
+    return f"case {by} % {len(values)} " + " ".join(f"when {i} then '{v}'" for i, v in enumerate(values)) + " end"
+
+
+_SECTION = "substr('ABCDEFGH', cast(1 + c % 8 as int), 1)"
+_PART_CODE = lambda k: f"concat({_SECTION}, cast(1 + (c + {k}) % 9 as string))"
+_FIRST_WORDS, _LAST_WORD = "regexp_extract(t, '^([^ ]+ [^ ]+)', 1)", "regexp_extract(t, '([^ ]+)$', 1)"
+_TOPIC_ROWS = "(select conv_id c, text t from conversations where turn = 0 and role = 'user')"
+#: Of the topics: keywords, routes as (part codes, disciplines), types, patterns by aspect and phrases by kind, as SQL.
+_KEYWORDS = [_FIRST_WORDS, _LAST_WORD, "case when c % 5 = 0 then 'Minimum Distance' else '' end"]
+_EXCLUDED = ["case when c % 6 = 0 then 'accessible path' else '' end"]
+_ROUTES = [([_PART_CODE(0), _PART_CODE(1)], [_pick(_DISCIPLINES, "c")]), ([_PART_CODE(0)], [_pick(_DISCIPLINES, "(c + 2)"), _pick(_DISCIPLINES, "c")])]
+_TYPES = [_pick(["DTS_PROVISION", "PERFORMANCE_REQUIREMENT", "GOVERNING_REQUIREMENT"], "c"), _pick(["OBJECTIVE", "STATE_VARIATION"], "c")]
+_ASPECTS = {"standard": ["'AS [0-9]+'", "'AS/NZS'"], "modality": ["'must comply'", "'shall'"], "extent": [_pick(_EXTENTS, "c")]}
+_REQUIRED, _MUST_MATCH = ["standard", "modality"], ["standard", "extent"]
+_ANSWER_KINDS = {"must_use_phrases": ["'Volume One'", _pick(["means", "10 mm"], "c")], "must_state": ["case when c % 2 = 0 then 'Class 1' else '' end"], "must_explain": ["case when c % 3 = 0 then 'about right' else '' end"], "must_not_cite_sections": ["'Part 3'", "case when c % 4 = 0 then 'Volume' else '' end"]}
+_MENTIONS = ["case when c % 3 = 1 then 'meaning' else '' end"]
+_TRIGGERS, _INCLUDE, _DISALLOW = ["'every exit'", _FIRST_WORDS], ["'Volume One'", "'10 mm'"], ["'maybe'", _pick(["always", "about right"], "c")]
+
+
+def _array(items: list[str]) -> str:
+    return f"filter(array({', '.join(items)}), x -> x <> '')"
+
+
+def write_coverage_map(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The map as JSON, a line with one topic for each conversation that the user begins."""
+    topics = table(spark, sf_dir, "conversations").where("turn = 0 and role = 'user'").selectExpr("conv_id c", "text t")
+    routes = ", ".join(f"named_struct('part_codes', {_array(p)}, 'disciplines', {_array(d)})" for p, d in _ROUTES)
+    aspects = ", ".join(f"named_struct('aspect', '{a}', 'patterns', {_array(p)})" for a, p in _ASPECTS.items())
+    rule = f"named_struct('rule', concat('R', cast(c as string)), 'if_question_contains', {_array(_TRIGGERS)}, 'must_include_phrase', {_array(_INCLUDE)}, 'disallow_phrases', {_array(_DISALLOW)})"
+    names = lambda values: "array(" + ", ".join(f"'{v}'" for v in values) + ")"
+    kinds = ", ".join(f"'{k}', {_array(v)}" for k, v in _ANSWER_KINDS.items())
+    guardrails = f"""named_struct('disallow_volumes', {_array(["concat('Vol', cast(1 + (c + 1) % 3 as string))"])}, 'must_match', {names(_MUST_MATCH)}, 'disallow_if_only_unit_type', {_array(_TYPES[:1])},
+        'if_missing_must_say', {_array(["concat('SEE VOLUME ', cast(1 + c % 3 as string))"])}, 'if_question_mentions', {_array(_MENTIONS)}, {kinds}, 'custom_rules', array({rule}))"""
+    topic = f"""named_struct('topic_id', concat('C', cast(c as string)), 'section_code', {_SECTION}, 'min_keyword_matches', case when c % 4 = 0 then null else 1 + c % 2 end, 'keywords', {_array(_KEYWORDS)}, 'exclude_keywords', {_array(_EXCLUDED)},
+        'routes', array({routes}), 'allowed_unit_types', {_array(_TYPES)}, 'required_aspects', {names(_REQUIRED)}, 'aspect_extractors', array({aspects}), 'guardrails', {guardrails})"""
+    topics.selectExpr(f"array(named_struct('volume', concat('Vol', cast(1 + c % 3 as string)), 'topics', array({topic}))) volumes").write.json(path)
+
+
+_MAPS: dict[tuple[str, str], str] = {}
+
+
+def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The tables of the coverage map, by name, read from its JSON, which the first call of a session writes; and phrase, a
+    short table of its own."""
+    from clausemill.sources.files import read_coverage_map, scratch_path
+
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _MAPS:
+        path = scratch_path(spark)
+        write_coverage_map(spark, sf_dir, path)
+        _MAPS[key] = path
+    phrase = spark.createDataFrame(PHRASES, "if_contains string, must_include string, must_not_include string")
+    return read_coverage_map(spark, _MAPS[key], lines=True) | {"phrase": phrase}
 
 
 def values_sql(rows: list[tuple], columns: str) -> str:
@@ -224,11 +266,20 @@ def values_sql(rows: list[tuple], columns: str) -> str:
     return f"(select * from (values {', '.join('(' + ', '.join(map(quote, r)) + ')' for r in rows)}) v({columns}))"
 
 
+def _rows(items: list[str], column: str, more: str = "") -> str:
+    """A row for each of the items that is not empty."""
+    return " union all ".join(f"select concat('C', cast(c as string)) topic_id, {i} {column}{more} from {_TOPIC_ROWS} where {i} <> ''" for i in items)
+
+
+_list = lambda items: f"list_filter([{', '.join(items)}], lambda x: x <> '')"
 DIMS_SQL = {
-    "topic": values_sql(TOPICS, "topic_id, volume, section_code, min_keyword_matches"),
-    "topic_part": values_sql(TOPIC_PARTS, "topic_id, seq, part_code, discipline"),
-    "topic_keyword": values_sql(TOPIC_KEYWORDS, "topic_id, keyword, kind"),
-    "topic_unit_type": values_sql(TOPIC_UNIT_TYPES, "topic_id, unit_type"),
-    "aspect": values_sql(ASPECTS, "topic_id, aspect, pattern, required, must_match"),
+    "topic": f"(select concat('C', cast(c as string)) topic_id, concat('Vol', cast(1 + c % 3 as string)) volume, {_SECTION} section_code, cast(case when c % 4 = 0 then 1 else 1 + c % 2 end as int) min_keyword_matches from {_TOPIC_ROWS})",
+    "topic_part": "(" + " union all ".join(f"select concat('C', cast(c as string)) topic_id, {1000 * r + p} seq, {code} part_code, {d} discipline from {_TOPIC_ROWS}" for r, (codes, ds) in enumerate(_ROUTES) for p, code in enumerate(codes) for d in ds) + ")",
+    "topic_keyword": f"({_rows(_KEYWORDS, 'keyword', ", 'include' kind")} union all {_rows(_EXCLUDED, 'keyword', ", 'exclude' kind")})",
+    "topic_unit_type": f"({_rows(_TYPES, 'unit_type')})",
+    "aspect": "(" + " union all ".join(_rows(p, "pattern", f", '{a}' aspect, {str(a in _REQUIRED).lower()} required, {str(a in _MUST_MATCH).lower()} must_match") for a, p in _ASPECTS.items()) + ")",
+    "guardrail": f"(select concat('C', cast(c as string)) topic_id, [concat('Vol', cast(1 + (c + 1) % 3 as string))] disallow_volumes, [{_TYPES[0]}] disallow_if_only, concat('SEE VOLUME ', cast(1 + c % 3 as string)) must_say from {_TOPIC_ROWS})",
+    "phrase_rule": f"(select concat('C', cast(c as string)) topic_id, concat('R', cast(c as string)) \"rule\", {_list(_TRIGGERS)} if_question_contains, {_list(_INCLUDE)} must_include, {_list(_DISALLOW)} disallow from {_TOPIC_ROWS})",
+    "answer_rule": "(" + " union all ".join(_rows(v, "phrase", f", '{k}' kind, {_list(_MENTIONS)} if_mentions") for k, v in _ANSWER_KINDS.items()) + ")",
     "phrase": values_sql(PHRASES, "if_contains, must_include, must_not_include"),
 }

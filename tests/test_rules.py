@@ -176,7 +176,9 @@ def test_coverage_map(spark, tmp_path):
     assert {r.code: r.disciplines for r in L.discipline_map(dims["topic"], dims["topic_part"]).collect()} == {"D1": ["Access", "Egress"], "D2": ["Access", "Egress"]} or L.discipline_map(dims["topic"], dims["topic_part"]).count() == 2
     assert dims["topic_keyword"].count() == 2 and dims["topic"].first()["min_keyword_matches"] == 1
     (tmp_path / "none.json").write_text("{}")
-    assert S.read_coverage_map(spark, str(tmp_path / "none.json"))["topic"].count() == 0
+    (tmp_path / "empty.json").write_text("")
+    for name in ("none.json", "empty.json", "missing.json"):
+        assert all(t.count() == 0 for t in S.read_coverage_map(spark, str(tmp_path / name)).values())
 
 
 def test_coverage_map_rules(spark, tmp_path):
@@ -190,7 +192,37 @@ def test_coverage_map_rules(spark, tmp_path):
     evidence = spark.createDataFrame([("T", "Vol1", "NOTE"), ("T", "Vol2", "NOTE")], "topic_id string, volume string, unit_type string")
     assert [tuple(r) for r in R.evidence_rules(evidence, dims["guardrail"]).collect()] == [("T", 1, True, "SAY THIS")]
     answers = spark.createDataFrame([(1, "Is every exit so?", "All exits are."), (2, "Other", "")], "qid int, question string, answer string")
-    assert [tuple(r) for r in R.phrase_lists(answers, dims["phrase_rule"]).collect()] == [(1, "r", 1, 1)]
+    assert [tuple(r) for r in R.phrase_lists(answers, dims["phrase_rule"]).collect()] == [(1, "T", "r", 1, 1)]
+
+
+def test_answer_phrases(spark, tmp_path):
+    (tmp_path / "m.json").write_text("""{"volumes": [{"topics": [{"topic_id": "T", "guardrails": {"must_use_phrases": ["to the extent", "depending on"], "must_not_cite_sections": ["Part 3"]}},
+        {"topic_id": "U", "guardrails": {"if_question_mentions": ["method"], "must_explain": ["tools"], "must_state": ["Class 1"]}}]}]}""")
+    rules = S.read_coverage_map(spark, str(tmp_path / "m.json"))["answer_rule"]
+    answers = spark.createDataFrame([(1, "Which METHOD?", "To the extent of part 3"), (2, "Else", "")], "qid int, question string, answer string")
+    routed = spark.createDataFrame([(q, t) for q in (1, 2) for t in ("T", "U")], "qid int, topic_id string")
+    got = {tuple(r) for r in R.answer_phrases(answers, routed, rules).collect()}
+    assert got == {(1, "T", "must_use_phrases", 1), (1, "T", "must_not_cite_sections", 1), (1, "U", "must_explain", 1), (1, "U", "must_state", 1), (2, "T", "must_use_phrases", 2), (2, "T", "must_not_cite_sections", 0)}
+
+
+PATTERNS = ["must", "AS [0-9]+", r"Class\s*(1b|2|3)", "a|b", "(fire|exit) door", "x?", "[a-c]+", r"\bRw\b", "minimum.*height", r"\d+\.?\d*\s*mm", r"\p{Lu}+z", "(?:ab){2}", "(", "É", "two-thirds", "2/3", r"H4\.", "(?i)Must", "a{0,3}b+", ""]
+
+
+def test_patterns_run_only_where_their_literals_are(spark):
+    import re
+
+    from clausemill.operators.matching import literals_of
+
+    assert literals_of("must") == (["must"], True) and literals_of("AS [0-9]+") == (["as "], False)
+    assert literals_of("(fire|exit) door") == ([" door"], False) and literals_of(r"\d+\.?\d*\s*mm") == (["mm"], False)
+    assert literals_of("abc|def") == (["abc", "def"], False) and literals_of("a|b") == ([], False) and literals_of("x?") == ([], False) and literals_of("(") == ([], False)
+    texts = ["You MUST see AS 1428", "as 1", "class 2 Fire door", "Class 1b", "12.5 mm", "minimum clear height", "Rw", "rw", "ABAB", "H4.1 and two-thirds", "aabb", "", None, "É é", "Xz"]
+    good = [p for p in PATTERNS if p != "("]
+    evidence = spark.createDataFrame([("T", "V", i, t) for i, t in enumerate(texts)], "topic_id string, volume string, ord int, text string")
+    aspects = spark.createDataFrame([("T", p, p) for p in good], "topic_id string, aspect string, pattern string")
+    plain = {(p, i) for p in good if p != r"\p{Lu}+z" for i, t in enumerate(texts) if t is not None and re.search(p, t, 0 if re.search("[A-Z]", re.sub(r"\\.", "", p)) else re.I | re.A)} | {(r"\p{Lu}+z", 14)}
+    for limit in (0, 1 << 20):
+        assert {(r.aspect, r.ord) for r in R.aspects_found(evidence, aspects, limit).collect()} == plain
 
 
 def test_qa_csv_keeps_breaks(spark, tmp_path):
