@@ -12,8 +12,11 @@ from clausemill.functions import units as U
 from clausemill.functions import variations as V
 from clausemill.functions.text import collapse, dehyphenate
 
+from .scans import positions
+
 CORE_TYPES = ["PERFORMANCE_REQUIREMENT", "DTS_PROVISION", "SPECIFICATION_CLAUSE"]
-#: The unit types of the published specification, in its order, and the one more that classification gives.
+#: The unit types of the published specification, in its order, the two more that the coverage map routes to,
+#: and the one more that classification gives.
 UNIT_TYPES = [
     "VOLUME", "SECTION", "PART", "SUBPART",
     "HEADING", "INTRODUCTION", "INTRODUCTORY_PROVISION", "GOVERNING_REQUIREMENT", "OBJECTIVE", "FUNCTIONAL_STATEMENT",
@@ -25,6 +28,7 @@ UNIT_TYPES = [
     "SCOPE_SUMMARY", "SCOPE_VOLUME_SELECTION", "SCOPE_CLASS_APPLICABILITY", "SCOPE_EXCEPTION", "GOVERNANCE_RULE",
     "DISCIPLINE_RULE", "CONDITIONAL_RULE", "PATHWAY_SELECTION", "PATHWAY_COMPLETE", "CALCULATION_RULE", "SIZING_RULE",
     "CONSTANT", "PERFORMANCE_CRITERION", "TABLE_ROW",
+    "REFERENCED_DOCUMENT", "TABLE_CELL",
     "OTHER",
     "EVIDENCE_OF_SUITABILITY",
 ]
@@ -139,24 +143,31 @@ def marker_totals(units: DataFrame) -> DataFrame:
 
 
 def distributions(units: DataFrame) -> DataFrame:
-    """A-12, O-1: rows by unit type, weight, state and volume, in one table."""
-    part = lambda name, c: units.groupBy(c.alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("dimension"), "value", "n")
-    parts = [part("unit_type", F.col("unit_type")), part("weight", U.compliance_weight(F.col("unit_type"))), part("state", F.col("applies_state")), part("volume", F.col("volume"))]
-    return reduce(DataFrame.unionByName, parts)
+    """A-12, O-1: rows by unit type, weight, state and volume, in one table, from one pass."""
+    values = {"unit_type": F.col("unit_type"), "weight": U.compliance_weight(F.col("unit_type")), "state": F.col("applies_state"), "volume": F.col("volume")}
+    rows = units.select(F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), v.alias("value")) for d, v in values.items()])).alias("x"))
+    return rows.groupBy("x.dimension", "x.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def labels_by_type(units: DataFrame) -> DataFrame:
-    """A-13: the different labels of each type in order."""
-    return units.groupBy("volume", "unit_type").agg(F.array_join(F.array_sort(F.collect_set("unit_label")), ", ").alias("labels"))
+def labels_by_type(units: DataFrame, chunk: int = 1000) -> DataFrame:
+    """A-13: (volume, unit_type, chunk, labels): the different labels of each type in order, ``chunk`` of them to a row. Labels
+    are dealt by ranges, so no task holds all of a type."""
+    keys = ["volume", "unit_type"]
+    placed = positions(units.select(*keys, "unit_label").distinct(), *keys, "unit_label")
+    start = placed.groupBy(*keys).agg(F.min("position").alias("start"))
+    rows = placed.join(start, keys).withColumn("chunk", F.expr(f"(position - start) div {chunk}"))
+    return rows.groupBy(*keys, "chunk").agg(F.array_join(F.array_sort(F.collect_list("unit_label")), ", ").alias("labels"))
 
 
 def hypotheses(units: DataFrame) -> DataFrame:
-    """Q-1, Q-2, A-14: three causes of missing text: rows that fit, label prefixes of these, and a verdict."""
+    """Q-1, Q-2, A-14: three causes of missing text: rows that fit, label prefixes of these, and a verdict, from one pass."""
     text, raw, title, kind = (collapse(F.coalesce(c, F.lit(""))) for c in ("text", "raw_text", "title", "unit_type"))
     tests = {"H1": V.fix_instruction_only(kind, text, raw), "H2": V.is_unresolved(kind, title, text, raw) & (kind == "FUNCTIONAL_STATEMENT"), "H3": V.is_unresolved(kind, title, text, raw) & (kind == "VERIFICATION_METHOD")}
     prefix = F.regexp_extract("unit_label", r"^([A-Z]\d+)", 1)
-    one = lambda h, cond: units.agg(_n(cond).alias("n"), F.array_join(F.array_sort(F.collect_set(F.when(cond & (prefix != ""), prefix))), ",").alias("prefixes")).select(F.lit(h).alias("hypothesis"), "n", "prefixes", F.when(F.col("n") > 0, "PROVEN").otherwise("NOT PROVEN").alias("verdict"))
-    return reduce(DataFrame.unionByName, [one(h, c) for h, c in tests.items()])
+    listed = lambda cond: F.array_join(F.array_sort(F.collect_set(F.when(cond & (prefix != ""), prefix))), ",")
+    found = units.agg(*[x for h, c in tests.items() for x in (_n(c).alias(f"n_{h}"), listed(c).alias(f"prefixes_{h}"))])
+    rows = found.selectExpr(f"stack({len(tests)}, {', '.join(f"'{h}', n_{h}, prefixes_{h}" for h in tests)}) as (hypothesis, n, prefixes)")
+    return rows.withColumn("verdict", F.when(F.col("n") > 0, "PROVEN").otherwise("NOT PROVEN"))
 
 
 def hypothesis_rows(units: DataFrame, k: int = 10) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clausemill.sources.files import written
+
 CHUNK = 1 << 17
 
 
@@ -36,3 +38,17 @@ def running(rows: DataFrame, order: str, sums: dict[str, Column] | None = None,
     whole = {n: F.coalesce(F.col(f"_{n}"), F.lit(0)) + F.col(n) for n in sums} | {n: F.coalesce(n, f"_{n}") for n in lasts}
     rest = local(later, "doc_id", "_chunk").join(carried, ["doc_id", "_chunk"]).withColumns(whole).drop("_chunk", *[f"_{n}" for n in whole])
     return local(rows.where(at < chunk), "doc_id").unionByName(rest)
+
+
+def positions(rows: DataFrame, *order: str) -> DataFrame:
+    """``rows`` in order with position, their place in the whole table from 0 on, written. Spark's range partitioner deals them;
+    what lies before a partition is the sum of the sizes before it, a number each."""
+    spark = rows.sparkSession
+    at = written(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part = F.shiftright("_at", 33)
+    before, starts = 0, []
+    for p, n in sorted(at.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        starts.append((p, before))
+        before += n
+    table = F.broadcast(spark.createDataFrame(starts, "_part long, _before long"))
+    return at.withColumn("_part", part).join(table, "_part").withColumn("position", F.col("_before") + F.col("_at").bitwiseAND((1 << 33) - 1)).drop("_part", "_before", "_at")

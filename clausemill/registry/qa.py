@@ -17,7 +17,7 @@ from clausemill.operators import routing as R
 from clausemill.operators import vectors as E
 from clausemill.sources import fixtures as X
 
-from .sql import bare_ref, collapse, last_part, part, section
+from .sql import bare_ref, collapse, discipline_map, last_part, part, section
 from .units import DERIVED_SQL, derived
 
 _DIM = X.DIMS_SQL
@@ -41,6 +41,7 @@ def _fixed(s, d) -> DataFrame:
 
 def _rich(s, d) -> DataFrame:
     rows = derived(s, d)
+    rows = rows.withColumn("text", F.col("marked"))
     return rows.withColumns({"rag_text": F.expr("case when ord % 50 = 0 then '' else text end"), "internal_refs": F.regexp_extract_all("text", F.lit(r"\b([A-Z]\d+[A-Z]\d+)\b"), F.lit(1))})
 
 
@@ -107,7 +108,7 @@ def _referenced(s, d) -> DataFrame:
 
 #: Some values go astray; clause and introduction types are put in to see which are allowed.
 _ODD = {
-    "unit_type": "case when ord % 9 = 0 then 'ODD' when ord % 9 = 1 then 'CLAUSE' when ord % 9 = 2 then 'SUBCLAUSE' when ord % 9 = 3 then 'INTRODUCTION' when ord % 9 = 4 then 'FIGURE' else unit_type end",
+    "unit_type": "case when ord % 9 = 0 then 'ODD' when ord % 9 = 1 then 'CLAUSE' when ord % 9 = 2 then 'SUBCLAUSE' when ord % 9 = 3 then 'INTRODUCTION' when ord % 9 = 4 then 'FIGURE' when ord % 9 = 5 then 'TABLE_CELL' when ord % 9 = 6 then 'REFERENCED_DOCUMENT' else unit_type end",
     "compliance_weight": "case when ord % 10 = 3 then 'OPTIONAL' else compliance_weight end",
     "ncc_pathway": "case when ord % 11 = 3 then 'FUNCTIONAL' when ord % 11 = 4 then 'functional' else ncc_pathway end",
     "normative_status": "case when ord % 13 = 3 then '' else normative_status end",
@@ -140,7 +141,7 @@ QUERIES = {
     "a10_identity_samples": lambda s, d: Q.identity_samples(_ready(s, d)),
     "a11_marker_totals": lambda s, d: Q.marker_totals(_ready(s, d).withColumn("text", F.col("marked"))),
     "a12_distributions": lambda s, d: Q.distributions(_ready(s, d)),
-    "a13_labels_by_type": lambda s, d: Q.labels_by_type(_ready(s, d)),
+    "a13_labels_by_type": lambda s, d: Q.labels_by_type(_ready(s, d), chunk=100),
     "a16_discipline_coverage": lambda s, d: L.discipline_coverage(_mapping(s, d)),
     "q01_q02_hypotheses": lambda s, d: Q.hypotheses(_ready(s, d).withColumn("text", F.expr("case when ord % 7 = 0 then '' else text end"))),
     "q01_examples": lambda s, d: Q.hypothesis_rows(_ready(s, d).withColumn("text", F.expr("case when ord % 7 = 0 then '' else text end"))),
@@ -182,8 +183,7 @@ QUERIES = {
 _D = DERIVED_SQL
 _blank = lambda c: f"({collapse(c)} = '')"
 _BOTH = f"({_blank('text')} and {_blank('raw_text')})"
-_MAP = f"""(select volume, code, list_filter(l, lambda x, i: list_position(l, x) = i) disciplines from (select volume, coalesce(part_code, section_code) code, list(discipline order by topic_id, seq, discipline) l
-    from {_DIM['topic']} join {_DIM['topic_part']} using (topic_id) group by 1, 2))"""
+_MAP = discipline_map()
 _LABELS = r"regexp_extract_all(text, '\b([A-Z]\d+[A-Z]\d+)\b', 1)"
 _INSTR = r"'(?i)(Insert|Omit|Substitute|Replace)\s+(subclause|clause)'"
 _HOLED = f"(select * replace (case when ord % 7 = 0 then '' else text end as text) from {_D})"
@@ -229,7 +229,7 @@ _DISC = f"(select volume, code, array_to_string(disciplines, ', ') d from {_MAP}
 
 _Q10 = f"(select *, case ncc_pathway when 'DTS' then 'IF_DTS_SELECTED' when 'PERFORMANCE' then 'IF_PERFORMANCE_SELECTED' else 'ALWAYS' end conditionality from {_D})"
 #: Of the published types those that the query can meet.
-_ALLOWED_TYPES = "'GOVERNING_REQUIREMENT', 'OBJECTIVE', 'FUNCTIONAL_STATEMENT', 'PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD', 'STATE_VARIATION', 'INTRODUCTION', 'FIGURE'"
+_ALLOWED_TYPES = "'GOVERNING_REQUIREMENT', 'OBJECTIVE', 'FUNCTIONAL_STATEMENT', 'PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD', 'STATE_VARIATION', 'INTRODUCTION', 'FIGURE', 'TABLE_CELL', 'REFERENCED_DOCUMENT'"
 _TERMS = f"""(select volume, ord, unit_label, unit_type, applies_state, term, count(*) n, case unit_type when 'PERFORMANCE_REQUIREMENT' then 2 when 'DTS_PROVISION' then 1 when 'VERIFICATION_METHOD' then 1 else 0 end weight
     from (select *, unnest(regexp_extract_all(lower(text), '[A-Za-z0-9_]+')) term from {_D}) group by all)"""
 _TOPICS = f"""(select qid, topic_id, hits, cast(row_number() over (partition by qid order by hits desc, topic_id) as int) topic_rank from (select qid, topic_id, count(*) filter (kind = 'include') hits, count(*) filter (kind = 'exclude') x from {_KW} group by 1, 2)
@@ -275,7 +275,8 @@ ORACLES = {
     "a10_identity_samples": f"select * from (select 'complete' sample, volume, ord, unit_label, section_code, part_code from {_D} where {_WHOLE} order by volume, ord limit 5) union all select * from (select 'missing', volume, ord, unit_label, section_code, part_code from {_D} where not ({_WHOLE}) order by volume, ord limit 10)",
     "a11_marker_totals": f"select count(*) filter (n > 0) rows_with_markers, cast(coalesce(sum(n), 0) as bigint) markers from (select len(regexp_extract_all(marked, '\\bNSW\\s+([A-Z]\\d+[A-Z]\\d+)\\((\\d+)\\)')) n from {_D} where contains(warnings, 'STATE_VARIATION_EMBEDDED'))",
     "a12_distributions": " union all ".join(f"select '{n}' dimension, {c} \"value\", count(*) n from {_D} group by 2" for n, c in (("unit_type", "unit_type"), ("weight", "compliance_weight"), ("state", "applies_state"), ("volume", "volume"))),
-    "a13_labels_by_type": f"select volume, unit_type, array_to_string(list_sort(list(distinct unit_label)), ', ') labels from {_D} group by 1, 2",
+    "a13_labels_by_type": f"""select volume, unit_type, chunk, string_agg(unit_label, ', ' order by unit_label) labels from (select *, (row_number() over (partition by volume, unit_type order by unit_label) - 1) // 100 chunk
+        from (select distinct volume, unit_type, unit_label from {_D})) group by 1, 2, 3""",
     "a16_discipline_coverage": f"select volume, count(distinct code) codes, count(distinct d) disciplines from (select volume, code, unnest(disciplines) d from {_MAP}) group by 1",
     "q01_q02_hypotheses": f"{_H('H1', _F1)} union all {_H('H2', f"unit_type = 'FUNCTIONAL_STATEMENT' and {_F2}")} union all {_H('H3', f"unit_type = 'VERIFICATION_METHOD' and {_F2}")}",
     "q01_examples": f"select volume, ord, unit_label, substr({collapse('raw_text')}, 1, 150) raw_text from {_HOLED} where {_F1} order by volume, ord limit 10",
@@ -294,8 +295,9 @@ ORACLES = {
           else "value" in ('SA', 'NSW', 'VIC', 'QLD', 'WA', 'TAS', 'ACT', 'NT', '') end) group by 1, 2""",
     "q11_quality_flags": f"""select volume, ord, array_to_string(list_filter([case when trim(marked) = '' then 'MISSING_TEXT' end, case when trim(title) = '' then 'MISSING_TITLE' end,
         case when case regexp_extract(unit_label, '^[A-Z]\\d+([A-Z])\\d+', 1) when 'G' then 'GOVERNING_REQUIREMENT' when 'O' then 'OBJECTIVE' when 'F' then 'FUNCTIONAL_STATEMENT' when 'P' then 'PERFORMANCE_REQUIREMENT' when 'D' then 'DTS_PROVISION' when 'V' then 'VERIFICATION_METHOD' else '' end <> unit_type then 'CONTEXT_INFERRED' end,
-        case when unit_type <> 'STATE_VARIATION' and regexp_matches(marked, '\\bNSW\\s+([A-Z]\\d+[A-Z]\\d+)\\((\\d+)\\)') then 'STATE_VARIATION_EMBEDDED' end], lambda x: x is not null), '|') flags from {_D}""",
-    "q12_gates": "select *, failures = 0 passed from (" + " union all ".join(f"select '{g}' gate, count(*) filter ({c}) failures from {_D}" for g, c in _GATES.items()) + ")",
+        case when unit_type <> 'STATE_VARIATION' and regexp_matches(marked, '\\bNSW\\s+([A-Z]\\d+[A-Z]\\d+)\\((\\d+)\\)') then 'STATE_VARIATION_EMBEDDED' end,
+        case when contains(marked, '[TABLE]') and not contains(marked, '| --- |') then 'TABLE_BLOB_ONLY' end], lambda x: x is not null), '|') flags from {_D}""",
+    "q12_gates": "select *, failures = 0 passed from (" + " union all ".join(f"select '{g}' gate, count(*) filter ({c}) failures from (select * replace (marked as text) from {_D})" for g, c in _GATES.items()) + ")",
     "r01_classify": f"""select qid, case when s <> '' then 'SCOPE' when f <> '' then 'DEFINITION' when n <> '' then 'TABLE_NUMERIC' else 'TECHNICAL' end query_type, case when s <> '' then 0.9::double when f <> '' then 0.85 when n <> '' then 0.75 else 0.5 end confidence,
         case when s <> '' then 'SCOPE: ' || s when f <> '' then 'DEFINITION: ' || f when n <> '' then 'TABLE_NUMERIC: ' || n else 'TECHNICAL: default' end matched_rule
         from (select qid, regexp_extract(q, {_SC}) s, regexp_extract(q, {_DF}) f, regexp_extract(q, {_NU}) n from (select qid, trim(lower(question), ' ') q from {X.QUESTIONS_SQL}))""",

@@ -50,3 +50,11 @@ def unit_type(t: str) -> str:
       when contains(lower({t}), 'verification method') or regexp_matches({t}, '^V\\d+|V\\d+\\.\\d+') then 'VERIFICATION_METHOD'
       when contains(lower({t}), 'evidence of suitability') then 'EVIDENCE_OF_SUITABILITY'
       when contains(lower({t}), 'definition') or regexp_matches({t}, '^[A-Z][^—]+—|^[A-Z][^means]+means') then 'DEFINITION' else 'OTHER' end"""
+
+
+def discipline_map() -> str:
+    """The coverage map's disciplines of each volume and code, in first-seen order."""
+    from clausemill.sources.fixtures import DIMS_SQL
+
+    return f"""(select volume, code, list_filter(l, lambda x, i: list_position(l, x) = i) disciplines from (select volume, coalesce(part_code, section_code) code, list(discipline order by topic_id, seq, discipline) l
+    from {DIMS_SQL['topic']} join {DIMS_SQL['topic_part']} using (topic_id) group by 1, 2))"""

@@ -51,7 +51,7 @@ def _short(s, d, read):
 QUERIES = {
     "s04_s08_units_csv": lambda s, d: _through(s, _broken(s, d), S.write_units_csv, lambda path: S.read_units_csv(s, path, "volume string, ord string, unit_label string, title string, text string")),
     "s05_padded_csv": lambda s, d: _short(s, d, S.read_units_csv_padded),
-    "s06_s09_clause_sheet": lambda s, d: _through(s, N.clean_clauses(X.clause_sheet(s, d), "AS3000"), S.write_clauses_csv, lambda path: S.read_clause_sheet(s, path)).select("id", "clause_number", "heading", "notes", "exceptions", "appendix_flag"),
+    "s06_s09_clause_sheet": lambda s, d: _through(s, N.clean_clauses(X.clause_sheet(s, d), "AS3000"), S.write_clauses_csv, lambda path: S.read_clause_sheet(s, path)).select(*N.CLEAN_COLUMNS),
     "s10_qa_csv": lambda s, d: _through(s, _broken(s, d), S.write_qa_csv, lambda path: S.read_qa_csv(s, path)),
     "s13_unit_table": lambda s, d: _through(s, X.units(s, d), S.write_unit_table, lambda path: S.read_unit_table(s, path, "Vol2")).select("volume", "ord", "unit_label", "text"),
     "s02_raw_text": lambda s, d: X.table(s, d, "pages").select("page_id", T.raw_text(F.col("html")).alias("text")),
@@ -87,10 +87,16 @@ _SANITISED = f"""array_to_string(list_transform(regexp_extract_all(regexp_replac
           when {_KEY} in ('class', 'id') or ({_TAG} = 'table' and {_KEY} in ('border', 'cellpadding', 'cellspacing')) or ({_TAG} in ('td', 'th') and {_KEY} in ('colspan', 'rowspan')) then ' ' || {_KEY} || '="' || {_VALUE} || '"' else '' end), ''), '') || case when {_TAG} = 'br' then ' />' else '>' end end
       when {_TAG} <> '' or regexp_matches(p, '^<[!?]') then '' else p end), '')"""
 
+_CLEANED = f"regexp_replace({_SANITISED.format('html')}, '(?i)<p[^>]*>[ \\t\\n\\r\\f\\x0B' || chr(160) || ']*</p>', '', 'g')"
+_WHITE = lambda x: strip(f"replace(regexp_replace(regexp_replace(regexp_replace({x}, '[ \\t]{{2,}}', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '[' || chr(8203) || '-' || chr(8205) || chr(65279) || ']', '', 'g'), chr(160), ' ')")
+_FALLBACK = f"""list_filter(list_transform(string_split_regex(regexp_replace(html, '<[^>]+>', chr(10), 'g'), '\\n[ \\t\\n\\r\\f\\x0B]*\\n'), lambda x: {collapse('x')}), lambda x: x <> '')"""
+
 ORACLES = {
+    "p07_repair": _indexed(f"""select doc_id, list_filter(list_transform(case when len(ps) > 0 then ps else {_FALLBACK} end, lambda x: {_WHITE('x')}), lambda x: x <> '') a
+        from (select doc_id, html, {_PARAGRAPHS} ps from (select doc_id, {_CLEANED} html from {X.PAGES_SQL}))""", "doc_id"),
     "s04_s08_units_csv": f"select * replace (replace(text, chr(10), ' ') as text) from (select {_BROKEN_UNITS} from {X.UNITS_SQL})",
     "s05_padded_csv": f"select 'u' || ord id, unit_label, case when ord % 4 = 0 then '' else unit_type end unit_type, case when ord % 4 in (0, 1) then '' else 'x' end mark from {X.UNITS_SQL}",
-    "s06_s09_clause_sheet": f"select id, clause_number, heading, notes, exceptions, case when appendix_flag then 'True' else 'False' end appendix_flag from {_CLEAN}",
+    "s06_s09_clause_sheet": f"""select id, clause_number, heading, body, notes, exceptions, cast("level" as varchar) "level", parent_number, parent_id, {', '.join(f"case when {c} then 'True' else 'False' end {c}" for c in ('appendix_flag', 'embeddable', 'is_heading_only', 'had_duplicate_merge'))}, source_rows from {_CLEAN}""",
     "s10_qa_csv": f"select {_BROKEN_UNITS} from {X.UNITS_SQL}",
     "s13_unit_table": f"select volume, ord, unit_label, text from {X.UNITS_SQL} where volume = 'Vol2'",
     "p03_sanitise": f"select doc_id, {_SANITISED.format(_STYLED)} html from {X.PAGES_SQL}",

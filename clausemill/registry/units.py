@@ -23,7 +23,8 @@ _EXTRA = f"""{_WARN}, case when ord % 13 = 0 then 'MISSING_TEXT|CHECKED' else ''
   case when ord % 6 = 0 then concat('table ', unit_label) when ord % 10 = 9 then cast(ord as string) else unit_label end clause_ref,
   case when ord % 6 = 0 then unit_label when ord % 10 = 9 then '14' else '' end table_id,
   case when ord % 12 = 0 then concat('Table ', unit_label, ': Sizes') else '' end table_label,
-  case when ord % 3 = 0 then '' else unit_label end base_unit_label, concat(text, case when ord % 5 = 1 then ' NSW H4D5(2) applies' else '' end) marked"""
+  case when ord % 3 = 0 then '' else unit_label end base_unit_label, concat(text, case when ord % 5 = 1 then ' NSW H4D5(2) applies' else '' end,
+    case when ord % 17 = 5 then ' [TABLE] blob' when ord % 17 = 6 then ' [TABLE] | a | b |' when ord % 17 = 7 then ' [TABLE] | a | | --- |' else '' end) marked"""
 
 
 def derived(s, d) -> DataFrame:
