@@ -11,6 +11,7 @@ from clausemill.functions.text import CELL_LIMIT, is_truncated, strip, truncate_
 from clausemill.operators.lookups import with_discipline
 from clausemill.operators.scans import CHUNK, running
 from clausemill.operators.tables import first_refs, pipe_tables
+from clausemill.sources.files import written
 
 #: The published columns, in order; the last three are in the specification only.
 PUBLISHED = [
@@ -57,15 +58,19 @@ def table_placement(content: DataFrame, cells: DataFrame, placement: str = "appe
     return placed.join(other, ["doc_id", "table_idx"], "left_anti").select("doc_id", "table_idx", "seg")
 
 
-def paragraph_units(content: DataFrame, volume: Column, cells: DataFrame | None = None, placement: str = "appended") -> DataFrame:
-    """U-5 to U-10, U-12, U-13, P-8: a work row for each unit, its paragraphs and tables joined by blank lines."""
+def paragraph_units(content: DataFrame, volume: Column, cells: DataFrame | None = None, placement: str = "appended", rendered: DataFrame | None = None) -> DataFrame:
+    """U-5 to U-10, U-12, U-13, P-8: a work row for each unit, its paragraphs and tables joined by blank lines. Pieces that
+    begin behind the limit of a text are left out before a unit is put together. ``rendered`` is what ``pipe_tables`` gives,
+    where it is at hand."""
     segs = content_segments(content)
     n = segs.groupBy("doc_id").agg((F.max("idx") + 1).alias("n"))
     items = segs.select("doc_id", "seg", F.lit(0).alias("kind"), F.col("idx").cast("long").alias("at"), "text", "tag", "ref")
     if cells is not None:
-        tables = table_placement(content, cells, placement).join(pipe_tables(cells), ["doc_id", "table_idx"])
+        tables = table_placement(content, cells, placement).join(pipe_tables(cells) if rendered is None else rendered, ["doc_id", "table_idx"])
         body = F.concat(F.lit("\n\n[TABLE]\n"), "rendered", F.lit("\n[/TABLE]"))
         items = items.unionByName(tables.select("doc_id", "seg", F.lit(1).alias("kind"), F.col("table_idx").cast("long").alias("at"), body.alias("text"), F.lit("table").alias("tag"), F.lit("").alias("ref")))
+    behind = Window.partitionBy("doc_id", "seg").orderBy("kind", "at").rowsBetween(Window.unboundedPreceding, -1)
+    items = items.withColumn("begins", F.coalesce(F.sum(F.length("text") + 2).over(behind), F.lit(0))).where(F.col("begins") <= CELL_LIMIT)
     grouped = items.groupBy("doc_id", "seg").agg(F.array_sort(F.collect_list(F.struct("kind", "at", "text", "tag", "ref"))).alias("p"), F.min(F.when(F.col("kind") == 0, F.col("at"))).alias("first"))
     head = F.element_at("p", 1)
     after = F.lead("first").over(Window.partitionBy("doc_id").orderBy("seg"))
@@ -89,14 +94,20 @@ def paragraph_units(content: DataFrame, volume: Column, cells: DataFrame | None
     )
 
 
-def table_units(cells: DataFrame, volume: Column) -> DataFrame:
+def table_units(cells: DataFrame, volume: Column, rendered: DataFrame | None = None) -> DataFrame:
     """U-11: a work row for each table; its reference is its first cell's that has one, else its number."""
-    rows = pipe_tables(cells).join(first_refs(cells), ["doc_id", "table_idx"], "left")
+    rows = (pipe_tables(cells) if rendered is None else rendered).join(first_refs(cells), ["doc_id", "table_idx"], "left")
     ref = F.concat(F.lit("table "), F.coalesce("ref", (F.col("table_idx") + 1).cast("string")))
     where = F.concat(F.lit("table_"), F.col("table_idx").cast("string"), F.when(F.col("ref").isNotNull(), F.concat(F.lit("_"), "ref")).otherwise(""), F.when(is_truncated(F.col("rendered")), "_truncated").otherwise(""))
     return rows.select("doc_id", F.lit(1).alias("pass_no"), F.col("table_idx").cast("long").alias("place"), volume.alias("volume"), F.lit("table").alias("row_type"), F.lit("").alias("heading_level"), F.lit("").alias("heading_text"), U.unit_type(truncate_hard(F.col("rendered"))).alias("unit_type"), ref.alias("clause_ref"), truncate_hard(F.col("rendered")).alias("text"), where.alias("source_location"))
 
 
+def work_rows(content: DataFrame, cells: DataFrame, volume: Column, placement: str = "appended") -> DataFrame:
+    """O-2: the units of paragraphs and of tables, whose text is made once for both."""
+    rendered = written(pipe_tables(cells))
+    return paragraph_units(content, volume, cells, placement, rendered).unionByName(table_units(cells, volume, rendered))
+
+
 def length_guard(rows: DataFrame, *columns: str) -> DataFrame:
     """U-28: columns cut to the cell limit again, and how many were."""
     over = sum((is_truncated(F.col(c)).cast("int") for c in columns), F.lit(0))

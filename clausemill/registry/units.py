@@ -14,7 +14,7 @@ from clausemill.operators.scans import running
 from clausemill.plans import units as P
 from clausemill.sources import fixtures as X
 
-from .sql import bare_ref, clause_ref, part, section, strip, unit_type
+from .sql import bare_ref, clause_ref, discipline_map, last_part, part, section, strip, unit_type
 
 # ---- units with the columns that other operators read
 
@@ -128,8 +128,7 @@ def _volume():
 
 
 def _work(s, d):
-    rows = P.paragraph_units(_content(s, d), _volume(), X.cells(s, d)).unionByName(P.table_units(X.cells(s, d), _volume()))
-    return rows
+    return P.work_rows(_content(s, d), X.cells(s, d), _volume())
 
 
 def _page_units(s, d):
@@ -137,7 +136,7 @@ def _page_units(s, d):
     pages = X.page_html(s, d)
     content = T.html_elements(pages).where("tag <> 'table'").select("doc_id", F.col("dom_idx").alias("idx"), "tag", "text")
     cells = T.html_cells(pages)
-    rows = P.paragraph_units(content, _volume(), cells).unionByName(P.table_units(cells, _volume()))
+    rows = P.work_rows(content, cells, _volume())
     dims = X.dims(s, d)
     return P.publish(rows, L.discipline_map(dims["topic"], dims["topic_part"]), "pages")
 
@@ -237,6 +236,72 @@ _STRUCT = r"case when regexp_matches(text, '(?i)^volume\s+(one|two|three|\d)\b')
 _EXT = _once(r"regexp_extract_all(text, '\b(AS/NZS \d+|AS \d+|ISO \d+)', 1)")
 _INT = _once(r"regexp_extract_all(text, '\b([A-Z]\d+[A-Z]\d+)\b', 1)")
 
+#: The whole publication over content and cells; the SQL for pages reads other rows in their place.
+_PLACED = f"""(with l as (select doc_id, max(seg) seg from {_CSEG} group by 1), u as (select doc_id, seg, ref from {_CSEG} where ref <> ''),
+        t as (select distinct doc_id, table_idx from {_CELLS}), p as (select t.doc_id, table_idx, l.seg, u.ref from t join l using (doc_id) left join u on u.doc_id = l.doc_id and u.seg = l.seg),
+        o as (select distinct c.doc_id, c.table_idx from {_CELLS} c join p on p.doc_id = c.doc_id and p.table_idx = c.table_idx where row_idx < 3 and col_idx < 3 and {clause_ref('c.text')} <> '' and {clause_ref('c.text')} <> p.ref)
+        select doc_id, table_idx, seg from p anti join o using (doc_id, table_idx))"""
+_ITEMS = f"""(select doc_id, seg, 0 kind, cast(idx as bigint) pos, text, tag, ref from {_CSEG}
+    union all select doc_id, seg, 1, cast(table_idx as bigint), chr(10) || chr(10) || '[TABLE]' || chr(10) || rendered || chr(10) || '[/TABLE]', 'table', '' from {_PLACED} join {_PIPES} using (doc_id, table_idx))"""
+_CUT = "(case when length(whole) > 32767 then substr(whole, 1, 32764) || '...' else whole end)"
+_WORK = f"""(with g as (select doc_id, seg, min(pos) filter (kind = 0) f, min_by(ref, (kind, pos)) clause_ref, min_by(tag, (kind, pos)) tag, min_by(text, (kind, pos)) text, string_agg(text, chr(10) || chr(10) order by kind, pos) whole from {_ITEMS} group by 1, 2),
+    n as (select doc_id, max(idx) + 1 n from {_CONTENT} group by 1), h as (select *, coalesce(lead(f) over (partition by doc_id order by seg), n) - 1 l, clause_ref r from g join n using (doc_id)),
+    a as (select *, {_AFTER} a from h), s as (select *, {_SENT} s, {_LINE} ln from a)
+    select doc_id, 0 pass_no, cast(seg as bigint) place, {_VOLUME} volume, 'paragraph' row_type, case when seg > 0 and regexp_matches(lower(tag), '^h[1-6]$') then upper(tag) else '' end heading_level,
+      case when seg = 0 then '' when s <> '' and length(s) <= 150 then s when length(ln) <= 100 then ln else substr(ln, 1, 100) end heading_text, {unit_type(_CUT)} unit_type, case when seg > 0 then clause_ref else '' end clause_ref, {_CUT} text,
+      case when seg > 0 then 'para_' else 'content_' end || f || '_to_' || l || case when length(whole) > 32767 then '_truncated' else '' end source_location from s
+    union all select doc_id, 1, cast(table_idx as bigint), {_VOLUME}, 'table', '', '', {unit_type(_CUT)}, 'table ' || coalesce(ref, cast(table_idx + 1 as varchar)), {_CUT},
+      'table_' || table_idx || coalesce('_' || ref, '') || case when length(whole) > 32767 then '_truncated' else '' end from (select *, rendered whole from {_PIPES}) left join {_TREF} using (doc_id, table_idx))"""
+_some = lambda a, b: f"case when {a} <> '' then {a} else {b} end"
+_json = lambda x: f"coalesce(cast(to_json({x}) as varchar), '[]')"
+_TFALL = _some("table_id", "unit_label")
+_PUBLISHED = {
+    "doc_id": "cast(doc_id as varchar)", "volume": "volume", "source_file": "'{file}'", "path": "volume", "anchor_id": f"case when clause_ref = '' then '' else regexp_replace(upper(volume), '\\s+', '_', 'g') || '::' || {bare_ref('clause_ref')} end",
+    "order_in_parent": "cast(ord as int)", **{f"para_{n}": f"coalesce(try_cast(nullif(regexp_extract(source_location, 'para_(\\d+)_to_(\\d+)', {k}), '') as int), 0)" for n, k in (("start", 1), ("end", 2))},
+    "unit_label": "unit_label", "unit_type": "unit_type", "compliance_weight": "case when unit_type = 'PERFORMANCE_REQUIREMENT' then 'MANDATORY' when unit_type in ('DTS_PROVISION', 'VERIFICATION_METHOD') then 'OPTIONAL_PATHWAY' else 'NON_MANDATORY' end",
+    "title": "heading_text", "text": "text", "text_html": "text", "raw_text": "text", "raw_title": "heading_text", "heading_context": "heading_level", "base_unit_label": "unit_label",
+    "defined_term": f"case when unit_type = 'DEFINITION' then {strip("regexp_extract(text, '^([A-Z][^—\\n]{0,80}?)\\s*(?:—|\\bmeans\\b)', 1)")} else '' end",
+    "contains_shall": "contains(lower(text), 'shall')", "contains_must": "contains(lower(text), 'must')", "external_refs": _json(_EXT), "internal_refs": _json(f"list_filter({_INT}, lambda x: x <> unit_label)"),
+    "ncc_pathway": "pathway", "normative_status": "case when unit_type in ('PERFORMANCE_REQUIREMENT', 'DTS_PROVISION', 'VERIFICATION_METHOD') then 'NORMATIVE' else 'INFORMATIVE' end",
+    "conditionality": "case pathway when 'DTS' then 'IF_DTS_SELECTED' when 'PERFORMANCE' then 'IF_PERFORMANCE_SELECTED' else 'ALWAYS' end",
+    "conditions_text": "coalesce(array_to_string(regexp_extract_all(text, '(?i)\\b((?:if|where|unless)\\s[^,.;]*)', 1), '|'), '')", "exceptions_text": "coalesce(array_to_string(regexp_extract_all(text, '(?i)\\b((?:except|does not apply)\\b[^,.;]*)', 1), '|'), '')",
+    "requirements_list": "coalesce(array_to_string(list_filter(string_split_regex(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: regexp_matches(s, '(?i)\\b(must|shall)\\b')), '|'), '')",
+    "standards_referenced": f"coalesce(array_to_string({_EXT}, '|'), '')", "discipline": "discipline", "table_id": "table_id", "table_label": "table_label", "applies_to_volume": "regexp_replace(volume, '^Vol', 'V')", "applies_to_class": _CLASSES,
+    "volume_hierarchy": "concat_ws(' > ', nullif(volume, ''), nullif(own_part, ''), nullif(unit_label, ''))", "scope_conditions": f"case when {_CLASSES} <> '' and {_SCOPE} <> '' then 'IF Class ' || {_CLASSES} || ' THEN ' || {_SCOPE} else '' end",
+    "formula_json": f"case when {_FORMULA} = '' then '' else cast(to_json({{{{'formula': {strip(_FORMULA)}, 'inputs': coalesce({_once(f"regexp_extract_all(regexp_extract({_FORMULA}, '=(.*)', 1), '([A-Z])', 1)")}, []), 'output': regexp_extract({_FORMULA}, '^([A-Za-z]+)', 1)}}}}) as varchar) end",
+    "constant_value": "value", "constant_name": "case when value <> '' then lower(regexp_extract(text, '(?i)\\b(?:the|an?)\\s+([a-z ]+?)\\s+(?:is|must be|shall be)\\b', 1)) else '' end",
+    "section_code": _some(f"({section('clause_ref')})", section(_TFALL)), "part_code": "own_part", "indexable": "true", "rag_text": "'[' || unit_type || '] ' || unit_label || chr(10) || 'title: ' || heading_text || chr(10) || 'text: ' || text",
+}
+
+
+def _published_sql(file: str = "", with_discipline: bool = False) -> str:
+    """All published columns from the work rows."""
+    m = discipline_map()
+    looked = f"""select v.*, coalesce(array_to_string(a.disciplines, ', '), array_to_string(b.disciplines, ', '), array_to_string(c.disciplines, ', '), '') discipline from v left join {m} a on a.volume = v.volume and a.code = {last_part('unit_label')}
+        left join {m} b on b.volume = v.volume and b.code = regexp_extract({bare_ref('unit_label')}, '^([A-Z])', 1) left join {m} c on c.volume = v.volume and c.code = regexp_extract({bare_ref('unit_label')}, '^([A-Z]\\d+)', 1)"""
+    columns = ", ".join(f"{(_PUBLISHED[c].replace("'{file}'", f"'{file}'").replace('{{', '{').replace('}}', '}') if c in _PUBLISHED else "''")} {c}" for c in P.PUBLISHED)
+    return f"""with w as (select *, row_number() over (partition by doc_id order by pass_no, place) - 1 ord, {bare_ref('clause_ref')} unit_label, regexp_matches(lower({strip('heading_text')}), '^table\\s') titled from {_WORK}),
+        x as (select *, case when (regexp_matches(lower(clause_ref), '^table ') or titled) and regexp_matches({strip('unit_label')}, '^[A-Z]\\d+[A-Z]\\d+[a-zA-Z]?$|^[A-Z]\\d+\\.\\d+$') then unit_label else '' end table_id from w),
+        o as (select *, case when table_id <> '' and titled then {strip(f"regexp_extract({strip('heading_text')}, '(?i)^(Table\\s+[^:]+(?::\\s*[^\\n]+)?)', 1)")} end own from x),
+        v as (select *, case when table_id = '' then '' else coalesce(own, first_value(own ignore nulls) over (partition by doc_id, table_id order by ord rows between unbounded preceding and current row), '') end table_label from o),
+        d as ({looked if with_discipline else "select *, '' discipline from v"}),
+        z as (select *, {_some(f"({part('clause_ref')})", part(_TFALL))} own_part, regexp_extract(text, '\\b(\\d+(?:\\.\\d+)?\\s*(?:mm|kPa|m))\\b', 1) as "value",
+          case unit_type when 'PERFORMANCE_REQUIREMENT' then 'PERFORMANCE' when 'DTS_PROVISION' then 'DTS' when 'VERIFICATION_METHOD' then 'VERIFICATION' else 'OBJECTIVE' end pathway from d)
+        select {columns} from z"""
+
+
+_PAGE_TAG = r"(?is)<table[^>]*>.*?</table>|</?(?:p|h[1-6]|li|div|blockquote|table|ul|ol)\b[^>]*>"
+_PAGE_ELEMENTS = f"""(select doc_id, cast(row_number() over (partition by doc_id order by i) - 1 as int) dom_idx, tag, trim(regexp_replace(regexp_replace(case when tag = 'table' then t else t || seg end, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'), ' ') text
+    from (select *, ts[i] t, ss[i + 1] seg, lower(regexp_extract(ts[i], '^<(\\w+)', 1)) tag from (select *, unnest(range(1, len(ts) + 1)) i from (select doc_id, regexp_extract_all(html, '{_PAGE_TAG}') ts, string_split_regex(html, '{_PAGE_TAG}') ss from {X.PAGES_SQL})))
+    where tag not in ('', 'ul', 'ol') and (tag <> 'table' or regexp_matches(t, '(?is)</table>$')))"""
+
+
+def _of_pages(sql: str) -> str:
+    """The same SQL over the content and cells of pages."""
+    content = f"(select doc_id, dom_idx idx, tag, {strip('text')} text, {clause_ref(strip('text'))} ref from {_PAGE_ELEMENTS} where tag <> 'table' and {strip('text')} <> '')"
+    return sql.replace(_CELLS, f"({ORACLES['t01_html_cells']})").replace(_CONTENT, content)
+
+
 _TAG = r"(?i)</?(?:p|h[1-6]|div|li|blockquote|table|ul|ol)\b[^>]*>"
 _BLOCKS = f"""with h as (select doc_id, regexp_replace(html, '(?is)<!--.*?-->|<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>', '', 'g') h from {X.NESTED_PAGES_SQL}),
     a as (select doc_id, regexp_extract_all(h, '{_TAG}') ts, string_split_regex(h, '{_TAG}')[2:] ss from h),
@@ -312,6 +377,9 @@ ORACLES = {
     "u28_length_guard": "select doc_id, cast(length(t) > 32767 as int) n_truncated, md5(case when length(t) > 32767 then substr(t, 1, 32764) || '...' else t end) digest from (select doc_id, repeat(text, 20) t from documents)",
     "u01_nested_blocks": f"{_BLOCKS} select * from blocks",
     "t06_nested_blocks": f"{_BLOCKS} select doc_id, cast(row_number() over (partition by doc_id order by start) as int) block_no, start, tag, text from blocks where tag <> 'table' and not in_table and text <> ''",
+    "u26_published_units": _published_sql(),
+    "u27_row_summary": f"select count(*) filter (row_type = 'paragraph') paragraphs, count(*) filter (row_type = 'table') tables, count(*) total_rows, count(*) filter (length(text) >= 32767) at_limit from {_WORK}",
+    "t06_blocks": f"select doc_id, dom_idx, tag, text, cast(row_number() over (partition by doc_id order by dom_idx) as int) block_no from {_PAGE_ELEMENTS} where tag <> 'table' and text <> ''",
     "t01_html_cells": f"""select doc_id, table_idx, row_idx, col_idx, trim(regexp_replace(regexp_replace(c, '<[^>]+>', ' ', 'g'), '[ \\t\\n\\r\\f\\x0B]+', ' ', 'g'), ' ') text, lower(regexp_extract(c, '(?i)^<(t[dh])', 1)) tag,
         cast(coalesce(nullif(regexp_extract(c, '(?i)^<t[dh][^>]*\\bcolspan=["'']?(\\d+)', 1), ''), '1') as int) colspan, cast(coalesce(nullif(regexp_extract(c, '(?i)^<t[dh][^>]*\\browspan=["'']?(\\d+)', 1), ''), '1') as int) rowspan from {_PCELLS}""",
     "t02_pipe_tables": f"select * from {_PIPES}",
@@ -338,3 +406,4 @@ ORACLES = {
         select doc_id, table_idx, cast(to_json({{'headers': r[1], 'rows': r[2:]}}) as varchar) table_grid_json, array_to_string(list_transform(r[2:], lambda t: t[1] || '=' || t[2]), '|') table_key_values from g""",
     "t13_row_units": f"select doc_id, table_idx, row_idx, 'TABLE_ROW' unit_type, '| ' || string_agg(text, ' | ' order by col_idx) || ' |' text from {_CELLS} group by 1, 2, 3",
 }
+ORACLES["u01_page_units"] = _of_pages(_published_sql("pages", with_discipline=True))
