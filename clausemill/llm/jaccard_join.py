@@ -54,10 +54,18 @@ class NearSets:
         length = 100 * F.least(f"{a}.n", f"{b}.n") >= p * F.greatest(f"{a}.n", f"{b}.n")
         return length & (1 + F.least(f"{a}.rest", f"{b}.rest") >= overlap) & (before + self.far(a, b) <= c(f"{a}.n") + c(f"{b}.n") - 2 * overlap)
 
-    def blocks(self, n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np.ndarray:
-        differ = np.zeros((len(n1), len(n2)), dtype=np.int32)
+    def distances(self, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+        differ = np.zeros((len(s1), len(s2)), dtype=np.int32)
         for k in range(BINS):
             differ += np.abs(s1[:, k, None].astype(np.int32) - s2[None, :, k])
+        return differ
+
+    def slack(self, n: np.ndarray) -> np.ndarray:
+        """Sets that differ in more shingles than this are not linked with any set of a size that the length filter allows."""
+        return n * (100 - self.percent) // self.percent + 1
+
+    def blocks(self, n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np.ndarray:
+        differ = self.distances(s1, s2)
         n1, n2 = n1[:, None], n2[None, :]
         overlap = -(-self.percent * (n1 + n2) // (100 + self.percent))
         return (differ <= n1 + n2 - 2 * overlap) & (100 * np.minimum(n1, n2) >= self.percent * np.maximum(n1, n2))

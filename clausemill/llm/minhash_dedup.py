@@ -78,11 +78,17 @@ class NearSignatures:
     def pairs(self, a: str, b: str) -> Column:
         return (100 * F.least(f"{a}.n", f"{b}.n") >= self.percent * F.greatest(f"{a}.n", f"{b}.n")) & (self.far(a, b) <= DISTANCE)
 
-    def blocks(self, n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np.ndarray:
-        differ = np.zeros((len(n1), len(n2)), dtype=np.uint8)
+    def distances(self, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+        differ = np.zeros((len(s1), len(s2)), dtype=np.uint8)
         for k in range(SYMBOLS):
             differ += s1[:, k, None] != s2[None, :, k]
-        return (differ <= DISTANCE) & (100 * np.minimum(n1[:, None], n2[None, :]) >= self.percent * np.maximum(n1[:, None], n2[None, :]))
+        return differ
+
+    def slack(self, n: np.ndarray) -> np.ndarray:
+        return np.full(len(n), DISTANCE)
+
+    def blocks(self, n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np.ndarray:
+        return (self.distances(s1, s2) <= DISTANCE) & (100 * np.minimum(n1[:, None], n2[None, :]) >= self.percent * np.maximum(n1[:, None], n2[None, :]))
 
 
 def _buckets(reps: DataFrame) -> DataFrame:

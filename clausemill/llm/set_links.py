@@ -7,9 +7,11 @@ can be links at all. Within a bucket no list of all pairs is made:
 1. Each member is paired with one leader, the nearest among its buckets' leaders that the rule allows. A bucket's leader
    is the member whose keys are shared most: of near copies, the one closest to their common source. Confirmed links make
    trees of leaders, whose parts are connected for sure, and a bucket's main component is the largest part in it.
-2. Members outside a bucket's main component are its strays. All strays of one main component are compared with that
-   component and with each other, in blocks: first sizes and sketches, and where some pass, the full sets, whose
-   intersections are one matrix product. A block puts out a forest of its links, never its pairs.
+2. Members outside a bucket's main component are its strays. A stray is compared with the leaders of that component, and
+   by the triangle inequality only with those of a leader's members that are far enough from it: a sketch that is farther
+   from the leader than a link allows can only be near to members that are far from the leader too. Strays of one main
+   component are compared with each other. All this goes in blocks: first sizes and sketches, and where some pass, the
+   full sets, whose intersections are one matrix product. A block puts out a forest of its links, never its pairs.
 
 Every pair that shares a key and that the rule allows is then linked, unlinked by comparison, or inside one component
 already.
@@ -38,6 +40,12 @@ class Near(Protocol):
     def far(self, a: str, b: str) -> Column:
         """How far apart two index rows are, to choose the nearest leader."""
 
+    def distances(self, s1: np.ndarray, s2: np.ndarray) -> np.ndarray:
+        """How far apart the sketches of two blocks are: a matrix. A metric, and what ``far`` gives for documents."""
+
+    def slack(self, n: np.ndarray) -> np.ndarray:
+        """How far apart the sketches of a set of this size and of one that it is linked with can be."""
+
     def blocks(self, n1: np.ndarray, s1: np.ndarray, n2: np.ndarray, s2: np.ndarray) -> np.ndarray:
         """By sizes and sketches of two blocks of documents: a matrix."""
 
@@ -187,36 +195,81 @@ def _strays(index: DataFrame, part: DataFrame) -> DataFrame:
 
 
 _BLOCK = 256
-_FOUND = "main long, x int, y int, id long, c long, asked boolean"
-_EMPTY = pa.table({"main": pa.array([], pa.int64()), "x": pa.array([], pa.int32()), "y": pa.array([], pa.int32()), "id": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "asked": pa.array([], pa.bool_())})
+_FOUND = "g long, x int, y int, id long, c long, asked boolean"
+_EMPTY = pa.table({"g": pa.array([], pa.int64()), "x": pa.array([], pa.int32()), "y": pa.array([], pa.int32()), "id": pa.array([], pa.int64()), "c": pa.array([], pa.int64()), "asked": pa.array([], pa.bool_())})
+_SIDE = ["g", "id", "c", "n", "sig"]
+
+
+def _sketches(table: pa.Table) -> np.ndarray:
+    return table.column("sig").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+
+
+def _in_blocks(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides (g, ...) with x and y: each group's rows in blocks of about _BLOCK, each block once for every block of the
+    other side."""
+    blocks = lambda df, name: df.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias(name))
+    sizes = materialize(blocks(left, "xs").join(blocks(right, "ys"), "g"))
+    dealt = lambda df, own, other: df.join(sizes, "g").withColumns({own[0]: F.pmod(F.xxhash64("id"), F.col(own)).cast("int"), other[0]: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}).drop("xs", "ys")
+    return dealt(left, "xs", "ys"), dealt(right, "ys", "xs")
+
 
+def _bin(distance: Column) -> Column:
+    """Distances by powers of two."""
+    return F.floor(F.log2(F.greatest(distance, F.lit(0)) + 1)).cast("int")
 
-def _stray_links(strays: DataFrame, part: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int, near: Near) -> DataFrame:
+
+def _probes(strays: DataFrame, stars: DataFrame, near: Near) -> DataFrame:
+    """(leader, id, need): the leaders of a stray's main component that can have members near to it, and how far these must
+    be from the leader at least."""
+    schema = pa.schema([("leader", pa.int64()), ("id", pa.int64()), ("need", pa.int32())])
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        need = near.distances(_sketches(left), _sketches(right)).astype(np.int64) - near.slack(left.column("n").to_numpy())[:, None]
+        one, two = np.nonzero(need <= right.column("radius").to_numpy()[None, :])
+        return pa.table([right.column("id").take(pa.array(two)), left.column("id").take(pa.array(one)), pa.array(np.maximum(need[one, two], 0).astype(np.int32))], schema=schema)
+
+    left, right = _in_blocks(strays.withColumnRenamed("main", "g"), stars.withColumnsRenamed({"main": "g", "leader": "id"}))
+    return left.groupBy("g", "x", "y").cogroup(right.groupBy("g", "x", "y")).applyInArrow(run, "leader long, id long, need int")
+
+
+def _stray_links(strays: DataFrame, part: DataFrame, links: DataFrame, reps: DataFrame, docs: DataFrame, words: int, percent: int, near: Near) -> DataFrame:
     """Links of 2, as a forest (a, b) within each block: documents of one component, by links found there. Written."""
     mains = strays.select("main").distinct()
-    # A document without links is its own component.
-    members = part.select(F.col("component_id").alias("main"), "id").join(mains, "main", "left_semi").unionByName(mains.select("main", F.col("main").alias("id"))).distinct()
     sketches = reps.select("id", F.col("n").cast("long").alias("n"), "sig")
     strays = materialize(strays.join(sketches, "id").select("main", "id", "c", "n", "sig"))
-    whole = materialize(members.join(sketches, "id").select("main", "id", F.col("main").alias("c"), "n", "sig").unionByName(strays))
-    blocks = lambda df, name: df.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias(name))
-    sizes = materialize(blocks(strays, "xs").join(blocks(whole, "ys"), "main"))
-    dealt = lambda df, own, other: df.join(sizes, "main").select("main", F.pmod(F.xxhash64("id"), F.col(own)).cast("int").alias(own[0]), F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(other[0]), "id", "c", "n", "sig")
+    # A document without links is its own component, and one without leader its own leader.
+    members = part.select(F.col("component_id").alias("main"), "id").join(mains, "main", "left_semi").unionByName(mains.select("main", F.col("main").alias("id"))).distinct()
+    led = members.join(links.select(F.col("b").alias("id"), F.col("a").alias("leader")), "id", "left").withColumn("leader", F.coalesce("leader", "id"))
+    row = F.struct("id", "n", "sig")
+    placed = led.join(sketches.select("id", row.alias("a")), "id").join(sketches.select(F.col("id").alias("leader"), row.alias("b")), "leader")
+    members = materialize(placed.select("main", "leader", "id", F.col("a.n").alias("n"), F.col("a.sig").alias("sig"), near.far("a", "b").alias("far")))
+    stars = materialize(members.groupBy("main", "leader").agg(F.max("far").alias("radius")).join(sketches.withColumnRenamed("id", "leader"), "leader").select("main", "leader", "n", "sig", "radius"))
+    probes = _probes(strays, stars, near).join(stars.groupBy("leader").agg(F.max("radius").alias("radius")), "leader")
+    star = lambda k: F.xxhash64("leader", k)
+    probes = probes.select("leader", "id", F.explode(F.sequence(_bin(F.col("need")), _bin(F.col("radius")))).alias("bin")).select(star("bin").alias("g"), "id").distinct()
+    own = strays.select("id", "c", "n", "sig").dropDuplicates(["id"])
+    among = strays.select(F.xxhash64("main", F.lit(-1)).alias("g"), "id", "c", "n", "sig")
+    asked = materialize(probes.join(own, "id").select(*_SIDE).unionByName(among))
+    others = materialize(members.select(star(_bin(F.col("far"))).alias("g"), "id", F.col("main").alias("c"), "n", "sig").unionByName(among))
+    forget(strays, members, stars)
 
     def sketch(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         if left.num_rows and right.num_rows:
-            (i1, c1, n1, s1), (i2, c2, n2, s2) = ([*(t.column(k).to_numpy() for k in ("id", "c", "n")), t.column("sig").combine_chunks().flatten().to_numpy().reshape(t.num_rows, -1)] for t in (left, right))
-            met = near.blocks(n1, s1, n2, s2) & (c1[:, None] != c2[None, :])
-            for t, asked in ((left, True), (right, False)):
-                some = t.select(["main", "x", "y", "id", "c"]).filter(pa.array(met.any(axis=1 if asked else 0)))
-                out.append(some.append_column("asked", pa.array([asked] * some.num_rows, pa.bool_())))
+            (c1, n1), (c2, n2) = ([t.column(k).to_numpy() for k in ("c", "n")] for t in (left, right))
+            met = near.blocks(n1, _sketches(left), n2, _sketches(right)) & (c1[:, None] != c2[None, :])
+            for t, first in ((left, True), (right, False)):
+                some = t.select(["g", "x", "y", "id", "c"]).filter(pa.array(met.any(axis=1 if first else 0)))
+                out.append(some.append_column("asked", pa.array([first] * some.num_rows, pa.bool_())))
         return pa.concat_tables(out) if out else _EMPTY
 
-    found = materialize(dealt(strays, "xs", "ys").groupBy("main", "x", "y").cogroup(dealt(whole, "ys", "xs").groupBy("main", "x", "y")).applyInArrow(sketch, _FOUND))
-    forget(strays, whole, sizes)
+    left, right = _in_blocks(asked, others)
+    found = materialize(left.groupBy("g", "x", "y").cogroup(right.groupBy("g", "x", "y")).applyInArrow(sketch, _FOUND))
+    forget(asked, others)
     have = shingle_table(docs, reps, found.select("id").distinct(), words)
-    sets = found.join(have, F.col("id") == F.col("doc_id")).select("main", "x", "y", "id", "c", "asked", "shingles")
+    sets = found.join(have, F.col("id") == F.col("doc_id")).select("g", "x", "y", "id", "c", "asked", "shingles")
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         (i1, c1, s1), (i2, c2, s2) = ([*(t.column(k).to_numpy() for k in ("id", "c")), [np.frombuffer(x.as_py(), np.uint64) for x in t.column("shingles")]] for t in (left, right))
@@ -228,8 +281,8 @@ def _stray_links(strays: DataFrame, part: DataFrame, reps: DataFrame, docs: Data
             a, b = _forest(i1, i2, (100 * both >= percent * (n1[:, None] + n2[None, :] - both)) & (c1[:, None] != c2[None, :]))
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    other = sets.where("not asked").select(*[F.col(k).alias(f"{k}_2") for k in ("main", "x", "y")], *[F.expr(f"{k} {k}") for k in ("id", "c", "shingles")])
-    out = materialize(sets.where("asked").groupBy("main", "x", "y").cogroup(other.groupBy("main_2", "x_2", "y_2")).applyInArrow(compare, "a long, b long"))
+    other = sets.where("not asked").select(*[F.col(k).alias(f"{k}_2") for k in ("g", "x", "y")], *[F.expr(f"{k} {k}") for k in ("id", "c", "shingles")])
+    out = materialize(sets.where("asked").groupBy("g", "x", "y").cogroup(other.groupBy("g_2", "x_2", "y_2")).applyInArrow(compare, "a long, b long"))
     forget(found, have)
     return out
 
@@ -279,7 +332,7 @@ def link_buckets(index: DataFrame, reps: DataFrame, docs: DataFrame, words: int,
     forget(pairs)
     part = _trees(links)
     strays = materialize(_strays(index, part))
-    more = _stray_links(strays, part, reps, docs, words, percent, near)
+    more = _stray_links(strays, part, links, reps, docs, words, percent, near)
     forget(strays)
     tree = part.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
     out = connected_components(tree.unionByName(links).unionByName(more))

@@ -120,3 +120,12 @@ def _components(nodes, links):
         for v in both:
             comp[v] = both
     return {id(c): c for c in comp.values()}.values()
+
+
+def test_slack_bounds_every_pair_that_can_be_linked():
+    near = jaccard_join.NearSets(80)
+    n = np.arange(1, 400)
+    n1, n2 = n[:, None], n[None, :]
+    fits = 100 * np.minimum(n1, n2) >= 80 * np.maximum(n1, n2)
+    most = np.where(fits, n1 + n2 - 2 * -(-80 * (n1 + n2) // 180), -1).max(axis=1)
+    assert (near.slack(n) >= most).all()
