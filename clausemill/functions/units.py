@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import strip
 
-#: Clause references, most specific first; a text's reference is the first match of the first pattern that matches.
+#: Clause references, most specific first; a text's reference is the first match of the first pattern that matches.
 REFERENCES = [r"(?i)\b([A-Z]\d+[A-Z]\d+[a-z])\b", r"(?i)\b([A-Z]\d+[A-Z]\d+)\b", r"(?i)\b([A-Z]\d+\.\d+)\b", r"(?i)\b([A-Z]\d+)\b"]
 _SEPARATOR = r"^\s*[–—:.-]?\s*"
 
@@ -58,7 +58,7 @@ def unit_type(text: Column) -> Column:
     )
 
 
-#: U-14: the letter before the last number of a label.
+#: Fixed values, U-14: the letter before the last number of a label.
 LABEL_TYPES = {"G": "GOVERNING_REQUIREMENT", "O": "OBJECTIVE", "F": "FUNCTIONAL_STATEMENT", "P": "PERFORMANCE_REQUIREMENT", "D": "DTS_PROVISION", "V": "VERIFICATION_METHOD"}
 
 
@@ -75,6 +75,7 @@ def bare_ref(ref: Column) -> Column:
     return strip(F.regexp_replace(ref, r"(?i)^table\s+", ""))
 
 
+#: Where a reference has its section and its part.
 _SECTIONS = [r"^([A-Z])\d+[A-Z]\d+[a-zA-Z]?\z", r"^([A-Z])\d+\.\d+", r"^([A-Z])\d+\z"]
 _PARTS = [r"^([A-Z]\d+)[A-Z]\d+[a-zA-Z]?\z", r"^([A-Z]\d+)\.\d+", r"^([A-Z]\d+)\z"]
 

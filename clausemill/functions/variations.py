@@ -11,7 +11,7 @@ from clausemill.operators.scans import CHUNK, running
 from .text import strip
 from .units import first_of
 
-#: V-1: state, label and what must follow.
+#: Fixed values. V-1: state, label and what must follow; states, instructions, markers, references and labels.
 VARIATION = r"(?i)^(SA|NSW|VIC|QLD|WA|TAS|ACT|NT)\s+([A-Z]{1,2}\d+\s*[A-Z]?\d*(?:\(\d+\))?)(?=\b|to\b|\s|\z)"
 STATES = ["SA", "NSW", "VIC", "QLD", "WA", "TAS", "ACT", "NT"]
 INSTRUCTION = r"(?i)(Insert|Omit|Substitute|Replace)\s+(subclause|clause)"
@@ -192,7 +192,7 @@ def defined_term(text: Column) -> Column:
     return strip(F.regexp_extract(text, r"^([A-Z][^—\n]{0,80}?)\s*(?:—|\bmeans\b)", 1))
 
 
-#: V-30: headings that set the type of what follows.
+#: Fixed values, V-30: headings that set the type of what follows.
 CONTEXTS = {"Objectives": "OBJECTIVE", "Functional Statements": "FUNCTIONAL_STATEMENT", "Performance Requirements": "PERFORMANCE_REQUIREMENT", "Verification Methods": "VERIFICATION_METHOD", "Deemed-to-Satisfy": "DTS_PROVISION"}
 
 

@@ -9,7 +9,7 @@ from clausemill.functions.text import strip
 
 from .scans import CHUNK, running
 
-#: Numeric 2.6.3, lettered E2.2a, or appendix A.1 numbers, with an optional (a) or (iv), then separators and text.
+#: Headings, units and first words of notes. Numeric 2.6.3, lettered E2.2a, or appendix A.1 numbers, with an optional (a) or (iv), then separators and text.
 HEADING = r"^\s*((?:\d+(?:\.\d+){1,4})|(?:[A-Z]{1,2}\d+(?:\.\d+)*[a-z]?)|(?:[A-Z]\.\d+(?:\.\d+){0,3}))(\([a-zivx]+\))?\s*[ .\-–:]*\s*(.*)$"
 _UNITS = "kW|W|A|V|Hz|mm|kg|m|cm|km|MHz|GHz"
 #: What a note's first words say it is.
