@@ -30,6 +30,8 @@ CELLS = 1 << 2 * TILE_BITS
 #: Pairs from which on a tile is counted densely.
 DENSE = CELLS // 16
 _TOTALS = -1
+#: Shares in which a language's candidates are ranked first.
+_SHARES = 64
 #: Bytes that end a piece, and those that only end a word.
 PIECE_ENDS, BLANKS = b".,;:!?\n\x0b\x0c\r", b" \t"
 _KIND = np.zeros(256, dtype=np.uint8)
@@ -376,6 +378,10 @@ def mine_phrases(docs: DataFrame, min_count: int = 30, max_words: int = 4, top:
             most = longer.select(F.col("left").alias("id"), "f").unionByName(longer.select(F.col("right").alias("id"), "f")).groupBy("id").agg(F.max("f").alias("most"))
             rows = rows.join(most, "id", "left").where(F.col("most").isNull() | (100 * big("most") < covered_percent * big("a"))).drop("most")
         kept = rows if kept is None else kept.unionByName(rows)
-    order = Window.partitionBy("key").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
-    best = kept.select(F.col("lang").alias("key"), "phrase", "a", "cut.l", "cut.r", "cut.score").withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    ranks = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
+    rows = kept.select(F.col("lang").alias("key"), "phrase", "a", "cut.l", "cut.r", "cut.score")
+    # The first of each share of a language are ranked against each other: no task sorts a whole language.
+    some = rows.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(_SHARES))).withColumn("rank", ranks("key", "share")).where(F.col("rank") <= top)
+    best = some.drop("share").withColumn("rank", ranks("key")).where(F.col("rank") <= top)
     return best.join(n.withColumnRenamed("lang", "key"), "key").join(names, "key").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
