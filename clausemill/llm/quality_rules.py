@@ -117,6 +117,8 @@ def quality_rules(docs: DataFrame, host: str = "source", max_docs: int = 10, min
     judged = lambda words: base.join(words.hint("merge"), ["doc_id", "text_hash"], "left").withColumn("n_boilerplate", F.coalesce("n_boilerplate", F.lit(0).cast("long"))).withColumn("kept", ~F.col("base_failed") & (100 * (F.col("n_words") - F.col("n_boilerplate")) >= min_left_percent * F.col("n_words")))
     suspects = judged(_words_of(lines)).where("not base_failed and not kept").select("doc_id").distinct()
     copies = materialize(pick(docs, "doc_id", "text").join(suspects.hint("merge"), "doc_id", "left_semi"))
+    if copies.isEmpty():
+        return judged(_words_of(lines)).select("doc_id", *_COUNTS, "n_boilerplate", "base_failed", "kept")
     groups = near_duplicates(copies, words=5, percent=80).groupBy("doc_id").agg(F.min("component_id").alias("group"))
     counted = lines.join(groups.hint("merge"), "doc_id", "left").groupBy("k1", "k2").agg(F.count_distinct(F.coalesce("group", "doc_id")).alias("n"))
     bad = materialize(counted.where(F.col("n") > max_docs).select("k1", "k2"))

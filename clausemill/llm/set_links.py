@@ -20,6 +20,7 @@ already.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import Protocol
 
 import numpy as np
@@ -208,7 +209,7 @@ def _in_blocks(left: DataFrame, right: DataFrame) -> tuple[DataFrame, DataFrame]
     """Both sides (g, ...) with x and y: each group's rows in blocks of about _BLOCK, each block once for every block of the
     other side."""
     blocks = lambda df, name: df.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / _BLOCK).cast("int").alias(name))
-    sizes = materialize(blocks(left, "xs").join(blocks(right, "ys"), "g"))
+    sizes = blocks(left, "xs").join(blocks(right, "ys"), "g")
     dealt = lambda df, own, other: df.join(sizes, "g").withColumns({own[0]: F.pmod(F.xxhash64("id"), F.col(own)).cast("int"), other[0]: F.explode(F.sequence(F.lit(0), F.col(other) - 1))}).drop("xs", "ys")
     return dealt(left, "xs", "ys"), dealt(right, "ys", "xs")
 
@@ -245,15 +246,15 @@ def _stray_links(strays: DataFrame, part: DataFrame, links: DataFrame, reps: Dat
     row = F.struct("id", "n", "sig")
     placed = led.join(sketches.select("id", row.alias("a")), "id").join(sketches.select(F.col("id").alias("leader"), row.alias("b")), "leader")
     members = materialize(placed.select("main", "leader", "id", F.col("a.n").alias("n"), F.col("a.sig").alias("sig"), near.far("a", "b").alias("far")))
-    stars = materialize(members.groupBy("main", "leader").agg(F.max("far").alias("radius")).join(sketches.withColumnRenamed("id", "leader"), "leader").select("main", "leader", "n", "sig", "radius"))
-    probes = _probes(strays, stars, near).join(stars.groupBy("leader").agg(F.max("radius").alias("radius")), "leader")
+    stars = members.groupBy("main", "leader").agg(F.max("far").alias("radius")).join(sketches.withColumnRenamed("id", "leader"), "leader").select("main", "leader", "n", "sig", "radius")
+    probes = _probes(strays, stars, near).join(members.groupBy("leader").agg(F.max("far").alias("radius")), "leader")
     star = lambda k: F.xxhash64("leader", k)
     probes = probes.select("leader", "id", F.explode(F.sequence(_bin(F.col("need")), _bin(F.col("radius")))).alias("bin")).select(star("bin").alias("g"), "id").distinct()
     own = strays.select("id", "c", "n", "sig").dropDuplicates(["id"])
     among = strays.select(F.xxhash64("main", F.lit(-1)).alias("g"), "id", "c", "n", "sig")
     asked = materialize(probes.join(own, "id").select(*_SIDE).unionByName(among))
     others = materialize(members.select(star(_bin(F.col("far"))).alias("g"), "id", F.col("main").alias("c"), "n", "sig").unionByName(among))
-    forget(strays, members, stars)
+    forget(strays, members)
 
     def sketch(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
@@ -332,11 +333,11 @@ def link_buckets(index: DataFrame, reps: DataFrame, docs: DataFrame, words: int,
     forget(pairs)
     part = _trees(links)
     strays = materialize(_strays(index, part))
-    more = _stray_links(strays, part, links, reps, docs, words, percent, near)
-    forget(strays)
-    tree = part.select(F.col("id").alias("a"), F.col("component_id").alias("b"))
-    out = connected_components(tree.unionByName(links).unionByName(more))
-    forget(part, links, more)
+    edges = [part.select(F.col("id").alias("a"), F.col("component_id").alias("b")), links]
+    if not strays.isEmpty():
+        edges.append(_stray_links(strays, part, links, reps, docs, words, percent, near))
+    out = connected_components(reduce(DataFrame.unionByName, edges))
+    forget(strays, part, *edges[1:])
     return out
 
 
