@@ -255,3 +255,13 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = C.clauses(docs.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("para_idx", "text")))
     got = spark.read.parquet(str(tmp_path / "out")).select("doc_id", "para_idx", "text")
     assert got.exceptAll(batch.select("doc_id", "para_idx", "text")).count() == 0 and got.count() == batch.count()
+
+
+def test_few_patterns_run(spark):
+    """Of 3,000 pairs of text and pattern, those that are matched by regular expression."""
+    texts = spark.range(300).selectExpr("'T' topic_id", "'V' volume", "id ord", "concat('text ', id, case when id % 10 = 0 then ' AS 1428' else '' end, case when id % 30 = 0 then ' must comply' else '' end) text")
+    patterns = ["AS [0-9]{4}", "must comply", "shall", "accessible (path|route)", "[0-9]+ *mm", "H4\\.", "minimum.*height", "where access", "Class\\s*(1b|2)", "AS 1428"]
+    aspects = spark.createDataFrame([("T", p, p) for p in patterns], "topic_id string, aspect string, pattern string")
+    pairs = R.aspect_candidates(texts, aspects)
+    assert pairs.where("not is_sure").count() == 2 * 30 and pairs.where("is_sure").count() == 10
+    assert R.aspects_found(texts, aspects).count() == 2 * 30 + 10
