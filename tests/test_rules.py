@@ -265,3 +265,12 @@ def test_few_patterns_run(spark):
     pairs = R.aspect_candidates(texts, aspects)
     assert pairs.where("not is_sure").count() == 2 * 30 and pairs.where("is_sure").count() == 10
     assert R.aspects_found(texts, aspects).count() == 2 * 30 + 10
+
+
+def test_topics_without_parts_or_types_take_all(spark):
+    units = spark.createDataFrame([("V1", "A", "A1", "X", 1), ("V1", "A", "A2", "Y", 2), ("V1", "B", "A1", "X", 3), ("V2", "A", "A1", "X", 4)], "volume string, section_code string, part_code string, unit_type string, ord long").withColumn("unit_label", F.lit("L"))
+    topic = spark.createDataFrame([(t, "V1", "A") for t in ("all", "part", "type", "both")], "topic_id string, volume string, section_code string")
+    parts = spark.createDataFrame([("part", "A1"), ("part", "A1"), ("both", "A1"), ("both", "A2")], "topic_id string, part_code string")
+    types = spark.createDataFrame([("type", "Y"), ("both", "Y"), ("both", "Z")], "topic_id string, unit_type string")
+    got = sorted((r.topic_id, r.ord) for r in R.route_units(units, topic, parts, types).collect())
+    assert got == [("all", 1), ("all", 2), ("both", 2), ("part", 1), ("type", 2)]
