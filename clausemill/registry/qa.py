@@ -16,6 +16,7 @@ from clausemill.operators import qa as Q
 from clausemill.operators import routing as R
 from clausemill.operators import vectors as E
 from clausemill.sources import fixtures as X
+from clausemill.sources.files import exists
 
 from .sql import bare_ref, collapse, discipline_map, last_part, part, section
 from .units import DERIVED_SQL, derived
@@ -71,7 +72,7 @@ _INDEXES: dict[tuple[str, str], I.PostingsIndex] = {}
 def _index(s, d) -> I.PostingsIndex:
     """The index of the units, with classes, built by the first search over them."""
     key = s.sparkContext.applicationId, d
-    if key not in _INDEXES:
+    if key not in _INDEXES or not exists(s, _INDEXES[key].path):
         _INDEXES[key] = I.build_postings(derived(s, d).withColumn("applies_to_class", F.expr("concat('Class ', cast(1 + ord % 10 as string))")))
     return _INDEXES[key]
 

@@ -29,6 +29,11 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{(base or tempfile.mkdtemp(prefix='spark-')).rstrip('/')}/files-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def written(df: DataFrame) -> DataFrame:
     """``df`` written to the scratch folder and read back, for a table that several branches of a plan read: it is made once,
     its lineage ends here, and its size is known."""

@@ -250,10 +250,10 @@ _MAPS: dict[tuple[str, str], str] = {}
 def dims(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The tables of the coverage map, by name, read from its JSON, which the first call of a session writes; and phrase, a
     short table of its own."""
-    from clausemill.sources.files import read_coverage_map, scratch_path
+    from clausemill.sources.files import exists, read_coverage_map, scratch_path
 
     key = spark.sparkContext.applicationId, sf_dir
-    if key not in _MAPS:
+    if key not in _MAPS or not exists(spark, _MAPS[key]):
         path = scratch_path(spark)
         write_coverage_map(spark, sf_dir, path)
         _MAPS[key] = path
