@@ -141,6 +141,13 @@ def _page_units(s, d):
     return P.publish(rows, L.discipline_map(dims["topic"], dims["topic_part"]), "pages")
 
 
+def _nested_units(s, d):
+    """Pages end to end with blocks inside blocks: every block outside tables is content, ancestors included."""
+    pages = X.nested_pages(s, d)
+    content = B.page_blocks(B.html_blocks(pages)).select("doc_id", F.col("start").alias("idx"), "tag", "text")
+    return P.publish(P.work_rows(content, T.html_cells(pages), _volume()), None, "pages")
+
+
 def _elements(s, d):
     """Elements from paragraphs: a table after every seventh, a heading after every ninth."""
     p = X.clause_paragraphs(s, d)
@@ -194,6 +201,7 @@ QUERIES = {
     "t04_lte_blocks": lambda s, d: T.lte_blocks(X.cells(s, d), _cell_captions(s, d)),
     "t05_shapes": lambda s, d: T.shapes(X.cells(s, d)),
     "u01_nested_blocks": lambda s, d: B.html_blocks(X.nested_pages(s, d)),
+    "u01_nested_units": _nested_units,
     "t06_nested_blocks": lambda s, d: B.page_blocks(B.html_blocks(X.nested_pages(s, d))),
     "t06_blocks": lambda s, d: T.blocks_of(T.html_elements(X.page_html(s, d))),
     "t07_captions": lambda s, d: T.captions(_elements(s, d)),
@@ -296,10 +304,12 @@ _PAGE_ELEMENTS = f"""(select doc_id, cast(row_number() over (partition by doc_id
     where tag not in ('', 'ul', 'ol') and (tag <> 'table' or regexp_matches(t, '(?is)</table>$')))"""
 
 
-def _of_pages(sql: str) -> str:
+def _of_pages(sql: str, nested: bool = False) -> str:
     """The same SQL over the content and cells of pages."""
-    content = f"(select doc_id, dom_idx idx, tag, {strip('text')} text, {clause_ref(strip('text'))} ref from {_PAGE_ELEMENTS} where tag <> 'table' and {strip('text')} <> '')"
-    return sql.replace(_CELLS, f"({ORACLES['t01_html_cells']})").replace(_CONTENT, content)
+    rows = f"(select doc_id, start idx, tag, text from ({_BLOCKS} select * from blocks) where tag <> 'table' and not in_table)" if nested else f"(select doc_id, dom_idx idx, tag, text from {_PAGE_ELEMENTS} where tag <> 'table')"
+    content = f"(select doc_id, idx, tag, {strip('text')} text, {clause_ref(strip('text'))} ref from {rows} where {strip('text')} <> '')"
+    cells = ORACLES["t01_html_cells"]
+    return sql.replace(_CELLS, f"({cells.replace(X.PAGES_SQL, X.NESTED_PAGES_SQL) if nested else cells})").replace(_CONTENT, content)
 
 
 _TAG = r"(?i)</?(?:p|h[1-6]|div|li|blockquote|table|ul|ol)\b[^>]*>"
@@ -407,3 +417,4 @@ ORACLES = {
     "t13_row_units": f"select doc_id, table_idx, row_idx, 'TABLE_ROW' unit_type, '| ' || string_agg(text, ' | ' order by col_idx) || ' |' text from {_CELLS} group by 1, 2, 3",
 }
 ORACLES["u01_page_units"] = _of_pages(_published_sql("pages", with_discipline=True))
+ORACLES["u01_nested_units"] = _of_pages(_published_sql("pages"), nested=True)
