@@ -12,6 +12,7 @@ from __future__ import annotations
 import zlib
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ _WORD = r"\w+"
 _POSTINGS = """block long, volume string, ord long, unit_label string, unit_type string, applies_state string, section_code string,
   applies_to_class string, weight int, term string, tf int, bucket int"""
 _SUMMARIES = "term string, block long, tf int, weight int, first struct<volume: string, ord: long>, bucket int"
+_FOUND = pa.schema([("volume", pa.string()), ("ord", pa.int64()), ("unit_label", pa.string()), ("rank", pa.int32()), ("weight", pa.int32())])
 _UNIT = ["volume", "ord", "unit_label", "unit_type", "applies_state", "section_code", "applies_to_class", "weight"]
 
 
@@ -82,7 +84,9 @@ def search(spark: SparkSession, index: PostingsIndex, terms: list[str], state: s
     (volume, ord, unit_label, rank, weight). The rank, ours, is how often the terms occur; then weight, volume and ord.
     Terms are single words; a term in no text adds nothing, and without terms nothing is found."""
     found, _ = search_blocks(spark, index, terms, state, types, k, section, building_class)
-    return spark.createDataFrame(found, "volume string, ord long, unit_label string, rank int, weight int")
+    # k rows: as Arrow data they are a local relation, without a job of their own.
+    columns = list(zip(*found)) or [()] * len(_FOUND)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, _FOUND)], schema=_FOUND))
 
 
 def search_blocks(spark: SparkSession, index: PostingsIndex, terms: list[str], state: str, types: list[str], k: int, section: str | None, building_class: str | None) -> tuple[list[tuple], int]:
