@@ -274,3 +274,7 @@ def test_topics_without_parts_or_types_take_all(spark):
     types = spark.createDataFrame([("type", "Y"), ("both", "Y"), ("both", "Z")], "topic_id string, unit_type string")
     got = sorted((r.topic_id, r.ord) for r in R.route_units(units, topic, parts, types).collect())
     assert got == [("all", 1), ("all", 2), ("both", 2), ("part", 1), ("type", 2)]
+
+
+def test_a_range_beyond_int_is_zero(spark):
+    assert tuple(spark.createDataFrame([("para_2147483648_to_7",)], "t string").select(*U.paragraph_range(F.col("t"))).first()) == (0, 7)
