@@ -278,3 +278,12 @@ def test_topics_without_parts_or_types_take_all(spark):
 
 def test_a_range_beyond_int_is_zero(spark):
     assert tuple(spark.createDataFrame([("para_2147483648_to_7",)], "t string").select(*U.paragraph_range(F.col("t"))).first()) == (0, 7)
+
+
+def test_units_are_counted_before_topics_meet_them(spark):
+    units = spark.createDataFrame([("A", f"Vol{1 + i % 3}", "OBJECTIVE") for i in range(90)] + [("B", "Vol1", "DTS_PROVISION")], "section_code string, volume string, unit_type string")
+    topic = spark.createDataFrame([(f"T{i}", "AB"[i % 2]) for i in range(40)], "topic_id string, section_code string")
+    rules = topic.select("topic_id", F.array(F.lit("Vol2")).alias("disallow_volumes"), F.array(F.lit("OBJECTIVE")).alias("disallow_if_only"), F.lit("SAY").alias("must_say"))
+    got = R.section_rules(units, topic, rules)
+    assert sorted(map(tuple, got.collect())) == sorted((f"T{i}", 0, False, "") if i % 2 else (f"T{i}", 30, True, "SAY") for i in range(40))
+    assert sorted(map(tuple, R.evidence_rules(units.join(topic, "section_code"), rules).collect())) == sorted(map(tuple, got.collect()))
