@@ -287,3 +287,26 @@ def test_units_are_counted_before_topics_meet_them(spark):
     got = R.section_rules(units, topic, rules)
     assert sorted(map(tuple, got.collect())) == sorted((f"T{i}", 0, False, "") if i % 2 else (f"T{i}", 30, True, "SAY") for i in range(40))
     assert sorted(map(tuple, R.evidence_rules(units.join(topic, "section_code"), rules).collect())) == sorted(map(tuple, got.collect()))
+
+
+def _topics(spark, n):
+    topic = spark.createDataFrame([(f"T{i}", "Vol1", "A") for i in range(n)], "topic_id string, volume string, section_code string")
+    # The first has neither codes nor types, the second no codes.
+    parts = spark.createDataFrame([(f"T{i}", "A1") for i in range(2, n)], "topic_id string, part_code string")
+    types = spark.createDataFrame([(f"T{i}", k) for i in range(1, n) for k in ("OBJECTIVE", "DTS_PROVISION")], "topic_id string, unit_type string")
+    aspect = spark.createDataFrame([(f"T{i}", a, p, True) for i in range(n) for a, p in (("standard", "AS [0-9]+"), ("modality", "must"), ("other", "never"))], "topic_id string, aspect string, pattern string, must_match boolean")
+    return topic, parts, types, aspect
+
+
+def test_patterns_meet_units_once_for_all_topics(spark):
+    units = spark.createDataFrame([("Vol1", i, f"U{i}", "A", f"A{1 + i % 2}", ["OBJECTIVE", "DTS_PROVISION", "ODD"][i % 3], "must comply with AS 1" if i % 4 else "nothing") for i in range(48)], "volume string, ord long, unit_label string, section_code string, part_code string, unit_type string, text string")
+    sizes = []
+    for n in (3, 30):
+        topic, parts, types, aspect = _topics(spark, n)
+        routed = R.route_units(units, topic, parts, types)
+        evidence = routed.join(units.select("volume", "ord", "text"), ["volume", "ord"])
+        assert routed.where("topic_id = 'T0'").count() == 48 and routed.where("topic_id = 'T1'").count() == 32 and routed.where("topic_id = 'T2'").count() == 16
+        assert sorted(map(tuple, R.routed_aspects(units, topic, parts, types, aspect).collect())) == sorted(map(tuple, R.aspects_found(evidence, aspect).collect()))
+        assert sorted(map(tuple, R.routed_guardrails(units, topic, parts, types, aspect).collect())) == sorted(map(tuple, R.guardrails(evidence, aspect).collect()))
+        sizes.append(R._found_by_key(units, R.topic_keys(topic, parts, types), aspect)[0].count())
+    assert sizes[0] == sizes[1]
