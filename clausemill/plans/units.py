@@ -70,7 +70,9 @@ def paragraph_units(content: DataFrame, volume: Column, cells: DataFrame | None
         body = F.concat(F.lit("\n\n[TABLE]\n"), "rendered", F.lit("\n[/TABLE]"))
         items = items.unionByName(tables.select("doc_id", "seg", F.lit(1).alias("kind"), F.col("table_idx").cast("long").alias("at"), body.alias("text"), F.lit("table").alias("tag"), F.lit("").alias("ref")))
     behind = Window.partitionBy("doc_id", "seg").orderBy("kind", "at").rowsBetween(Window.unboundedPreceding, -1)
-    items = items.withColumn("begins", F.coalesce(F.sum(F.length("text") + 2).over(behind), F.lit(0))).where(F.col("begins") <= CELL_LIMIT)
+    items = items.withColumn("begins", F.coalesce(F.sum(F.length("text") + 2).over(behind), F.lit(0)))
+    # What begins two characters behind the limit follows a text that just fits, and makes it one that does not.
+    items = items.where(F.col("begins") <= CELL_LIMIT + 2)
     grouped = items.groupBy("doc_id", "seg").agg(F.array_sort(F.collect_list(F.struct("kind", "at", "text", "tag", "ref"))).alias("p"), F.min(F.when(F.col("kind") == 0, F.col("at"))).alias("first"))
     head = F.element_at("p", 1)
     after = F.lead("first").over(Window.partitionBy("doc_id").orderBy("seg"))

@@ -310,3 +310,11 @@ def test_patterns_meet_units_once_for_all_topics(spark):
         assert sorted(map(tuple, R.routed_guardrails(units, topic, parts, types, aspect).collect())) == sorted(map(tuple, R.guardrails(evidence, aspect).collect()))
         sizes.append(R._found_by_key(units, R.topic_keys(topic, parts, types), aspect)[0].count())
     assert sizes[0] == sizes[1]
+
+
+def test_a_text_that_just_fits_is_cut_if_more_follows(spark):
+    at_limit = [(1, 0, "p", "a" * 32_000), (1, 1, "p", "b" * 765)]
+    for more in ([], [(1, 2, "p", "c")]):
+        content = spark.createDataFrame(at_limit + more, "doc_id long, idx int, tag string, text string")
+        text = P.paragraph_units(content, F.lit("Vol1")).first().text
+        assert len(text) == 32_767 and text.endswith("..." if more else "bbb")
