@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from clausemill.functions.text import raw_text
 
 #: What is not part of the page's text.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-TOKEN = r"(?i)</?(?:p|h[1-6]|div|li|blockquote|table|ul|ol)\b[^>]*>"
+HIDDEN = r"(?is)<!--.*?-->|<script(?!\w).*?</script\s*>|<style(?!\w).*?</style\s*>"
+TOKEN = r"(?i)</?(?:p|h[1-6]|div|li|blockquote|table|ul|ol)(?!\w)[^>]*>"
 
 
 def tag_tokens(pages: DataFrame) -> DataFrame:

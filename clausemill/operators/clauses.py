@@ -13,7 +13,7 @@ from .scans import CHUNK, running
 HEADING = r"^\s*((?:\d+(?:\.\d+){1,4})|(?:[A-Z]{1,2}\d+(?:\.\d+)*[a-z]?)|(?:[A-Z]\.\d+(?:\.\d+){0,3}))(\([a-zivx]+\))?\s*[ .\-–:]*\s*(.*)$"
 _UNITS = "kW|W|A|V|Hz|mm|kg|m|cm|km|MHz|GHz"
 #: What a note's first words say it is.
-NOTE_TYPES = [("note", r"(?i)^(NOTE|NOTES)\b"), ("exception", r"(?i)^(EXCEPTION|EXCEPT)\b"), ("warning", r"(?i)^(WARNING|CAUTION)\b"), ("jurisdiction", r"(?i)^(New Zealand only|NZ only)\b")]
+NOTE_TYPES = [("note", r"(?i)^(NOTE|NOTES)(?!\w)"), ("exception", r"(?i)^(EXCEPTION|EXCEPT)(?!\w)"), ("warning", r"(?i)^(WARNING|CAUTION)(?!\w)"), ("jurisdiction", r"(?i)^(New Zealand only|NZ only)(?!\w)")]
 SUBCLAUSE = r"^\s*\(([a-z]|[ivx]+)\)\s+"
 
 
@@ -24,7 +24,7 @@ def is_excluded(text: Column) -> Column:
         t.rlike(r"(?i)^(table|tab\.|tab\s)")
         | t.rlike(r"(?i)^(figure|fig\.|fig\s)")
         | t.rlike(r"(?i)^\s*page\s+\d+")
-        | F.substring(t, 1, 20).rlike(rf"(?i)^\d+\.?\d*\s*({_UNITS})\b")
+        | F.substring(t, 1, 20).rlike(rf"(?i)^\d+\.?\d*\s*({_UNITS})(?!\w)")
         | t.rlike(rf"(?i)^\d+\.?\d*\s*({_UNITS})\s*$")
         | (F.length(t) < 3)
     )

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from clausemill.functions.text import collapse, raw_text, strip
 from clausemill.functions.units import clause_ref
 
-CAPTION = r"(?i)^(Table|Tab\.?)\s*(\d+(?:\.\d+)?)\b(.*)$"
-NOTE = r"(?i)^(NOTE|NOTES|Footnote|Footnotes)\b"
+CAPTION = r"(?i)^(Table|Tab\.?)\s*(\d+(?:\.\d+)?)(?!\w)(.*)$"
+NOTE = r"(?i)^(NOTE|NOTES|Footnote|Footnotes)(?!\w)"
 _KEYS = ["doc_id", "table_idx"]
 #: Elements of a page in document order: blocks, and tables as a whole. (?is) at the start.
-_ELEMENT = r"(?is)<table[^>]*>.*?</table>|<(?:p|h[1-6]|li|div|blockquote)\b[^>]*>[^<]*(?:<(?!/?(?:p|h[1-6]|li|div|blockquote|table|ul|ol)\b)[^>]*>[^<]*)*"
+_ELEMENT = r"(?is)<table[^>]*>.*?</table>|<(?:p|h[1-6]|li|div|blockquote)(?!\w)[^>]*>[^<]*(?:<(?!/?(?:p|h[1-6]|li|div|blockquote|table|ul|ol)(?!\w))[^>]*>[^<]*)*"
 
 
 def html_cells(pages: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def html_cells(pages: DataFrame) -> DataFrame:
     tables = pages.select("doc_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"(?is)<table[^>]*>(.*?)</table>"), F.lit(1))).alias("table_idx", "t"))
     rows = tables.select(*_KEYS, F.posexplode(F.regexp_extract_all("t", F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))).alias("row_idx", "r"))
     cells = rows.select(*_KEYS, "row_idx", F.posexplode(F.regexp_extract_all("r", F.lit(r"(?is)<t[dh][^>]*>.*?</t[dh]>"), F.lit(0))).alias("col_idx", "c"))
-    span = lambda k: F.coalesce(F.nullif(F.regexp_extract("c", rf"""(?i)^<t[dh][^>]*\b{k}=["']?(\d+)""", 1), F.lit("")).cast("int"), F.lit(1))
+    span = lambda k: F.coalesce(F.nullif(F.regexp_extract("c", rf"""(?i)^<t[dh][^>]*(?<!\w){k}=["']?(\d+)""", 1), F.lit("")).cast("int"), F.lit(1))
     return cells.select(*_KEYS, "row_idx", "col_idx", raw_text(F.col("c")).alias("text"), F.lower(F.regexp_extract("c", r"(?i)^<(t[dh])", 1)).alias("tag"), span("colspan").alias("colspan"), span("rowspan").alias("rowspan"))
 
 
@@ -78,7 +78,7 @@ def first_refs(cells: DataFrame) -> DataFrame:
     """(ref, ref_row, ref_text) of the first cell, row by row, that holds a clause reference."""
     ref = clause_ref(F.col("text"))
     found = cells.withColumn("ref", ref).where("ref <> ''")
-    pattern = r"(?i)\b([A-Z]\d+[A-Z]\d+[a-z]|[A-Z]\d+[A-Z]\d+|[A-Z]\d+\.\d+|[A-Z]\d+)\b"
+    pattern = r"(?i)(?<!\w)([A-Z]\d+[A-Z]\d+[a-z]|[A-Z]\d+[A-Z]\d+|[A-Z]\d+\.\d+|[A-Z]\d+)(?!\w)"
     first = F.min_by(F.struct("ref", "row_idx", F.regexp_extract("text", pattern, 1).alias("t")), F.struct("row_idx", "col_idx"))
     return found.groupBy(*_KEYS).agg(first.alias("f")).select(*_KEYS, F.col("f.ref").alias("ref"), F.col("f.row_idx").alias("ref_row"), F.col("f.t").alias("ref_text"))
 

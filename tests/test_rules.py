@@ -312,6 +312,12 @@ def test_patterns_meet_units_once_for_all_topics(spark):
     assert sizes[0] == sizes[1]
 
 
+def test_words_are_ascii(spark):
+    assert one(spark, "lang 5 m\u00e9 und", V.constant_value) == "5 m"
+    assert one(spark, "\u00e9H4D5 und", U.clause_ref) == "H4D5"
+    assert one(spark, "\u00e9shall not", V.requirement_sentences) == "\u00e9shall not"
+
+
 def test_a_text_that_just_fits_is_cut_if_more_follows(spark):
     at_limit = [(1, 0, "p", "a" * 32_000), (1, 1, "p", "b" * 765)]
     for more in ([], [(1, 2, "p", "c")]):
