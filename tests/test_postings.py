@@ -60,3 +60,14 @@ def test_it_stops_early_and_fast(spark):
 def test_no_units(spark):
     index = I.build_postings(spark.createDataFrame([("V1", 1, "L", "OBJECTIVE", "", "A", "", None)], DDL))
     assert I.search(spark, index, ["fire"], "", ["OBJECTIVE"]).collect() == []
+
+
+def test_postings_stay_where_their_units_are(spark, index):
+    """All postings of a block are in one file, sorted by term; none are moved to another task."""
+    from pyspark.sql import functions as F
+
+    where = index.postings(spark).select("block", F.input_file_name().alias("file")).distinct()
+    assert where.groupBy("block").count().where("count > 1").isEmpty()
+    files = [r[0] for r in where.select("file").distinct().collect()]
+    terms = [[r[0] for r in spark.read.parquet(f).select("term").collect()] for f in files]
+    assert len(files) > 1 and all(t == sorted(t) for t in terms)
