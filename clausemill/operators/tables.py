@@ -53,19 +53,50 @@ def _row_lines(cells: DataFrame, text: Column) -> DataFrame:
 def pipe_tables(cells: DataFrame) -> DataFrame:
     """T-2: (doc_id, table_idx, rendered): one line per row, pipes escaped, a separator after the first of several. The
     table's reference is taken off the front of the cell that holds it."""
-    refs = first_refs(cells)
-    own = cells.join(refs, _KEYS, "left")
-    text = strip(F.col("text"))
-    holds = (F.col("row_idx") == F.col("ref_row")) & F.startswith(text, F.col("ref_text"))
-    bare = F.when(holds, strip(F.regexp_replace(F.substring(text, F.length("ref_text") + 1, F.length(text)), r"^\s*[–—:.-]?\s*", ""))).otherwise(text)
-    lines = _row_lines(own.withColumn("t", F.replace(bare, F.lit("|"), F.lit("\\|"))), F.col("t"))
-    grouped = lines.groupBy(*_KEYS).agg(F.array_sort(F.collect_list(F.struct("row_idx", "line"))).alias("r"))
-    all_lines = F.transform("r", lambda x: x["line"])
-    columns = F.length(F.element_at(all_lines, 1)) - F.length(F.replace(F.element_at(all_lines, 1), F.lit("|"), F.lit(""))) - 1
-    rule = F.concat(F.lit("|"), F.repeat(F.lit(" --- |"), columns))
-    rest = F.slice(all_lines, F.lit(2), F.greatest(F.size(all_lines) - 1, F.lit(0)))
-    whole = F.when(F.size("r") > 1, F.concat(F.array(F.element_at(all_lines, 1), rule), rest)).otherwise(all_lines)
-    return grouped.select(*_KEYS, F.array_join(whole, "\n").alias("rendered"))
+    return table_texts(cells).select(*_KEYS, "rendered")
+
+
+def early_refs(cells: DataFrame) -> DataFrame:
+    """(doc_id, table_idx, early): the references in the first nine cells of each table."""
+    return cells.withColumn("ref", clause_ref(F.col("text"))).groupBy(*_KEYS).agg(_early().alias("early"))
+
+
+def _early() -> Column:
+    return F.collect_set(F.when((F.col("ref") != "") & (F.col("row_idx") < 3) & (F.col("col_idx") < 3), F.col("ref")))
+
+
+def table_texts(cells: DataFrame) -> DataFrame:
+    """(doc_id, table_idx, rendered, ref, early): a table's text as in ``pipe_tables``, the reference of its first cell, row by
+    row, that has one, and those of its first nine cells. A table's cells meet once, for all of these."""
+    pattern = r"(?i)(?<!\w)([A-Z]\d+[A-Z]\d+[a-z]|[A-Z]\d+[A-Z]\d+|[A-Z]\d+\.\d+|[A-Z]\d+)(?!\w)"
+    has = F.col("ref") != ""
+    first = F.min_by(F.when(has, F.struct("ref", "row_idx", F.regexp_extract("text", pattern, 1).alias("t"))), F.when(has, F.struct("row_idx", "col_idx")))
+    cell = F.struct("row_idx", "col_idx", F.replace(strip(F.col("text")), F.lit("|"), F.lit("\\|")).alias("t"))
+    grouped = cells.withColumn("ref", clause_ref(F.col("text"))).groupBy(*_KEYS).agg(first.alias("f"), F.collect_list(cell).alias("c"), F.bool_or(F.col("text").isNull()).alias("holes"), _early().alias("early"))
+
+    def bare(x: Column) -> Column:
+        t, front = x["t"], F.col("f.t")
+        holds = (x["row_idx"] == F.col("f.row_idx")) & F.startswith(t, front)
+        rest = F.substring(t, F.length(front) + 1, F.length(t))
+        return F.struct(x["row_idx"].alias("row_idx"), x["col_idx"].alias("col_idx"), F.when(holds, strip(F.regexp_replace(rest, r"^\s*[–—:.-]?\s*", ""))).otherwise(t).alias("t"))
+
+    rows = grouped.withColumn("c", F.sort_array(F.when(F.col("f").isNull(), F.col("c")).otherwise(F.transform("c", bare))))
+    rows = rows.withColumn("head", F.filter("c", lambda x: x["row_idx"].eqNullSafe(F.element_at("c", 1)["row_idx"])))
+    rows = rows.withColumn("c", F.slice("c", F.size("head") + 1, F.size("c")))
+    begins = lambda i: (i == 0) | ~F.get("c", i)["row_idx"].eqNullSafe(F.get("c", i - 1)["row_idx"])
+    # Cells without text take no place in a line, but for the first, which begins it.
+    rows = rows.withColumn("c", F.when(F.col("holes"), F.filter("c", lambda x, i: x["t"].isNotNull() | begins(i))).otherwise(F.col("c")))
+
+    def piece(x: Column, i: Column) -> Column:
+        before = F.when(i == 0, "| ").when(begins(i), " |\n| ").when(F.get("c", i - 1)["t"].isNull(), "").otherwise(" | ")
+        return F.concat(before, F.coalesce(x["t"], F.lit("")))
+
+    line = F.concat(F.lit("| "), F.array_join(F.transform("head", lambda x: x["t"]), " | "), F.lit(" |"))
+    rows = rows.withColumn("line", line)
+    columns = F.length("line") - F.length(F.replace(F.col("line"), F.lit("|"), F.lit(""))) - 1
+    rest = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), columns), F.lit("\n"), F.array_join(F.transform("c", piece), ""), F.lit(" |"))
+    rendered = F.when(F.size("c") > 0, F.concat("line", rest)).otherwise(F.col("line"))
+    return rows.select(*_KEYS, rendered.alias("rendered"), F.col("f.ref").alias("ref"), "early")
 
 
 def shapes(cells: DataFrame) -> DataFrame:
@@ -74,15 +105,6 @@ def shapes(cells: DataFrame) -> DataFrame:
     return rows.groupBy(*_KEYS).agg(F.count(F.lit(1)).alias("n_rows"), F.max("n").alias("n_cols"))
 
 
-def first_refs(cells: DataFrame) -> DataFrame:
-    """(ref, ref_row, ref_text) of the first cell, row by row, that holds a clause reference."""
-    ref = clause_ref(F.col("text"))
-    found = cells.withColumn("ref", ref).where("ref <> ''")
-    pattern = r"(?i)(?<!\w)([A-Z]\d+[A-Z]\d+[a-z]|[A-Z]\d+[A-Z]\d+|[A-Z]\d+\.\d+|[A-Z]\d+)(?!\w)"
-    first = F.min_by(F.struct("ref", "row_idx", F.regexp_extract("text", pattern, 1).alias("t")), F.struct("row_idx", "col_idx"))
-    return found.groupBy(*_KEYS).agg(first.alias("f")).select(*_KEYS, F.col("f.ref").alias("ref"), F.col("f.row_idx").alias("ref_row"), F.col("f.t").alias("ref_text"))
-
-
 def lte_blocks(cells: DataFrame, captions: DataFrame) -> DataFrame:
     """T-4: (doc_id, table_idx, lte); ``captions`` has (doc_id, table_idx, table_id, title, notes, paragraph_index)."""
     lines = _row_lines(cells, encode_cell(F.col("text"), F.col("colspan"), F.col("rowspan")))

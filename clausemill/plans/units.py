@@ -10,7 +10,7 @@ from clausemill.functions import variations as V
 from clausemill.functions.text import CELL_LIMIT, is_truncated, strip, truncate_hard
 from clausemill.operators.lookups import with_discipline
 from clausemill.operators.scans import CHUNK, running
-from clausemill.operators.tables import first_refs, pipe_tables
+from clausemill.operators.tables import early_refs, table_texts
 from clausemill.sources.files import written
 
 #: The published columns, in order; the last three are in the specification only.
@@ -42,42 +42,48 @@ def table_placement(content: DataFrame, cells: DataFrame, placement: str = "appe
     """U-9: (doc_id, table_idx, seg): the unit that a table's text belongs to, none if the first nine cells hold another
     reference. "appended" puts all tables after all paragraphs, so they fall to the last unit; "inline" takes each
     table's own place, column ``at`` of cells."""
-    segs = content_segments(content)
-    early = cells.where("row_idx < 3 and col_idx < 3").withColumn("ref", U.clause_ref(F.col("text"))).where("ref <> ''")
+    return _placed(content_segments(content), cells, early_refs(cells), placement).select("doc_id", "table_idx", "seg")
+
+
+def _placed(segs: DataFrame, cells: DataFrame, tables: DataFrame, placement: str) -> DataFrame:
+    """``tables`` (doc_id, table_idx, early) that belong to a unit of ``segs``, with its seg."""
     if placement == "appended":
-        last = segs.groupBy("doc_id").agg(F.max("seg").alias("seg"))
-        at = cells.select("doc_id", "table_idx").distinct().join(last, "doc_id")
+        # Every reference opens a unit, so the last one is the last unit's.
+        last = segs.groupBy("doc_id").agg(F.max("seg").alias("seg"), F.max_by("ref", F.when(F.col("ref") != "", F.col("seg"))).alias("unit_ref"))
+        placed = tables.join(last, "doc_id")
     else:
         marks = segs.select("doc_id", F.col("idx").alias("at"), "seg", F.lit(None).cast("long").alias("table_idx"))
         own = cells.select("doc_id", "at", F.lit(None).cast("long").alias("seg"), F.col("table_idx").cast("long").alias("table_idx")).distinct()
         order = Window.partitionBy("doc_id").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
         at = marks.unionByName(own).withColumn("seg", F.coalesce(F.last("seg", ignorenulls=True).over(order), F.lit(0))).where("table_idx is not null").select("doc_id", "table_idx", "seg")
-    heads = segs.where("ref <> ''").select("doc_id", "seg", F.col("ref").alias("unit_ref"))
-    placed = at.join(heads, ["doc_id", "seg"], "left")
-    other = placed.join(early.select("doc_id", "table_idx", "ref"), ["doc_id", "table_idx"]).where("unit_ref is not null and ref <> unit_ref").select("doc_id", "table_idx").distinct()
-    return placed.join(other, ["doc_id", "table_idx"], "left_anti").select("doc_id", "table_idx", "seg")
+        heads = segs.where("ref <> ''").select("doc_id", "seg", F.col("ref").alias("unit_ref"))
+        placed = at.join(heads, ["doc_id", "seg"], "left").join(tables, ["doc_id", "table_idx"])
+    return placed.where(F.col("unit_ref").isNull() | ~F.exists("early", lambda r: r != F.col("unit_ref")))
 
 
-def paragraph_units(content: DataFrame, volume: Column, cells: DataFrame | None = None, placement: str = "appended", rendered: DataFrame | None = None) -> DataFrame:
+def paragraph_units(content: DataFrame, volume: Column, cells: DataFrame | None = None, placement: str = "appended", tables: DataFrame | None = None) -> DataFrame:
     """U-5 to U-10, U-12, U-13, P-8: a work row for each unit, its paragraphs and tables joined by blank lines. Pieces that
-    begin behind the limit of a text are left out before a unit is put together. ``rendered`` is what ``pipe_tables`` gives,
-    where it is at hand."""
-    segs = content_segments(content)
-    n = segs.groupBy("doc_id").agg((F.max("idx") + 1).alias("n"))
+    begin behind the limit of a text are left out before a unit is put together. ``tables`` is what ``table_texts`` gives,
+    where it is at hand. Paragraphs are written with their unit; what is read of them for the bounds of units are numbers."""
+    segs = written(content_segments(content))
+    own = segs.groupBy("doc_id", "seg").agg(F.min("idx").cast("long").alias("first"), F.max("idx").cast("long").alias("own_last"))
+    after = F.lead("first").over(Window.partitionBy("doc_id").orderBy("seg"))
+    bounds = own.select("doc_id", "seg", "first", F.coalesce(after - 1, "own_last").alias("last"))
     items = segs.select("doc_id", "seg", F.lit(0).alias("kind"), F.col("idx").cast("long").alias("at"), "text", "tag", "ref")
     if cells is not None:
-        tables = table_placement(content, cells, placement).join(pipe_tables(cells) if rendered is None else rendered, ["doc_id", "table_idx"])
+        placed = _placed(segs, cells, table_texts(cells) if tables is None else tables, placement)
+        if placement != "appended":
+            placed = placed.join(segs.select("doc_id").distinct(), "doc_id", "left_semi")
         body = F.concat(F.lit("\n\n[TABLE]\n"), "rendered", F.lit("\n[/TABLE]"))
-        items = items.unionByName(tables.select("doc_id", "seg", F.lit(1).alias("kind"), F.col("table_idx").cast("long").alias("at"), body.alias("text"), F.lit("table").alias("tag"), F.lit("").alias("ref")))
+        items = items.unionByName(placed.select("doc_id", "seg", F.lit(1).alias("kind"), F.col("table_idx").cast("long").alias("at"), body.alias("text"), F.lit("table").alias("tag"), F.lit("").alias("ref")))
     behind = Window.partitionBy("doc_id", "seg").orderBy("kind", "at").rowsBetween(Window.unboundedPreceding, -1)
     items = items.withColumn("begins", F.coalesce(F.sum(F.length("text") + 2).over(behind), F.lit(0)))
     # What begins two characters behind the limit follows a text that just fits, and makes it one that does not.
     items = items.where(F.col("begins") <= CELL_LIMIT + 2)
-    grouped = items.groupBy("doc_id", "seg").agg(F.array_sort(F.collect_list(F.struct("kind", "at", "text", "tag", "ref"))).alias("p"), F.min(F.when(F.col("kind") == 0, F.col("at"))).alias("first"))
+    grouped = items.groupBy("doc_id", "seg").agg(F.sort_array(F.collect_list(F.struct("kind", "at", "text", "tag", "ref"))).alias("p"))
     head = F.element_at("p", 1)
-    after = F.lead("first").over(Window.partitionBy("doc_id").orderBy("seg"))
     text = F.array_join(F.transform("p", lambda x: x["text"]), "\n\n")
-    rows = grouped.join(n, "doc_id").select("doc_id", "seg", "first", (F.coalesce(after, F.col("n").cast("long")) - 1).alias("last"), head["ref"].alias("clause_ref"), head["tag"].alias("tag"), head["text"].alias("head"), text.alias("whole"))
+    rows = grouped.join(bounds, ["doc_id", "seg"], "left").select("doc_id", "seg", "first", "last", head["ref"].alias("clause_ref"), head["tag"].alias("tag"), head["text"].alias("head"), text.alias("whole"))
     is_unit = F.col("seg") > 0
     cut = F.when(is_truncated(F.col("whole")), "_truncated").otherwise("")
     where = F.concat(F.when(is_unit, "para_").otherwise("content_"), F.col("first").cast("string"), F.lit("_to_"), F.col("last").cast("string"), cut)
@@ -96,9 +102,9 @@ def paragraph_units(content: DataFrame, volume: Column, cells: DataFrame | None
     )
 
 
-def table_units(cells: DataFrame, volume: Column, rendered: DataFrame | None = None) -> DataFrame:
+def table_units(cells: DataFrame, volume: Column, tables: DataFrame | None = None) -> DataFrame:
     """U-11: a work row for each table; its reference is its first cell's that has one, else its number."""
-    rows = (pipe_tables(cells) if rendered is None else rendered).join(first_refs(cells), ["doc_id", "table_idx"], "left")
+    rows = table_texts(cells) if tables is None else tables
     ref = F.concat(F.lit("table "), F.coalesce("ref", (F.col("table_idx") + 1).cast("string")))
     where = F.concat(F.lit("table_"), F.col("table_idx").cast("string"), F.when(F.col("ref").isNotNull(), F.concat(F.lit("_"), "ref")).otherwise(""), F.when(is_truncated(F.col("rendered")), "_truncated").otherwise(""))
     return rows.select("doc_id", F.lit(1).alias("pass_no"), F.col("table_idx").cast("long").alias("place"), volume.alias("volume"), F.lit("table").alias("row_type"), F.lit("").alias("heading_level"), F.lit("").alias("heading_text"), U.unit_type(truncate_hard(F.col("rendered"))).alias("unit_type"), ref.alias("clause_ref"), truncate_hard(F.col("rendered")).alias("text"), where.alias("source_location"))
@@ -106,8 +112,8 @@ def table_units(cells: DataFrame, volume: Column, rendered: DataFrame | None = N
 
 def work_rows(content: DataFrame, cells: DataFrame, volume: Column, placement: str = "appended") -> DataFrame:
     """O-2: the units of paragraphs and of tables, whose text is made once for both."""
-    rendered = written(pipe_tables(cells))
-    return paragraph_units(content, volume, cells, placement, rendered).unionByName(table_units(cells, volume, rendered))
+    tables = written(table_texts(cells))
+    return paragraph_units(content, volume, cells, placement, tables).unionByName(table_units(cells, volume, tables))
 
 
 def length_guard(rows: DataFrame, *columns: str) -> DataFrame:

@@ -324,3 +324,33 @@ def test_a_text_that_just_fits_is_cut_if_more_follows(spark):
         content = spark.createDataFrame(at_limit + more, "doc_id long, idx int, tag string, text string")
         text = P.paragraph_units(content, F.lit("Vol1")).first().text
         assert len(text) == 32_767 and text.endswith("..." if more else "bbb")
+
+
+def test_a_tables_cells_meet_once(spark):
+    """Rows, gaps, pipes, texts with breaks, cells of equal place, and the table's reference, against plain Python; without
+    a join of cells with cells."""
+    from clausemill.operators import tables as T
+
+    made = [
+        (1, 1, 0, 0, "H2V1a: Limits"), (1, 1, 0, 1, " a|b "), (1, 1, 1, 1, "H3V1"), (1, 1, 1, 0, None), (1, 1, 2, 0, "x\ny"), (1, 1, 2, 0, "w"),
+        (1, 2, 0, 0, None), (1, 2, 0, 1, "only"), (1, 3, 4, 0, None), (1, 3, 4, 1, None), (1, 3, 9, 0, "end"), (2, 1, 0, 5, "E1.2 far"), (2, 1, 3, 0, "C1 low"),
+    ]
+    cells = spark.createDataFrame(made, "doc_id long, table_idx int, row_idx int, col_idx int, text string").cache()
+    df = T.table_texts(cells)
+    got = {(r.doc_id, r.table_idx): (r.rendered, r.ref, sorted(r.early)) for r in df.collect()}
+    assert got == {
+        (1, 1): ("| Limits | a\\|b |\n| --- | --- | --- |\n| H3V1 |\n| w | x\ny |", "H2V1A", ["H2V1A", "H3V1"]),
+        (1, 2): ("| only |", None, []),
+        (1, 3): ("|  |\n| --- |\n| end |", None, []),
+        (2, 1): ("| far |\n| --- |\n| C1 low |", "E1.2", []),
+    }
+    assert {k: v[0] for k, v in got.items()} == {(r.doc_id, r.table_idx): r.rendered for r in T.pipe_tables(cells).collect()}
+    assert "Join" not in T.pipe_tables(cells)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_strip_takes_ascii_white_space_only(spark):
+    texts = ["", " \t\n\r\f\x0b", " a b\t", "\x0bé \u00a0", "\u00a0 x", "\x1f y \x1c", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.strip(F.col("t")).alias("s"))
+    assert all(r.s == (None if r.t is None else r.t.strip(" \t\n\r\f\x0b")) for r in df.collect())
+    # No pattern, which is tried at every character.
+    assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
