@@ -354,3 +354,18 @@ def test_strip_takes_ascii_white_space_only(spark):
     assert all(r.s == (None if r.t is None else r.t.strip(" \t\n\r\f\x0b")) for r in df.collect())
     # No pattern, which is tried at every character.
     assert "regexp" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_an_identity_is_judged_by_one_pattern_a_column(spark):
+    """Codes and blanks against plain Python; a filter works out what it is given for each mention, so each code is one pattern."""
+    refs = ["C1F1", "C1F1a", "P2.1", "H4", "table  C1D2", " Table H12.5x", "C1F1ab", "c1F1", "C12D", "", "NaN", None, "\tH4 ", "AB1"]
+    want = [("C", "C1"), ("C", "C1"), ("P", "P2"), ("H", "H4"), ("C", "C1"), ("", ""), ("", ""), ("", ""), ("", ""), ("", ""), ("", ""), ("", ""), ("H", "H4"), ("", "")]
+    codes = spark.createDataFrame([(r,) for r in refs], "r string").select(U.section_code(F.col("r")).alias("s"), U.part_code(F.col("r")).alias("p"))
+    assert [tuple(r) for r in codes.collect()] == want
+    values = ["x", "", " \t", "NaN", "  NaN ", "\tNaN", "NaN x", "nan", "\x0b", None]
+    units = spark.createDataFrame([("V1", i, "A1", v, "A", "A1", v or "p") for i, v in enumerate(values)], "volume string, ord long, unit_label string, applies_to_volume string, section_code string, part_code string, path string")
+    got = {r.ord for r in Q.identity_samples(units, 20, 20).collect() if r.sample == "complete"}
+    assert got == {i for i, v in enumerate(values) if v and v.strip(" \t\n\r\f\x0b") and v.strip(" ") != "NaN"}
+    plan = Q.identity_samples(X.units(spark, SF).withColumns({"applies_to_volume": F.col("volume"), "path": F.col("volume"), "section_code": U.section_code(F.col("unit_label")), "part_code": U.part_code(F.col("unit_label"))}))._jdf.queryExecution().optimizedPlan().toString()
+    # Two codes in a filter and a list of columns for each of the two samples.
+    assert plan.count("regexp_extract(") == 8
