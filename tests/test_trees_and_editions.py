@@ -129,3 +129,18 @@ def test_registered_editions(spark):
     got = sorted((tuple(x) for x in queries.QUERIES["r10_editions"](spark, DATA).collect()), key=repr)
     assert got == brute(*sides)
     assert {x[1] for x in got} == {"unchanged", "renumbered", "moved", "changed", "removed", "added"}
+
+
+def test_what_is_paired_is_written_once(spark, monkeypatch):
+    """Units whose texts all stand where they stood are read by no step after the first."""
+    rows = []
+
+    def counted(df):
+        rows.append(df.count())
+        return written(df)
+
+    written = editions.written
+    monkeypatch.setattr(editions, "written", counted)
+    units = spark.createDataFrame([("V", "A", i, f"L{i}", f"text {i}") for i in range(40)], "volume string, part_code string, ord long, unit_label string, text string")
+    assert {r.change for r in editions.edition_changes(units, units).collect()} == {"unchanged"}
+    assert sum(rows) == 4 * 40
