@@ -369,3 +369,19 @@ def test_an_identity_is_judged_by_one_pattern_a_column(spark):
     plan = Q.identity_samples(X.units(spark, SF).withColumns({"applies_to_volume": F.col("volume"), "path": F.col("volume"), "section_code": U.section_code(F.col("unit_label")), "part_code": U.part_code(F.col("unit_label"))}))._jdf.queryExecution().optimizedPlan().toString()
     # Two codes in a filter and a list of columns for each of the two samples.
     assert plan.count("regexp_extract(") == 8
+
+
+def test_a_cut_at_a_word_looks_at_its_end_only(spark):
+    texts = ["a" * 20, "a" * 21, "b" * 9 + " " + "c" * 11, "b" * 8 + " " + "c" * 12, "b" * 10 + " " + "c" * 11, " " * 25, "x" * 15 + " y z" + "w" * 9, "é" * 12 + " " + "é" * 12, None]
+
+    def brute(t, limit=20, cut=15, back=6):
+        if t is None or len(t) <= limit:
+            return t
+        head = t[:cut]
+        at = head.rfind(" ")
+        return (head[:at] if at > cut - back else head) + f"\n\n[Text truncated. Full length: {len(t)} characters]"
+
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(T.truncate_word(F.col("t"), 20, 15, 6).alias("c"))
+    assert [r.c for r in df.collect()] == [brute(t) for t in texts]
+    plan = spark.createDataFrame([("a",)], "t string").select(T.truncate_word(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
+    assert ", 32268, 400))" in plan and plan.count("reverse(") == plan.count(", 32268, 400))")

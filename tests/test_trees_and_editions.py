@@ -7,6 +7,7 @@ import random
 
 import pytest
 
+from clausemill.operators import editions
 from clausemill.operators.editions import edition_changes, longest_increasing
 from clausemill.operators.trees import ancestors, tree_measures
 
