@@ -20,19 +20,14 @@ SUBCLAUSE = r"^\s*\(([a-z]|[ivx]+)\)\s+"
 def is_excluded(text: Column) -> Column:
     """C-1: captions of tables and figures, page numbers, quantities, and texts under three characters."""
     t = strip(text)
-    return (
-        t.rlike(r"(?i)^(table|tab\.|tab\s)")
-        | t.rlike(r"(?i)^(figure|fig\.|fig\s)")
-        | t.rlike(r"(?i)^\s*page\s+\d+")
-        | F.substring(t, 1, 20).rlike(rf"(?i)^\d+\.?\d*\s*({_UNITS})(?!\w)")
-        | t.rlike(rf"(?i)^\d+\.?\d*\s*({_UNITS})\s*$")
-        | (F.length(t) < 3)
-    )
+    # One pattern for what is judged by the whole text, since a filter strips it for each mention.
+    starts = rf"(?i)^(?:table|tab\.|tab\s|figure|fig\.|fig\s|\s*page\s+\d+|\d+\.?\d*\s*(?:{_UNITS})\s*$)"
+    return t.rlike(starts) | F.substring(t, 1, 20).rlike(rf"(?i)^\d+\.?\d*\s*({_UNITS})(?!\w)") | (F.length(t) < 3)
 
 
 def is_heading(text: Column) -> Column:
     """C-2, for texts that are not excluded."""
-    return ~is_excluded(text) & text.rlike(HEADING)
+    return text.rlike(HEADING) & ~is_excluded(text)
 
 
 def clause_number(text: Column) -> Column:

@@ -19,8 +19,8 @@ def running(rows: DataFrame, order: str, sums: dict[str, Column] | None = None,
     """W-1, W-3: ``rows`` with the running sums, and the last values that are not null, up to and with each row of its
     doc_id in the order of ``order``, a column of whole numbers from 0 on. Rows without a place are left out.
 
-    The documents longer than a chunk, at most one for each ``chunk`` rows, are broadcast to find their summaries; where there
-    are none, nothing but the filter for such rows is added to the plan."""
+    The furthest place is looked up first. Documents longer than a chunk, at most one for each ``chunk`` rows, are broadcast to find
+    their summaries; where there are none, the rows are read and dealt once."""
     sums, lasts = sums or {}, lasts or {}
     at = F.col(order)
 
@@ -28,6 +28,9 @@ def running(rows: DataFrame, order: str, sums: dict[str, Column] | None = None,
         so_far = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
         return part.withColumns({n: F.sum(c).over(so_far) for n, c in sums.items()} | {n: F.last(c, ignorenulls=True).over(so_far) for n, c in lasts.items()})
 
+    furthest = rows.agg(F.max(at)).first()[0]
+    if furthest is None or furthest < chunk:
+        return local(rows.where(at.isNotNull()), "doc_id")
     number = F.floor(at / chunk).cast("long")
     later = rows.where(at >= chunk).withColumn("_chunk", number)
     long = F.broadcast(later.select("doc_id").distinct())

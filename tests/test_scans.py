@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -41,3 +42,29 @@ def test_operators_do_not_depend_on_chunks(spark, job):
     rows = lambda c: sorted(map(repr, job(p, c).collect()))
     want = rows(1 << 17)
     assert len(want) > 10 and rows(3) == want
+
+
+def test_short_documents_are_read_and_dealt_once(spark):
+    rows = spark.createDataFrame([(d, i, f"t{i}") for d in range(3) for i in range(5)], "doc_id long, para_idx int, text string")
+    plan = lambda chunk: running(rows, "para_idx", sums={"n": F.length("text")}, chunk=chunk)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan(2) and "Union" not in plan(5) and "Join" not in plan(5)
+
+
+def test_contexts_do_not_carry_the_text(spark):
+    from clausemill import queries
+
+    plan = queries.QUERIES["v30_context"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window") :].splitlines()[1]
+    assert "Union" not in plan and re.search(r"Project \[doc_id#\d+L, para_idx#\d+, CASE", below)
+
+
+def test_headings_are_looked_for_before_exclusions(spark):
+    """Most lines are no headings; they are read by one pattern and not stripped."""
+    from clausemill.operators import clauses as C
+
+    texts = ["2.6.3 Fire", " Table 2", "tab. 3", "Figure 1", "page 12 x", "5 mm", "5 mmx", "5.5 kg", "1.2 V of it", "E2.2a x", "1.2", "ab", "\u0085", " 12.5 A \n", "TAB\t4"]
+    want = [False, True, True, True, True, True, False, True, True, False, False, True, True, True, True]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [r[0] for r in df.select(C.is_excluded(F.col("text"))).collect()] == want
+    plan = df.where(C.is_heading(F.col("text")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RLIKE(text") < plan.index("trim(") and plan.count("trim(") == 3
