@@ -69,18 +69,22 @@ def table_texts(cells: DataFrame) -> DataFrame:
     """(doc_id, table_idx, rendered, ref, early): a table's text as in ``pipe_tables``, the reference of its first cell, row by
     row, that has one, and those of its first nine cells. A table's cells meet once, for all of these."""
     pattern = r"(?i)(?<!\w)([A-Z]\d+[A-Z]\d+[a-z]|[A-Z]\d+[A-Z]\d+|[A-Z]\d+\.\d+|[A-Z]\d+)(?!\w)"
-    has = F.col("ref") != ""
-    first = F.min_by(F.when(has, F.struct("ref", "row_idx", F.regexp_extract("text", pattern, 1).alias("t"))), F.when(has, F.struct("row_idx", "col_idx")))
-    cell = F.struct("row_idx", "col_idx", F.replace(strip(F.col("text")), F.lit("|"), F.lit("\\|")).alias("t"))
-    grouped = cells.withColumn("ref", clause_ref(F.col("text"))).groupBy(*_KEYS).agg(first.alias("f"), F.collect_list(cell).alias("c"), F.bool_or(F.col("text").isNull()).alias("holes"), _early().alias("early"))
+    # One list of cells is all that is gathered; it is sorted once, and the rest is read off it.
+    cell = F.struct("row_idx", "col_idx", F.replace(strip(F.col("text")), F.lit("|"), F.lit("\\|")).alias("t"), F.nullif(clause_ref(F.col("text")), F.lit("")).alias("ref"))
+    rows = cells.groupBy(*_KEYS).agg(F.sort_array(F.collect_list(cell)).alias("c"))
+    with_ref = F.filter("c", lambda x: x["ref"].isNotNull())
+    rows = rows.withColumns({"with_ref": with_ref, "holes": F.exists("c", lambda x: x["t"].isNull())})
+    # A reference holds no white space or pipe, so it is the same in a cell's trimmed and escaped text.
+    front = F.regexp_extract(F.get("with_ref", F.lit(0))["t"], pattern, 1)
+    early = F.array_distinct(F.transform(F.filter("with_ref", lambda x: (x["row_idx"] < 3) & (x["col_idx"] < 3)), lambda x: x["ref"]))
+    rows = rows.withColumns({"f": F.get("with_ref", F.lit(0)), "front": front, "early": early})
 
     def bare(x: Column) -> Column:
-        t, front = x["t"], F.col("f.t")
-        holds = (x["row_idx"] == F.col("f.row_idx")) & F.startswith(t, front)
-        rest = F.substring(t, F.length(front) + 1, F.length(t))
-        return F.struct(x["row_idx"].alias("row_idx"), x["col_idx"].alias("col_idx"), F.when(holds, strip(F.regexp_replace(rest, r"^\s*[–—:.-]?\s*", ""))).otherwise(t).alias("t"))
+        t = x["t"]
+        holds = (x["row_idx"] == F.col("f.row_idx")) & F.startswith(t, F.col("front"))
+        rest = F.substring(t, F.length("front") + 1, F.length(t))
+        return F.when(holds, strip(F.regexp_replace(rest, r"^\s*[–—:.-]?\s*", ""))).otherwise(t)
 
-    rows = grouped.withColumn("c", F.sort_array(F.when(F.col("f").isNull(), F.col("c")).otherwise(F.transform("c", bare))))
     rows = rows.withColumn("head", F.filter("c", lambda x: x["row_idx"].eqNullSafe(F.element_at("c", 1)["row_idx"])))
     rows = rows.withColumn("c", F.slice("c", F.size("head") + 1, F.size("c")))
     begins = lambda i: (i == 0) | ~F.get("c", i)["row_idx"].eqNullSafe(F.get("c", i - 1)["row_idx"])
@@ -89,9 +93,9 @@ def table_texts(cells: DataFrame) -> DataFrame:
 
     def piece(x: Column, i: Column) -> Column:
         before = F.when(i == 0, "| ").when(begins(i), " |\n| ").when(F.get("c", i - 1)["t"].isNull(), "").otherwise(" | ")
-        return F.concat(before, F.coalesce(x["t"], F.lit("")))
+        return F.concat(before, F.coalesce(bare(x), F.lit("")))
 
-    line = F.concat(F.lit("| "), F.array_join(F.transform("head", lambda x: x["t"]), " | "), F.lit(" |"))
+    line = F.concat(F.lit("| "), F.array_join(F.transform("head", bare), " | "), F.lit(" |"))
     rows = rows.withColumn("line", line)
     columns = F.length("line") - F.length(F.replace(F.col("line"), F.lit("|"), F.lit(""))) - 1
     rest = F.concat(F.lit("\n|"), F.repeat(F.lit(" --- |"), columns), F.lit("\n"), F.array_join(F.transform("c", piece), ""), F.lit(" |"))

@@ -385,3 +385,66 @@ def test_a_cut_at_a_word_looks_at_its_end_only(spark):
     assert [r.c for r in df.collect()] == [brute(t) for t in texts]
     plan = spark.createDataFrame([("a",)], "t string").select(T.truncate_word(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
     assert ", 32268, 400))" in plan and plan.count("reverse(") == plan.count(", 32268, 400))")
+
+
+def test_patterns_that_are_skipped_would_find_nothing(spark):
+    """Random texts by the functions, and by their patterns alone."""
+    import random
+    import re
+
+    r = random.Random(6)
+    words = ["AS 1", "as 2", "AS/NZS 30", "ISO 9", "XAS 4", "Class 2", "class 3", "Class10", "H1D2", "h1d2a", "P2.1", "K9", "9 mm", "A = B2*C", "must", "SHALL.", "mustard", "If", "WHERE x,", "unless", "Except this.", "Does Not Apply", "plumbing", "Drainage", "the wall is", "an exit must be", "ÉTİ", "—", "means", "V2.3", "D4", "P7", "DTS", "_", "\n", "."]
+    texts = [None, "", *[r.choice(["", " "]).join(r.choice(words) for _ in range(r.randint(1, 6))) for _ in range(1500)]]
+    t = F.col("t")
+    got = spark.createDataFrame([(x,) for x in texts], "t string").select("t", U.clause_ref(t).alias("ref"), U.unit_type(t).alias("kind"), V.external_refs(t).alias("external"), V.internal_refs(t, F.lit("H1D2")).alias("internal"), V.requirement_sentences(t).alias("needs"), V.conditions(t).alias("ifs"), V.exceptions(t).alias("excepts"), V.building_classes(t).alias("classes"), V.scope_volume(t).alias("scope"), V.constant_name(t).alias("name"))
+    once = lambda p, x, flags=0: list(dict.fromkeys(m.group(1) for m in re.finditer(p, x, flags | re.A)))
+    joined = lambda p, x, flags=0: "|".join(m.group(1) for m in re.finditer(p, x, flags | re.A))
+
+    def ref(x):
+        found = [m.group(1) for p in U.REFERENCES if (m := re.search(p, x, re.A)) and m.group(1)]
+        return found[0].upper() if found else ""
+
+    def kind(x):
+        low, has = x.lower(), lambda *ps: any(re.search(p, x, re.A) for p in ps)
+        if has(r"^P\d+", r"P\d+\.\d+", r"P\d+[A-Z]\d+") or "performance requirement" in low:
+            return "PERFORMANCE_REQUIREMENT"
+        if any(w in low for w in ("deemed-to-satisfy", "deemed to satisfy", "dts")) or has(r"^D\d+", r"D\d+\.\d+"):
+            return "DTS_PROVISION"
+        if "verification method" in low or has(r"^V\d+", r"V\d+\.\d+"):
+            return "VERIFICATION_METHOD"
+        if "evidence of suitability" in low:
+            return "EVIDENCE_OF_SUITABILITY"
+        return "DEFINITION" if "definition" in low or has("^[A-Z][^—]+—", "^[A-Z][^means]+means") else "OTHER"
+
+    for row in got.where("t is not null").collect():
+        x = row.t
+        assert (row.ref, row.kind) == (ref(x), kind(x)), x
+        assert row.external == once(r"(?<!\w)(AS/NZS \d+|AS \d+|ISO \d+)", x)
+        assert row.internal == [i for i in once(r"(?<!\w)([A-Z]\d+[A-Z]\d+)(?!\w)", x) if i != "H1D2"]
+        assert row.needs == "|".join(s for s in re.split(r"(?<=[.!?])\s+", x, flags=re.A) if re.search(r"(?<!\w)(must|shall)(?!\w)", s, re.I | re.A))
+        assert row.ifs == joined(r"(?<!\w)((?:if|where|unless)\s[^,.;]*)", x, re.I)
+        assert row.excepts == joined(r"(?<!\w)((?:except|does not apply)(?!\w)[^,.;]*)", x, re.I)
+        assert row.classes == "|".join(sorted(once(r"(?<!\w)Class\s*(10|[1-9])", x)))
+        scopes = {"Vol3": re.search(r"(?<!\w)(plumbing|drainage)(?!\w)", x, re.I | re.A), "Vol2": re.search(r"(?<!\w)Class\s*(10|1)(?!\w)", x, re.A), "Vol1": re.search(r"(?<!\w)Class\s*[2-9](?!\w)", x, re.A)}
+        assert row.scope == next((v for v, m in scopes.items() if m), "")
+        name = re.search(r"(?<!\w)(?:the|an?)\s+([a-z ]+?)\s+(?:is|must be|shall be)(?!\w)", x, re.I | re.A)
+        assert row.name == (name.group(1).lower() if name else "")
+    nulls = got.where("t is null").first()
+    assert (nulls.ref, nulls.kind, nulls.scope) == ("", "OTHER", "") and all(nulls[c] is None for c in ("external", "internal", "needs", "ifs", "excepts", "classes", "name"))
+
+
+def test_what_is_not_there_is_not_cast(spark):
+    """A cast that fails is an exception within Spark, one for each table of a document."""
+    places = [("para_3_to_7", 3, 7), ("table_4", 0, 0), (None, 0, 0), ("para_99999999999_to_2", 0, 2)]
+    found = spark.createDataFrame(places, "at string, a int, b int").select("*", *(c.alias(n) for c, n in zip(U.paragraph_range(F.col("at")), ("x", "y"))))
+    assert all((r.a, r.b) == (r.x, r.y) for r in found.collect())
+    assert "= )" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_tables_cells_are_gathered_as_one_list(spark):
+    from clausemill.operators.tables import table_texts
+
+    cells = spark.createDataFrame([(1, 0, 0, 0, "H2V1a | Limits"), (1, 0, 0, 1, " b "), (1, 0, 1, 0, "k1"), (1, 0, 3, 0, "Z9"), (1, 0, 1, 1, None), (1, 1, 0, 0, "")], "doc_id int, table_idx int, row_idx int, col_idx int, text string")
+    texts = table_texts(cells)
+    assert [(r.rendered, r.ref, sorted(r.early)) for r in texts.orderBy("table_idx").collect()] == [("| \\| Limits | b |\n| --- | --- | --- |\n| k1 |\n| Z9 |", "H2V1A", ["H2V1A", "K1"]), ("|  |", None, [])]
+    assert "min_by" not in texts._jdf.queryExecution().optimizedPlan().toString()
